@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from entityframe import fixed_values as fv
 from entityframe.errors import SchemaError
@@ -16,6 +16,7 @@ from entityframe.plans.reports import WriteReport
 from entityframe.plans.write_plan import (
     WritePlan,
     classify,
+    key_metrics,
     plan_rows,
     require_good_keys,
     require_scope,
@@ -253,11 +254,14 @@ def _run(
     )
     # Encoded once and written once: every later pass reads this table, so audit
     # stamps and row ids are the same in the stored data and in the report.
-    plan = plan.on(stage(plan.df, "plan"))
+    seen = Observation()
+    plan = plan.on(stage(plan.df, "plan", seen, **key_metrics()))
     carried_out = not (dry_run or read_only)
     if carried_out and not skip_unchanged:
-        require_good_keys(plan.df)
-    require_unique_keys(plan.df, full_key=not carried_out)
+        require_good_keys(seen.get)
+    if not carried_out:
+        # A write that is carried out finds repeated keys in its merge.
+        require_unique_keys(plan.df)
     if scope is not None:
         require_scope(plan.df, scope)
 

@@ -321,11 +321,13 @@ def require_unique_keys(df: DataFrame, *, full_key: bool = True) -> None:
         raise KeyValidationError(f"key occurs {found[0]['rows']} times in one write: {found[0]['key']}")
 
 
-def require_good_keys(df: DataFrame) -> None:
+def key_metrics() -> dict:
+    """Aggregates over a plan that `require_good_keys` looks at."""
+    return {"key_error": F.min("key_error"), "incomplete": F.count_if("incomplete")}
+
+
+def require_good_keys(found: dict) -> None:
     """A write that is carried out raises on key problems instead of reporting them."""
-    found = df.agg(
-        F.min("key_error").alias("key_error"), F.count_if("incomplete").alias("incomplete")
-    ).first()
     if found["key_error"] is not None:
         raise KeyValidationError(found["key_error"])
     if found["incomplete"]:

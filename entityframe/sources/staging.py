@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,12 +27,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the file system of the path, whichever that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def stage(df: DataFrame, label: str = "stage", seen: Observation | None = None, **metrics) -> DataFrame:
     """Write `df` once and read it back.
 
     The table cuts the lineage, survives the loss of executors and gives every later
-    pass the same rows, also when the input is not deterministic.
+    pass the same rows, also when the input is not deterministic.  Aggregates named in
+    `metrics` are taken by `seen` while the rows go by.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    watched = df
+    if seen is not None:
+        watched = df.observe(seen, *[m.alias(n) for n, m in metrics.items()])
+    watched.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,18 +18,18 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from entityframe import fixed_values as fv
-from entityframe.errors import SchemaError, WriteConflictError
+from entityframe.errors import KeyValidationError, SchemaError, WriteConflictError
 from entityframe.functions.keys import KEY_TYPE, EntityKey, namespace_code
 from entityframe.functions.logical import same_type
 from entityframe.plans.write_plan import PROPERTIES, bucket_column, property_types
 from entityframe.schema import column, field_types
-from entityframe.sources.staging import stage
+from entityframe.sources.staging import path_exists, stage
 
 _NAMES = T.ArrayType(T.StringType())
 _VERSION_ROW = T.StructType(
@@ -92,12 +92,9 @@ class EntityTable:
 
     def snapshot(self, version: int | None = None) -> Snapshot | None:
         """The newest (or a given) version; None for a kind never written."""
-        try:
-            listed = self.spark.read.schema(_VERSION_ROW).parquet(f"{self.path}/versions")
-        except AnalysisException as exc:
-            if exc.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        if not path_exists(self.spark, f"{self.path}/versions"):
+            return None
+        listed = self.spark.read.schema(_VERSION_ROW).parquet(f"{self.path}/versions")
         if version is None:
             version = listed.agg(F.max("v")).first()[0]
         if version is None:
@@ -214,7 +211,8 @@ class EntityTable:
         """New version with `changes` applied; None when there was nothing to do.
 
         Old and new rows of the touched partitions are unioned, shuffled once by
-        partition, and paired per key inside the task that writes the file.
+        partition, and paired per key inside the task that writes the file.  That pairing
+        also tells whether a key occurs twice in `changes`.
         """
         snapshot = self.snapshot()
         touched = self._touched(snapshot, changes)
@@ -222,8 +220,28 @@ class EntityTable:
             return None
         target = self._merged_properties(snapshot, changes)
         existing = None if snapshot is None else self.read(snapshot, touched)
-        merged = merge_rows(existing, changes, target, how)
-        return self._commit(snapshot, merged, touched, target)
+        paired = pair_rows(existing, changes, target, _partitions(self.spark, len(touched)))
+        seen = Observation()
+        counted = paired.observe(seen, F.max("changes").alias("most"))
+        merged = merge_rows(counted, target, how)
+
+        def unique() -> None:
+            # Found while the files were written; nothing is published in that case.
+            if how != "delete" and (seen.get["most"] or 0) > 1:
+                self._raise_repeated(changes)
+
+        return self._commit(snapshot, merged, touched, target, check=unique)
+
+    @staticmethod
+    def _raise_repeated(changes: DataFrame) -> None:
+        row = (
+            changes.groupBy(fv.NS, fv.PATH)
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .filter("rows > 1")
+            .limit(1)
+            .collect()[0]
+        )
+        raise KeyValidationError(f"key occurs {row['rows']} times in one write: {row[fv.PATH]}")
 
     def delete_keys(self, keys: DataFrame) -> int | None:
         """Delete the entities whose `__ns__` and `__path__` are listed."""
@@ -273,12 +291,15 @@ class EntityTable:
         rows: DataFrame,
         touched: set[tuple[str | None, int]],
         properties: T.StructType,
+        check: Callable[[], None] | None = None,
     ) -> int:
         commit = uuid.uuid4().hex
         by_namespace = self.layout(snapshot)[1]
         folders = [fv.NS, fv.BUCKET] if by_namespace else [fv.BUCKET]
         path = f"{self.path}/data/commit={commit}"
         rows.write.partitionBy(*folders).parquet(path)
+        if check is not None:
+            check()
         # Touched partitions that came out empty (all rows deleted) are not listed.
         folder_type = T.StructType(
             [T.StructField(fv.PATH, T.StringType())]
@@ -315,13 +336,20 @@ class EntityTable:
         return version
 
 
-def merge_rows(
-    existing: DataFrame | None, changes: DataFrame, properties: T.StructType, how: str
+def _partitions(spark: SparkSession, folders: int) -> int | None:
+    """Tasks of a merge: one per folder once there are more folders than the session's
+    default; below that the default, which Spark may coalesce."""
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return folders if folders > default else None
+
+
+def pair_rows(
+    existing: DataFrame | None, changes: DataFrame, properties: T.StructType, partitions: int | None
 ) -> DataFrame:
-    """Pair stored and changed rows per key and build the resulting entities.
+    """Stored row (`old`) and changed row (`new`) of every key, side by side.
 
     One shuffle, by (namespace, bucket): grouping by key and the sort of the output
-    files reuse it.  Keys are unique on either side.
+    files reuse it.  `changes` counts the changed rows of the key.
     """
     body = [fv.KEY, fv.PRESENT, fv.UNINDEXED, *[f.name for f in properties.fields]]
     body_type = T.StructType(
@@ -353,14 +381,17 @@ def merge_rows(
     both = side(changes, stored=False)
     if existing is not None:
         both = side(existing, stored=True).unionByName(both)
-    paired = (
-        both.repartition(fv.NS, fv.BUCKET)
-        .groupBy(fv.NS, fv.BUCKET, fv.PATH)
-        .agg(
-            F.first("old", ignorenulls=True).alias("old"),
-            F.first("new", ignorenulls=True).alias("new"),
-        )
+    by = [fv.NS, fv.BUCKET]
+    spread = both.repartition(*by) if partitions is None else both.repartition(partitions, *by)
+    return spread.groupBy(*by, fv.PATH).agg(
+        F.first("old", ignorenulls=True).alias("old"),
+        F.first("new", ignorenulls=True).alias("new"),
+        F.count("new").alias("changes"),
     )
+
+
+def merge_rows(paired: DataFrame, properties: T.StructType, how: str) -> DataFrame:
+    """The entities that result from paired rows."""
     old, new = F.col("old"), F.col("new")
     if how == "delete":
         result = paired.filter(new.isNull()).withColumn("row", old)

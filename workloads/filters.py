@@ -68,7 +68,7 @@ def filter_missing(spark: SparkSession, sf: str) -> DataFrame:
 
 def filter_key_value(spark: SparkSession, sf: str) -> DataFrame:
     """Orders whose key-valued property names one of three customers."""
-    wanted = [ef.EntityKey((("Customer", name),)) for name in ("7", "11", "370")]
+    wanted = [ef.EntityKey((("Customer", name),)) for name in ("7", "11", "13")]
     accessor = stored(spark, sf, "LinkedOrder")
     return accessor.read(filters=[("customer", "IN", wanted)]).select("o_orderkey", "o_custkey")
 
@@ -79,7 +79,7 @@ def namespace_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def namespace_ancestor(spark: SparkSession, sf: str) -> DataFrame:
-    ancestor = ef.EntityKey((("Customer", "370"),), namespace="F")
+    ancestor = ef.EntityKey((("Customer", "13"),), namespace="F")
     rows = stored(spark, sf, "OrderByStatus").read(ancestor=ancestor, include_key=True)
     return rows.select(
         as_text(F.col(fv.KEY)), key_ns_code(F.col(fv.KEY)).alias("namespace"), "o_totalprice"
@@ -159,12 +159,12 @@ SQL = {
         SELECT 'Document/n:' || doc_id || '/' AS entity_key, CAST(quality AS BIGINT) AS quality
         FROM documents JOIN labels USING (doc_id) WHERE quality <> 1""",
     "filter_key_value": """
-        SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (7, 11, 370)""",
+        SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (7, 11, 13)""",
     "namespace_scan": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'",
     "namespace_ancestor": """
         SELECT 'Customer/n:' || o_custkey || '/OrderByStatus/n:' || o_orderkey || '/' AS entity_key,
                'F' AS namespace, o_totalprice
-        FROM orders WHERE o_custkey = 370 AND o_orderstatus = 'F'""",
+        FROM orders WHERE o_custkey = 13 AND o_orderstatus = 'F'""",
     "descendants_many": """
         SELECT o_orderkey, o_custkey FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE c_mktsegment = 'BUILDING'""",

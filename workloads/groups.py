@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import entityframe as ef
 from entityframe import fixed_values as fv
-from entityframe.functions.keys import key_ns_code, key_path_text
 from entityframe.functions.text import station_key, whole_seconds
 from entityframe.operators import linked
 from workloads.common import (
@@ -173,7 +172,7 @@ def follow_refs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filter_by_reference(spark: SparkSession, sf: str) -> DataFrame:
-    key = ef.EntityKey((("Customer", "370"),))
+    key = ef.EntityKey((("Customer", "11"),))
     orders = stored(spark, sf, "LinkedOrder").raw()
     return linked.referencing(orders, "customer", key).select("o_orderkey", "o_totalprice")
 
@@ -195,13 +194,17 @@ def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def duration_seconds(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole seconds to the user's next event; the last event and zero gaps drop out."""
-    events = load(spark, sf, "events")
-    upcoming = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    gaps = events.withColumn("next_ts", upcoming).withColumn(
-        "duration_sec", whole_seconds(F.col("ts"), F.col("next_ts"))
+    """Whole seconds between two times of a row; durations that are not positive drop."""
+    length = F.round((F.col("value") - 20) * 1_000_000).cast("bigint")
+    events = load(spark, sf, "events").select(
+        "event_id",
+        "ts",
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + length).alias("ended_at"),
+    )
+    timed = events.withColumn("duration_sec", whole_seconds(F.col("ts"), F.col("ended_at")))
+    return linked.clean_rows(timed, ["ts", "ended_at"], positive=["duration_sec"]).select(
+        "event_id", "duration_sec"
     )
-    return linked.clean_rows(gaps, ["next_ts"], positive=["duration_sec"]).select("event_id", "duration_sec")
 
 
 def slug_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -335,16 +338,14 @@ SQL = {
     "follow_refs": """
         SELECT o_orderkey, o_custkey FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE c_nationkey = 3""",
-    "filter_by_reference": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 370",
+    "filter_by_reference": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 11",
     "outside_ancestor": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'",
     "clean_rows": """
         SELECT doc_id, lang, CAST(quality AS BIGINT) AS quality
         FROM documents JOIN labels USING (doc_id) WHERE quality > 0""",
     "duration_seconds": """
-        SELECT event_id, duration_sec FROM (
-            SELECT event_id, (epoch_us(lead(ts) OVER w) - epoch_us(ts)) // 1000000 AS duration_sec
-            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-        WHERE duration_sec > 0""",
+        SELECT event_id, CAST(round((value - 20) * 1000000) AS BIGINT) // 1000000 AS duration_sec
+        FROM events WHERE CAST(round((value - 20) * 1000000) AS BIGINT) // 1000000 > 0""",
     "slug_keys": """
         SELECT p_partkey, CASE WHEN p_size > 40 THEN CAST(p_size AS VARCHAR)
                ELSE 'station-' || trim(regexp_replace(

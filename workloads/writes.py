@@ -21,6 +21,7 @@ from workloads.common import (
     EVENT,
     LABELLED_SQL,
     ORDER,
+    ORDER_BY_STATUS,
     as_text,
     keyed,
     labelled_documents,
@@ -192,8 +193,6 @@ def delete_result(spark: SparkSession, sf: str) -> DataFrame:
 
 def delete_namespace(spark: SparkSession, sf: str) -> DataFrame:
     """One namespace of three dropped."""
-    from workloads.common import ORDER_BY_STATUS
-
     accessor = ef.kind(schema=ORDER_BY_STATUS, store=new_store(spark))
     accessor.write(load(spark, sf, "orders")).raise_for_errors()
     accessor.store.table("OrderByStatus").clear("P")
@@ -245,9 +244,9 @@ def bound_read(spark: SparkSession, sf: str) -> DataFrame:
 
 def bound_scope_write(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of one ancestor planned through an accessor bound to it."""
-    ancestor = ef.EntityKey((("Customer", "370"),))
+    ancestor = ef.EntityKey((("Customer", "13"),))
     accessor = ef.kind(schema=ORDER, store=new_store(spark), ancestor=ancestor)
-    rows = load(spark, sf, "orders").filter("o_custkey = 370")
+    rows = load(spark, sf, "orders").filter("o_custkey = 13")
     return _plan_view(accessor.plan_write(rows, row_index=_INDEX))
 
 
@@ -369,9 +368,10 @@ SQL = {
                CAST(NULL AS VARCHAR) AS error, TRUE AS ok, w AS wrote
         FROM (SELECT *, o_orderstatus = 'O' OR o_orderpriority = '1-URGENT' AS w FROM orders)""",
     "report_totals": """
-        SELECT count(*) AS rows, count_if(o_orderstatus = 'O') AS succeeded,
-               count_if(o_orderstatus <> 'O') AS failed, CAST(0 AS BIGINT) AS skipped,
-               count_if(o_orderstatus = 'O') AS wrote, count_if(o_orderstatus = 'O') AS planned_writes
+        SELECT count(*) AS rows, count(*) FILTER (o_orderstatus = 'O') AS succeeded,
+               count(*) FILTER (o_orderstatus <> 'O') AS failed, CAST(0 AS BIGINT) AS skipped,
+               count(*) FILTER (o_orderstatus = 'O') AS wrote,
+               count(*) FILTER (o_orderstatus = 'O') AS planned_writes
         FROM orders""",
     "failed_rows": """
         SELECT o_orderkey AS row_index, 'error' AS action, 'update target does not exist' AS error
@@ -421,7 +421,7 @@ SQL = {
     "bound_scope_write": f"""
         SELECT o_orderkey AS row_index, 'upsert' AS action, {_KEY} AS entity_key,
                CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS error, TRUE AS should_write
-        FROM orders WHERE o_custkey = 370""",
+        FROM orders WHERE o_custkey = 13""",
     "round_trip_skips": """
         SELECT 'skip' AS action, 'entity unchanged' AS reason, count(*) AS rows FROM events""",
     "stream_upsert": "SELECT event_id, user_id, epoch_us(ts) AS ts_us, event_type, value FROM events",
