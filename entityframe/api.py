@@ -116,11 +116,21 @@ def read_page(
     include_key: bool = False,
     **options,
 ) -> Page:
-    """One page in key order; pass the page's `next` as `after` to go on."""
-    start = after or PagePosition("", "")
-    spec = QuerySpec(kind, limit=limit, after=start, **options)
-    raw = scan(store, spec, schema)
-    return Page(_to_user(raw, schema, include_key), page_end(raw))
+    """One page in key order; pass the page's `next` as `after` to go on.
+
+    The end of the page is looked up in the key columns alone.  Its rows are then a
+    key range, so the other columns are read for that range only.
+    """
+    raw = store.table(kind).read()
+    if raw is None:
+        raw = _empty(store, schema or Schema(kind))
+    filters = {k: v for k, v in options.items() if k != "projection"}
+    ahead = QuerySpec(kind, limit=limit, after=after or PagePosition("", ""), keys_only=True, **filters)
+    end = page_end(ahead.apply(raw))
+    if end is None:
+        return Page(_to_user(raw.limit(0), schema, include_key), None)
+    page = QuerySpec(kind, after=ahead.after, until=end, **options)
+    return Page(_to_user(page.apply(raw), schema, include_key), end)
 
 
 def infer_schema_of_kind(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,13 +18,11 @@ _PART, _AT = "__part__", "__at__"
 _ROW_BITS = 33
 
 
-def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "row_number") -> DataFrame:
-    """Global row number from 0 in the given order, without a single-task window.
-
-    The sorted frame is written once with each row's partition and place in it; the
-    row number is that place plus the size of all partitions before it.  The sizes
-    are one number per partition.
-    """
+def _placed(
+    df: DataFrame, order: Sequence[Column | str]
+) -> tuple[DataFrame, list[tuple[int, int, int]]]:
+    """The sorted frame, written once with each row's partition and place in it, and
+    (partition, rows before it, rows in it) for every partition of the sort."""
     row_id = F.monotonically_increasing_id()
     placed = df.orderBy(*order).withColumn("__id__", row_id)
     placed = placed.withColumns(
@@ -33,13 +32,23 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "row_numb
         }
     ).drop("__id__")
     stored = stage(placed, "numbered")
+    # One row per task of the sort.
     sizes = stored.groupBy(_PART).agg((F.max(_AT) + 1).alias("rows")).orderBy(_PART).collect()
-    starts, total = [], 0
+    parts, total = [], 0
     for row in sizes:
-        starts.append((row[_PART], total))
+        parts.append((row[_PART], total, row["rows"]))
         total += row["rows"]
-    # One row per partition of the sort: bounded by the number of tasks.
-    offsets = df.sparkSession.createDataFrame(starts, f"{_PART} bigint, __start__ bigint")
+    return stored, parts
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "row_number") -> DataFrame:
+    """Global row number from 0 in the given order, without a single-task window:
+    a row's place in its partition plus the size of all partitions before it."""
+    stored, parts = _placed(df, order)
+    # Bounded by the number of tasks of the sort.
+    offsets = df.sparkSession.createDataFrame(
+        [(part, start) for part, start, _ in parts], f"{_PART} bigint, __start__ bigint"
+    )
     ranked = stored.join(F.broadcast(offsets), _PART)
     return ranked.withColumn(name, F.col("__start__") + F.col(_AT)).drop(_PART, _AT, "__start__")
 
@@ -48,8 +57,7 @@ def with_chunks(
     df: DataFrame, chunksize: int, order: Sequence[Column | str] = (fv.NS, fv.PATH)
 ) -> DataFrame:
     """Adds `chunk_number`: rows 0..n-1 of the order are chunk 0, and so on."""
-    if chunksize < 1:
-        raise QueryValidationError("chunksize must be at least 1")
+    _check_size(chunksize)
     ranked = numbered(df, order, "__n__")
     chunk = F.call_function("div", F.col("__n__"), F.lit(chunksize).cast("bigint"))
     return ranked.withColumn("chunk_number", chunk).drop("__n__")
@@ -58,11 +66,28 @@ def with_chunks(
 def iter_chunks(
     df: DataFrame, chunksize: int, order: Sequence[Column | str] = (fv.NS, fv.PATH)
 ) -> Iterator[DataFrame]:
-    """One DataFrame per chunk, in order."""
-    chunked = with_chunks(df, chunksize, order)
-    last = chunked.agg(F.max("chunk_number")).first()[0]
-    for number in range(0 if last is None else last + 1):
-        yield chunked.filter(F.col("chunk_number") == number).drop("chunk_number")
+    """One DataFrame per chunk, in order.
+
+    A chunk is a few ranges of places, which Parquet statistics find in the sorted
+    files; the other files are not read for it.
+    """
+    _check_size(chunksize)
+    stored, parts = _placed(df, order)
+    total = sum(rows for _, _, rows in parts)
+    for first in range(0, total, chunksize):
+        end = min(first + chunksize, total)
+        ranges = [
+            (F.col(_PART) == part)
+            & F.col(_AT).between(max(first - start, 0), min(end - start, rows) - 1)
+            for part, start, rows in parts
+            if start < end and start + rows > first
+        ]
+        yield stored.filter(reduce(Column.__or__, ranges)).drop(_PART, _AT)
+
+
+def _check_size(chunksize: int) -> None:
+    if chunksize < 1:
+        raise QueryValidationError("chunksize must be at least 1")
 
 
 @dataclass(frozen=True)

@@ -60,6 +60,7 @@ class QuerySpec:
     keys_only: bool = False
     limit: int | None = None
     after: PagePosition | None = None
+    until: PagePosition | None = None
     require_present: bool = False
 
     # --- rules, checked before anything is planned ---
@@ -87,7 +88,7 @@ class QuerySpec:
             )
         if self.limit is not None and self.limit < 0:
             raise QueryValidationError("limit must not be negative")
-        if self.after is not None and (self.order or self.distinct_on):
+        if (self.after or self.until) and (self.order or self.distinct_on):
             raise QueryValidationError("a page position implies key order")
 
     # --- the scan ---
@@ -111,11 +112,7 @@ class QuerySpec:
             conditions.append(F.col(fv.NS) == namespace_code(namespace))
         if self.ancestor is not None:
             conditions.append(F.startswith(F.col(fv.PATH), F.lit(self.ancestor.path_text)))
-        if self.after is not None:
-            ns, path = F.lit(self.after.ns_code), F.lit(self.after.path_text)
-            conditions.append(
-                (F.col(fv.NS) > ns) | ((F.col(fv.NS) == ns) & (F.col(fv.PATH) > path))
-            )
+        conditions += self._range_conditions()
         joined: list[Filter] = []
         for name, op, value in self.filters:
             long_list = op in ("IN", "NOT_IN") and len(value) > INLINE_LIST_LIMIT
@@ -132,6 +129,19 @@ class QuerySpec:
             rows = _filter_by_join(rows, name, op, value, fields[name])
         return rows
 
+    def _range_conditions(self) -> list[Column]:
+        """Keys after one position, up to and including another."""
+        ns, path, low, high = F.col(fv.NS), F.col(fv.PATH), self.after, self.until
+        if low and high and low.ns_code == high.ns_code:
+            # One namespace: plain bounds, which reach the Parquet reader.
+            return [ns == low.ns_code, path > low.path_text, path <= high.path_text]
+        found = []
+        if low:
+            found.append((ns > low.ns_code) | ((ns == low.ns_code) & (path > low.path_text)))
+        if high:
+            found.append((ns < high.ns_code) | ((ns == high.ns_code) & (path <= high.path_text)))
+        return found
+
     def _first_per_combination(self, rows: DataFrame, fields: dict) -> DataFrame:
         """One row per combination.  `row_number() = 1` lets Spark keep at most one
         row per group on each map task, so a hot combination is not shuffled whole."""
@@ -149,7 +159,7 @@ class QuerySpec:
 
     def _ordered(self, rows: DataFrame, fields: dict) -> DataFrame:
         sort = [_sort_column(i) for i in self.order if _split_order(i)[0] in fields]
-        if not sort and not (self.after is not None and self.limit is not None):
+        if not sort and self.after is None and self.until is None:
             return rows
         return rows.orderBy(*sort, *_key_order(fields))
 
