@@ -75,16 +75,16 @@ def read_entities(
         ).schema
     spec = QuerySpec(
         kind,
-        namespace,
-        filters,
-        order,
-        projection,
-        distinct_on,
-        ancestor,
-        keys_only,
-        limit,
-        after,
-        require_present,
+        namespace=namespace,
+        filters=filters,
+        order=order,
+        projection=projection,
+        distinct_on=distinct_on,
+        ancestor=ancestor,
+        keys_only=keys_only,
+        limit=limit,
+        after=after,
+        require_present=require_present,
     )
     return _to_user(scan(store, spec, schema), schema, include_key or keys_only)
 
@@ -145,7 +145,9 @@ def infer_schema_of_kind(
     mixed_type_policy: str = "object",
 ) -> SchemaInferenceReport:
     """Schema of stored entities; `sample_size=None` looks at all of them."""
-    spec = QuerySpec(kind, namespace, filters, ancestor=ancestor, limit=sample_size)
+    spec = QuerySpec(
+        kind, namespace=namespace, filters=filters, ancestor=ancestor, limit=sample_size
+    )
     raw = scan(store, spec)
     return infer_schema_from_frame(
         raw, kind=kind, key=key, mixed_type_policy=mixed_type_policy

@@ -223,8 +223,8 @@ def _key_condition(left: Column, op: str, value: Any) -> Column:
     return _COMPARE[op](identity, F.lit(text(value)))
 
 
-# How a Python value is looked up inside a VARIANT property.
-_VARIANT_TYPES = {bool: "boolean", int: "bigint", float: "double", str: "string"}
+# VARIANT type words that hold numbers.
+_NUMBER_WORDS = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
 
 
 def _variant_condition(left: Column, op: str, value: Any) -> Column:
@@ -237,13 +237,17 @@ def _variant_condition(left: Column, op: str, value: Any) -> Column:
         return left.isNotNull() & ~F.coalesce(inside, F.lit(False))
     if value is None:
         return F.is_variant_null(left) if op == "=" else ~F.is_variant_null(left)
-    target = _VARIANT_TYPES.get(type(value))
-    if target is None:
-        raise QueryValidationError(f"cannot compare a mixed property with {value!r}")
-    is_text = F.schema_of_variant(left) == F.lit("STRING")
-    same_kind = is_text if target == "string" else ~is_text
-    got = F.when(same_kind, F.try_variant_get(left, "$", target))
-    return _COMPARE[op](got, F.lit(value))
+    word = F.regexp_extract(F.schema_of_variant(left), "^([A-Z_]+)", 1)
+    compare, right = _COMPARE[op], F.lit(value)
+    if isinstance(value, bool):
+        return F.when(word == "BOOLEAN", compare(F.try_variant_get(left, "$", "boolean"), right))
+    if isinstance(value, str):
+        return F.when(word == "STRING", compare(F.try_variant_get(left, "$", "string"), right))
+    if isinstance(value, (int, float)):
+        whole = compare(F.try_variant_get(left, "$", "bigint"), right)
+        fraction = compare(F.try_variant_get(left, "$", "double"), right)
+        return F.when(word == "BIGINT", whole).when(word.isin(*_NUMBER_WORDS), fraction)
+    raise QueryValidationError(f"cannot compare a mixed property with {value!r}")
 
 
 def _filter_by_join(

@@ -17,7 +17,7 @@ from entityframe.functions.keys import (
     key_is_complete,
     parse_key_json,
 )
-from entityframe.functions.logical import LogicalType, is_key_type, require_logical
+from entityframe.functions.logical import LogicalType, is_key_type, require_logical, same_type
 
 UNSET = object()
 
@@ -84,6 +84,8 @@ class Field:
         return EncodedField(name, value.cast(self.dtype.spark_type), present, error, self.indexed)
 
     def decode(self, raw: Column, source: T.DataType) -> Column:
+        if same_type(source, self.dtype.spark_type):
+            return raw
         return F.when(raw.isNotNull(), self.dtype.decode(raw, source))
 
     def _converted(self, raw: Column, source: T.DataType) -> Converted:
