@@ -9,11 +9,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError
-from entityframe.functions.keys import EntityKey, key_json, key_ns_code, key_path_text
+from entityframe.functions.keys import EntityKey, key_json
 from entityframe.functions.logical import comparable, same_type
 from entityframe.plans.reports import WriteReport, result_columns, should_write
 from entityframe.schema import Schema, column, incomplete_error
@@ -117,6 +117,8 @@ def plan_rows(
         index.alias(ROW_INDEX),
         key.value.alias("__raw_key__"),
         key.error.alias("key_error"),
+        F.when(key.error.isNull(), key.ns).alias(fv.NS),
+        F.when(key.error.isNull(), key.path).alias(fv.PATH),
         F.coalesce(*row_checks, F.lit(None).cast("string")).alias("__row_error__"),
         undeclared.alias("__undeclared__"),
         *[
@@ -134,24 +136,22 @@ def plan_rows(
     # identity, which the uniqueness check of a carried out write needs).
     fine = F.col("error").isNull()
     names = [e.name for e in encoded]
-    stored = [F.when(p["present"], F.lit(n)) for p, n in zip(parts, names)]
-    plain = [
-        F.when(p["present"], F.lit(e.name)) for p, e in zip(parts, encoded) if not e.indexed
-    ]
+    held = {e.name: p["present"] for p, e in zip(parts, encoded)}
+    plain = {e.name: p["present"] for p, e in zip(parts, encoded) if not e.indexed}
     columns = [
         F.col(ROW_INDEX),
         F.when(fine, F.lit("patch" if operation == "patch" else mode))
         .otherwise(F.lit(fv.ERROR_ACTION))
         .alias("action"),
         F.when(fine, F.col("__raw_key__")).alias(fv.KEY),
-        F.when(fine, _sorted_names(stored)).alias(fv.PRESENT),
-        F.when(fine, _sorted_names(plain)).alias(fv.UNINDEXED),
+        F.when(fine, _names(held)).alias(fv.PRESENT),
+        F.when(fine, _names(plain)).alias(fv.UNINDEXED),
         F.lit(None).cast("string").alias("reason"),
         F.col("error"),
         F.col("key_error"),
         (F.col("key_error").isNull() & incomplete.isNotNull()).alias("incomplete"),
-        F.when(F.col("key_error").isNull(), key_ns_code(F.col("__raw_key__"))).alias(fv.NS),
-        F.when(F.col("key_error").isNull(), key_path_text(F.col("__raw_key__"))).alias(fv.PATH),
+        F.col(fv.NS),
+        F.col(fv.PATH),
     ]
     if parts:
         values = F.struct(*[p["value"].alias(n) for p, n in zip(parts, names)])
@@ -165,11 +165,12 @@ def plan_rows(
     return WritePlan(planned, operation, mode)
 
 
-def _sorted_names(names: list) -> "F.Column":
-    if not names:
+def _names(flags: dict[str, Column]) -> Column:
+    """Sorted names whose flag is set."""
+    if not flags:
         return F.array().cast("array<string>")
-    nothing = F.array(F.lit(None).cast("string"))
-    return F.array_sort(F.array_except(F.array(*names), nothing))
+    marked = [F.when(flags[n], F.lit(n)).otherwise(F.lit("")) for n in sorted(flags)]
+    return F.array_remove(F.array(*marked), "")
 
 
 def property_types(df: DataFrame) -> dict[str, T.DataType]:

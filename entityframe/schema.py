@@ -11,7 +11,9 @@ from entityframe import fixed_values as fv
 from entityframe.errors import SchemaError
 from entityframe.functions.convert import Converted, is_missing, no_error
 from entityframe.functions.keys import (
+    KEY_TYPE,
     EntityKey,
+    KeyColumns,
     KeySpec,
     key_error,
     key_is_complete,
@@ -128,6 +130,8 @@ class Schema:
     strict: bool = True
 
     def __post_init__(self) -> None:
+        if "" in self.properties:
+            raise SchemaError("a property needs a name")
         clash = sorted(set(self.properties) & set(fv.SYSTEM_COLUMNS))
         if clash:
             raise SchemaError(f"reserved property names: {', '.join(clash)}")
@@ -193,8 +197,8 @@ class Schema:
             made.append(self.properties[name].encode(name, raw, source))
         return made, error
 
-    def key_columns(self, df: DataFrame) -> Converted:
-        """Key and key error of every row: `__key__` when present, else the recipe."""
+    def key_columns(self, df: DataFrame) -> KeyColumns:
+        """Keys of every row: `__key__` where present, else from the recipe."""
         fields = field_types(df)
         if fv.KEY not in fields:
             if self.key is None:
@@ -202,21 +206,23 @@ class Schema:
             return self.key.build(fields)
         raw, source = F.col(fv.KEY), fields[fv.KEY]
         if is_key_type(source):
-            own = Converted(raw, key_error(raw))
+            own = KeyColumns.of(raw, key_error(raw))
         elif isinstance(source, T.StringType):
-            own = parse_key_json(raw)
+            parsed = parse_key_json(raw)
+            own = KeyColumns.of(parsed.value, parsed.error)
         elif isinstance(source, T.NullType):
-            own = Converted(raw, no_error())
+            own = KeyColumns.of(F.lit(None).cast(KEY_TYPE), no_error())
         else:
             raise SchemaError(f"__key__ must be a key struct or JSON text, not {source}")
         if self.key is None:
             missing = F.when(raw.isNull(), F.lit("no key recipe in the schema and __key__ is missing"))
-            return Converted(own.value, F.coalesce(own.error, missing))
-        spec = self.key.build(fields)
-        return Converted(
-            F.when(raw.isNotNull(), own.value).otherwise(spec.value),
-            F.when(raw.isNotNull(), own.error).otherwise(spec.error),
-        )
+            return replace(own, error=F.coalesce(own.error, missing))
+        spec, given = self.key.build(fields), raw.isNotNull()
+
+        def choose(name: str) -> Column:
+            return F.when(given, getattr(own, name)).otherwise(getattr(spec, name))
+
+        return KeyColumns(*[choose(n) for n in ("value", "error", "ns", "path")])
 
     def decode(self, df: DataFrame, *, include_key: bool = False) -> DataFrame:
         """User-facing frame of a raw entity frame."""

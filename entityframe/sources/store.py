@@ -408,7 +408,7 @@ def _patched(old: Column, new: Column, properties: T.StructType) -> Column:
     none = F.array().cast(_NAMES)
 
     def union(name: str) -> Column:
-        return F.array_sort(
+        return F.sort_array(
             F.array_union(F.coalesce(old[name], none), F.coalesce(new[name], none))
         )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import entityframe as ef
 from entityframe import fixed_values as fv
-from entityframe.functions.keys import key_ns_code, key_path_text
+from entityframe.functions.keys import key_path_text
 from entityframe.sources.staging import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,10 +113,8 @@ def linked_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def keyed(df: DataFrame, schema: ef.Schema) -> DataFrame:
     """A plain frame with the key columns of its schema, as a scan would carry them."""
-    built = schema.key_columns(df).value
-    with_key = df.withColumn(fv.KEY, built)
-    key = F.col(fv.KEY)
-    return with_key.withColumns({fv.NS: key_ns_code(key), fv.PATH: key_path_text(key)})
+    key = schema.key_columns(df)
+    return df.withColumns({fv.KEY: key.value, fv.NS: key.ns, fv.PATH: key.path})
 
 
 def as_text(key: Column) -> Column:
