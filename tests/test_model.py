@@ -1,0 +1,122 @@
+import pytest
+from pyspark.sql import functions as F
+
+import entityframe as ef
+from entityframe import fixed_values as fv
+
+DOC = ef.Schema(
+    "Doc", {"group": ef.Field(ef.StringType()), "value": ef.Field(ef.Int64Type())}, key=ef.key_policy("Doc", id_field="doc_id")
+)
+SUMMARY = ef.Schema(
+    "DocSummary", {"group": ef.Field(ef.StringType()), "value_sum": ef.Field(ef.Int64Type())}, key=ef.key_policy("DocSummary", id_field="group")
+)
+DDL = "doc_id string, group string, value int"
+
+
+@pytest.fixture
+def model(store, frame):
+    ef.write_entities(store, frame([("a", "g1", 1), ("b", "g1", 2), ("c", "g2", 3)], DDL), DOC)
+    return ef.entity_model(store=store, schema=DOC)
+
+
+def test_aggregate_goes_to_a_target(model):
+    made = model.load().aggregate(by=["group"], metrics={"value": "sum"}, target_schema=SUMMARY)
+    assert made.is_derived and made.lineage == ("aggregate by group",) and made.target_kind == "DocSummary"
+    assert made.write().wrote == 2
+    rows = ef.read_entities(model.source.store, "DocSummary", schema=SUMMARY).collect()
+    assert {r.group: r.value_sum for r in rows} == {"g1": 3, "g2": 3}
+
+
+def test_derived_frames_do_not_go_back(model):
+    made = model.load().aggregate(by=["group"], metrics={"value": "sum"})
+    with pytest.raises(ef.DerivedFrameWriteError):
+        made.write()
+    with pytest.raises(ef.DerivedFrameWriteError):
+        made.plan_write()
+    with pytest.raises(ef.DerivedFrameWriteError):
+        made.patch(properties=["value"])
+
+
+def test_loaded_frames_go_back(model):
+    loaded = model.load()
+    changed = loaded.replace_df(loaded.df.withColumn("value", F.col("value") + 10), lineage="plus ten")
+    report = changed.write(skip_unchanged=True)
+    assert report.wrote == 3 and changed.lineage == ("plus ten",) and not changed.is_derived
+    assert model.refresh().df.agg(F.sum("value")).first()[0] == 36
+
+
+def test_row_count_guard_needs_a_snapshot(model):  # T25
+    loaded = model.load(keep_original=True)
+    cut = loaded.replace_df(loaded.df.filter("value > 1"))
+    with pytest.raises(ef.DerivedFrameWriteError):
+        cut.write()
+    assert cut.write(allow_shape_change=True).wrote == 2
+    plain = model.load()
+    assert plain.replace_df(plain.df.filter("value > 1")).write().wrote == 2
+    assert cut.with_target(kind="Copy").write().wrote == 2
+
+
+def test_key_columns_guard(model):
+    loaded = model.load()
+    with pytest.raises(ef.DerivedFrameWriteError):
+        loaded.replace_df(loaded.df.drop(fv.KEY)).write()
+
+
+def test_snapshot_and_lineage_rules(model):  # T24
+    loaded = model.load(keep_original=True)
+    derived = loaded.derive(loaded.df, lineage=["x", "y"])
+    assert derived.original_df is None and derived.lineage == ("x", "y")
+    back = derived.replace_df(loaded.df)
+    assert back.is_derived is False
+    assert loaded.replace_df(loaded.df).original_df is loaded.original_df
+    assert derived.with_target(kind="T").load().target_kind == "T"
+    assert derived.load().lineage == ("x", "y")
+    assert model.load().snapshot().original_df is not None
+    assert loaded.derive(loaded.df).lineage == ("derived",)
+
+
+def test_retarget_renames_the_leaf(model):  # T26
+    moved = model.load().with_target(kind="Copy")
+    assert moved.target.schema.key.path[-1][0] == "Copy" and moved.source_kind == "Doc"
+    frame = model.load().df.drop(fv.KEY).withColumn("doc_id", F.concat(F.lit("d"), F.col("value").cast("string")))
+    report = model.replace_df(frame).write_to(kind="Copy")
+    assert report.wrote == 3
+    paths = ef.scan(model.source.store, ef.QuerySpec("Copy")).select(fv.PATH).collect()
+    assert {r[0] for r in paths} == {"Copy/n:d1/", "Copy/n:d2/", "Copy/n:d3/"}
+    assert model.replace_df(frame).plan_write_to(kind="Copy", skip_unchanged=True).df.filter("action = 'skip'").count() == 3
+
+
+def test_models_without_schema_or_frame(store, model):
+    with pytest.raises(ef.SchemaError):
+        ef.entity_model(store=store)
+    with pytest.raises(ef.SchemaError):
+        ef.entity_model(store=store, kind="Doc").write()
+    assert ef.entity_model(store=store, schema=DOC, kind="Other").source_kind == "Other"
+    assert not model.is_loaded and model.load().is_loaded and model.load().loaded_at is not None
+
+
+def test_inferred_model(store, model):
+    loaded = ef.entity_model(store=store, kind="Doc", infer_schema=True).load()
+    assert set(loaded.schema_report.fields) == {"group", "value"}
+    assert loaded.schema.properties["value"].dtype.name == "int64" and loaded.df.count() == 3
+
+
+def test_aggregate_metrics(frame):  # T17
+    nan = float("nan")
+    df = frame([("a", 1.0, 1), ("a", nan, None), (None, 2.0, 2), (None, nan, 3), ("z", nan, None)], "g string, x double, n int")
+    made = {
+        m: {r.g: r[f"x_{m}"] for r in ef.aggregate(df, ["g"], {"x": m}).collect()} for m in ("count", "sum", "mean", "min", "max")
+    }
+    assert made["count"] == {"a": 1, None: 1, "z": 0}
+    assert made["sum"] == {"a": 1.0, None: 2.0, "z": 0.0}
+    assert made["mean"] == {"a": 1.0, None: 2.0, "z": None}
+    assert made["min"] == made["max"] == {"a": 1.0, None: 2.0, "z": None}
+    assert {r.g: r.n_sum for r in ef.aggregate(df, ["g"], {"n": "sum"}).collect()} == {"a": 1, None: 5, "z": 0}
+
+
+def test_aggregate_checks(frame):
+    df = frame([("a", "t")], "g string, x string")
+    for by, metrics in (([], {"x": "sum"}), (["g"], {}), (["g"], {"x": "median"}), (["g"], {"q": "sum"}), (["g"], {"x": "mean"})):
+        with pytest.raises(ef.SchemaError):
+            ef.aggregate(df, by, metrics)
+    assert ef.aggregate(df, ["g"], {"x": "max"}).first()["x_max"] == "t"
