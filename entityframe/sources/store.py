@@ -20,7 +20,6 @@ import uuid
 from dataclasses import dataclass
 from typing import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from entityframe import fixed_values as fv
@@ -40,6 +39,7 @@ _VERSION_ROW = T.StructType(
         T.StructField("schema", T.StringType()),  # set on one row per version only
         T.StructField("buckets", T.IntegerType()),
         T.StructField("by_namespace", T.BooleanType()),
+        T.StructField("writer", T.StringType()),
         T.StructField("v", T.IntegerType()),
     ]
 )
@@ -99,14 +99,28 @@ class EntityTable:
             version = listed.agg(F.max("v")).first()[0]
         if version is None:
             return None
-        # Bounded by the number of partition folders, not by rows.
-        rows = listed.filter(F.col("v") == version).collect()
-        heads = [r for r in rows if r["schema"] is not None]
-        if not heads:
+        rows = self._version_rows(listed, version)
+        if not rows:
             raise SchemaError(f"version {version} of {self.kind} does not exist")
+        head = next(r for r in rows if r["schema"] is not None)
         live = frozenset((r["ns"], r["bucket"], r["written"]) for r in rows if r["schema"] is None)
-        properties = T.StructType.fromJson(json.loads(heads[0]["schema"]))
-        return Snapshot(version, properties, live, heads[0]["buckets"], heads[0]["by_namespace"])
+        properties = T.StructType.fromJson(json.loads(head["schema"]))
+        return Snapshot(version, properties, live, head["buckets"], head["by_namespace"])
+
+    @staticmethod
+    def _version_rows(listed: DataFrame, version: int) -> list:
+        """Rows of a version; of two writers that raced for it, the first one's.
+
+        Bounded by the number of partition folders, not by rows of the table.
+        """
+        stamped = listed.filter(F.col("v") == version).select(
+            "*", F.col("_metadata.file_modification_time").alias("at")
+        )
+        rows = stamped.collect()
+        if not rows:
+            return []
+        first = min((r["at"], r["writer"]) for r in rows)[1]
+        return [r for r in rows if r["writer"] == first]
 
     def layout(self, snapshot: Snapshot | None) -> tuple[int, bool]:
         """Number of buckets, and whether namespaces are folders."""
@@ -188,13 +202,15 @@ class EntityTable:
         snapshot = self.snapshot()
         if snapshot is None:
             return None
-        if not isinstance(keys, DataFrame):
+        listed = not isinstance(keys, DataFrame)
+        if listed:
             keys = self.spark.createDataFrame(
                 [(k.ns_code, k.path_text) for k in keys], f"{fv.NS} string, {fv.PATH} string"
             )
         bucket = bucket_column(F.col(fv.NS), F.col(fv.PATH), snapshot.buckets)
         wanted = keys.select(fv.NS, fv.PATH, bucket.alias(fv.BUCKET))
-        return self.read(snapshot).join(wanted, [fv.NS, fv.PATH, fv.BUCKET], "left_semi")
+        only = self._touched(snapshot, wanted) if listed else None
+        return self.read(snapshot, only).join(wanted, [fv.NS, fv.PATH, fv.BUCKET], "left_semi")
 
     # --- writing ---
 
@@ -230,7 +246,9 @@ class EntityTable:
             if how != "delete" and (seen.get["most"] or 0) > 1:
                 self._raise_repeated(changes)
 
-        return self._commit(snapshot, merged, touched, target, check=unique)
+        return self._commit(
+            snapshot, merged, touched, target, check=unique, may_empty=how == "delete"
+        )
 
     @staticmethod
     def _raise_repeated(changes: DataFrame) -> None:
@@ -291,7 +309,9 @@ class EntityTable:
         rows: DataFrame,
         touched: set[tuple[str | None, int]],
         properties: T.StructType,
+        *,
         check: Callable[[], None] | None = None,
+        may_empty: bool = True,
     ) -> int:
         commit = uuid.uuid4().hex
         by_namespace = self.layout(snapshot)[1]
@@ -300,23 +320,20 @@ class EntityTable:
         rows.write.partitionBy(*folders).parquet(path)
         if check is not None:
             check()
-        # Touched partitions that came out empty (all rows deleted) are not listed.
-        folder_type = T.StructType(
-            [T.StructField(fv.PATH, T.StringType())]
-            + [
-                T.StructField(n, T.IntegerType() if n == fv.BUCKET else T.StringType())
-                for n in folders
-            ]
-        )
-        found = self.spark.read.schema(folder_type).parquet(path).select(*folders).distinct()
-        fresh = {
-            ((r[fv.NS] if by_namespace else None), r[fv.BUCKET], commit)
-            for r in found.collect()
-        }
+        kept_folders = self._written(path, folders) if may_empty else touched
+        fresh = {(ns, bucket, commit) for ns, bucket in kept_folders}
         old = frozenset() if snapshot is None else snapshot.partitions
         kept = {p for p in old if (p[0], p[1]) not in touched}
         return self._publish(snapshot, frozenset(kept | fresh), properties)
 
+    def _written(self, path: str, folders: list[str]) -> set[tuple[str | None, int]]:
+        """Folders a commit really has: a delete may leave a partition without rows."""
+        types = {fv.NS: T.StringType(), fv.BUCKET: T.IntegerType()}
+        columns = [fv.PATH, *folders]
+        physical = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in columns])
+        found = self.spark.read.schema(physical).parquet(path).select(*folders).distinct()
+        return {((r[fv.NS] if fv.NS in folders else None), r[fv.BUCKET]) for r in found.collect()}
+
     def _publish(
         self,
         snapshot: Snapshot | None,
@@ -324,15 +341,14 @@ class EntityTable:
         properties: T.StructType,
     ) -> int:
         version = 1 if snapshot is None else snapshot.version + 1
-        rows = [(None, None, None, properties.json(), *self.layout(snapshot))]
-        rows += [(*p, None, None, None) for p in sorted(partitions, key=str)]
+        writer = uuid.uuid4().hex
+        rows = [(None, None, None, properties.json(), *self.layout(snapshot), writer)]
+        rows += [(*p, None, None, None, writer) for p in sorted(partitions, key=str)]
         listing = self.spark.createDataFrame(rows, T.StructType(_VERSION_ROW.fields[:-1]))
-        try:
-            listing.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/versions/v={version}")
-        except AnalysisException as exc:
-            if exc.getCondition() == "PATH_ALREADY_EXISTS":
-                raise WriteConflictError(f"version {version} of {self.kind} already exists") from exc
-            raise
+        listing.coalesce(1).write.mode("append").parquet(f"{self.path}/versions/v={version}")
+        listed = self.spark.read.schema(_VERSION_ROW).parquet(f"{self.path}/versions")
+        if self._version_rows(listed, version)[0]["writer"] != writer:
+            raise WriteConflictError(f"version {version} of {self.kind} was committed by another writer")
         return version
 
 

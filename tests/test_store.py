@@ -12,9 +12,18 @@ DOC = ef.Schema(
 DDL = "ns string, doc_id string, value int"
 
 
-@pytest.fixture(params=[True, False], ids=["ns-folders", "buckets-only"])
-def table(request, spark, frame):
-    store = ef.EntityStore(spark, tempfile.mkdtemp(prefix="entities-"), buckets=4, by_namespace=request.param)
+@pytest.fixture
+def table(spark, frame):
+    return make_table(spark, frame, True)
+
+
+@pytest.fixture
+def flat_table(spark, frame):
+    return make_table(spark, frame, False)
+
+
+def make_table(spark, frame, by_namespace):
+    store = ef.EntityStore(spark, tempfile.mkdtemp(prefix="entities-"), buckets=3, by_namespace=by_namespace)
     rows = [(ns, f"d{n}", n) for ns in ("x", "y", None) for n in range(20)]
     ef.write_entities(store, frame(rows, DDL), DOC)
     return store.table("Doc")
@@ -29,6 +38,21 @@ def test_reads_what_was_written(table):
     assert values(table.read())[("@", "Doc/n:d3/")] == 3
 
 
+def test_without_namespace_folders(flat_table, frame):
+    table = flat_table
+    before = table.snapshot()
+    ef.write_entities(table.store, frame([("x", "d1", 100)], DDL), DOC)
+    assert len(table.snapshot().partitions - before.partitions) == 1
+    got = values(table.read())
+    assert len(got) == 60 and got[("x", "Doc/n:d1/")] == 100
+    ef.delete_entities(table.store, "Doc", [ef.EntityKey((("Doc", "d1"),), namespace="x")])
+    table.clear("y")
+    got = values(table.read())
+    assert len(got) == 39 and {ns for ns, _ in got} == {"x", "@"}
+    assert values(table.get([ef.EntityKey((("Doc", "d2"),))])) == {("@", "Doc/n:d2/"): 2}
+    assert ef.read_entities(table.store, "Doc", schema=DOC, namespace="x").count() == 19
+
+
 def test_missing_kind_reads_empty(store):
     empty = ef.read_entities(store, "Nothing", schema=DOC, include_key=True)
     assert empty.columns == ["value", fv.KEY] and empty.count() == 0
@@ -150,3 +174,29 @@ def test_utc_is_required(spark):
             ef.EntityStore(spark, "/nowhere")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_the_second_of_two_writers_is_told(table, frame):
+    before = table.snapshot()
+    changed = table.read().withColumn("value", F.lit(1).cast("bigint"))
+    table.merge(changed.filter("value = 1"), "put")
+    late = table._publish
+    with pytest.raises(ef.WriteConflictError):
+        late(before, frozenset(), before.properties)
+    assert {r.value for r in table.read().collect()} == {1}
+
+
+def test_empty_batches(table, frame):
+    empty = frame([], DDL)
+    for options in ({}, {"skip_unchanged": True}, {"mode": "insert"}, {"dry_run": True}):
+        report = ef.write_entities(table.store, empty, DOC, **options)
+        assert (report.totals.rows, report.wrote) == (0, 0)
+    filtered = frame([("x", "d1", 1)], DDL).filter("value > 5")
+    assert ef.patch_entities(table.store, filtered, DOC, properties=["value"]).totals.rows == 0
+    assert table.snapshot().version == 1
+
+
+def test_a_batch_of_errors_writes_nothing(table, frame):
+    strict = ef.Schema("Doc", {"value": ef.Field(ef.Int64Type(), nullable=False)}, key=DOC.key)
+    report = ef.write_entities(table.store, frame([("x", "d1", None)], DDL), strict)
+    assert (report.failed, report.wrote) == (1, 0) and table.snapshot().version == 1
