@@ -16,7 +16,7 @@ from entityframe.plans.reports import WriteReport
 from entityframe.plans.write_plan import (
     WritePlan,
     classify,
-    key_metrics,
+    plan_metrics,
     plan_rows,
     require_good_keys,
     require_scope,
@@ -267,23 +267,30 @@ def _run(
     # Encoded once and written once: every later pass reads this table, so audit
     # stamps and row ids are the same in the stored data and in the report.
     seen = Observation()
-    plan = plan.on(stage(plan.df, "plan", seen, **key_metrics()))
+    plan = plan.on(stage(plan.df, "plan", seen, **plan_metrics()))
     carried_out = not (dry_run or read_only)
     if carried_out and not skip_unchanged:
         require_good_keys(seen.get)
-    if not carried_out:
-        # A write that is carried out finds repeated keys in its merge.
+    # A plain insert or update looks for its targets; a plain patch only when some row
+    # has no values, which skips a stored entity but creates a missing one.
+    plain = seen.get["hollow"] > 0 if patch else mode != "upsert"
+    # No key may occur twice, also among rows that are skipped or fail.  Where every
+    # row gets written, the merge finds that out by itself.
+    if not carried_out or skip_unchanged:
         require_unique_keys(plan.df)
+    elif plain or seen.get["failed"]:
+        require_unique_keys(plan.df, full_key=False)
     if scope is not None:
         require_scope(plan.df, scope)
 
-    if skip_unchanged or (carried_out and (patch or mode != "upsert")):
+    judged = skip_unchanged or (carried_out and plain)
+    if judged:
         existing = store.table(schema.kind).read_for(plan.df)
         plan = classify(plan, existing, check_values=skip_unchanged)
         plan = WritePlan(plan.df, plan.operation, plan.mode, skip_unchanged)
     if not carried_out:
         return plan.to_report(dry_run=dry_run, read_only=read_only)
-    if skip_unchanged or patch or mode != "upsert":
+    if judged:
         plan = plan.on(stage(plan.df, "judged"))
     store.table(schema.kind).commit_plan(plan.df, "patch" if patch else "put")
     return plan.executed_report()

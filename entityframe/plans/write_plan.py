@@ -322,9 +322,15 @@ def require_unique_keys(df: DataFrame, *, full_key: bool = True) -> None:
         raise KeyValidationError(f"key occurs {found[0]['rows']} times in one write: {found[0]['key']}")
 
 
-def key_metrics() -> dict:
-    """Aggregates over a plan that `require_good_keys` looks at."""
-    return {"key_error": F.min("key_error"), "incomplete": F.count_if("incomplete")}
+def plan_metrics() -> dict[str, Column]:
+    """Aggregates taken while a plan is staged: key problems, rows without
+    values, rows with errors."""
+    return {
+        "key_error": F.min("key_error"),
+        "incomplete": F.count_if("incomplete"),
+        "hollow": F.count_if(F.col("error").isNull() & (F.size(fv.PRESENT) == 0)),
+        "failed": F.count_if(F.col("error").isNotNull()),
+    }
 
 
 def require_good_keys(found: dict) -> None:

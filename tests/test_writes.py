@@ -154,6 +154,18 @@ def test_repeated_keys_raise(two, frame):  # T13
     assert stored(two)["Doc/n:a/"][0] == 1
 
 
+def test_repeated_keys_raise_when_a_row_would_be_skipped_or_fail(two, frame):  # T13
+    df = frame([("a", 1, "yes"), ("a", 2, "yes")], "doc_id string, value int, kept string")
+    with pytest.raises(ef.KeyValidationError):
+        two.write(df, skip_unchanged=True)
+    with pytest.raises(ef.KeyValidationError):
+        two.write(df, mode="insert")
+    bad = frame([("q", "1"), ("q", "x")], "doc_id string, value string")
+    with pytest.raises(ef.KeyValidationError):
+        two.write(bad)
+    assert "Doc/n:q/" not in stored(two)
+
+
 def test_uniqueness_of_plans_looks_at_the_whole_key(docs, frame):  # T11
     df = frame(
         ['{"path":[{"kind":"Doc","name":"a"}]}', '{"project":"p","path":[{"kind":"Doc","name":"a"}]}'], f"{fv.KEY} string"
