@@ -236,7 +236,10 @@ class EntityTable:
             return None
         target = self._merged_properties(snapshot, changes)
         existing = None if snapshot is None else self.read(snapshot, touched)
-        paired = pair_rows(existing, changes, target, _partitions(self.spark, len(touched)))
+        folders = self._folders(snapshot)
+        paired = pair_rows(
+            existing, changes, target, folders, _partitions(self.spark, len(touched))
+        )
         seen = Observation()
         counted = paired.observe(seen, F.max("changes").alias("most"))
         merged = merge_rows(counted, target, how)
@@ -283,7 +286,12 @@ class EntityTable:
         if snapshot.by_namespace:
             kept = frozenset(p for p in snapshot.partitions if p[0] != code)
             return self._publish(snapshot, kept, snapshot.properties)
-        kept_rows = self.read(snapshot).filter(F.col(fv.NS) != code)
+        kept_rows = (
+            self.read(snapshot)
+            .filter(F.col(fv.NS) != code)
+            .repartition(fv.BUCKET)
+            .sortWithinPartitions(fv.BUCKET, fv.NS, fv.PATH)
+        )
         touched = {(ns, b) for ns, b, _ in snapshot.partitions}
         return self._commit(snapshot, kept_rows, touched, snapshot.properties)
 
@@ -314,8 +322,7 @@ class EntityTable:
         may_empty: bool = True,
     ) -> int:
         commit = uuid.uuid4().hex
-        by_namespace = self.layout(snapshot)[1]
-        folders = [fv.NS, fv.BUCKET] if by_namespace else [fv.BUCKET]
+        folders = self._folders(snapshot)
         path = f"{self.path}/data/commit={commit}"
         rows.write.partitionBy(*folders).parquet(path)
         if check is not None:
@@ -326,6 +333,10 @@ class EntityTable:
         kept = {p for p in old if (p[0], p[1]) not in touched}
         return self._publish(snapshot, frozenset(kept | fresh), properties)
 
+    def _folders(self, snapshot: Snapshot | None) -> list[str]:
+        """Partition columns, outermost first."""
+        return [fv.NS, fv.BUCKET] if self.layout(snapshot)[1] else [fv.BUCKET]
+
     def _written(self, path: str, folders: list[str]) -> set[tuple[str | None, int]]:
         """Folders a commit really has: a delete may leave a partition without rows."""
         types = {fv.NS: T.StringType(), fv.BUCKET: T.IntegerType()}
@@ -360,12 +371,17 @@ def _partitions(spark: SparkSession, folders: int) -> int | None:
 
 
 def pair_rows(
-    existing: DataFrame | None, changes: DataFrame, properties: T.StructType, partitions: int | None
+    existing: DataFrame | None,
+    changes: DataFrame,
+    properties: T.StructType,
+    folders: Sequence[str],
+    partitions: int | None = None,
 ) -> DataFrame:
     """Stored row (`old`) and changed row (`new`) of every key, side by side.
 
-    One shuffle, by (namespace, bucket): grouping by key and the sort of the output
-    files reuse it.  `changes` counts the changed rows of the key.
+    One shuffle, by the folder columns: grouping by key starts with them, so it needs no
+    other, and its sort leaves the rows in the order of folders and key paths in which
+    the files are written.  `changes` counts the changed rows of the key.
     """
     body = [fv.KEY, fv.PRESENT, fv.UNINDEXED, *[f.name for f in properties.fields]]
     body_type = T.StructType(
@@ -397,9 +413,9 @@ def pair_rows(
     both = side(changes, stored=False)
     if existing is not None:
         both = side(existing, stored=True).unionByName(both)
-    by = [fv.NS, fv.BUCKET]
-    spread = both.repartition(*by) if partitions is None else both.repartition(partitions, *by)
-    return spread.groupBy(*by, fv.PATH).agg(
+    spread = both.repartition(*folders) if partitions is None else both.repartition(partitions, *folders)
+    keys = [*folders, *[n for n in (fv.NS, fv.BUCKET, fv.PATH) if n not in folders]]
+    return spread.groupBy(*keys).agg(
         F.first("old", ignorenulls=True).alias("old"),
         F.first("new", ignorenulls=True).alias("new"),
         F.count("new").alias("changes"),

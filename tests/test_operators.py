@@ -3,7 +3,6 @@ from pyspark.sql import functions as F, types as T
 
 import entityframe as ef
 from entityframe import fixed_values as fv
-from entityframe.functions.keys import key_ns_code, key_path_text
 from entityframe.functions.text import lenient_bool, slug, station_key, whole_seconds
 from entityframe.operators import linked
 from entityframe.operators.inference import field_profile

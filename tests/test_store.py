@@ -124,9 +124,10 @@ def test_one_shuffle_per_merge(spark, table, frame):
 
     properties = table.snapshot().properties
     existing = table.read()
-    merged = merge_rows(pair_rows(existing, existing, properties, None), properties, "put")
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    for folders in ([fv.NS, fv.BUCKET], [fv.BUCKET]):
+        merged = merge_rows(pair_rows(existing, existing, properties, folders), properties, "put")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
 
 
 def test_odd_namespaces(store, frame):
@@ -139,13 +140,19 @@ def test_odd_namespaces(store, frame):
         assert [r.value for r in ef.read_entities(store, "Doc", schema=DOC, ancestor=scope).collect()] == [i]
 
 
-def test_rows_sorted_by_path_inside_files(table):
-    file = F.input_file_name()
-    rows = table.read().select(file.alias("f"), F.monotonically_increasing_id().alias("i"), fv.NS, fv.PATH).orderBy("f", "i").collect()
+def rows_per_file(df):
+    rows = df.select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), fv.NS, fv.PATH)
     seen = {}
-    for r in rows:
+    for r in rows.orderBy("f", "i").collect():
         seen.setdefault(r.f, []).append((r[fv.NS], r[fv.PATH]))
-    assert all(v == sorted(v) for v in seen.values())
+    return list(seen.values())
+
+
+def test_rows_sorted_by_path_inside_files(table, flat_table):
+    for files in (rows_per_file(table.read()), rows_per_file(flat_table.read())):
+        assert all(rows == sorted(rows) for rows in files)
+    # Without namespace folders there is one file per bucket, whatever the namespaces.
+    assert len(rows_per_file(flat_table.read())) == 3
 
 
 def test_pages_and_chunks(table):

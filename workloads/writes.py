@@ -13,10 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import entityframe as ef
 from entityframe import fixed_values as fv
-from entityframe.functions.keys import KEY_TYPE
 from entityframe.operators.delta import merge_deltas
-from entityframe.plans.write_plan import PROPERTIES, classify, duplicate_keys, plan_rows
-from entityframe.sources.staging import fresh_path
+from entityframe.plans.write_plan import duplicate_keys, plan_rows
 from workloads.common import (
     EVENT,
     LABELLED_SQL,
