@@ -45,7 +45,8 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    for module in registered._MODULES:
+        assert set(module.QUERIES) == set(module.SQL)
 
 
 def test_entry(spark):
