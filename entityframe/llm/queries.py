@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from entityframe.llm import exact_dedup, line_dedup, mixing
+from entityframe.llm import chat, exact_dedup, line_dedup, mixing, topk
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_exact_top_k": topk.op3_exact_top_k,
+    "op6_chat_windows": chat.op6_chat_windows,
     "op7_mixing": mixing.op7_mixing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 
 SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
+    "op3_exact_top_k": topk.OP3_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
 }
