@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from entityframe.llm import chat, exact_dedup, line_dedup, mixing, topk
+from entityframe.llm import chat, exact_dedup, langid, line_dedup, mixing, pii, topk
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
@@ -10,6 +10,8 @@ QUERIES = {
     "op6_chat_windows": chat.op6_chat_windows,
     "op7_mixing": mixing.op7_mixing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_language_id": langid.op9_language_id,
+    "op10_pii": pii.op10_pii,
 }
 
 SQL = {
