@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from entityframe.llm import chat, exact_dedup, langid, line_dedup, mixing, pii, topk, toxicity
+from entityframe.llm import chat, exact_dedup, langid, line_dedup, mixing, ngram_join, pii, topk, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_exact_top_k": topk.op3_exact_top_k,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_chat_windows": chat.op6_chat_windows,
     "op7_mixing": mixing.op7_mixing,
