@@ -72,8 +72,10 @@ def mix(
     seed: str = SEED,
     bins: int = BINS,
     prefer: str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Copies of each document in the mix: doc_id, size, source_size, target, copies, taken.
+    """Copies of each document in the mix: doc_id, size, source_size, target, copies, taken, and
+    the columns named in `carry`.
 
     Needs doc_id, text, source; other columns are ignored, except `prefer`, which may name
     positive weights of documents within their source (null or none: 1).  Null text has size
@@ -81,7 +83,7 @@ def mix(
     rows and seed give the same mix.  An empty table gives an empty mix.
     """
     liking = F.coalesce(F.col(prefer).cast("double"), F.lit(1.0)) if prefer else F.lit(1.0)
-    sized = word_counts(docs.select("doc_id", "text", "source", liking.alias("liking"))).drop("text")
+    sized = word_counts(docs.select("doc_id", "text", "source", liking.alias("liking"), *carry)).drop("text")
     sized = stage(sized, "sized")
     targets = stage(source_targets(sized, weights, most), "targets")
     mean = F.lit(1.0)
@@ -127,7 +129,7 @@ def mix(
     aimed = ranked.join(stage(cut, "cuts"), F.col("source").eqNullSafe(F.col("goal_source")), "left")
     inside = F.col("bin").isNotNull() & F.col("cut").isNotNull() & (F.col("bin") == F.col("cut"))
     sure = F.col("bin").isNotNull() & (F.col("cut").isNull() | (F.col("bin") < F.col("cut")))
-    columns = ["doc_id", "size", "source_size", "target", "whole"]
+    columns = ["doc_id", "size", "source_size", "target", "whole", *carry]
     settled = aimed.filter(~inside).select(*columns, F.when(sure, 1).otherwise(0).alias("extra"))
     order = Window.partitionBy("source").orderBy("rank", "doc_id", "size")
     upto = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -136,10 +138,27 @@ def mix(
     edge = edge.select(*columns, F.when((F.col("upto") <= F.col("goal")) | near, 1).otherwise(0).alias("extra"))
     copies = (F.col("whole") + F.col("extra")).cast("bigint")
     return settled.unionByName(edge).select(
-        "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *carry
     )
 
 
+def take_mix(docs: DataFrame, **parameters) -> DataFrame:
+    """The rows of `docs` that the mix takes, each as often as it takes it, with all columns.
+
+    Rows that agree in every column share what was allotted to them.
+    """
+    whole = [F.xxhash64(F.lit(seed), F.to_json(F.struct("*"))).alias(name) for seed, name in ((1, "__h1"), (2, "__h2"))]
+    key = ["__h1", "__h2"]
+    rows = docs.select(F.struct("*").alias("__row"), *whole)
+    allotted = mix(rows.select("__row.*", *key), carry=tuple(key), **parameters)
+    counts = allotted.groupBy(*key).agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
+    taken = rows.join(stage(counts.filter("__copies > 0"), "copies"), key)
+    one = taken.filter("__rows > 1").withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("__copies")))
+    each = taken.filter("__rows = 1").unionByName(one.filter("__n = 1").drop("__n"))
+    repeated = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))).alias("__i")
+    return each.select("__row", repeated).select("__row.*")
+
+
 def op7_mixing(spark, sf):
     return mix(load(spark, sf, "documents")).drop("copies")
 

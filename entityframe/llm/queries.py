@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from entityframe.llm import chat, exact_dedup, langid, line_dedup, mixing, ngram_join, pii, topk, toxicity
+from entityframe.llm import chat, exact_dedup, langid, line_dedup, mixing, ngram_join, packing, pii, topk, toxicity
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_exact_top_k": topk.op3_exact_top_k,
     "op4_ngram_join": ngram_join.op4_ngram_join,
