@@ -6,8 +6,10 @@ dimension block by dimension block.  After each step a candidate can still gain
 product of the remaining lengths of both vectors, by Cauchy and Schwarz; candidates that
 cannot reach the k-th best any more are compacted away.
 
-A query first meets one block, which gives it a score to beat; every other block sends back
-only rows that reach it.  All arithmetic is on whole numbers and exact.
+A query meets one block first and then, round by round, as many as it has met before.  Its
+k-th best score so far is the one to beat, and a block sends back only rows that reach it, so
+what is sent grows with the number of rounds, not of blocks.  All arithmetic is on whole
+numbers and exact.
 """
 
 from __future__ import annotations
@@ -135,12 +137,12 @@ def exact_top_k(
     An empty table gives an empty result.
     """
     ship(vectors.sparkSession)
-    count = stage(integer_vectors(vectors, scale), "vectors")
+    whole = stage(integer_vectors(vectors, scale), "vectors")
     asks = F.col("vec_id") % every == 0
-    n, m = count.agg(F.count(F.lit(1)), F.count(F.when(asks, 1))).first()
+    n, m = whole.agg(F.count(F.lit(1)), F.count(F.when(asks, 1))).first()
     blocks, query_blocks = max(1, -(-n // candidate_block)), max(1, -(-m // query_block))
     deal = F.xxhash64("vec_id")
-    dealt = count.withColumns({"block": F.pmod(deal, F.lit(blocks)), "qblock": F.pmod(F.shiftright(deal, 20), F.lit(query_blocks))})
+    dealt = whole.withColumns({"block": F.pmod(deal, F.lit(blocks)), "qblock": F.pmod(F.shiftright(deal, 20), F.lit(query_blocks))})
     queries = dealt.filter(asks)
     every_q = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint")))
     columns = ["block", "qblock", "vec_id", "v"]
@@ -152,19 +154,27 @@ def exact_top_k(
         return both.groupBy("block", "qblock").applyInPandas(_searcher(k, step), _FOUND)
 
     candidates = dealt.drop("qblock").withColumn("qblock", every_q)
-    seeded = stage(search(queries.withColumn("beat", F.lit(None).cast("double")), candidates), "seeds")
-    # Only a full list gives a score to beat.
-    beat = seeded.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("beat")
-    )
-    informed = queries.join(beat, F.col("vec_id") == F.col("query_id"), "left").withColumnRenamed("block", "home")
-    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")), lambda b: b != F.col("home"))
-    rest = search(informed.withColumn("block", F.explode(others)), candidates)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    best = seeded.unionByName(rest).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best, first = None, 0
+    while first < blocks:
+        last = min(max(1, 2 * first), blocks)
+        beat = _scores_to_beat(best, k) if best is not None else None
+        steps = F.explode(F.sequence(F.lit(first).cast("bigint"), F.lit(last - 1).cast("bigint")))
+        asked = queries.withColumn("step", steps).withColumn("block", F.pmod(F.col("block") + F.col("step"), F.lit(blocks)))
+        asked = asked.join(beat, "vec_id", "left") if beat is not None else asked.withColumn("beat", F.lit(None).cast("double"))
+        found = search(asked, candidates)
+        found = found if best is None else found.unionByName(best.drop("rank"))
+        best = stage(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k), "best")
+        first = last
     return best.select("query_id", "rank", "vec_id", "score")
 
 
+def _scores_to_beat(best: DataFrame, k: int) -> DataFrame:
+    """The k-th best score so far of each query that has so many."""
+    full = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("beat"))
+    return full.filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "beat")
+
+
 def op3_exact_top_k(spark, sf):
     return exact_top_k(load(spark, sf, "embeddings"))
 

@@ -1,0 +1,103 @@
+import itertools
+import random
+import re
+
+import pytest
+
+from entityframe.llm.components import components
+from entityframe.llm.ngram_join import choose_bands, drop_near_copies, ngram_join
+
+SCHEMA = "doc_id long, text string, node int, hub int, bands string"
+
+
+def grams(text, n=5):
+    words = re.findall(r"\w+", (text or "").lower())
+    n = min(n, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+
+
+def brute(rows, threshold=0.8):
+    sets = [grams(t) for _, t, *_ in rows]
+    root, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sets[i] and sets[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= threshold:
+            links[i] += 1
+            links[j] += 1
+            root[find(i)] = find(j)
+    least = {}
+    for i, (d, *_) in enumerate(rows):
+        least.setdefault(find(i), []).append(d)
+    name = {r: min((d for d in ids if d is not None), default=None) for r, ids in least.items()}
+    return sorted(repr((d, name[find(i)], links[i])) for i, (d, *_) in enumerate(rows))
+
+
+def result(df):
+    return sorted(repr((r["doc_id"], r["class_id"], r["n_links"])) for r in df.collect())
+
+
+def edited(words, chance, n):
+    out = list(words)
+    for _ in range(n):
+        out[chance.randrange(len(out))] = f"new{chance.random()}"
+    return " ".join(out)
+
+
+def corpus(seed):
+    chance = random.Random(seed)
+    texts = []
+    for _ in range(12):
+        base = [f"w{chance.randrange(400)}" for _ in range(chance.randint(30, 200))]
+        texts += [edited(base, chance, chance.randint(0, 6)) for _ in range(chance.randint(1, 8))]
+        texts += [" ".join(base)] * chance.randint(0, 3)
+    chance.shuffle(texts)
+    return [(i, t, 1, 2, "x") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("block", [256, 3])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_matches_brute_force(spark, seed, block):
+    rows = corpus(seed)
+    assert result(ngram_join(spark.createDataFrame(rows, SCHEMA), block=block)) == brute(rows)
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"word{i}" for i in range(30_000))
+    rows = [
+        (1, None, 1, 2, "x"), (2, "", 1, 2, "x"), (3, "...", 1, 2, "x"), (4, "two words", 1, 2, "x"), (5, "Two, WORDS!", 1, 2, "x"),
+        (None, "a b c d e f", 1, 2, "x"), (6, "a b c d e f", 1, 2, "x"), (6, "a b c d e f", 1, 2, "x"), (None, "x y z u v w", 1, 2, "x"),
+        (7, long, 1, 2, "x"), (8, long + " more", 1, 2, "x"), (9, "𝒶 ß É_1 ２", 1, 2, "x"), (9, "𝒶 ß é_1 ２", 1, 2, "x"),
+    ]
+    found = ngram_join(spark.createDataFrame(rows, SCHEMA))
+    assert result(found) == brute(rows)
+
+
+def test_one_document_of_each_class_stays(spark):
+    rows = corpus(3)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    classes = {eval(r)[1] for r in brute(rows)}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(classes)
+
+
+def test_bands_reach_the_recall():
+    for threshold, recall in ((0.8, 0.99999), (0.5, 0.9), (0.9, 0.999)):
+        bands, rows = choose_bands(threshold, recall)
+        assert bands * rows <= 160 and 1 - (1 - threshold**rows) ** bands >= recall
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 130)] + [(200, 200), (302, 301), (301, 302)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 130)} | {301: 301, 302: 301}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert ngram_join(docs).collect() == [] and drop_near_copies(docs).collect() == []
