@@ -11,7 +11,7 @@ from entityframe.errors import SchemaError
 from entityframe.functions.keys import EntityKey, KeySpec
 from entityframe.operators.inference import SchemaInferenceReport, infer_schema_from_frame
 from entityframe.operators.paging import Page, iter_chunks, page_end
-from entityframe.plans.query import Filter, PagePosition, QuerySpec
+from entityframe.plans.query import Filter, PagePosition, QuerySpec, sort_columns
 from entityframe.plans.reports import WriteReport
 from entityframe.plans.write_plan import (
     WritePlan,
@@ -61,17 +61,12 @@ def read_entities(
     include_key: bool = False,
     require_present: bool = False,
     infer_schema: bool = False,
-    schema_sample_size: int = 1000,
+    schema_sample_size: int | None = None,
 ) -> DataFrame:
     """Entities of a kind as a lazy DataFrame."""
     if infer_schema and schema is None:
         schema = infer_schema_of_kind(
-            store,
-            kind,
-            namespace=namespace,
-            filters=filters,
-            ancestor=ancestor,
-            sample_size=schema_sample_size,
+            store, kind, namespace=namespace, filters=filters, ancestor=ancestor, sample_size=schema_sample_size
         ).schema
     spec = QuerySpec(
         kind,
@@ -94,16 +89,25 @@ def _to_user(raw: DataFrame, schema: Schema | None, include_key: bool) -> DataFr
 
 
 def iter_entities(
-    store: EntityStore, kind: str, *, chunksize: int = 1000, order: Sequence[str] = (), **options
+    store: EntityStore,
+    kind: str,
+    *,
+    chunksize: int = 1000,
+    order: Sequence[str] = (),
+    schema: Schema | None = None,
+    include_key: bool = False,
+    infer_schema: bool = False,
+    schema_sample_size: int | None = None,
+    **options,
 ) -> Iterator[DataFrame]:
     """The same rows, `chunksize` at a time, one DataFrame per chunk."""
-    schema = options.pop("schema", None)
-    include_key = options.pop("include_key", False)
+    if infer_schema and schema is None:
+        scope = {k: options[k] for k in ("namespace", "filters", "ancestor") if k in options}
+        schema = infer_schema_of_kind(store, kind, sample_size=schema_sample_size, **scope).schema
     spec = QuerySpec(kind, order=order, **options)
     raw = scan(store, spec, schema)
-    sort = [F.col(i[1:]).desc() if i.startswith("-") else F.col(i).asc() for i in order]
-    for chunk in iter_chunks(raw, chunksize, [*sort, fv.NS, fv.PATH]):
-        yield _to_user(chunk, schema, include_key)
+    for chunk in iter_chunks(raw, chunksize, sort_columns(order, raw)):
+        yield _to_user(chunk, schema, include_key or spec.keys_only)
 
 
 def read_page(
@@ -140,17 +144,21 @@ def infer_schema_of_kind(
     namespace: str | None = None,
     filters: Sequence[Filter] = (),
     ancestor: EntityKey | None = None,
-    sample_size: int | None = 1000,
+    sample_size: int | None = None,
     key: KeySpec | None = None,
     mixed_type_policy: str = "object",
 ) -> SchemaInferenceReport:
-    """Schema of stored entities; `sample_size=None` looks at all of them."""
+    """Schema of stored entities, from all of them.
+
+    `sample_size` is the caller's choice to look at so many only; properties of mixed type
+    then stay objects.
+    """
     spec = QuerySpec(
         kind, namespace=namespace, filters=filters, ancestor=ancestor, limit=sample_size
     )
     raw = scan(store, spec)
     return infer_schema_from_frame(
-        raw, kind=kind, key=key, mixed_type_policy=mixed_type_policy
+        raw, kind=kind, key=key, mixed_type_policy=mixed_type_policy, whole=sample_size is None
     )
 
 

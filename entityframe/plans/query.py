@@ -21,9 +21,6 @@ from entityframe.functions.keys import (
 from entityframe.functions.logical import is_key_type
 from entityframe.schema import column, field_types
 
-# Membership lists longer than this become a semi join instead of an expression.
-INLINE_LIST_LIMIT = 1000
-
 Filter = tuple[str, str, Any]
 
 _COMPARE = {
@@ -113,21 +110,12 @@ class QuerySpec:
         if self.ancestor is not None:
             conditions.append(F.startswith(F.col(fv.PATH), F.lit(self.ancestor.path_text)))
         conditions += self._range_conditions()
-        joined: list[Filter] = []
-        for name, op, value in self.filters:
-            long_list = op in ("IN", "NOT_IN") and len(value) > INLINE_LIST_LIMIT
-            if long_list and name in fields and not is_key_type(fields[name]):
-                joined.append((name, op, value))
-            else:
-                conditions.append(condition(name, op, value, fields))
+        conditions += [condition(name, op, value, fields) for name, op, value in self.filters]
         if self.require_present:
             conditions += [
                 column(n).isNotNull() for n, _ in map(_split_order, self.order) if n in fields
             ]
-        rows = df.filter(reduce(Column.__and__, conditions)) if conditions else df
-        for name, op, value in joined:
-            rows = _filter_by_join(rows, name, op, value, fields[name])
-        return rows
+        return df.filter(reduce(Column.__and__, conditions)) if conditions else df
 
     def _range_conditions(self) -> list[Column]:
         """Keys after one position, up to and including another."""
@@ -185,7 +173,7 @@ def condition(name: str, op: str, value: Any, fields: dict[str, T.DataType]) ->
         return _variant_condition(left, op, value)
     if op in ("IN", "NOT_IN"):
         given = [v for v in value if v is not None]
-        inside = left.isin(given) if given else F.lit(False)
+        inside = _isin(left, given)
         if op == "IN":
             return inside if len(given) == len(value) else inside | _stored_null(name, left, fields)
         return left.isNotNull() & ~inside if given else left.isNotNull()
@@ -198,6 +186,15 @@ def condition(name: str, op: str, value: Any, fields: dict[str, T.DataType]) ->
     return _COMPARE[op](left, value if isinstance(value, Column) else F.lit(value))
 
 
+def _isin(left: Column, values: Sequence[Any]) -> Column:
+    """Whole numbers and fractions may meet in one list; the list is one set whatever its length."""
+    if not values:
+        return F.lit(False)
+    if any(isinstance(v, float) for v in values) and all(isinstance(v, (int, float)) for v in values):
+        values = [float(v) for v in values]
+    return left.isin(list(values))
+
+
 def _stored_null(name: str, left: Column, fields: dict[str, T.DataType]) -> Column:
     """Stored as null; an entity table also tells stored null from absent."""
     if fv.PRESENT in fields:
@@ -227,14 +224,35 @@ def _key_condition(left: Column, op: str, value: Any) -> Column:
 _NUMBER_WORDS = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
 
 
+def _variant_in(left: Column, values: Sequence[Any]) -> Column:
+    """Lists of one type are one set lookup, so the length of a list does not matter."""
+    word = F.regexp_extract(F.schema_of_variant(left), "^([A-Z_]+)", 1)
+    texts = [v for v in values if isinstance(v, str)]
+    flags = [v for v in values if isinstance(v, bool)]
+    numbers = [v for v in values if isinstance(v, (int, float)) and not isinstance(v, bool)]
+    other = [v for v in values if v is not None and not isinstance(v, (str, bool, int, float))]
+    if other:
+        raise QueryValidationError(f"cannot compare a mixed property with {other[0]!r}")
+    found = []
+    if len(values) > len(texts) + len(flags) + len(numbers):
+        found.append(F.is_variant_null(left))
+    if texts:
+        found.append((word == "STRING") & F.try_variant_get(left, "$", "string").isin(texts))
+    if flags:
+        found.append((word == "BOOLEAN") & F.try_variant_get(left, "$", "boolean").isin(flags))
+    if numbers:
+        whole, fraction = (F.try_variant_get(left, "$", t) for t in ("bigint", "double"))
+        ints = [int(v) for v in numbers if float(v).is_integer()]
+        exact = whole.isin(ints) if ints else F.lit(False)
+        found.append(F.when(word == "BIGINT", exact).when(word.isin(*_NUMBER_WORDS), fraction.isin([float(v) for v in numbers])))
+    return reduce(Column.__or__, [F.coalesce(f, F.lit(False)) for f in found]) if found else F.lit(False)
+
+
 def _variant_condition(left: Column, op: str, value: Any) -> Column:
     """A mixed property only matches where it holds the type of the given value."""
     if op in ("IN", "NOT_IN"):
-        parts = [_variant_condition(left, "=", v) for v in value]
-        inside = reduce(Column.__or__, parts) if parts else F.lit(False)
-        if op == "IN":
-            return inside
-        return left.isNotNull() & ~F.coalesce(inside, F.lit(False))
+        inside = F.coalesce(_variant_in(left, value), F.lit(False))
+        return inside if op == "IN" else left.isNotNull() & ~inside
     if value is None:
         return F.is_variant_null(left) if op == "=" else ~F.is_variant_null(left)
     word = F.regexp_extract(F.schema_of_variant(left), "^([A-Z_]+)", 1)
@@ -250,17 +268,10 @@ def _variant_condition(left: Column, op: str, value: Any) -> Column:
     raise QueryValidationError(f"cannot compare a mixed property with {value!r}")
 
 
-def _filter_by_join(
-    rows: DataFrame, name: str, op: str, values: Sequence[Any], dtype: T.DataType
-) -> DataFrame:
-    given = [(v,) for v in dict.fromkeys(values) if v is not None]
-    wanted = "__wanted__"
-    listed = rows.sparkSession.createDataFrame(
-        given, T.StructType([T.StructField(wanted, dtype)])
-    )
-    how = "left_semi" if op == "IN" else "left_anti"
-    kept = rows.filter(column(name).isNotNull())
-    return kept.join(listed, kept[name] == listed[wanted], how)
+def sort_columns(order: Sequence[str], df: DataFrame) -> list[Column]:
+    """Sort columns of an order over `df`, then key order; names that `df` lacks are left out."""
+    fields = field_types(df)
+    return [*[_sort_column(i) for i in order if _split_order(i)[0] in fields], *_key_order(fields)]
 
 
 def _sort_column(item: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import entityframe as ef
 from entityframe import fixed_values as fv
 from entityframe.functions.keys import key_ns_code, key_path_text
-from entityframe.plans.query import INLINE_LIST_LIMIT, QuerySpec
+from entityframe.plans.query import QuerySpec
 
 ANCESTOR = ef.EntityKey((("User", "a"),), namespace="n")
 
@@ -88,13 +88,32 @@ def test_membership(rows):
     assert found(rows, filters=[("kind", "IN", ["run", None])]) == [1, 2, 4]
 
 
-def test_long_lists_become_joins(rows):
-    many = [float(n) for n in range(5, 5 + 3 * INLINE_LIST_LIMIT)]
-    spec = QuerySpec("W", filters=[("value", "IN", many)])
-    plan = spec.apply(rows)._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftSemi" in plan
-    assert found(rows, filters=[("value", "IN", many)]) == [1, 3, 5]
-    assert found(rows, filters=[("value", "NOT_IN", many)]) == [4]
+LONG = 2500
+
+
+def test_long_lists_follow_the_rules_of_short_ones(rows):
+    for pad in ([float(n) for n in range(100, 100 + LONG)], list(range(100, 100 + LONG))):
+        for short in ([5, 7], [5.0, 7.0], [5, 7.0], [7, None], [None]):
+            for op in ("IN", "NOT_IN"):
+                want = found(rows, filters=[("value", op, short)])
+                assert found(rows, filters=[("value", op, [*short, *pad])]) == want
+    assert found(rows, filters=[("w", "IN", [1.0, 2.0, *map(float, range(100, LONG))])]) == found(rows, filters=[("w", "IN", [1, 2])])
+    names = [f"x{n}" for n in range(LONG)]
+    assert found(rows, filters=[("kind", "IN", ["run", None, *names])]) == [1, 2, 4]
+
+
+def test_long_lists_on_mixed_properties(spark):
+    values = ['"a"', "1", "1.0", "true", "null", '"1"', "2.5", "[1]"]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, j string").select("i", F.parse_json("j").alias("v"))
+    pads = [f"x{n}" for n in range(LONG)], list(range(1000, 1000 + LONG))
+
+    def ids(op, wanted):
+        return sorted(r.i for r in QuerySpec("W", filters=[("v", op, wanted)]).apply(df).collect())
+
+    for short, want in (([1], [1, 2]), (["a", True], [0, 3]), ([2.5, None], [4, 6]), ([], [])):
+        for pad in ([], *pads):
+            assert ids("IN", [*short, *pad]) == want
+            assert ids("NOT_IN", [*short, *pad]) == [i for i in range(8) if i not in want]
 
 
 def test_null_and_unknown_names(rows):

@@ -44,7 +44,7 @@ def filter_not_in(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filter_in_long(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders placed on a workday: a list of some 5,000 dates becomes a semi join."""
+    """Orders placed on a workday: a list of some 5,000 dates."""
     days = (datetime(1992, 1, 1) + timedelta(days=n) for n in range(19 * 365))
     spec = ef.QuerySpec(
         "Order", filters=[("o_orderdate", "IN", [d for d in days if d.weekday() < 5])]
