@@ -43,7 +43,7 @@ from entityframe.operators.aggregate import aggregate, busiest, summarize
 from entityframe.operators.audit import AuditPolicy
 from entityframe.operators.combine import concat
 from entityframe.operators.dedup import plan_duplicate_cleanup, surplus, survivors
-from entityframe.operators.delta import merge_deltas
+from entityframe.operators.delta import add_deltas, merge_deltas
 from entityframe.operators.inference import (
     InferredField,
     SchemaInferenceReport,

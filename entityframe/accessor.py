@@ -8,6 +8,7 @@ from typing import Iterator, Sequence
 from pyspark.sql import DataFrame
 
 from entityframe import api
+from entityframe.errors import QueryValidationError
 from entityframe.functions.keys import EntityKey
 from entityframe.operators.audit import AuditPolicy
 from entityframe.operators.dedup import plan_duplicate_cleanup
@@ -77,8 +78,9 @@ class KindAccessor:
 
     def page(self, limit: int, *, after: PagePosition | None = None, include_key: bool = False, **options):
         scan = self._scan_options(**options)
-        scan.pop("order")
-        scan.pop("distinct_on")
+        if scan.pop("order") or scan.pop("distinct_on"):
+            raise QueryValidationError("a page is in key order; the accessor has an order or distinct_on")
+        scan.pop("distinct_on", None)
         return api.read_page(
             self.store, self.kind, limit, after=after, schema=self.schema, include_key=include_key, **scan
         )
@@ -124,8 +126,16 @@ class KindAccessor:
             **options,
         )
 
-    def delete(self, keys) -> int | None:
-        return api.delete_entities(self.store, self.kind, keys)
+    def delete(self, keys, *, dry_run: bool = False, read_only: bool | None = None) -> WriteReport:
+        """Delete by key, under the same guards as a write."""
+        return api.delete_entities(
+            self.store,
+            self.kind,
+            keys,
+            dry_run=dry_run,
+            read_only=self.read_only if read_only is None else read_only,
+            scope=self._scope(),
+        )
 
     # --- duplicates ---
 

@@ -16,6 +16,7 @@ from entityframe.plans.reports import WriteReport
 from entityframe.plans.write_plan import (
     WritePlan,
     classify,
+    delete_plan,
     plan_metrics,
     plan_rows,
     require_good_keys,
@@ -24,7 +25,7 @@ from entityframe.plans.write_plan import (
 )
 from entityframe.schema import Schema
 from entityframe.sources.staging import stage
-from entityframe.sources.store import EntityStore
+from entityframe.sources.store import NEWEST, EntityStore, Snapshot
 
 
 # --- reading -----------------------------------------------------------------------
@@ -176,14 +177,17 @@ def plan_entities(
     skip_unchanged: bool = False,
     row_index: str | None = None,
     check_keys: bool = True,
+    snapshot: Snapshot | None = NEWEST,
 ) -> WritePlan:
     """Plan a write without carrying it out.
 
     Row problems become error rows.  A complete key that occurs twice raises, as does
-    a request that makes no sense.
+    a request that makes no sense.  A plan that compares with stored entities is written once
+    first, so that the input is read and encoded once and only the partitions its keys fall
+    into are looked at.
     """
     table = store.table(schema.kind)
-    snapshot = table.snapshot()
+    snapshot = table.snapshot() if snapshot is NEWEST else snapshot
     plan = plan_rows(
         df,
         schema,
@@ -193,11 +197,12 @@ def plan_entities(
         row_index=row_index,
         buckets=table.layout(snapshot)[0],
     )
+    if skip_unchanged:
+        plan = plan.on(stage(plan.df, "plan"))
     if check_keys:
         require_unique_keys(plan.df)
     if skip_unchanged:
-        existing = None if snapshot is None else table.read(snapshot)
-        plan = classify(plan, existing)
+        plan = classify(plan, table.read_for(plan.df, snapshot))
         plan = WritePlan(plan.df, plan.operation, plan.mode, skip_unchanged=True)
     return plan
 
@@ -214,8 +219,12 @@ def write_entities(
     skip_unchanged: bool = False,
     row_index: str | None = None,
     scope: EntityKey | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> WriteReport:
-    """Write full entities: upsert, insert (new keys only) or update (stored keys only)."""
+    """Write full entities: upsert, insert (new keys only) or update (stored keys only).
+
+    `batch` names the stream and number of a micro-batch, to be recorded with the commit.
+    """
     return _run(
         store,
         df,
@@ -228,6 +237,7 @@ def write_entities(
         skip_unchanged=skip_unchanged,
         row_index=row_index,
         scope=scope,
+        batch=batch,
     )
 
 
@@ -242,6 +252,7 @@ def patch_entities(
     skip_unchanged: bool = False,
     row_index: str | None = None,
     scope: EntityKey | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> WriteReport:
     """Overwrite the named properties and keep the others; a missing entity is created."""
     return _run(
@@ -256,12 +267,16 @@ def patch_entities(
         skip_unchanged=skip_unchanged,
         row_index=row_index,
         scope=scope,
+        batch=batch,
     )
 
 
 def _run(
-    store, df, schema, *, patch, mode, properties, dry_run, read_only, skip_unchanged, row_index, scope
+    store, df, schema, *, patch, mode, properties, dry_run, read_only, skip_unchanged, row_index, scope, batch
 ) -> WriteReport:
+    # One version from classification to commit: what was compared is what gets replaced.
+    table = store.table(schema.kind)
+    snapshot = table.snapshot()
     plan = plan_entities(
         store,
         df,
@@ -271,6 +286,7 @@ def _run(
         patch=patch,
         row_index=row_index,
         check_keys=False,
+        snapshot=snapshot,
     )
     # Encoded once and written once: every later pass reads this table, so audit
     # stamps and row ids are the same in the stored data and in the report.
@@ -293,26 +309,43 @@ def _run(
 
     judged = skip_unchanged or (carried_out and plain)
     if judged:
-        existing = store.table(schema.kind).read_for(plan.df)
+        existing = table.read_for(plan.df, snapshot)
         plan = classify(plan, existing, check_values=skip_unchanged)
         plan = WritePlan(plan.df, plan.operation, plan.mode, skip_unchanged)
     if not carried_out:
         return plan.to_report(dry_run=dry_run, read_only=read_only)
     if judged:
         plan = plan.on(stage(plan.df, "judged"))
-    store.table(schema.kind).commit_plan(plan.df, "patch" if patch else "put")
+    table.commit_plan(plan.df, "patch" if patch else "put", snapshot, batch)
     return plan.executed_report()
 
 
-def delete_entities(store: EntityStore, kind: str, keys: DataFrame | Sequence[EntityKey]) -> int | None:
-    """Delete by key; keys that are not stored are ignored."""
+def delete_entities(
+    store: EntityStore,
+    kind: str,
+    keys: DataFrame | Sequence[EntityKey],
+    *,
+    dry_run: bool = False,
+    read_only: bool = False,
+    scope: EntityKey | None = None,
+) -> WriteReport:
+    """Delete by key; keys that are not stored are ignored.
+
+    A key outside `scope` is an error row; then, as with `read_only`, nothing is deleted.
+    """
     if not isinstance(keys, DataFrame):
         keys = store.spark.createDataFrame(
             [(k.ns_code, k.path_text) for k in keys], f"{fv.NS} string, {fv.PATH} string"
         )
     elif fv.PATH not in keys.columns:
         raise SchemaError("delete needs __ns__ and __path__ columns, or a list of keys")
-    return store.table(kind).delete_keys(keys)
+    plan = delete_plan(keys, scope)
+    plan = plan.on(stage(plan.df, "delete"))
+    blocked = dry_run or read_only or (scope is not None and plan.has_errors)
+    if blocked:
+        return plan.to_report(dry_run=dry_run or not read_only, read_only=read_only)
+    store.table(kind).delete_keys(plan.df.filter("should_write"))
+    return plan.executed_report()
 
 
 def run_delete_plan(store: EntityStore, kind: str, plan: WritePlan) -> WriteReport:

@@ -55,3 +55,7 @@ BUCKET = "__b__"
 PRESENT = "__present__"
 UNINDEXED = "__unindexed__"
 SYSTEM_COLUMNS = (KEY, NS, PATH, BUCKET, PRESENT, UNINDEXED)
+
+# Errors of keys outside a bound ancestor.
+ERROR_SCOPE = "the key lies outside the bound ancestor"
+ERROR_SCOPE_NAMESPACE = "the key's namespace differs from the bound ancestor's"

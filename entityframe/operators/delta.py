@@ -6,8 +6,12 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from entityframe.api import read_entities, write_entities
+from entityframe.errors import SchemaError
 from entityframe.functions.convert import nan_to_null
-from entityframe.schema import column, field_types
+from entityframe.plans.reports import WriteReport
+from entityframe.schema import Schema, column, field_types
+from entityframe.sources.store import EntityStore
 
 
 def merge_deltas(
@@ -27,3 +31,19 @@ def merge_deltas(
     )
     total = F.coalesce(column(value), F.lit(0)) + F.coalesce(F.col("__delta__"), F.lit(0))
     return both.select(*[column(k) for k in key], total.alias(value))
+
+
+def add_deltas(store: EntityStore, schema: Schema, deltas: DataFrame, value: str, **options) -> WriteReport:
+    """Add `deltas` to the stored counters of a kind and commit the new values.
+
+    `deltas` has the columns that the key of the kind is made from, and `value`.  Counters that
+    no delta touches are not read back; new ones start at 0.  If another writer changes the
+    kind meanwhile, the commit raises and nothing is added.
+    """
+    if schema.key is None:
+        raise SchemaError("counters need a key recipe in the schema")
+    key = sorted(schema.key.sources)
+    columns = [column(k) for k in key]
+    current = read_entities(store, schema.kind, schema=schema).select(*columns, column(value))
+    touched = current.join(deltas.select(*columns).distinct(), key, "left_semi")
+    return write_entities(store, merge_deltas(touched, deltas, key, value), schema, **options)

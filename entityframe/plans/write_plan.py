@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError
-from entityframe.functions.keys import EntityKey, key_json
+from entityframe.functions.keys import KEY_TYPE, EntityKey, key_json
 from entityframe.functions.logical import comparable, same_type
 from entityframe.plans.reports import WriteReport, result_columns, should_write
 from entityframe.schema import Schema, column, incomplete_error
@@ -46,6 +46,13 @@ class WritePlan:
     def on(self, df: DataFrame) -> WritePlan:
         return WritePlan(df, self.operation, self.mode, self.skip_unchanged)
 
+    def scoped(self, ancestor: EntityKey) -> WritePlan:
+        """The plan in which every row outside the ancestor is an error row."""
+        wrong = F.when(F.col("error").isNull() & F.col(fv.PATH).isNotNull(), outside(ancestor))
+        error = F.coalesce(F.col("error"), wrong)
+        action = F.when(error.isNull(), F.col("action")).otherwise(F.lit(fv.ERROR_ACTION))
+        return self.on(self.df.withColumns({"error": error, "action": action, "should_write": F.col("should_write") & error.isNull()}))
+
     def to_report(self, *, dry_run: bool = False, read_only: bool = False) -> WriteReport:
         """Report of a plan that is not carried out."""
         error = F.col("error")
@@ -341,15 +348,32 @@ def require_good_keys(found: dict) -> None:
         raise SchemaError(f"{found['incomplete']} row(s) have an incomplete key")
 
 
+def outside(scope: EntityKey) -> Column:
+    """Why a row's key is not under the ancestor; null if it is."""
+    inside = F.startswith(F.col(fv.PATH), F.lit(scope.path_text))
+    return F.when(F.col(fv.NS) != scope.ns_code, F.lit(fv.ERROR_SCOPE_NAMESPACE)).when(~inside, F.lit(fv.ERROR_SCOPE))
+
+
+def delete_plan(keys: DataFrame, scope: EntityKey | None = None) -> WritePlan:
+    """Plan to delete the keys of a frame with `__ns__` and `__path__`."""
+    text = F.lit(None).cast("string")
+    error = text if scope is None else outside(scope)
+    key = F.col(fv.KEY) if fv.KEY in keys.columns else F.lit(None).cast(KEY_TYPE)
+    planned = keys.select(
+        F.concat_ws(" ", fv.NS, fv.PATH).alias(ROW_INDEX),
+        F.when(error.isNull(), F.lit("delete")).otherwise(F.lit(fv.ERROR_ACTION)).alias("action"),
+        key.alias(fv.KEY),
+        text.alias("reason"),
+        error.alias("error"),
+        F.col(fv.NS),
+        F.col(fv.PATH),
+        error.isNull().alias("should_write"),
+    )
+    return WritePlan(planned, "delete")
+
+
 def require_scope(df: DataFrame, ancestor: EntityKey) -> None:
     """All planned keys lie under the ancestor."""
-    keyed = df.filter(F.col(fv.KEY).isNotNull())
-    inside = (F.col(fv.NS) == ancestor.ns_code) & F.startswith(
-        F.col(fv.PATH), F.lit(ancestor.path_text)
-    )
-    found = keyed.filter(~inside).select(fv.NS, fv.PATH).limit(1).collect()
-    if not found:
-        return
-    if found[0][fv.NS] != ancestor.ns_code:
-        raise SchemaError("a row's key namespace differs from the bound ancestor's")
-    raise SchemaError(f"a row's key lies outside the bound ancestor: {found[0][fv.PATH]}")
+    wrong = df.filter(F.col(fv.KEY).isNotNull()).select(fv.PATH, outside(ancestor).alias("why"))
+    for row in wrong.filter("why IS NOT NULL").limit(1).collect():
+        raise SchemaError(f"{row['why']}: {row[fv.PATH]}")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from datetime import date, datetime
+from decimal import Decimal
 from typing import Any, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -111,9 +113,26 @@ class Field:
         return self._converted(literal, dtype)
 
 
+# Spark types of plain Python values; a bool is also an int, so it comes first.
+_LITERAL_TYPES = (
+    (bool, T.BooleanType()),
+    (int, T.LongType()),
+    (float, T.DoubleType()),
+    (str, T.StringType()),
+    ((bytes, bytearray), T.BinaryType()),
+    (datetime, T.TimestampType()),
+    (date, T.DateType()),
+    (Decimal, T.DecimalType(38, 18)),
+)
+
+
 def _literal_type(value: Any) -> T.DataType:
-    probe = T._infer_type(value)
-    return T.LongType() if isinstance(probe, T.LongType) else probe
+    for kinds, dtype in _LITERAL_TYPES:
+        if isinstance(value, kinds):
+            return dtype
+    if isinstance(value, (list, tuple)) and value:
+        return T.ArrayType(_literal_type(value[0]))
+    raise SchemaError(f"not a default value: {value!r}")
 
 
 @dataclass(frozen=True)

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from entityframe.errors import SchemaError
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 
-    Only where that is unset, as in local tests, a temporary folder is made and
-    named there.
+    Where that is unset, a `local` session, whose executors are this process, gets a temporary
+    folder; on a cluster it would not be shared, so there the setting is asked for.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise SchemaError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="entityframe-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -27,12 +30,6 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asks the file system of the path, whichever that is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def stage(df: DataFrame, label: str = "stage", seen: Observation | None = None, **metrics) -> DataFrame:
     """Write `df` once and read it back.
 

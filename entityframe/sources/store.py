@@ -4,13 +4,13 @@ A kind is a folder with two tables:
 
 * `data/commit=<id>/[__ns__=<namespace>/]__b__=<bucket>/` holds the rows one commit
   wrote, sorted by `__path__` inside a file;
-* `versions/v=<number>/` lists the partitions that are live in that version and the
-  commit each one comes from.
+* `versions/<commit>/` lists the partitions that are live after a commit and the commit each
+  one comes from; `versions/claims/<number>` names the commit that made that version.
 
-A commit rewrites only the partitions its rows fall into, next to the old ones, and
-becomes visible when its version list is written.  Readers keep the version they
-opened, and no job overwrites a path it reads.  Files of a commit that never got its
-version list are never read.
+A commit rewrites only the partitions its rows fall into, next to the old ones, and becomes
+visible when its claim is created.  A claim is created once: of two writers that start from
+one version, the second is told.  Readers keep the version they opened, and no job overwrites
+a path it reads.  Files of a commit without a claim are never read.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
-from typing import Callable, Iterable, Sequence
+from typing import Any, Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -28,7 +28,8 @@ from entityframe.functions.keys import KEY_TYPE, EntityKey, namespace_code
 from entityframe.functions.logical import same_type
 from entityframe.plans.write_plan import PROPERTIES, bucket_column, property_types
 from entityframe.schema import column, field_types
-from entityframe.sources.staging import path_exists, stage
+from entityframe.sources.pointer import create_if_absent, names_in, read_text
+from entityframe.sources.staging import stage
 
 _NAMES = T.ArrayType(T.StringType())
 _VERSION_ROW = T.StructType(
@@ -39,10 +40,11 @@ _VERSION_ROW = T.StructType(
         T.StructField("schema", T.StringType()),  # set on one row per version only
         T.StructField("buckets", T.IntegerType()),
         T.StructField("by_namespace", T.BooleanType()),
-        T.StructField("writer", T.StringType()),
-        T.StructField("v", T.IntegerType()),
+        T.StructField("streams", T.StringType()),
     ]
 )
+# "No snapshot given" is not the same as "the kind has no version yet".
+NEWEST: Any = object()
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,7 @@ class Snapshot:
     partitions: frozenset[tuple[str | None, int, str]]  # (namespace code, bucket, commit)
     buckets: int
     by_namespace: bool
+    streams: Mapping[str, int]  # the last batch of each stream that is in this version
 
 
 class EntityStore:
@@ -64,11 +67,18 @@ class EntityStore:
     namespace divided by it is a file size you like (a few hundred MB).  With
     `by_namespace` the namespace is a partition folder, which lets scans skip the
     others; turn it off for very many small namespaces, where Parquet statistics on
-    the sorted `__ns__` do that work with far fewer files.
+    the sorted `__ns__` do that work with far fewer files.  A merge gives a partition one task
+    for every `task_bytes` of it, so a large namespace or bucket is not one task.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, *, buckets: int = 8, by_namespace: bool = True
+        self,
+        spark: SparkSession,
+        root: str,
+        *,
+        buckets: int = 8,
+        by_namespace: bool = True,
+        task_bytes: int = 256 << 20,
     ) -> None:
         if spark.conf.get("spark.sql.session.timeZone").upper() not in ("UTC", "ETC/UTC", "Z"):
             raise SchemaError("entity timestamps need spark.sql.session.timeZone=UTC")
@@ -76,6 +86,7 @@ class EntityStore:
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.by_namespace = by_namespace
+        self.task_bytes = task_bytes
 
     def table(self, kind: str) -> EntityTable:
         return EntityTable(self, kind)
@@ -92,35 +103,26 @@ class EntityTable:
 
     def snapshot(self, version: int | None = None) -> Snapshot | None:
         """The newest (or a given) version; None for a kind never written."""
-        if not path_exists(self.spark, f"{self.path}/versions"):
-            return None
-        listed = self.spark.read.schema(_VERSION_ROW).parquet(f"{self.path}/versions")
-        if version is None:
-            version = listed.agg(F.max("v")).first()[0]
-        if version is None:
+        claims = f"{self.path}/versions/claims"
+        known = sorted((int(n) for n in names_in(self.spark, claims) if n.isdigit()), reverse=True)
+        if not known:
             return None
-        rows = self._version_rows(listed, version)
-        if not rows:
+        if version is not None and version not in known:
             raise SchemaError(f"version {version} of {self.kind} does not exist")
+        for number in known if version is None else [version]:
+            commit = read_text(self.spark, _claim(claims, number))
+            if commit:  # else it is just being written
+                return self._listed(number, commit)
+        return None
+
+    def _listed(self, version: int, commit: str) -> Snapshot:
+        # Bounded by the number of partition folders, not by rows of the table.
+        rows = self.spark.read.schema(_VERSION_ROW).parquet(f"{self.path}/versions/{commit}").collect()
         head = next(r for r in rows if r["schema"] is not None)
         live = frozenset((r["ns"], r["bucket"], r["written"]) for r in rows if r["schema"] is None)
         properties = T.StructType.fromJson(json.loads(head["schema"]))
-        return Snapshot(version, properties, live, head["buckets"], head["by_namespace"])
-
-    @staticmethod
-    def _version_rows(listed: DataFrame, version: int) -> list:
-        """Rows of a version; of two writers that raced for it, the first one's.
-
-        Bounded by the number of partition folders, not by rows of the table.
-        """
-        stamped = listed.filter(F.col("v") == version).select(
-            "*", F.col("_metadata.file_modification_time").alias("at")
-        )
-        rows = stamped.collect()
-        if not rows:
-            return []
-        first = min((r["at"], r["writer"]) for r in rows)[1]
-        return [r for r in rows if r["writer"] == first]
+        streams = json.loads(head["streams"])
+        return Snapshot(version, properties, live, head["buckets"], head["by_namespace"], streams)
 
     def layout(self, snapshot: Snapshot | None) -> tuple[int, bool]:
         """Number of buckets, and whether namespaces are folders."""
@@ -183,16 +185,16 @@ class EntityTable:
             ]
         )
 
-    def read_for(self, batch: DataFrame) -> DataFrame | None:
+    def read_for(self, batch: DataFrame, snapshot: Snapshot | None = NEWEST) -> DataFrame | None:
         """The partitions that the keys of a (staged) batch fall into."""
-        snapshot = self.snapshot()
+        snapshot = self.snapshot() if snapshot is NEWEST else snapshot
         return None if snapshot is None else self.read(snapshot, self._touched(snapshot, batch))
 
     def _touched(self, snapshot: Snapshot | None, batch: DataFrame) -> set:
-        rows = batch.filter(F.col(fv.PATH).isNotNull()).select(fv.NS, fv.BUCKET).distinct()
-        by_namespace = self.layout(snapshot)[1]
-        # Bounded by the number of partition folders, not by rows.
-        return {((r[fv.NS] if by_namespace else None), r[fv.BUCKET]) for r in rows.collect()}
+        folders = self._folders(snapshot)
+        # Bounded by the number of partition folders, not by rows or namespaces.
+        rows = batch.filter(F.col(fv.PATH).isNotNull()).select(*folders).distinct().collect()
+        return {((r[fv.NS] if fv.NS in folders else None), r[fv.BUCKET]) for r in rows}
 
     # --- bulk lookup ---
 
@@ -209,37 +211,44 @@ class EntityTable:
             )
         bucket = bucket_column(F.col(fv.NS), F.col(fv.PATH), snapshot.buckets)
         wanted = keys.select(fv.NS, fv.PATH, bucket.alias(fv.BUCKET))
-        only = self._touched(snapshot, wanted) if listed else None
-        return self.read(snapshot, only).join(wanted, [fv.NS, fv.PATH, fv.BUCKET], "left_semi")
+        if not listed:
+            wanted = stage(wanted, "wanted")
+        return self.read(snapshot, self._touched(snapshot, wanted)).join(wanted, [fv.NS, fv.PATH, fv.BUCKET], "left_semi")
 
     # --- writing ---
 
-    def commit_plan(self, plan_df: DataFrame, how: str) -> int | None:
+    def commit_plan(
+        self, plan_df: DataFrame, how: str, snapshot: Snapshot | None = NEWEST, batch: tuple[str, int] | None = None
+    ) -> int | None:
         """Merge the writable rows of a (staged) plan.  `how`: put, patch or delete."""
         types = property_types(plan_df)
         values = [F.col(PROPERTIES)[n].alias(n) for n in types]
         changes = plan_df.filter("should_write").select(
             fv.KEY, fv.NS, fv.PATH, fv.BUCKET, fv.PRESENT, fv.UNINDEXED, *values
         )
-        return self.merge(changes, how)
+        return self.merge(changes, how, snapshot, batch)
 
-    def merge(self, changes: DataFrame, how: str) -> int | None:
+    def merge(
+        self, changes: DataFrame, how: str, snapshot: Snapshot | None = NEWEST, batch: tuple[str, int] | None = None
+    ) -> int | None:
         """New version with `changes` applied; None when there was nothing to do.
 
+        The new version follows `snapshot`, the one the changes were made for; if another
+        writer has been faster, nothing is changed and a `WriteConflictError` says so.
+
         Old and new rows of the touched partitions are unioned, shuffled once by
         partition, and paired per key inside the task that writes the file.  That pairing
         also tells whether a key occurs twice in `changes`.
         """
-        snapshot = self.snapshot()
+        snapshot = self.snapshot() if snapshot is NEWEST else snapshot
         touched = self._touched(snapshot, changes)
         if not touched:
             return None
         target = self._merged_properties(snapshot, changes)
         existing = None if snapshot is None else self.read(snapshot, touched)
         folders = self._folders(snapshot)
-        paired = pair_rows(
-            existing, changes, target, folders, _partitions(self.spark, len(touched))
-        )
+        pieces = self._pieces(existing, changes, len(touched))
+        paired = pair_rows(existing, changes, target, folders, _partitions(self.spark, len(touched) * pieces), pieces)
         seen = Observation()
         counted = paired.observe(seen, F.max("changes").alias("most"))
         merged = merge_rows(counted, target, how)
@@ -250,9 +259,14 @@ class EntityTable:
                 self._raise_repeated(changes)
 
         return self._commit(
-            snapshot, merged, touched, target, check=unique, may_empty=how == "delete"
+            snapshot, merged, touched, target, check=unique, may_empty=how == "delete", batch=batch
         )
 
+    def _pieces(self, existing: DataFrame | None, changes: DataFrame, folders: int) -> int:
+        """Tasks per touched partition, from the sizes of the files to be read."""
+        known = _scanned_bytes(changes) + (0 if existing is None else _scanned_bytes(existing))
+        return max(1, -(-known // (self.store.task_bytes * max(1, folders))))
+
     @staticmethod
     def _raise_repeated(changes: DataFrame) -> None:
         row = (
@@ -266,11 +280,12 @@ class EntityTable:
 
     def delete_keys(self, keys: DataFrame) -> int | None:
         """Delete the entities whose `__ns__` and `__path__` are listed."""
-        buckets, _ = self.layout(self.snapshot())
+        snapshot = self.snapshot()
+        buckets, _ = self.layout(snapshot)
         changes = keys.select(fv.NS, fv.PATH).withColumn(
             fv.BUCKET, bucket_column(F.col(fv.NS), F.col(fv.PATH), buckets)
         )
-        return self.merge(stage(changes, "delete"), "delete")
+        return self.merge(stage(changes, "delete"), "delete", snapshot)
 
     def clear(self, namespace: str | None = None, *, all_namespaces: bool = False) -> int | None:
         """Delete one namespace (None is the default one), or the whole kind.
@@ -320,6 +335,7 @@ class EntityTable:
         *,
         check: Callable[[], None] | None = None,
         may_empty: bool = True,
+        batch: tuple[str, int] | None = None,
     ) -> int:
         commit = uuid.uuid4().hex
         folders = self._folders(snapshot)
@@ -331,7 +347,7 @@ class EntityTable:
         fresh = {(ns, bucket, commit) for ns, bucket in kept_folders}
         old = frozenset() if snapshot is None else snapshot.partitions
         kept = {p for p in old if (p[0], p[1]) not in touched}
-        return self._publish(snapshot, frozenset(kept | fresh), properties)
+        return self._publish(snapshot, frozenset(kept | fresh), properties, batch)
 
     def _folders(self, snapshot: Snapshot | None) -> list[str]:
         """Partition columns, outermost first."""
@@ -350,18 +366,44 @@ class EntityTable:
         snapshot: Snapshot | None,
         partitions: frozenset[tuple[str | None, int, str]],
         properties: T.StructType,
+        batch: tuple[str, int] | None = None,
     ) -> int:
+        """Make the version after `snapshot`, or raise if there is one already."""
         version = 1 if snapshot is None else snapshot.version + 1
-        writer = uuid.uuid4().hex
-        rows = [(None, None, None, properties.json(), *self.layout(snapshot), writer)]
-        rows += [(*p, None, None, None, writer) for p in sorted(partitions, key=str)]
-        listing = self.spark.createDataFrame(rows, T.StructType(_VERSION_ROW.fields[:-1]))
-        listing.coalesce(1).write.mode("append").parquet(f"{self.path}/versions/v={version}")
-        listed = self.spark.read.schema(_VERSION_ROW).parquet(f"{self.path}/versions")
-        if self._version_rows(listed, version)[0]["writer"] != writer:
+        streams = dict(snapshot.streams if snapshot else {}) | (dict([batch]) if batch else {})
+        rows = [(None, None, None, properties.json(), *self.layout(snapshot), json.dumps(streams))]
+        rows += [(*p, None, None, None, None) for p in sorted(partitions, key=str)]
+        commit = uuid.uuid4().hex
+        listing = self.spark.createDataFrame(rows, _VERSION_ROW)
+        listing.coalesce(1).write.parquet(f"{self.path}/versions/{commit}")
+        if not create_if_absent(self.spark, _claim(f"{self.path}/versions/claims", version), commit):
             raise WriteConflictError(f"version {version} of {self.kind} was committed by another writer")
         return version
 
+    def expire(self, keep: int = 1) -> list[str]:
+        """Commits that none of the newest `keep` versions reads; their folders under `data`
+        and `versions` may be removed once no reader of an older version is left."""
+        newest = self.snapshot()
+        if newest is None:
+            return []
+        live: set[str] = set()
+        for version in range(max(1, newest.version - keep + 1), newest.version + 1):
+            live |= {written for _, _, written in self.snapshot(version).partitions}
+        written = [n.removeprefix("commit=") for n in names_in(self.spark, f"{self.path}/data") if n.startswith("commit=")]
+        return sorted(set(written) - live)
+
+
+def _claim(folder: str, version: int) -> str:
+    return f"{folder}/{version:012d}"
+
+
+def _scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that a frame reads, as far as Spark knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    return sum(size for size in sizes if size < unknown)
+
 
 def _partitions(spark: SparkSession, folders: int) -> int | None:
     """Tasks of a merge: one per folder once there are more folders than the session's
@@ -376,12 +418,14 @@ def pair_rows(
     properties: T.StructType,
     folders: Sequence[str],
     partitions: int | None = None,
+    pieces: int = 1,
 ) -> DataFrame:
     """Stored row (`old`) and changed row (`new`) of every key, side by side.
 
     One shuffle, by the folder columns: grouping by key starts with them, so it needs no
     other, and its sort leaves the rows in the order of folders and key paths in which
-    the files are written.  `changes` counts the changed rows of the key.
+    the files are written.  `changes` counts the changed rows of the key.  A folder is dealt
+    to `pieces` tasks by its keys, so that a large one is not one task.
     """
     body = [fv.KEY, fv.PRESENT, fv.UNINDEXED, *[f.name for f in properties.fields]]
     body_type = T.StructType(
@@ -413,8 +457,12 @@ def pair_rows(
     both = side(changes, stored=False)
     if existing is not None:
         both = side(existing, stored=True).unionByName(both)
-    spread = both.repartition(*folders) if partitions is None else both.repartition(partitions, *folders)
-    keys = [*folders, *[n for n in (fv.NS, fv.BUCKET, fv.PATH) if n not in folders]]
+    deal = list(folders)
+    if pieces > 1:
+        both = both.withColumn("__piece__", F.pmod(F.xxhash64(fv.NS, fv.PATH), F.lit(pieces)))
+        deal.append("__piece__")
+    spread = both.repartition(*deal) if partitions is None else both.repartition(partitions, *deal)
+    keys = [*deal, *[n for n in (fv.NS, fv.BUCKET, fv.PATH) if n not in folders]]
     return spread.groupBy(*keys).agg(
         F.first("old", ignorenulls=True).alias("old"),
         F.first("new", ignorenulls=True).alias("new"),

@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from entityframe.api import write_entities
 from entityframe.schema import Schema
-from entityframe.sources.staging import fresh_path
 from entityframe.sources.store import EntityStore
 
 
@@ -16,21 +15,25 @@ def start_upsert(
     store: EntityStore,
     schema: Schema,
     *,
-    checkpoint: str | None = None,
+    checkpoint: str,
     **options,
 ) -> StreamingQuery:
-    """Upsert every micro-batch of a stream, then stop when the input is used up.
+    """Write every micro-batch of a stream, then stop when the input is used up.
 
-    A batch that is replayed after a failure writes the same keys with the same
-    values, so the table comes out the same.
+    `checkpoint` is a folder of its own in shared storage; it is also the stream's name in the
+    table.  The number of a batch is part of the commit that holds it, so a batch that is
+    replayed after a failure is left out if it had been committed.
     """
+    table = store.table(schema.kind)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        write_entities(store, batch, schema, **options).raise_for_errors()
+    def load(batch: DataFrame, number: int) -> None:
+        newest = table.snapshot()
+        if newest is None or number > newest.streams.get(checkpoint, -1):
+            write_entities(store, batch, schema, batch=(checkpoint, number), **options).raise_for_errors()
 
     return (
         stream.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint or fresh_path(store.spark, "stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

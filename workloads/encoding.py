@@ -57,10 +57,9 @@ def encode_float(spark: SparkSession, sf: str) -> DataFrame:
     field = ef.Field(ef.Float64Type())
     text, _, error = _encoded(lines, "discount_text", field)
     number, _, _ = _encoded(lines, "l_linenumber", field)
-    out = lines.select(
+    return lines.select(
         "l_orderkey", "l_partkey", text.alias("discount"), number.alias("line"), error.alias("error")
     )
-    return out.groupBy("l_orderkey", "l_partkey", "discount", "line", "error").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def encode_bool(spark: SparkSession, sf: str) -> DataFrame:
@@ -284,15 +283,28 @@ def build_keys(spark: SparkSession, sf: str) -> DataFrame:
         namespace_field="o_orderpriority",
         ancestors=[("Shop", 5), ("Customer", "o_custkey")],
     )
-    orders = load(spark, sf, "orders").filter("o_orderkey <> 0")
+    orders = load(spark, sf, "orders")
     built = spec.build({f.name: f.dataType for f in orders.schema.fields})
-    return orders.select(built.value.alias("k")).select(
-        key_path_text(F.col("k")).alias("path"),
-        key_ns_code(F.col("k")).alias("ns"),
-        key_is_complete(F.col("k")).alias("complete"),
+    keys = orders.select("o_orderkey", built.value.alias("k"), built.error.alias("error"))
+    fine = F.col("error").isNull()
+    return keys.select(
+        "o_orderkey",
+        F.when(fine, key_path_text(F.col("k"))).alias("path"),
+        F.when(fine, key_ns_code(F.col("k"))).alias("ns"),
+        F.when(fine, key_is_complete(F.col("k"))).alias("complete"),
+        "error",
     )
 
 
+def key_from_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of one column, with a namespace column."""
+    spec = ef.KeySpec.from_columns("Order", "o_orderkey", id_kind="id", namespace_source="o_orderstatus")
+    orders = load(spark, sf, "orders")
+    built = spec.build({f.name: f.dataType for f in orders.schema.fields})
+    fine = built.error.isNull()
+    return orders.select("o_orderkey", F.when(fine, built.path).alias("path"), built.ns.alias("ns"), built.error.alias("error"))
+
+
 def key_errors(spark: SparkSession, sf: str) -> DataFrame:
     """Id 0 and missing names are row errors."""
     spec = ef.key_policy(
@@ -357,6 +369,7 @@ QUERIES = {
     "decode_strict": decode_strict,
     "decode_loose": decode_loose,
     "build_keys": build_keys,
+    "key_from_column": key_from_column,
     "key_errors": key_errors,
     "key_json": key_json_text,
     "row_key_choice": row_key_choice,
@@ -370,8 +383,8 @@ SQL = {
         FROM part""",
     "encode_float": """
         SELECT l_orderkey, l_partkey, l_discount AS discount, CAST(l_linenumber AS DOUBLE) AS line,
-               CAST(NULL AS VARCHAR) AS error, count(*) AS rows
-        FROM lineitem GROUP BY ALL""",
+               CAST(NULL AS VARCHAR) AS error
+        FROM lineitem""",
     "encode_bool": """
         SELECT event_id,
                CASE event_type WHEN 'click' THEN TRUE WHEN 'view' THEN FALSE
@@ -449,9 +462,16 @@ SQL = {
     "decode_loose": f"""
         SELECT doc_id, lang, source, CAST(quality AS BIGINT) AS quality FROM {LABELLED_SQL}""",
     "build_keys": """
-        SELECT 'Shop/i:5/Customer/n:' || o_custkey || '/Order/i:' || o_orderkey || '/' AS path,
-               o_orderpriority AS ns, TRUE AS complete
-        FROM orders WHERE o_orderkey <> 0""",
+        SELECT o_orderkey,
+               CASE WHEN o_orderkey <> 0 THEN 'Shop/i:5/Customer/n:' || o_custkey || '/Order/i:' || o_orderkey || '/' END AS path,
+               CASE WHEN o_orderkey <> 0 THEN o_orderpriority END AS ns,
+               CASE WHEN o_orderkey <> 0 THEN TRUE END AS complete,
+               CASE WHEN o_orderkey = 0 THEN 'a numeric key id must not be zero' END AS error
+        FROM orders""",
+    "key_from_column": """
+        SELECT o_orderkey, CASE WHEN o_orderkey <> 0 THEN 'Order/i:' || o_orderkey || '/' END AS path, o_orderstatus AS ns,
+               CASE WHEN o_orderkey = 0 THEN 'a numeric key id must not be zero' END AS error
+        FROM orders""",
     "key_errors": """
         SELECT o_orderkey, CASE
             WHEN o_orderpriority = '1-URGENT' THEN 'missing key value for parent'

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import entityframe as ef
+from entityframe import fixed_values as fv
+from entityframe.functions.keys import key_path_text
 from entityframe.operators.inference import field_profile, observed_types
 from workloads.common import LABELLED_SQL, labelled_documents, load, new_store
 
@@ -65,12 +69,55 @@ def infer_then_read(spark: SparkSession, sf: str) -> DataFrame:
         F.parse_json("props").alias("props"),
     )
     ef.write_entities(store, rows, schema).raise_for_errors()
-    report = ef.infer_schema_of_kind(store, "Loose", sample_size=None)
+    report = ef.infer_schema_of_kind(store, "Loose")
     read = ef.read_entities(store, "Loose", schema=report.schema)
     return read.select("event_id", "bonus", F.try_variant_get("props", "$.k", "bigint").alias("k"))
 
 
+def _late_text(spark: SparkSession, sf: str) -> ef.EntityStore:
+    """A kind in which one entity out of all holds text where the others hold numbers."""
+    store = new_store(spark)
+    events = load(spark, sf, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    schema = ef.Schema(
+        "Late", {"event_id": ef.Field(ef.Int64Type()), "reading": ef.Field(ef.ObjectType())}, key=ef.key_policy("Late", id_field="event_id")
+    )
+    odd = F.col("event_id") == last
+    reading = F.parse_json(F.when(odd, F.lit('"broken"')).otherwise(F.col("event_id").cast("string")))
+    rows = events.select("event_id", reading.alias("reading"))
+    ef.write_entities(store, rows, schema).raise_for_errors()
+    return store
+
+
+def infer_read_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Read with the schema found in all entities: no value is lost to the type of the others."""
+    read = ef.read_entities(_late_text(spark, sf), "Late", infer_schema=True)
+    return read.select("event_id", F.to_json("reading").alias("reading"))
+
+
+def chunk_union(spark: SparkSession, sf: str) -> DataFrame:
+    """All chunks of an inferred read, and all chunks of a keys-only one."""
+    store = _late_text(spark, sf)
+    size = store.table("Late").read().count() // 3 + 1
+    full = list(ef.iter_entities(store, "Late", chunksize=size, infer_schema=True, order=["-event_id"]))
+    keys = list(ef.iter_entities(store, "Late", chunksize=size, keys_only=True))
+    rows = [c.select("event_id", F.to_json("reading").alias("reading"), F.lit(i).alias("chunk")) for i, c in enumerate(full)]
+    paths = [c.select(key_path_text(F.col(fv.KEY)).alias("path"), F.lit(i).alias("key_chunk")) for i, c in enumerate(keys)]
+    found = reduce(DataFrame.unionByName, rows).withColumn("path", F.format_string("Late/n:%d/", "event_id"))
+    return found.join(reduce(DataFrame.unionByName, paths), "path")
+
+
+def infer_string_policy(spark: SparkSession, sf: str) -> DataFrame:
+    """Mixed properties become text under the string policy."""
+    report = ef.infer_schema_from_records(_mixed(spark, sf), "record", kind="Event", mixed_type_policy="string")
+    rows = [(f.name, f.dtype.name, f.nullable, f.mixed) for f in report.fields.values()]
+    return spark.createDataFrame(rows, "name string, dtype string, nullable boolean, mixed boolean")
+
+
 QUERIES = {
+    "infer_read_all": infer_read_all,
+    "chunk_union": chunk_union,
+    "infer_string_policy": infer_string_policy,
     "infer_props": infer_props,
     "infer_mixed": infer_mixed,
     "infer_schema_fields": infer_schema_fields,
@@ -79,6 +126,21 @@ QUERIES = {
 }
 
 SQL = {
+    "infer_read_all": """
+        SELECT event_id, CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN '"broken"'
+               ELSE CAST(event_id AS VARCHAR) END AS reading
+        FROM events""",
+    "chunk_union": """
+        WITH n AS (SELECT count(*) // 3 + 1 AS size, max(event_id) AS last FROM events)
+        SELECT event_id, CASE WHEN event_id = last THEN '"broken"' ELSE CAST(event_id AS VARCHAR) END AS reading,
+               CAST((row_number() OVER (ORDER BY event_id DESC) - 1) // size AS INTEGER) AS chunk,
+               'Late/n:' || event_id || '/' AS path,
+               CAST((row_number() OVER (ORDER BY 'Late/n:' || event_id || '/') - 1) // size AS INTEGER) AS key_chunk
+        FROM events, n""",
+    "infer_string_policy": """
+        SELECT 'payload' AS name, 'string' AS dtype, TRUE AS nullable, TRUE AS mixed
+        UNION ALL SELECT 'rate', 'float64', FALSE, FALSE
+        UNION ALL SELECT 'note', 'string', count(*) FILTER (event_type <> 'view') > 0, FALSE FROM events""",
     "infer_props": """
         SELECT key AS name, CASE WHEN type IN ('UBIGINT', 'BIGINT') THEN 'int64' ELSE lower(type) END AS type,
                count(*) AS "values"

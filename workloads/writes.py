@@ -8,13 +8,14 @@ urgent ones changed, the rest unchanged; every row of both tables takes part.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import entityframe as ef
 from entityframe import fixed_values as fv
-from entityframe.operators.delta import merge_deltas
 from entityframe.plans.write_plan import duplicate_keys, plan_rows
+from entityframe.sources.staging import fresh_path
 from workloads.common import (
     EVENT,
     LABELLED_SQL,
@@ -133,9 +134,10 @@ def failed_rows(spark: SparkSession, sf: str) -> DataFrame:
 def merged_reports(spark: SparkSession, sf: str) -> DataFrame:
     accessor = _store_closed(spark, sf)
     wanted = load(spark, sf, "orders")
-    first = accessor.write(wanted.filter("o_orderstatus = 'O'"), dry_run=True, row_index=_INDEX)
-    second = accessor.write(wanted.filter("o_orderstatus = 'P'"), read_only=True, row_index=_INDEX)
-    return first.extend(second).results.select("row_index", "action", "error", "planned_write")
+    open_ = accessor.write(wanted.filter("o_orderstatus = 'O'"), dry_run=True, row_index=_INDEX)
+    pending = accessor.write(wanted.filter("o_orderstatus = 'P'"), read_only=True, row_index=_INDEX)
+    closed = accessor.write(wanted.filter("o_orderstatus = 'F'"), mode="insert", row_index=_INDEX)
+    return open_.extend(pending).extend(closed).results.select("row_index", "action", "error", "planned_write")
 
 
 def duplicate_key_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,14 +221,22 @@ def audit_stamp(spark: SparkSession, sf: str) -> DataFrame:
     return policy.apply(docs).select("doc_id", micros("created_at"), micros("modified_at"), micros("batch_at"))
 
 
+COUNTER = ef.Schema(
+    "Counter",
+    {"user_id": ef.Field(ef.Int64Type()), "event_type": ef.Field(ef.StringType()), "value": ef.Field(ef.Float64Type())},
+    key=ef.key_policy("Counter", id_field="event_type", ancestors=[("User", "user_id")]),
+)
+
+
 def delta_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Spending per user: a stored start value plus all purchases."""
+    """Spending per user and type of event: stored start values, plus the values of all events
+    written back as the new counters."""
     events = load(spark, sf, "events")
-    start = events.filter("event_type = 'signup'").groupBy("user_id").agg(
-        F.max("event_id").cast("double").alias("value")
-    )
-    merged = merge_deltas(start, events.filter("event_type = 'purchase'"), ["user_id"], "value")
-    return merged.select("user_id", F.round("value", 4).alias("value"))
+    counters = ef.kind(schema=COUNTER, store=new_store(spark))
+    start = events.groupBy("user_id", "event_type").agg(F.max("event_id").cast("double").alias("value"))
+    counters.write(start.filter("value % 3 <> 0")).raise_for_errors()
+    ef.add_deltas(counters.store, COUNTER, events, "value").raise_for_errors()
+    return counters.read().select("user_id", "event_type", F.round("value", 4).alias("value"))
 
 
 def bound_read(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,11 +251,48 @@ def bound_read(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bound_scope_write(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of one ancestor planned through an accessor bound to it."""
+    """All orders against an accessor bound to one customer: each row with its verdict."""
     ancestor = ef.EntityKey((("Customer", "13"),))
-    accessor = ef.kind(schema=ORDER, store=new_store(spark), ancestor=ancestor)
-    rows = load(spark, sf, "orders").filter("o_custkey = 13")
-    return _plan_view(accessor.plan_write(rows, row_index=_INDEX))
+    accessor = ef.kind(schema=ORDER, store=new_store(spark), ancestor=ancestor, enforce_ancestor=False)
+    plan = accessor.plan_write(load(spark, sf, "orders"), row_index=_INDEX)
+    return plan.scoped(ancestor).df.select("row_index", "action", "error", "should_write")
+
+
+def scope_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """A delete through an accessor bound to one customer: the keys outside are errors, and
+    nothing is deleted."""
+    accessor = ef.kind(schema=ORDER, store=new_store(spark))
+    orders = load(spark, sf, "orders")
+    accessor.write(orders).raise_for_errors()
+    bound = accessor.with_ancestor(ef.EntityKey((("Customer", "13"),)))
+    report = bound.delete(keyed(orders, ORDER))
+    left = F.lit(accessor.count()).cast("long").alias("left")
+    return report.results.groupBy("action", "error", "wrote").agg(F.count(F.lit(1)).alias("rows")).select("*", left)
+
+
+def read_only_delete_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A read-only accessor reports what it would have deleted."""
+    accessor = ef.kind(schema=ORDER, store=stored(spark, sf, "Order").store, read_only=True)
+    report = accessor.delete(keyed(load(spark, sf, "orders"), ORDER))
+    return report.results.select("row_index", "action", "error", "planned_write", "wrote")
+
+
+def model_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """Why frames made from a kind may not go back to it, counted over all its rows."""
+    accessor = stored(spark, sf, "Order")
+    model = ef.entity_model(store=accessor.store, schema=ORDER).load(keep_original=True)
+    cut = model.replace_df(model.df.filter("o_orderstatus = 'F'"), lineage="closed only")
+    cases = {
+        "loaded": model,
+        "derived": model.derive(model.df, lineage="copy"),
+        "keyless": model.replace_df(model.df.select("o_totalprice")),
+        "cut": cut,
+        "aimed": cut.with_target(kind="Closed"),
+    }
+    rows = [(name, "; ".join(m.objections()) or None, " > ".join(m.lineage)) for name, m in cases.items()]
+    verdicts = spark.createDataFrame(rows, "model string, objection string, lineage string")
+    counts = [m.df.agg(F.count(F.lit(1)).alias("rows")).withColumn("model", F.lit(name)) for name, m in cases.items()]
+    return verdicts.join(reduce(DataFrame.unionByName, counts), "model")
 
 
 def round_trip_skips(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,12 +303,14 @@ def round_trip_skips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """All events loaded from a file stream, then read back."""
+    """All events, split over several files and loaded one file a batch, then read back."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     store = new_store(spark)
     source = load(spark, sf, "events")
-    stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    ef.start_upsert(stream, store, EVENT).awaitTermination()
+    files = fresh_path(spark, "events")
+    source.repartition(3).write.parquet(files)
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    ef.start_upsert(stream, store, EVENT, checkpoint=fresh_path(spark, "stream")).awaitTermination()
     rows = ef.read_entities(store, "Event", schema=EVENT)
     return rows.select("event_id", "user_id", micros("ts"), "event_type", "value")
 
@@ -290,6 +339,9 @@ QUERIES = {
     "delta_merge": delta_merge,
     "bound_read": bound_read,
     "bound_scope_write": bound_scope_write,
+    "scope_violations": scope_violations,
+    "read_only_delete_report": read_only_delete_report,
+    "model_guards": model_guards,
     "round_trip_skips": round_trip_skips,
     "stream_upsert": stream_upsert,
 }
@@ -375,10 +427,11 @@ SQL = {
         SELECT o_orderkey AS row_index, 'error' AS action, 'update target does not exist' AS error
         FROM orders WHERE o_orderstatus = 'O'""",
     "merged_reports": """
-        SELECT o_orderkey AS row_index, 'upsert' AS action,
-               CASE WHEN o_orderstatus = 'P' THEN 'read_only prevents write execution' END AS error,
-               TRUE AS planned_write
-        FROM orders WHERE o_orderstatus IN ('O', 'P')""",
+        SELECT o_orderkey AS row_index, CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'upsert' END AS action,
+               CASE o_orderstatus WHEN 'P' THEN 'read_only prevents write execution'
+                    WHEN 'F' THEN 'insert target already exists' END AS error,
+               o_orderstatus <> 'F' AS planned_write
+        FROM orders""",
     "duplicate_key_report": """
         SELECT 'Order/n:' || l_orderkey || '/Line/n:' || l_linenumber || '/' AS entity_key, count(*) AS rows
         FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -409,17 +462,34 @@ SQL = {
                epoch_us(TIMESTAMP '2026-01-02 03:04:05') AS batch_at_us
         FROM {LABELLED_SQL}""",
     "delta_merge": """
-        SELECT user_id, round(coalesce(s.value, 0) + coalesce(p.spent, 0), 4) AS value
-        FROM (SELECT user_id, CAST(max(event_id) AS DOUBLE) AS value FROM events
-              WHERE event_type = 'signup' GROUP BY user_id) s
-        FULL OUTER JOIN (SELECT user_id, sum(value) AS spent FROM events
-              WHERE event_type = 'purchase' GROUP BY user_id) p USING (user_id)""",
+        SELECT user_id, event_type,
+               round(CASE WHEN max(event_id) % 3 <> 0 THEN max(event_id) ELSE 0 END
+                     + coalesce(sum(CASE WHEN NOT isnan(value) THEN value END), 0), 4) AS value
+        FROM events GROUP BY user_id, event_type""",
     "bound_read": """
         SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000""",
-    "bound_scope_write": f"""
-        SELECT o_orderkey AS row_index, 'upsert' AS action, {_KEY} AS entity_key,
-               CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS error, TRUE AS should_write
-        FROM orders WHERE o_custkey = 13""",
+    "bound_scope_write": """
+        SELECT o_orderkey AS row_index, CASE WHEN o_custkey = 13 THEN 'upsert' ELSE 'error' END AS action,
+               CASE WHEN o_custkey <> 13 THEN 'the key lies outside the bound ancestor' END AS error,
+               o_custkey = 13 AS should_write
+        FROM orders""",
+    "scope_violations": """
+        SELECT CASE WHEN o_custkey = 13 THEN 'delete' ELSE 'error' END AS action,
+               CASE WHEN o_custkey <> 13 THEN 'the key lies outside the bound ancestor' END AS error,
+               FALSE AS wrote, count(*) AS rows, (SELECT count(*) FROM orders) AS "left"
+        FROM orders GROUP BY 1, 2, 3""",
+    "read_only_delete_report": """
+        SELECT '@ Customer/n:' || o_custkey || '/Order/n:' || o_orderkey || '/' AS row_index, 'delete' AS action,
+               'read_only prevents write execution' AS error, TRUE AS planned_write, FALSE AS wrote
+        FROM orders""",
+    "model_guards": """
+        WITH n AS (SELECT count(*) AS every, count(*) FILTER (o_orderstatus = 'F') AS closed FROM orders)
+        SELECT 'loaded' AS model, CAST(NULL AS VARCHAR) AS objection, '' AS lineage, every AS rows FROM n
+        UNION ALL SELECT 'derived', 'a derived frame cannot go back to its source; choose a target first', 'copy', every FROM n
+        UNION ALL SELECT 'keyless', 'writing back needs __key__ or all key source columns', '', every FROM n
+        UNION ALL SELECT 'cut', CASE WHEN every <> closed THEN
+            'the row count changed since loading; choose a target or allow_shape_change' END, 'closed only', closed FROM n
+        UNION ALL SELECT 'aimed', NULL, 'closed only', closed FROM n""",
     "round_trip_skips": """
         SELECT 'skip' AS action, 'entity unchanged' AS reason, count(*) AS rows FROM events""",
     "stream_upsert": "SELECT event_id, user_id, epoch_us(ts) AS ts_us, event_type, value FROM events",
