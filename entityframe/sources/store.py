@@ -462,7 +462,7 @@ def pair_rows(
         both = both.withColumn("__piece__", F.pmod(F.xxhash64(fv.NS, fv.PATH), F.lit(pieces)))
         deal.append("__piece__")
     spread = both.repartition(*deal) if partitions is None else both.repartition(partitions, *deal)
-    keys = [*deal, *[n for n in (fv.NS, fv.BUCKET, fv.PATH) if n not in folders]]
+    keys = [*folders, *[n for n in (fv.NS, fv.BUCKET, fv.PATH) if n not in folders], *deal[len(folders) :]]  # last, so that files are in key order
     return spread.groupBy(*keys).agg(
         F.first("old", ignorenulls=True).alias("old"),
         F.first("new", ignorenulls=True).alias("new"),

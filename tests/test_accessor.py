@@ -174,3 +174,49 @@ def test_dedup_matches_brute_force_with_a_hot_group(spark):
             best[r.g] = (-r.o, r.id)
     assert kept == {i for _, i in best.values()}
     assert ef.surplus(df, ["g"], order=["-o"], tie=["id"]).count() == 3000 - len(best)
+
+
+def test_duplicates_group_by_digest_not_by_text(frame):
+    df = frame(
+        [(1, None, [None, 1]), (2, None, [1, None]), (3, "", [1]), (4, None, [None, 1]), (5, "t" * 5000, None), (6, "t" * 5000, None)],
+        "id int, x string, y array<int>",
+    )
+    made = ef.surplus(df, ["x", "y"], tie=["id"])
+    assert sorted(r.id for r in made.collect()) == [4, 6]
+    plan = ef.surplus(df.select("id", "x"), ["x"], tie=["id"])._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window") :]
+    assert "Window" in plan and "x#" not in window.split("\n")[0].split("specifiedwindow")[-1]
+
+
+def test_cleanup_needs_keys_of_their_own(store, frame):
+    schema = ef.Schema("D", {"x": ef.Field(ef.StringType())}, key=ef.key_policy("D", id_field="d"))
+    ef.write_entities(store, frame([("a", "v"), ("b", "v")], "d string, x string"), schema)
+    accessor = ef.kind(schema=schema, store=store)
+    rows = accessor.raw()
+    with pytest.raises(ef.KeyValidationError):
+        accessor.plan_duplicate_cleanup(by=["x"], frame=rows.unionByName(rows))
+    assert accessor.plan_duplicate_cleanup(by=["x"]).df.count() == 1
+
+
+def test_delete_keeps_to_scope_and_read_only(store, frame):
+    schema = ef.Schema("M", {"v": ef.Field(ef.Int64Type())}, key=ef.key_policy("M", id_field="n", ancestors=[("X", "x")]))
+    ef.write_entities(store, frame([("a", "1", 1), ("b", "1", 2)], "x string, n string, v int"), schema)
+    accessor = ef.kind(schema=schema, store=store)
+    mine, other = (ef.EntityKey((("X", x), ("M", "1"))) for x in "ab")
+    closed = accessor.with_scope(read_only=True).delete([mine])
+    assert (closed.failed, closed.wrote, accessor.count()) == (1, 0, 2)
+    bound = accessor.with_ancestor(ef.EntityKey((("X", "a"),)))
+    mixed = bound.delete([mine, other])
+    assert (mixed.failed, mixed.wrote, accessor.count()) == (1, 0, 2)
+    assert bound.delete([mine]).wrote == 1 and accessor.count() == 1
+    assert accessor.delete([other], dry_run=True).wrote == 0 and accessor.count() == 1
+
+
+def test_a_page_refuses_a_bound_order(store, frame):
+    schema = ef.Schema("N", {"v": ef.Field(ef.Int64Type())}, key=ef.key_policy("N", id_field="n"))
+    ef.write_entities(store, frame([("a", 1)], "n string, v int"), schema)
+    accessor = ef.kind(schema=schema, store=store, order=["-v"])
+    with pytest.raises(ef.QueryValidationError):
+        accessor.page(5)
+    chunks = [c.columns for c in ef.kind(schema=schema, store=store).iter(keys_only=True)]
+    assert chunks == [[fv.KEY]]

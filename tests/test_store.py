@@ -187,12 +187,86 @@ def test_the_second_of_two_writers_is_told(table, frame):
     before = table.snapshot()
     changed = table.read().withColumn("value", F.lit(1).cast("bigint"))
     table.merge(changed.filter("value = 1"), "put")
-    late = table._publish
+    live = table.snapshot().partitions
+    # The slower writer has read the same version; it neither wins nor loses anybody's rows.
     with pytest.raises(ef.WriteConflictError):
-        late(before, frozenset(), before.properties)
+        table.merge(table.read(before).limit(1), "put", before)
+    with pytest.raises(ef.WriteConflictError):
+        table._publish(before, frozenset(), before.properties)
+    assert table.snapshot().partitions == live
     assert {r.value for r in table.read().collect()} == {1}
 
 
+def test_a_claim_is_created_once(spark, tmp_path):
+    from entityframe.sources.pointer import create_if_absent, names_in, read_text
+
+    path = f"{tmp_path}/claims/1"
+    assert create_if_absent(spark, path, "first") and not create_if_absent(spark, path, "second")
+    assert read_text(spark, path) == "first" and names_in(spark, f"{tmp_path}/claims") == ["1"]
+    assert names_in(spark, f"{tmp_path}/none") == []
+
+
+def test_classification_and_commit_use_one_version(table, frame, monkeypatch):
+    """A row that another writer inserts in between is not written over."""
+    from entityframe.sources.store import EntityTable
+
+    true = EntityTable.read_for
+    raced = []
+
+    def read_for(self, batch, snapshot):
+        found = true(self, batch, snapshot)
+        if not raced:
+            raced.append(1)
+            ef.write_entities(table.store, frame([("x", "new", 100)], DDL), DOC)
+        return found
+
+    monkeypatch.setattr(EntityTable, "read_for", read_for)
+    with pytest.raises(ef.WriteConflictError):
+        ef.write_entities(table.store, frame([("x", "new", 7)], DDL), DOC, mode="insert")
+    assert table.read().filter("value = 100").count() == 1 and table.read().filter(F.col(fv.PATH).contains("new")).count() == 1
+
+
+def test_a_large_partition_is_several_tasks(spark, frame, tmp_path):
+    store = ef.EntityStore(spark, str(tmp_path), buckets=1, task_bytes=20_000)
+    rows = [("x", f"d{i}", i) for i in range(4000)]
+    ef.write_entities(store, frame(rows, DDL), DOC)
+    ef.write_entities(store, frame(rows[:50], DDL), DOC)
+    table = store.table("Doc")
+    files = rows_per_file(table.read())
+    assert len(files) > 1 and all(r == sorted(r) for r in files)
+    assert sorted(values(table.read()).values()) == list(range(4000))
+
+
+def test_touched_partitions_do_not_grow_with_namespaces(spark, frame, tmp_path):
+    store = ef.EntityStore(spark, str(tmp_path), buckets=2, by_namespace=False)
+    ef.write_entities(store, frame([(f"n{i}", "d", i) for i in range(300)], DDL), DOC)
+    table = store.table("Doc")
+    assert table._touched(table.snapshot(), table.read()) == {(None, 0), (None, 1)}
+    assert table.expire() == []
+
+
+def test_expire_names_what_only_old_versions_read(table):
+    changed = table.read().withColumn("value", F.lit(1).cast("bigint"))
+    old = {w for _, _, w in table.snapshot().partitions}
+    table.merge(changed, "put")
+    assert set(table.expire()) == old and not set(table.expire(keep=2)) & old
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    from entityframe.sources import staging
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ef.SchemaError):
+        staging.shared_folder(Cluster)
+
+
 def test_empty_batches(table, frame):
     empty = frame([], DDL)
     for options in ({}, {"skip_unchanged": True}, {"mode": "insert"}, {"dry_run": True}):
