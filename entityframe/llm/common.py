@@ -7,13 +7,15 @@ import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import entityframe
 from entityframe.sources.staging import fresh_path, stage
 
-__all__ = ["fresh_path", "held_out", "load", "ship", "stage", "text_or_empty", "uniform"]
+__all__ = ["fresh_path", "held_out", "load", "ship", "slices", "stage", "text_or_empty", "uniform"]
 
 _SHIPPED: set[str] = set()
 
@@ -47,6 +49,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a worker holds few texts as Python strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

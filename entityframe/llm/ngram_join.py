@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entityframe.llm.common import load, ship, stage, text_or_empty
+from entityframe.llm.common import load, ship, slices, stage, text_or_empty
 from entityframe.llm.components import components
 
 WORDS = 5
@@ -28,6 +28,8 @@ RECALL = 0.99999
 MOST_HASHES = 160
 #: Nodes of a block.
 BLOCK = 256
+#: Size of the bit map that keeps texts without a candidate from being shuffled.
+FILTER_BITS = 1 << 24
 _SEED = 20_240_607
 _COLUMNS = 8192
 # Fixed values of a well-known 64-bit mixing step, and an odd base.
@@ -118,7 +120,7 @@ def _mixed_low(x: np.ndarray) -> np.ndarray:
 
 def _profiles(words: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, sizes, signatures = [], [], []
             for text in batch.column("text").to_pylist():
                 grams = ngram_set(text, words)
@@ -145,7 +147,7 @@ def _sets(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             nodes, sets = [], []
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if node not in seen:
@@ -306,7 +308,7 @@ def _verified(keyed: DataFrame, nodes: DataFrame, words: int, threshold: float,
     hubs = met.groupBy("node").agg(F.sort_array(F.collect_set("hub")).alias("hubs"))
     known = nodes.select("node", "copies", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
     wanted = stage(hubs.join(known, "node"), "wanted")
-    texts = keyed.join(
+    texts = _maybe(keyed, wanted).join(
         wanted.select("node", "first_id", "first_hash"),
         (F.col("text_hash") == F.col("first_hash")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
     ).select("node", "text")
@@ -326,6 +328,20 @@ def _verified(keyed: DataFrame, nodes: DataFrame, words: int, threshold: float,
     )
 
 
+def _maybe(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`keyed` without most of the rows that the join with `wanted` drops anyway, so that their
+    texts are not shuffled.  A bit map over the hashes of the wanted texts says which: it lets
+    through every wanted row and, the fuller it is, the more others.
+    """
+    words = wanted.select(F.pmod("first_hash", F.lit(FILTER_BITS)).alias("bit")).groupBy(
+        F.shiftright("bit", 6).alias("word")
+    ).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("bits"))
+    bit = F.pmod("text_hash", F.lit(FILTER_BITS))
+    # Bounded by FILTER_BITS / 64 rows of two numbers.
+    found = keyed.join(F.broadcast(words), F.shiftright(bit, 6) == F.col("word"))
+    return found.filter(F.bit_get("bits", bit % 64) == 1).drop("word", "bits")
+
+
 def drop_near_copies(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of `docs` that ngram_join calls first in their class, with all their columns."""
     found = ngram_join(docs, **parameters).filter(~F.col("is_first")).select(
