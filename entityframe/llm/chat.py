@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entityframe.llm.common import load, ship
+from entityframe.llm.common import load, ship, slices
 from entityframe.llm.tokens import encoder, vocabulary_path
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -64,7 +64,7 @@ def _counted(path: str):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             roles, texts = ([x or "" for x in batch.column(c).to_pylist()] for c in ("role", "text"))
             tokens = [encode.count(_turn(r, t)[0]) for r, t in zip(roles, texts, strict=True)]
             yield pa.RecordBatch.from_arrays(

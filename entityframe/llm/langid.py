@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from entityframe.llm.common import held_out, load, ship, stage
+from entityframe.llm.common import held_out, load, ship, slices, stage
 
 #: Characters of labelled text per language that an automaton is built on.
 FIT_CHARS = 24_000
@@ -203,7 +203,7 @@ def identify(docs: DataFrame, automata: Automata) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             found = model.classify([t or "" for t in batch.column("text").to_pylist()])
             columns = list(zip(*found, strict=True)) if found else [[], [], []]
             arrays = [batch.column("doc_id"), pa.array(columns[0], pa.string()), *(pa.array(c, pa.float64()) for c in columns[1:])]

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entityframe.llm.common import load, ship
+from entityframe.llm.common import load, ship, slices
 
 # The kinds with patterns in their order, then the kind that only the field finds.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -315,7 +315,7 @@ def fit(docs: DataFrame, most: int = FIT_REGIONS, passes: int = FIT_PASSES) -> S
     """Weights from up to `most` regions of the documents, the first by a hash of their text."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t for t in batch.column("text").to_pylist() if t and re.search("[0-9@]", t)]
             # Longer regions are runs of numbers; they are decoded but not learned from.
             parts = {t[a:b] for t in texts for a, b in regions(t) if b - a <= 400}
@@ -380,7 +380,7 @@ def find_pii(docs: DataFrame, field: SegmentField) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             counts: list[list[int]] = [[] for _ in BASE_KINDS]
             digests, spans = [], []
             for text in batch.column("text").to_pylist():

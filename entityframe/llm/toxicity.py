@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from entityframe.llm.common import held_out, load, ship
+from entityframe.llm.common import held_out, load, ship, slices
 
 #: Labelled rows that terms and examples are taken from.
 EXAMPLES = 8000
@@ -35,7 +35,7 @@ BEGINNINGS = (4, 5, 6)
 #: A text is rejected from this score on.
 REJECT = 0.5
 _WORD = re.compile(r"\w+")
-_MEMO = 300_000
+_MEMO = 150_000
 
 
 def _words(text: str | None) -> list[str]:
@@ -193,7 +193,7 @@ def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 def _choose_terms(sample: DataFrame, most: int, least: float) -> list[str]:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, toxic = Counter(), Counter()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 terms = {t for w in set(_words(text)) for t in _terms_of(w)}
@@ -224,7 +224,7 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(size, dtype=np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 seen[list(vocabulary.counts(text))] += 1
             rows += batch.num_rows
@@ -262,7 +262,7 @@ def fit(
 
 def _counter(vocabulary: Vocabulary):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts = [vocabulary.counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -285,13 +285,14 @@ def with_scores(docs: DataFrame, model: Examples) -> DataFrame:
     ship(spark)
     # Bounded by EXAMPLES and TERMS.
     shared = spark.sparkContext.broadcast(model)
-    kept = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    kept = docs.select(F.struct("*").alias("row"))
     verdict = pa.struct([("score", pa.float64()), ("evidence_ids", pa.list_(pa.int64())), ("evidence_cosines", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = shared.value
-        for batch in batches:
-            found = [dict(zip(("score", "evidence_ids", "evidence_cosines"), examples.score(t), strict=True)) for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            texts = batch.column("row").field("text").to_pylist()
+            found = [dict(zip(verdict.names, examples.score(t), strict=True)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, verdict)], names=["row", "toxicity"])
 
     return kept.mapInArrow(run, _row_schema(kept)).select("row", "toxicity")
