@@ -14,7 +14,7 @@ from entityframe.functions.keys import (
     key_ns_code,
     key_path_text,
     key_without_partition,
-    parse_key_json,
+    judged_key_json,
 )
 from entityframe.plans.write_plan import PROPERTIES, plan_rows
 from workloads.common import (
@@ -323,15 +323,15 @@ def key_errors(spark: SparkSession, sf: str) -> DataFrame:
 def key_json_text(spark: SparkSession, sf: str) -> DataFrame:
     """Serialised, parsed again, and stripped of its partition."""
     orders = keyed(load(spark, sf, "orders"), ORDER)
-    parsed = parse_key_json(key_json(F.col(fv.KEY)))
-    rows = orders.select("o_orderkey", F.col(fv.KEY), parsed.value.alias("again"), parsed.error.alias("error"))
+    texts = orders.select("o_orderkey", F.col(fv.KEY), key_json(F.col(fv.KEY)).alias("json"))
+    rows = texts.withColumn("parsed", judged_key_json(F.col("json")))
     return rows.select(
         "o_orderkey",
-        key_json(F.col(fv.KEY)).alias("json"),
-        (key_json(F.col("again")) == key_json(F.col(fv.KEY))).alias("same"),
-        key_json(key_without_partition(F.col("again"))).alias("bare_json"),
+        "json",
+        (key_json(F.col("parsed.key")) == F.col("json")).alias("same"),
+        key_json(key_without_partition(F.col("parsed.key"))).alias("bare_json"),
         F.array_join(key_flat_path(F.col(fv.KEY)), ",").alias("flat"),
-        F.coalesce("error", key_error(F.col(fv.KEY))).alias("error"),
+        F.coalesce("parsed.error", key_error(F.col(fv.KEY))).alias("error"),
     )
 
 
