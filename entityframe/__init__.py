@@ -56,6 +56,7 @@ from entityframe.plans.reports import ReportTotals, WriteReport
 from entityframe.plans.write_plan import WritePlan
 from entityframe.schema import Field, Schema
 from entityframe.sources.csvfiles import read_csv, write_csv
+from entityframe.sources.staging import release, staged_count
 from entityframe.sources.store import EntityStore
 from entityframe.streaming.upsert import start_upsert
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,6 +31,33 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Staged tables that have not been released, oldest first, by application and thread.
+_WRITTEN: dict[tuple[str, int], list[str]] = {}
+
+
+def _owner(spark: SparkSession) -> tuple[str, int]:
+    return spark.sparkContext.applicationId, threading.get_ident()
+
+
+def staged_count(spark: SparkSession) -> int:
+    """How many tables this thread has staged; a place to give to `release`."""
+    return len(_WRITTEN.get(_owner(spark), ()))
+
+
+def release(spark: SparkSession, since: int = 0, newest: int = 0) -> int:
+    """Delete the tables that this thread staged from place `since` on, but for the `newest` ones; returns how many.
+
+    Frames that still read them, such as the results of a report, must not be used afterwards.
+    """
+    written = _WRITTEN.get(_owner(spark), [])
+    gone = written[since : len(written) - newest]
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del written[since : len(written) - newest]
+    return len(gone)
+
+
 def stage(df: DataFrame, label: str = "stage", seen: Observation | None = None, **metrics) -> DataFrame:
     """Write `df` once and read it back.
 
@@ -38,6 +66,7 @@ def stage(df: DataFrame, label: str = "stage", seen: Observation | None = None,
     `metrics` are taken by `seen` while the rows go by.
     """
     path = fresh_path(df.sparkSession, label)
+    _WRITTEN.setdefault(_owner(df.sparkSession), []).append(path)
     watched = df
     if seen is not None:
         watched = df.observe(seen, *[m.alias(n) for n, m in metrics.items()])

@@ -175,3 +175,15 @@ def test_stream_load(spark, store, frame):
     assert run() == {"D/n:a/": 1, "D/n:b/": 2}
     frame([("b", 9), ("c", 3)], "d string, v int").write.mode("append").parquet(source)
     assert run() == {"D/n:a/": 1, "D/n:b/": 9, "D/n:c/": 3}
+
+
+def test_staged_tables_are_released(spark, frame):
+    from entityframe.sources.staging import stage
+
+    before = ef.staged_count(spark)
+    first, second, third = (stage(frame([i], "i int")) for i in range(3))
+    assert ef.staged_count(spark) == before + 3
+    assert ef.release(spark, before, newest=1) == 2 and third.first()[0] == 2
+    with pytest.raises(Exception):
+        spark.read.parquet(first.inputFiles()[0])
+    assert ef.release(spark, before) == 1 and ef.staged_count(spark) == before
