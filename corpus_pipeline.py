@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from entityframe.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from entityframe.llm.common import load, stage
+from entityframe.sources.staging import release, staged_count
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
+    before = staged_count(spark)
     for _, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), "pipeline")
+        # What led to this table is not read again.
+        release(spark, before, newest=1)
     return docs
 
 
