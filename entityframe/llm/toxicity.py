@@ -1,6 +1,7 @@
 """Toxicity by the nearest labelled examples, with exact TF-IDF cosine.
 
-Terms are words and word beginnings that labelled toxic texts have more often than others.
+Terms are words and word beginnings, also in numbers, that labelled toxic texts have more
+often than others.
 Labelled examples lie in an inverted index whose postings are cut into blocks of examples;
 each term keeps its largest weight in each block.  A text's nearest examples are found by
 visiting blocks in the order of what they can reach at most, until no block can beat the
@@ -28,10 +29,12 @@ from entityframe.llm.common import held_out, load, ship, slices
 EXAMPLES = 8000
 #: Terms at most, and the least association (chi square) with the label.
 TERMS = 2000
-LEAST_CHI2 = 25.0
+LEAST_CHI2 = 40.0
 NEIGHBOURS = 15
 BLOCK = 64
 BEGINNINGS = (4, 5, 6)
+#: A stem makes a term of its own for each of these numbers of times that a text has it.
+TIMES = (1, 2, 4)
 #: A text is rejected from this score on.
 REJECT = 0.5
 _WORD = re.compile(r"\w+")
@@ -42,33 +45,50 @@ def _words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _terms_of(word: str) -> list[str]:
+def _stems(word: str) -> list[str]:
     """A word and its beginnings, the latter marked by a star."""
     return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) > n)]
 
 
+def _term(stem: str, times: int) -> str:
+    return stem if times == 1 else f"{stem}@{times}"
+
+
+def _terms(text: str | None) -> set[str]:
+    """Terms of a text: each stem, and once more for each number of times that it reaches."""
+    stems: Counter = Counter()
+    for word, n in Counter(_words(text)).items():
+        for stem in _stems(word):
+            stems[stem] += n
+    return {_term(stem, times) for stem, n in stems.items() for times in TIMES if n >= times}
+
+
 class Vocabulary:
     """The chosen terms and how often a text has each."""
 
     def __init__(self, terms: list[str]):
         self.terms = list(terms)
-        self._ids = {t: i for i, t in enumerate(self.terms)}
+        ids = {t: i for i, t in enumerate(self.terms)}
+        # Stems that any term is about, and those terms with the times they ask for.
+        names = sorted({t.rsplit("@", 1)[0] for t in self.terms})
+        self._slots = {stem: slot for slot, stem in enumerate(names)}
+        self._asked = [[(times, ids[_term(stem, times)]) for times in TIMES if _term(stem, times) in ids] for stem in names]
         self._memo: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return {"terms": self.terms, "_ids": self._ids, "_memo": {}}
+        return self.__dict__ | {"_memo": {}}
 
     def counts(self, text: str | None) -> dict[int, int]:
-        memo, out = self._memo, {}
+        memo, seen = self._memo, {}
         for word, n in Counter(_words(text)).items():
             found = memo.get(word)
             if found is None:
                 if len(memo) >= _MEMO:
                     memo.clear()
-                found = memo[word] = tuple(self._ids[t] for t in _terms_of(word) if t in self._ids)
-            for i in found:
-                out[i] = out.get(i, 0) + n
-        return out
+                found = memo[word] = tuple(self._slots[s] for s in _stems(word) if s in self._slots)
+            for slot in found:
+                seen[slot] = seen.get(slot, 0) + n
+        return {i: n for slot, n in seen.items() for times, i in self._asked[slot] if n >= times}
 
 
 class Examples:
@@ -154,7 +174,7 @@ class Examples:
     def _vote(self, near: tuple[np.ndarray, np.ndarray]) -> tuple[float, np.ndarray]:
         places, cosines = near
         # Close neighbours count most; a distant lone neighbour leaves room for the plain share.
-        weights = 1 / (1.05 - np.minimum(cosines, 1.0))
+        weights = cosines / (1.05 - np.minimum(cosines, 1.0))
         return float((weights @ self.toxic[places] + self.plain) / (weights.sum() + 1)), weights
 
     def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
@@ -196,7 +216,7 @@ def _choose_terms(sample: DataFrame, most: int, least: float) -> list[str]:
         for batch in slices(batches):
             n, toxic = Counter(), Counter()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                terms = {t for w in set(_words(text)) for t in _terms_of(w)}
+                terms = _terms(text)
                 n.update(terms)
                 if label:
                     toxic.update(terms)
