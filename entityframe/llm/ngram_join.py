@@ -304,7 +304,9 @@ def _verified(keyed: DataFrame, nodes: DataFrame, words: int, threshold: float,
     banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = stage(banded.join(buckets.select("band", "hub"), "band").groupBy("node", "hub").count().drop("count"), "met")
-    sizes = met.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    # Only hubs of more than a block are looked up, so that small groups need no shuffle by hub.
+    sizes = met.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).filter("blocks > 1")
+    sizes = stage(sizes, "large-hubs")
     hubs = met.groupBy("node").agg(F.sort_array(F.collect_set("hub")).alias("hubs"))
     known = nodes.select("node", "copies", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
     wanted = stage(hubs.join(known, "node"), "wanted")
@@ -314,7 +316,7 @@ def _verified(keyed: DataFrame, nodes: DataFrame, words: int, threshold: float,
     ).select("node", "text")
     sets = texts.mapInArrow(_sets(words), "node long, grams binary")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = met.join(sizes, "hub").withColumn("block", mine)
+    members = met.join(sizes, "hub", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", mine)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pairs = members.select("node", "hub", "block", other).select(
         "node", "hub", "block", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper")
