@@ -23,7 +23,7 @@ from entityframe.operators.paging import numbered
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-BINS = 65_536
+BINS = 4096
 SEED = "mix"
 
 
