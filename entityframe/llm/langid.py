@@ -60,7 +60,6 @@ class Automata:
         for state, row in enumerate(rows):
             if row:
                 self.next[state, list(row)] = list(row.values())
-        # A character unknown to a language is a piece of its own and leads back to the start.
         top = max(map(ord, self.alphabet)) + 1
         self.codes = np.zeros(top + 1, dtype=np.int32)
         self.codes[[ord(c) for c in self.alphabet]] = list(self.symbols.values())
