@@ -3,8 +3,12 @@ distinct-on, order, limit and keyset position, as one lazy DataFrame."""
 
 from __future__ import annotations
 
+import calendar
+import math
 import operator
+import time
 from dataclasses import dataclass
+from datetime import date, datetime
 from functools import reduce
 from typing import Any, Sequence
 
@@ -170,10 +174,10 @@ def condition(name: str, op: str, value: Any, fields: dict[str, T.DataType]) ->
     if is_key_type(fields[name]):
         return _key_condition(left, op, value)
     if isinstance(fields[name], T.VariantType):
-        return _variant_condition(left, op, value)
+        return _variant_condition(left, name, op, value)
     if op in ("IN", "NOT_IN"):
         given = [v for v in value if v is not None]
-        inside = _isin(left, given)
+        inside = _isin(left, _name(name), given)
         if op == "IN":
             return inside if len(given) == len(value) else inside | _stored_null(name, left, fields)
         return left.isNotNull() & ~inside if given else left.isNotNull()
@@ -186,13 +190,44 @@ def condition(name: str, op: str, value: Any, fields: dict[str, T.DataType]) ->
     return _COMPARE[op](left, value if isinstance(value, Column) else F.lit(value))
 
 
-def _isin(left: Column, values: Sequence[Any]) -> Column:
-    """Whole numbers and fractions may meet in one list; the list is one set whatever its length."""
+def _isin(left: Column, text: str, values: Sequence[Any]) -> Column:
+    """Membership as one set, whatever the length of the list; `text` is `left` in SQL.
+
+    Whole numbers and fractions may meet in one list.  A long list is handed over as one text,
+    since a call to the JVM for each value takes far longer than the query.
+    """
     if not values:
         return F.lit(False)
     if any(isinstance(v, float) for v in values) and all(isinstance(v, (int, float)) for v in values):
         values = [float(v) for v in values]
-    return left.isin(list(values))
+    literals = [_sql_literal(v) for v in values] if len(values) > _FEW else [None]
+    if None in literals:
+        return left.isin(list(values))
+    return F.expr(f"{text} IN ({', '.join(literals)})")
+
+
+_FEW = 20
+
+
+def _sql_literal(value: Any) -> str | None:
+    """A plain value in SQL, with the type and meaning it has as a column; None for others."""
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, int):
+        return f"{value}" if -(2**31) <= value < 2**31 else f"{value}L" if -(2**63) <= value < 2**63 else None
+    if isinstance(value, float):
+        return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+    if isinstance(value, str):
+        return f"CAST(X'{value.encode().hex()}' AS STRING)"
+    if isinstance(value, datetime):
+        # Values without a zone are local time, as everywhere in the Python API.
+        seconds = calendar.timegm(value.utctimetuple()) if value.tzinfo else time.mktime(value.timetuple())
+        return f"timestamp_micros({int(seconds) * 1_000_000 + value.microsecond})"
+    return f"DATE '{value.isoformat()}'" if isinstance(value, date) else None
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _stored_null(name: str, left: Column, fields: dict[str, T.DataType]) -> Column:
@@ -224,7 +259,7 @@ def _key_condition(left: Column, op: str, value: Any) -> Column:
 _NUMBER_WORDS = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
 
 
-def _variant_in(left: Column, values: Sequence[Any]) -> Column:
+def _variant_in(left: Column, name: str, values: Sequence[Any]) -> Column:
     """Lists of one type are one set lookup, so the length of a list does not matter."""
     word = F.regexp_extract(F.schema_of_variant(left), "^([A-Z_]+)", 1)
     texts = [v for v in values if isinstance(v, str)]
@@ -233,25 +268,28 @@ def _variant_in(left: Column, values: Sequence[Any]) -> Column:
     other = [v for v in values if v is not None and not isinstance(v, (str, bool, int, float))]
     if other:
         raise QueryValidationError(f"cannot compare a mixed property with {other[0]!r}")
+    def held(kind: str, listed: Sequence[Any]) -> Column:
+        got = F.try_variant_get(left, "$", kind)
+        return _isin(got, f"try_variant_get({_name(name)}, '$', '{kind}')", listed)
+
     found = []
     if len(values) > len(texts) + len(flags) + len(numbers):
         found.append(F.is_variant_null(left))
     if texts:
-        found.append((word == "STRING") & F.try_variant_get(left, "$", "string").isin(texts))
+        found.append((word == "STRING") & held("string", texts))
     if flags:
-        found.append((word == "BOOLEAN") & F.try_variant_get(left, "$", "boolean").isin(flags))
+        found.append((word == "BOOLEAN") & held("boolean", flags))
     if numbers:
-        whole, fraction = (F.try_variant_get(left, "$", t) for t in ("bigint", "double"))
-        ints = [int(v) for v in numbers if float(v).is_integer()]
-        exact = whole.isin(ints) if ints else F.lit(False)
-        found.append(F.when(word == "BIGINT", exact).when(word.isin(*_NUMBER_WORDS), fraction.isin([float(v) for v in numbers])))
+        whole = held("bigint", [int(v) for v in numbers if float(v).is_integer()])
+        fraction = held("double", [float(v) for v in numbers])
+        found.append(F.when(word == "BIGINT", whole).when(word.isin(*_NUMBER_WORDS), fraction))
     return reduce(Column.__or__, [F.coalesce(f, F.lit(False)) for f in found]) if found else F.lit(False)
 
 
-def _variant_condition(left: Column, op: str, value: Any) -> Column:
+def _variant_condition(left: Column, name: str, op: str, value: Any) -> Column:
     """A mixed property only matches where it holds the type of the given value."""
     if op in ("IN", "NOT_IN"):
-        inside = F.coalesce(_variant_in(left, value), F.lit(False))
+        inside = F.coalesce(_variant_in(left, name, value), F.lit(False))
         return inside if op == "IN" else left.isNotNull() & ~inside
     if value is None:
         return F.is_variant_null(left) if op == "=" else ~F.is_variant_null(left)

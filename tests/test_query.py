@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +102,24 @@ def test_long_lists_follow_the_rules_of_short_ones(rows):
     assert found(rows, filters=[("kind", "IN", ["run", None, *names])]) == [1, 2, 4]
 
 
+def test_literals_of_long_lists(spark):
+    utc, nan = timezone.utc, float("nan")
+    values = {
+        "string": ["a", "it's", 'q"\\n', "é\n%_", "", "\\'"],
+        "bigint": [1, -5, 2**31, -(2**63), 2**63 - 1],
+        "double": [1.5, -0.0, 1e-300, 1e300, float("inf"), nan],
+        "boolean": [True],
+        "timestamp": [datetime(2024, 1, 2, 3, 4, 5, 678901), datetime(1960, 5, 6, tzinfo=utc), datetime(2024, 7, 1, 12, 0, tzinfo=timezone(timedelta(hours=5)))],
+        "date": [date(2024, 2, 29), date(1900, 1, 1)],
+    }
+    for kind, given in values.items():
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(given)], f"i int, v {kind}")
+        for part in ([v] for v in given):
+            short = sorted(r.i for r in QuerySpec("W", filters=[("v", "IN", part)]).apply(df).collect())
+            long = sorted(r.i for r in QuerySpec("W", filters=[("v", "IN", part * 30)]).apply(df).collect())
+            assert short == long and len(short) == 1, (kind, part)
+
+
 def test_long_lists_on_mixed_properties(spark):
     values = ['"a"', "1", "1.0", "true", "null", '"1"', "2.5", "[1]"]
     df = spark.createDataFrame(list(enumerate(values)), "i int, j string").select("i", F.parse_json("j").alias("v"))
