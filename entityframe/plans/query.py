@@ -238,21 +238,26 @@ def _stored_null(name: str, left: Column, fields: dict[str, T.DataType]) -> Colu
 
 
 def _key_condition(left: Column, op: str, value: Any) -> Column:
-    """Keys compare by namespace and path."""
-    identity = F.concat(key_ns_code(left), F.lit("\n"), key_path_text(left))
+    """Keys compare by namespace and path: equality by their fields, order by their texts."""
 
-    def text(key: Any) -> str:
-        if not isinstance(key, EntityKey):
-            raise QueryValidationError(f"a key property needs a key value, not {key!r}")
-        return key.ns_code + "\n" + key.path_text
+    def key(given: Any) -> EntityKey:
+        if not isinstance(given, EntityKey):
+            raise QueryValidationError(f"a key property needs a key value, not {given!r}")
+        return given
+
+    def identity(of: Column) -> Column:
+        return F.struct(of["namespace"].alias("namespace"), of["path"].alias("path"))
 
     if op in ("IN", "NOT_IN"):
-        texts = [text(v) for v in value if v is not None]
-        inside = identity.isin(texts)
-        return inside if op == "IN" else ~inside
+        listed = [identity(key(v).to_column()) for v in value if v is not None]
+        inside = identity(left).isin(listed) if listed else F.lit(False)
+        return left.isNotNull() & (inside if op == "IN" else ~inside)
     if value is None:
         return left.isNull() if op == "=" else left.isNotNull() & F.lit(op == "!=")
-    return _COMPARE[op](identity, F.lit(text(value)))
+    if op in ("=", "!="):
+        return left.isNotNull() & _COMPARE[op](identity(left), identity(key(value).to_column()))
+    text = F.concat(key_ns_code(left), F.lit("\n"), key_path_text(left))
+    return _COMPARE[op](text, F.lit(f"{key(value).ns_code}\n{value.path_text}"))
 
 
 # VARIANT type words that hold numbers.
