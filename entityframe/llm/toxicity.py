@@ -1,23 +1,25 @@
 """Toxicity by the nearest labelled examples, with exact TF-IDF cosine.
 
-Terms are words and word beginnings, also in numbers, that labelled toxic texts have more
-often than others.
-Labelled examples lie in an inverted index whose postings are cut into blocks of examples;
-each term keeps its largest weight in each block.  A text's nearest examples are found by
-visiting blocks in the order of what they can reach at most, until no block can beat the
-k-th best cosine, so the neighbours are exact.  Their distance-weighted votes are calibrated
-on the examples themselves, each left out in turn.
-
-Terms and examples come from a bounded sample of labelled rows; document frequencies are
-counted over all documents, and every text is scored whole.
+Terms are all words of all labelled examples, and those of their beginnings and numbers of
+times that labelled toxic texts have more often than others.  A term weighs its inverse
+document frequency, and the more the surer it is a sign; no word is left out.
+Labelled examples lie in an inverted index; terms that many examples have are columns beside
+it, so that a batch of texts meets them in one matrix product.  Every text is compared with
+every example, so the neighbours are exact (in single precision).  Their distance-weighted
+votes are calibrated on the examples themselves, each left out in turn.
+
+The examples are a bounded sample of labelled rows; document frequencies are counted over
+all documents, and every text is scored whole.  Words that no example has are not in a
+text's length.
 """
 
 from __future__ import annotations
 
-import math
+import pickle
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +29,12 @@ from entityframe.llm.common import held_out, load, ship, slices
 
 #: Labelled rows that terms and examples are taken from.
 EXAMPLES = 8000
-#: Terms at most, and the least association (chi square) with the label.
-TERMS = 2000
-LEAST_CHI2 = 40.0
+#: Weight of a word without any sign of toxicity, against a squared standard score.
+PLAIN_WEIGHT = 0.4
+#: A term in more than this share of the examples is kept as a column.
+COMMON = 1 / 16
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 256
 BEGINNINGS = (4, 5, 6)
 #: A stem makes a term of its own for each of these numbers of times that a text has it.
 TIMES = (1, 2, 4)
@@ -67,109 +70,145 @@ class Vocabulary:
     """The chosen terms and how often a text has each."""
 
     def __init__(self, terms: list[str]):
-        self.terms = list(terms)
+        self._fill(list(terms))
+
+    def _fill(self, terms: list[str]) -> None:
+        self.terms = terms
         ids = {t: i for i, t in enumerate(self.terms)}
-        # Stems that any term is about, and those terms with the times they ask for.
+        # Stems that any term is about, and their terms by the times they ask for (-1: none).
         names = sorted({t.rsplit("@", 1)[0] for t in self.terms})
         self._slots = {stem: slot for slot, stem in enumerate(names)}
-        self._asked = [[(times, ids[_term(stem, times)]) for times in TIMES if _term(stem, times) in ids] for stem in names]
+        asked = [[ids.get(_term(stem, times), -1) for times in TIMES] for stem in names]
+        self._asked = np.array(asked, dtype=np.int64).reshape(-1, len(TIMES))
         self._memo: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"_memo": {}}
+        # Workers build the rest anew; a broadcast lies on the disk of every executor.
+        return zlib.compress(pickle.dumps(self.terms))
+
+    def __setstate__(self, state):
+        self._fill(pickle.loads(zlib.decompress(state)))
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        memo, seen = self._memo, {}
-        for word, n in Counter(_words(text)).items():
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a text, rising, and how often it has each."""
+        memo, slots = self._memo, {}
+        for word, times in Counter(_words(text)).items():
             found = memo.get(word)
             if found is None:
                 if len(memo) >= _MEMO:
                     memo.clear()
-                found = memo[word] = tuple(self._slots[s] for s in _stems(word) if s in self._slots)
+                found = memo[word] = tuple([self._slots[s] for s in _stems(word) if s in self._slots])
             for slot in found:
-                seen[slot] = seen.get(slot, 0) + n
-        return {i: n for slot, n in seen.items() for times, i in self._asked[slot] if n >= times}
+                slots[slot] = slots.get(slot, 0) + times
+        seen, n = np.fromiter(slots, np.int64, len(slots)), np.fromiter(slots.values(), np.int64, len(slots))
+        asked = self._asked[seen]
+        has = (asked >= 0) & (n[:, None] >= TIMES)
+        terms, n = asked[has], np.broadcast_to(n[:, None], has.shape)[has]
+        order = np.argsort(terms)
+        return terms[order], n[order]
 
 
 class Examples:
-    """Block-max inverted index of the labelled examples, and the calibration of its votes."""
+    """Inverted index of the labelled examples, and the calibration of its votes.  `block` texts
+    are looked up at once."""
 
     def __init__(
-        self, vocabulary: Vocabulary, counts: list[dict[int, int]], ids: list[int], toxic: list[int], idf: np.ndarray,
+        self, vocabulary: Vocabulary, counts: Iterable[dict[int, int]], ids: list[int], toxic: list[int], idf: np.ndarray,
         neighbours: int = NEIGHBOURS, block: int = BLOCK,
     ):
         self.vocabulary, self.idf, self.neighbours, self.block = vocabulary, idf, neighbours, block
-        vectors = [self._vector(c) for c in counts]
-        # Alike examples lie together, so that few blocks hold a term's large weights.
+        pairs = [(t := np.array(sorted(c), dtype=np.int32), np.array([c[x] for x in t.tolist()], dtype=np.int32)) for c in counts]
+        vectors = [self._weigh(*p) for p in pairs]
         used = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
-        used.sort(key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), -float(vectors[i][1].max()), ids[i]))
         self.ids = np.array([ids[i] for i in used], dtype=np.int64)
         self.toxic = np.array([toxic[i] for i in used], dtype=np.float64)
-        self.blocks = -(-len(used) // block)
-        postings: list[list[tuple[int, float]]] = [[] for _ in vocabulary.terms]
-        for place, i in enumerate(used):
-            for t, w in zip(*vectors[i], strict=True):
-                postings[t].append((place, w))
-        self.places = [np.array([p for p, _ in x], dtype=np.int64) for x in postings]
-        self.weights = [np.array([w for _, w in x]) for x in postings]
-        self.most = np.zeros((len(postings), self.blocks))
-        for t, (places, weights) in enumerate(zip(self.places, self.weights, strict=True)):
-            np.maximum.at(self.most[t], places // block, weights)
-        edges = np.arange(self.blocks + 1) * block
-        self.cuts = [np.searchsorted(p, edges) for p in self.places]
+        self._counts = [pairs[i] for i in used]
+        self._index([vectors[i] for i in used], len(vocabulary.terms))
         plain = [toxic[i] for i, (terms, _) in enumerate(vectors) if not len(terms)]
         overall = sum(toxic) / len(toxic) if toxic else 0.0
-        #: The score of a text without any term: the share of toxic ones among such examples.
-        self.plain = (sum(plain) + overall) / (len(plain) + 1)
-        votes = []
-        for place, i in enumerate(used):
-            near = self.nearest(vectors[i], without=place)
-            votes.append(self._vote(near)[0] if len(near[0]) else self.plain)
+        #: The score of a text without any term: the share of toxic ones among such examples,
+        #: which are few, and as many more as there are neighbours with the share of all.
+        self.plain = (sum(plain) + neighbours * overall) / (len(plain) + neighbours)
+        found = self._nearest([vectors[i] for i in used], range(len(used)))
+        votes = [self._vote(near)[0] if len(near[0]) else self.plain for near in found]
         self.curve = _isotonic(np.array(votes), self.toxic)
 
+    def __getstate__(self):
+        # The index is built anew from the counts, which are small when packed.
+        state = {k: v for k, v in self.__dict__.items() if k not in ("vocabulary", "column", "columns", "places", "weights", "cuts")}
+        packed = [(np.diff(t, prepend=np.int32(0)), n) for t, n in self._counts]
+        lengths = [len(n) for _, n in packed]
+        flat = [np.concatenate([x[i] for x in packed] or [np.zeros(0)]).astype(np.int32) for i in (0, 1)]
+        return self.vocabulary, zlib.compress(pickle.dumps((state | {"_counts": None}, lengths, flat)), 6)
+
+    def __setstate__(self, state):
+        self.vocabulary, packed = state
+        kept, lengths, flat = pickle.loads(zlib.decompress(packed))
+        self.__dict__.update(kept)
+        terms, counts = (np.split(x, np.cumsum(lengths)[:-1]) if lengths else [] for x in flat)
+        self._counts = [(np.cumsum(t, dtype=np.int32), n) for t, n in zip(terms, counts, strict=True)]
+        self._index([self._weigh(*p) for p in self._counts], len(self.vocabulary.terms))
+
+    def _index(self, vectors: list[tuple[np.ndarray, np.ndarray]], size: int) -> None:
+        terms = np.concatenate([t for t, _ in vectors] or [np.zeros(0, dtype=np.int64)])
+        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        places = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])
+        common = np.flatnonzero(np.bincount(terms, minlength=size) > max(COMMON * len(vectors), 1))
+        #: Column of each common term, -1 for the others.
+        self.column = np.full(size, -1, dtype=np.int32)
+        self.column[common] = np.arange(len(common))
+        self.columns = np.zeros((len(vectors), len(common)), dtype=np.float32)
+        among = self.column[terms] >= 0
+        self.columns[places[among], self.column[terms[among]]] = weights[among]
+        rare = np.flatnonzero(~among)
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        self.places, self.weights = places[rare], weights[rare].astype(np.float32)
+        self.cuts = np.searchsorted(terms[rare], np.arange(size + 1))
+
     def _vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         terms = np.array(sorted(counts), dtype=np.int64)
-        weights = np.array([(1 + math.log(counts[t])) * self.idf[t] for t in terms])
+        return self._weigh(terms, np.array([counts[t] for t in terms.tolist()], dtype=np.float64))
+
+    def _weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = (1 + np.log(counts)) * self.idf[terms]
+        terms, weights = terms[weights > 0], weights[weights > 0]
         length = float(np.sqrt(weights @ weights)) if len(terms) else 0.0
         return (terms, weights / length) if length else (terms[:0], weights[:0])
 
     def nearest(self, vector: tuple[np.ndarray, np.ndarray], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples with a cosine above 0, nearest first;
         ties go to the earlier place."""
+        return next(self._nearest([vector], [without]))
+
+    def _nearest(self, vectors: list, without: Iterable[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        without = list(without)
+        for at in range(0, len(vectors), self.block):
+            part = vectors[at : at + self.block]
+            asked = np.zeros((len(part), self.columns.shape[1]), dtype=np.float32)
+            for row, (terms, weights) in zip(asked, part, strict=True):
+                column = self.column[terms]
+                row[column[column >= 0]] = weights[column >= 0]
+            for sums, vector, left in zip(asked @ self.columns.T, part, without[at : at + self.block], strict=True):
+                yield self._best(sums, vector, left)
+
+    def _best(self, sums: np.ndarray, vector: tuple[np.ndarray, np.ndarray], without: int) -> tuple[np.ndarray, np.ndarray]:
+        """`sums` has what the common terms add to the cosine with each example."""
         terms, weights = vector
-        k = self.neighbours
-        none = np.zeros(0, dtype=np.int64), np.zeros(0)
-        if not len(terms) or not self.blocks:
-            return none
-        reach = weights @ self.most[terms]
-        order = np.argsort(-reach, kind="stable")
-        places, cosines, floor = *none, 0.0
-        step = 4
-        for at in range(0, len(order), step):
-            chunk = order[at : at + step]
-            # Rounding must not leave out a tie.
-            chunk = chunk[(reach[chunk] > 0) & (reach[chunk] >= floor - 1e-9)]
-            if not len(chunk):
-                break
-            found_places, found = [places], [cosines]
-            for b in chunk:
-                sums = np.zeros(self.block)
-                for t, w in zip(terms, weights, strict=True):
-                    lo, hi = self.cuts[t][b], self.cuts[t][b + 1]
-                    if lo < hi:
-                        sums[self.places[t][lo:hi] - b * self.block] += w * self.weights[t][lo:hi]
-                hit = np.flatnonzero(sums > 0)
-                found_places.append(hit + b * self.block)
-                found.append(sums[hit])
-            places, cosines = np.concatenate(found_places), np.concatenate(found)
+        if len(terms) and len(sums):
+            rare = self.column[terms] < 0
+            starts, n = self.cuts[terms[rare]], self.cuts[terms[rare] + 1] - self.cuts[terms[rare]]
+            ends = np.cumsum(n)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + n, n)
+            products = self.weights[at] * np.repeat(weights[rare].astype(np.float32), n)
+            sums = sums + np.bincount(self.places[at], products, minlength=len(sums))
             if without >= 0:
-                keep = places != without
-                places, cosines = places[keep], cosines[keep]
-            best = np.lexsort((places, -np.round(cosines, 9)))[:k]
-            places, cosines = places[best], cosines[best]
-            if len(places) == k:
-                floor = float(cosines[-1])
-        return places, cosines
+                sums[without] = 0.0
+        k = min(self.neighbours, len(sums))
+        least = np.partition(sums, len(sums) - k)[len(sums) - k] if k else 0.0
+        # Rounding must not leave out a tie.
+        near = np.flatnonzero((sums > 0) & (sums >= least - 1e-6))
+        best = near[np.lexsort((near, -np.round(sums[near], 6)))[:k]]
+        return best, sums[best].astype(np.float64)
 
     def _vote(self, near: tuple[np.ndarray, np.ndarray]) -> tuple[float, np.ndarray]:
         places, cosines = near
@@ -177,13 +216,16 @@ class Examples:
         weights = cosines / (1.05 - np.minimum(cosines, 1.0))
         return float((weights @ self.toxic[places] + self.plain) / (weights.sum() + 1)), weights
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        """(score, ids of the nearest examples, their cosines)."""
-        near = self.nearest(self._vector(self.vocabulary.counts(text)))
-        if not len(near[0]):
-            return self.plain, [], []
-        raw = self._vote(near)[0]
-        return float(np.interp(raw, *self.curve)), self.ids[near[0]].tolist(), near[1].tolist()
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[int], list[float]]]:
+        """(score, ids of the nearest examples, their cosines) of each text."""
+        out = []
+        for near in self._nearest([self._weigh(*self.vocabulary.counts(t)) for t in texts], [-1] * len(texts)):
+            if len(near[0]):
+                score = float(np.interp(self._vote(near)[0], *self.curve))
+                out.append((score, self.ids[near[0]].tolist(), near[1].tolist()))
+            else:
+                out.append((self.plain, [], []))
+        return out
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +253,11 @@ def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def _choose_terms(sample: DataFrame, most: int, least: float) -> list[str]:
+def _count_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The terms of the sample, and how each counts besides its document frequency: as a word,
+    and by how sure a sign of toxicity it is.  The latter is the squared standard score of its
+    log odds ratio, without the first toxic text, which may have it by chance."""
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             n, toxic = Counter(), Counter()
@@ -227,39 +273,44 @@ def _choose_terms(sample: DataFrame, most: int, least: float) -> list[str]:
 
     rows, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic or toxic == rows:
-        return []
+        return [], np.zeros(0)
     counts = sample.select("text", "toxic").mapInArrow(tally, "term string, n long, toxic long")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter("toxic >= 3")
-    off = F.col("toxic") * rows - F.col("n") * toxic
-    chi2 = off.cast("double") * off * rows / (
-        F.col("n").cast("double") * F.greatest(F.lit(1), rows - F.col("n")) * toxic * (rows - toxic)
-    )
-    picked = counts.filter((off > 0) & (chi2 >= least)).orderBy(chi2.desc(), "term").limit(most)
-    return [r["term"] for r in picked.select("term").collect()]
+    # Bounded by the different terms of EXAMPLES texts.
+    found = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow().sort_by("term")
+    n, bad = (found.column(c).to_numpy().astype(np.float64) for c in ("n", "toxic"))
+    odds = np.log((bad + 0.5) / (toxic + 1)) - np.log((n - bad + 0.5) / (rows - toxic + 1))
+    sure = np.square(np.maximum(odds, 0.0)) / (1 / (bad + 0.5) + 1 / (n - bad + 0.5))
+    sure *= np.maximum(bad - 1, 0) / np.maximum(bad, 1)
+    terms = found.column("term").to_pylist()
+    counts = sure + PLAIN_WEIGHT * np.array(["*" not in t and "@" not in t for t in terms])
+    return [t for t, c in zip(terms, counts, strict=True) if c > 0], counts[counts > 0]
 
 
 def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
     """Rows, and rows that have each term, over all documents."""
     size = len(vocabulary.terms)
+    # Bounded by the different terms of EXAMPLES texts.
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(size, dtype=np.int64), 0
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
-                seen[list(vocabulary.counts(text))] += 1
+                seen[shared.value.counts(text)[0]] += 1
             rows += batch.num_rows
-        terms = [-1, *np.flatnonzero(seen).tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array([rows, *seen[terms[1:]].tolist()], pa.int64())], names=["term", "n"])
+        terms = np.flatnonzero(seen)
+        columns = [pa.array(np.append(terms, -1), pa.int32()), pa.array(np.append(seen[terms], rows), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
 
     # One row per term at most comes back.
-    totals = docs.select("text").mapInArrow(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = {r["term"]: r["n"] for r in totals.collect()}
-    return found.get(-1, 0), np.array([found.get(t, 0) for t in range(size)], dtype=np.float64)
+    totals = docs.select("text").mapInArrow(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    terms, n = (totals.column(c).to_numpy() for c in ("term", "n"))
+    seen = np.zeros(size)
+    seen[terms[terms >= 0]] = n[terms >= 0]
+    return int(n[terms < 0].sum()), seen
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, least: float = LEAST_CHI2
-) -> Examples:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Examples:
     """The index over labelled rows of `labels` (doc_id, toxic) that `docs` (doc_id, text) has.
 
     Rows without an id or with a label other than 0 and 1 teach nothing; of repeated labels the
@@ -268,15 +319,17 @@ def fit(
     """
     ship(docs.sparkSession)
     sample = _sample(docs, labels, examples)
-    vocabulary = Vocabulary(_choose_terms(sample, terms, least))
+    terms, counts = _count_terms(sample)
+    vocabulary = Vocabulary(terms)
     rows, seen = _document_frequencies(docs, vocabulary)
-    idf = np.log((rows + 1) / (seen + 0.5))
+    weights = np.maximum(np.log((rows + 1) / (seen + 0.5)), 0.0) * counts
     counted = sample.select("doc_id", "text", "toxic").mapInArrow(_counter(vocabulary), "doc_id long, toxic int, terms array<int>, counts array<int>")
-    # Bounded by `examples` ids; rows that repeat an id are one example.
-    found = counted.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # Bounded by `examples` texts; rows that repeat an id are one example.
+    found = counted.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    pairs = zip(found.column("terms"), found.column("counts"), strict=True)
     return Examples(
-        vocabulary, [dict(zip(r["terms"], r["counts"], strict=True)) for r in found],
-        [r["doc_id"] for r in found], [r["toxic"] for r in found], np.maximum(idf, 0.0),
+        vocabulary, (dict(zip(t.as_py(), n.as_py(), strict=True)) for t, n in pairs),
+        found.column("doc_id").to_pylist(), found.column("toxic").to_pylist(), weights,
     )
 
 
@@ -287,7 +340,7 @@ def _counter(vocabulary: Vocabulary):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()), batch.column("toxic"),
-                    pa.array([list(c) for c in counts], pa.list_(pa.int32())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
+                    pa.array([t for t, _ in counts], pa.list_(pa.int32())), pa.array([n for _, n in counts], pa.list_(pa.int32())),
                 ],
                 names=["doc_id", "toxic", "terms", "counts"],
             )
@@ -303,7 +356,7 @@ def with_scores(docs: DataFrame, model: Examples) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    # Bounded by EXAMPLES and TERMS.
+    # Bounded by EXAMPLES and their terms.
     shared = spark.sparkContext.broadcast(model)
     kept = docs.select(F.struct("*").alias("row"))
     verdict = pa.struct([("score", pa.float64()), ("evidence_ids", pa.list_(pa.int64())), ("evidence_cosines", pa.list_(pa.float64()))])
@@ -312,7 +365,7 @@ def with_scores(docs: DataFrame, model: Examples) -> DataFrame:
         examples = shared.value
         for batch in slices(batches):
             texts = batch.column("row").field("text").to_pylist()
-            found = [dict(zip(verdict.names, examples.score(t), strict=True)) for t in texts]
+            found = [dict(zip(verdict.names, s, strict=True)) for s in examples.scores(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, verdict)], names=["row", "toxicity"])
 
     return kept.mapInArrow(run, _row_schema(kept)).select("row", "toxicity")

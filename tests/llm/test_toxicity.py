@@ -84,3 +84,20 @@ def test_without_both_labels(spark, labels):
 def test_empty_table(spark):
     docs, labels = spark.createDataFrame([], SCHEMA), spark.createDataFrame([(1, 1, 1)], LABELS)
     assert toxicity(docs, labels).collect() == [] and drop_toxic(docs, labels).collect() == []
+
+
+def test_few_examples_of_a_language_count(spark):
+    rows, labels = corpus(n=2500)
+    chance = random.Random(3)
+    for i in range(3000, 3100):
+        bad = i % 10 == 0
+        text = [chance.choice([f"ö{j}" for j in range(100)]) for _ in range(40)] + ["übel", "gemein"] * bad
+        rows.append((i, " ".join(text), 1, "x", 2))
+        labels.append((i, 1, int(bad)))
+    taught = [x for x in labels if x[0] < 3040]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = fit(docs, spark.createDataFrame(taught, LABELS))
+    # No example leaves the index, and every word of the examples is in it.
+    assert len(model.ids) == len(taught) and {"ö7", "w7"} <= set(model.vocabulary.terms)
+    scored = with_scores(docs.filter("doc_id >= 3040"), model).select("row.doc_id", "toxicity.score").collect()
+    assert len(scored) == 60 and all((r["score"] >= 0.5) == (r["doc_id"] % 10 == 0) for r in scored)
