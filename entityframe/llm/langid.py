@@ -5,7 +5,9 @@ it from left to right into the longest pieces that occur there; a text in the sa
 falls into few, long pieces.  The language that needs the fewest pieces for the text's
 length wins.
 
-The automata are fitted on a bounded sample of labelled texts; every text is parsed whole.
+The automata are fitted on a bounded sample of labelled texts of every language; every text is
+parsed whole.  Languages whose automata do not fit one table are parsed group by group, and
+the fewest pieces over all groups win.
 Parsing runs over many pieces of text at once: one step moves all of them, in all languages,
 by one character through the transition table.
 """
@@ -14,24 +16,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from entityframe.llm.common import held_out, load, ship, slices, stage
+from entityframe.sources.staging import release, staged_count
 
 #: Characters of labelled text per language that an automaton is built on.
 FIT_CHARS = 24_000
 #: Labelled documents per language that may be looked at for that.
 FIT_DOCUMENTS = 200
-#: Languages with the most labelled documents that are learned.
-MOST_LANGUAGES = 200
+#: Entries of a transition table at most, unless one language alone needs more.
+TABLE = 48_000_000
 #: Texts are parsed in stretches of so many characters; a stretch's end also ends a piece.
 STRETCH = 1024
 UNKNOWN = "und"
 _LANES = 4096
-_OUT = "doc_id long, lang_pred string, score double, pieces double"
+_PARSED = "doc_id long, text string, lang string, rate double, next double"
 
 
 def normalise(text: str) -> str:
@@ -48,21 +52,46 @@ class Automata:
 
     def __init__(self, texts: dict[str, str]):
         self.languages = sorted(texts)
+        self.texts = texts
         self.alphabet = "".join(sorted(set().union(*texts.values()) | {" "}))
         self.symbols = {c: i + 1 for i, c in enumerate(self.alphabet)}
-        rows: list[dict[int, int]] = [{}]
         self.root = []
+        top = max(map(ord, self.alphabet)) + 1
+        self.codes = np.zeros(top + 1, dtype=np.int32)
+        self.codes[[ord(c) for c in self.alphabet]] = list(self.symbols.values())
+
+    @cached_property
+    def next(self) -> np.ndarray:
+        rows: list[dict[int, int]] = [{}]
+        root = []
         for language in self.languages:
             start = len(rows)
-            self.root.append(start)
-            rows.extend(_suffix_automaton([self.symbols[c] for c in texts[language]], start))
-        self.next = np.zeros((len(rows), len(self.alphabet) + 1), dtype=np.int32)
+            root.append(start)
+            rows.extend(_suffix_automaton([self.symbols[c] for c in self.texts[language]], start))
+        self.root = root
+        table = np.zeros((len(rows), len(self.alphabet) + 1), dtype=np.int32)
         for state, row in enumerate(rows):
             if row:
-                self.next[state, list(row)] = list(row.values())
-        top = max(map(ord, self.alphabet)) + 1
-        self.codes = np.zeros(top + 1, dtype=np.int32)
-        self.codes[[ord(c) for c in self.alphabet]] = list(self.symbols.values())
+                table[state, list(row)] = list(row.values())
+        return table
+
+    def parts(self, table: int = TABLE) -> list[Automata]:
+        """Automata of groups of the languages, in order, with tables of `table` entries at most."""
+        groups: list[dict[str, str]] = [{}]
+        states, alphabet = 1, {" "}
+        for language in self.languages:
+            text = self.texts[language]
+            # An automaton has fewer than two states a character.
+            more, wider = states + 2 * len(text) + 1, alphabet | set(text)
+            if groups[-1] and more * (len(wider) + 1) > table:
+                groups.append({})
+                more, wider = 2 * len(text) + 2, set(text) | {" "}
+            groups[-1][language] = text
+            states, alphabet = more, wider
+        return [self] if len(groups) == 1 else [Automata(g) for g in groups]
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "texts"}
 
     def encode(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -86,6 +115,7 @@ class Automata:
         return out
 
     def _parse(self, block: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        # The table also sets the roots.
         table, width = self.next.ravel(), self.next.shape[1]
         roots = np.array(self.root, dtype=np.int32)[:, None]
         lanes = block.shape[1]
@@ -108,19 +138,17 @@ class Automata:
         # The last piece was counted from the start; it is empty if a text ended at a root.
         return count - (state == roots)
 
-    def classify(self, texts: list[str]) -> list[tuple[str, float, float]]:
-        """(language, score, pieces a character) of each text; ties go to the first by name."""
+    def fewest(self, texts: list[str]) -> list[tuple[str | None, float, float]]:
+        """(language, its pieces a character, those of the next language) of each text; ties go
+        to the first by name.  Without a letter or a language the first is None."""
         clean = [normalise(t) for t in texts]
         some = [i for i, t in enumerate(clean) if t]
-        out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+        out: list[tuple[str | None, float, float]] = [(None, np.inf, np.inf)] * len(texts)
         if some and self.languages:
             rates = self.pieces([clean[i] for i in some]) / np.array([[len(clean[i])] for i in some])
             for i, rate in zip(some, rates, strict=True):
                 best = int(rate.argmin())
-                rest = np.delete(rate, best)
-                # How many more pieces the next language needs, in parts of what it needs.
-                score = float(1 - rate[best] / rest.min()) if len(rest) else 1.0
-                out[i] = (self.languages[best], score, float(rate[best]))
+                out[i] = (self.languages[best], float(rate[best]), float(np.delete(rate, best).min(initial=np.inf)))
         return out
 
 
@@ -158,27 +186,23 @@ def fit(
     labelled: DataFrame,
     chars: int = FIT_CHARS,
     documents: int = FIT_DOCUMENTS,
-    languages: int = MOST_LANGUAGES,
 ) -> Automata:
-    """Automata from labelled rows (doc_id, text, lang).
+    """Automata of every lang of labelled rows (doc_id, text, lang).
 
     Rows with a null lang or no text are not learned from.  Each language gives up to
     `documents` rows, in the order of a hash, until `chars` characters are reached; a text that
     would go beyond that is left out, unless there is no other, and then its beginning is used.
-    The sample that reaches the driver is bounded by these parameters.
+    The sample that reaches the driver is bounded by `chars` for each language.
     """
     known = labelled.filter(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0)).select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("h"), F.length("text").alias("n")
     )
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
     # Ids first: a text is fetched only for rows that are used.
     order = Window.partitionBy("lang").orderBy(F.col("n") > chars, "h")
     chosen = known.select("lang", "h", "n").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= documents)
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("r"))
     chosen = chosen.withColumn("upto", upto).filter((F.col("r") == 1) | (F.col("upto") <= chars))
-    chosen = chosen.join(most, "lang").select("lang", "h")
-    # Bounded by languages * documents rows of two values.
-    picked = known.join(F.broadcast(stage(chosen, "picked")), ["lang", "h"])
+    picked = known.join(stage(chosen.select("lang", "h"), "picked"), ["lang", "h"])
     rows = picked.select("lang", "h", F.substring("text", 1, chars).alias("text")).distinct().orderBy("lang", "h").collect()
     texts: dict[str, list[str]] = {}
     for row in rows:
@@ -187,28 +211,59 @@ def fit(
     return Automata({lang: text for lang, text in joined.items() if text})
 
 
-def identify(docs: DataFrame, automata: Automata) -> DataFrame:
+def identify(docs: DataFrame, automata: Automata, table: int = TABLE) -> DataFrame:
     """doc_id, lang_pred, score, pieces (a character) for each row; needs doc_id and text.
 
     A text that is null or has no letter is `und` with score 0.  A tie goes to the first
     language by name.  The score is the share of pieces that the language saves against the
-    next one.  An empty table gives an empty result.
+    next one.  Each group of languages whose table has up to `table` entries is one pass over
+    the texts.  An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    # Bounded by MOST_LANGUAGES * FIT_CHARS characters.
-    shared = spark.sparkContext.broadcast(automata)
-    fields = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("pieces", pa.float64())])
+    ship(docs.sparkSession)
+    none, far = F.lit(None).cast("string"), F.lit(float("inf"))
+    parsed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", none.alias("lang"), far.alias("rate"), far.alias("next"))
+    parts = automata.parts(table)
+    before = staged_count(docs.sparkSession)
+    for n, part in enumerate(parts, 1):
+        parsed = _parsed(parsed, part, n < len(parts))
+        if n < len(parts):
+            parsed = stage(parsed, "parsed")
+            # The pass before is not read again.
+            release(docs.sparkSession, before, newest=1)
+    unknown = F.col("lang").isNull()
+    # How many more pieces the next language needs, in parts of what it needs.
+    score = F.when(unknown, 0.0).when(F.col("next") == far, 1.0).otherwise(1 - F.col("rate") / F.col("next"))
+    return parsed.select(
+        "doc_id", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"),
+        F.when(unknown, 0.0).otherwise(F.col("rate")).alias("pieces"),
+    )
+
+
+def _parsed(docs: DataFrame, automata: Automata, more: bool) -> DataFrame:
+    """The rows with the fewest pieces of these languages and those before; texts stay if `more`."""
+    automata.next  # noqa: B018 (built once, here)
+    # Bounded by the entries of one table.
+    shared = docs.sparkSession.sparkContext.broadcast(automata)
+    fields = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("rate", pa.float64()), ("next", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in slices(batches):
-            found = model.classify([t or "" for t in batch.column("text").to_pylist()])
-            columns = list(zip(*found, strict=True)) if found else [[], [], []]
-            arrays = [batch.column("doc_id"), pa.array(columns[0], pa.string()), *(pa.array(c, pa.float64()) for c in columns[1:])]
+            texts = batch.column("text").to_pylist()
+            rows = []
+            old = zip(*(batch.column(c).to_pylist() for c in ("lang", "rate", "next")), strict=True)
+            for (lang, rate, after), (new, least, second) in zip(old, model.fewest([t or "" for t in texts]), strict=True):
+                # Languages come in the order of their names, so the earlier one wins a tie.
+                if least < rate:
+                    rows.append((new, least, min(rate, second)))
+                else:
+                    rows.append((lang, rate, min(after, least)))
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            text = batch.column("text").cast(pa.string()) if more else pa.nulls(batch.num_rows, pa.string())
+            arrays = [batch.column("doc_id"), text, pa.array(columns[0], pa.string()), *(pa.array(c, pa.float64()) for c in columns[1:])]
             yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _OUT)
+    return docs.mapInArrow(run, _PARSED)
 
 
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:

@@ -66,3 +66,19 @@ def test_sample_is_bounded(spark, chars):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert identify(docs, fit(docs)).collect() == []
+
+
+def test_every_language_is_learned_and_groups_agree(spark):
+    chance = random.Random(4)
+    names = [f"l{i:03}" for i in range(230)]
+    parts = {n: ["".join(chance.choice("abcdefghijklmnopqrstuvwxyzäöü") for _ in range(3)) for _ in range(6)] for n in names}
+    rows = [(i, " ".join(chance.choice(parts[n]) + chance.choice(parts[n]) for _ in range(12)), n, "x", 1) for i, n in enumerate(names * 2)]
+    automata = fit(spark.createDataFrame(rows[:230], SCHEMA))
+    assert automata.languages == names
+    odd = [(1000, None, None, "x", 1), (1001, "12", None, "x", 1), (None, "жж", None, "x", 1)]
+    docs = spark.createDataFrame(rows[230:] + odd, SCHEMA)
+    whole = sorted(map(tuple, identify(docs, automata).collect()), key=str)
+    assert len(automata.parts(400_000)) > 2
+    assert sorted(map(tuple, identify(docs, automata, 400_000).collect()), key=str) == whole
+    truth = {i: n for i, _, n, *_ in rows[230:]}
+    assert sum(truth[i] == lang for i, lang, *_ in whole if i in truth) >= 0.95 * len(truth)
