@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from entityframe.llm import chat, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, packing, pii, topk, toxicity
+from entityframe.llm import chat, credentials, exact_dedup, hard_negatives, langid, line_dedup, merkle, mixing, ngram_join, packing, pii, topk, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_language_id": langid.op9_language_id,
     "op10_pii": pii.op10_pii,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_credential_links": credentials.op12_credential_links,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
@@ -23,5 +25,7 @@ SQL = {
     "op3_exact_top_k": topk.OP3_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_credential_links": credentials.OP12_SQL,
     "op13_merkle_manifest": merkle.OP13_SQL,
 }
