@@ -43,22 +43,23 @@ from entityframe.operators.aggregate import aggregate, busiest, summarize
 from entityframe.operators.audit import AuditPolicy
 from entityframe.operators.combine import concat
 from entityframe.operators.dedup import plan_duplicate_cleanup, surplus, survivors
-from entityframe.operators.delta import add_deltas, merge_deltas
+from entityframe.operators.delta import add_deltas, combine_entities, merge_deltas
 from entityframe.operators.inference import (
     InferredField,
     SchemaInferenceReport,
     infer_schema_from_frame,
     infer_schema_from_records,
 )
+from entityframe.operators.linked import descendants, nearest_ancestors
 from entityframe.operators.paging import Page, iter_chunks, with_chunks
 from entityframe.plans.query import PagePosition, QuerySpec
 from entityframe.plans.reports import ReportTotals, WriteReport
 from entityframe.plans.write_plan import WritePlan
-from entityframe.schema import Field, Schema
+from entityframe.schema import Field, PerRow, Schema, per_row
 from entityframe.sources.csvfiles import read_csv, write_csv
 from entityframe.sources.staging import release, staged_count
 from entityframe.sources.store import EntityStore
-from entityframe.streaming.upsert import start_upsert
+from entityframe.streaming.upsert import read_rejected, start_upsert
 
 __version__ = "0.1.0"
 

@@ -8,10 +8,10 @@ from typing import Iterator, Sequence
 from pyspark.sql import DataFrame
 
 from entityframe import api
-from entityframe.errors import QueryValidationError
 from entityframe.functions.keys import EntityKey
 from entityframe.operators.audit import AuditPolicy
 from entityframe.operators.dedup import plan_duplicate_cleanup
+from entityframe.operators.paging import Page
 from entityframe.plans.query import Filter, PagePosition, QuerySpec
 from entityframe.plans.reports import WriteReport
 from entityframe.plans.write_plan import WritePlan, require_scope
@@ -76,13 +76,16 @@ class KindAccessor:
             **self._scan_options(**options),
         )
 
-    def page(self, limit: int, *, after: PagePosition | None = None, include_key: bool = False, **options):
-        scan = self._scan_options(**options)
-        if scan.pop("order") or scan.pop("distinct_on"):
-            raise QueryValidationError("a page is in key order; the accessor has an order or distinct_on")
-        scan.pop("distinct_on", None)
+    def page(self, limit: int, *, after: PagePosition | None = None, include_key: bool = False, **options) -> Page:
+        """One page in the bound or given order, from the start or after another page's `next`."""
         return api.read_page(
-            self.store, self.kind, limit, after=after, schema=self.schema, include_key=include_key, **scan
+            self.store,
+            self.kind,
+            limit,
+            after=after,
+            schema=self.schema,
+            include_key=include_key,
+            **self._scan_options(**options),
         )
 
     def raw(self, **options) -> DataFrame:
@@ -184,6 +187,10 @@ class KindAccessor:
         }
         return replace(self, **{k: v for k, v in given.items() if v is not None})
 
+    def with_order(self, *order: str) -> KindAccessor:
+        """Copy that reads in this order; none is key order."""
+        return replace(self, order=order)
+
     def with_ancestor(self, ancestor: EntityKey) -> KindAccessor:
         return self.with_scope(ancestor=ancestor)
 

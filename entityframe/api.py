@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from dataclasses import replace
+from typing import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -10,13 +11,15 @@ from entityframe import fixed_values as fv
 from entityframe.errors import SchemaError
 from entityframe.functions.keys import EntityKey, KeySpec
 from entityframe.operators.inference import SchemaInferenceReport, infer_schema_from_frame
-from entityframe.operators.paging import Page, iter_chunks, page_end
-from entityframe.plans.query import Filter, PagePosition, QuerySpec, sort_columns
+from entityframe.operators.paging import Page, iter_chunks
+from entityframe.plans.query import Filter, PagePosition, QuerySpec, page_end, sort_columns
 from entityframe.plans.reports import WriteReport
 from entityframe.plans.write_plan import (
+    ROW_INDEX,
     WritePlan,
     classify,
     delete_plan,
+    keep_latest,
     plan_metrics,
     plan_rows,
     require_good_keys,
@@ -34,10 +37,17 @@ from entityframe.sources.store import NEWEST, EntityStore, Snapshot
 def scan(store: EntityStore, spec: QuerySpec, schema: Schema | None = None) -> DataFrame:
     """Raw entity frame of a restricted scan: properties and system columns."""
     spec.validate()
-    raw = store.table(spec.kind).read()
+    return spec.apply(_raw(store, spec.kind, schema))
+
+
+def _raw(store: EntityStore, kind: str, schema: Schema | None) -> DataFrame:
+    """Everything stored of a kind; declared properties that no entity has yet are null."""
+    raw = store.table(kind).read()
     if raw is None:
-        raw = _empty(store, schema or Schema(spec.kind))
-    return spec.apply(raw)
+        return _empty(store, schema or Schema(kind))
+    declared = schema.properties if schema else {}
+    missing = {n: F.lit(None).cast(f.dtype.spark_type) for n, f in declared.items() if n not in raw.columns}
+    return raw.withColumns(missing) if missing else raw
 
 
 def _empty(store: EntityStore, schema: Schema) -> DataFrame:
@@ -117,25 +127,24 @@ def read_page(
     limit: int,
     *,
     after: PagePosition | None = None,
+    order: Sequence[str] = (),
     schema: Schema | None = None,
     include_key: bool = False,
     **options,
 ) -> Page:
-    """One page in key order; pass the page's `next` as `after` to go on.
+    """One page in the given order, which the key completes; pass its `next` as `after` to go on.
 
-    The end of the page is looked up in the key columns alone.  Its rows are then a
-    key range, so the other columns are read for that range only.
+    The end of the page is looked up in the properties of the order and the key alone.  Its rows
+    are then those between two positions, so the other columns are read for that range only, and
+    what lies before the page is neither sorted nor counted again.  Pages of an unchanged kind
+    neither overlap nor leave gaps, also where properties of the order are missing or repeat.
     """
-    raw = store.table(kind).read()
-    if raw is None:
-        raw = _empty(store, schema or Schema(kind))
-    filters = {k: v for k, v in options.items() if k != "projection"}
-    ahead = QuerySpec(kind, limit=limit, after=after or PagePosition("", ""), keys_only=True, **filters)
-    end = page_end(ahead.apply(raw))
+    raw = _raw(store, kind, schema)
+    spec = QuerySpec(kind, order=order, after=after, **options)
+    end = page_end(spec, raw, limit)
     if end is None:
-        return Page(_to_user(raw.limit(0), schema, include_key), None)
-    page = QuerySpec(kind, after=ahead.after, until=end, **options)
-    return Page(_to_user(page.apply(raw), schema, include_key), end)
+        return Page(_to_user(spec.apply(raw).limit(0), schema, include_key), None)
+    return Page(_to_user(replace(spec, until=end).apply(raw), schema, include_key), end)
 
 
 def infer_schema_of_kind(
@@ -178,6 +187,7 @@ def plan_entities(
     row_index: str | None = None,
     check_keys: bool = True,
     snapshot: Snapshot | None = NEWEST,
+    latest_by: str | None = None,
 ) -> WritePlan:
     """Plan a write without carrying it out.
 
@@ -196,8 +206,10 @@ def plan_entities(
         properties=properties,
         row_index=row_index,
         buckets=table.layout(snapshot)[0],
+        latest_by=latest_by,
     )
-    if skip_unchanged:
+    # What a default makes anew at every evaluation must be the same in all that is planned from it.
+    if skip_unchanged or schema.row_defaults(properties):
         plan = plan.on(stage(plan.df, "plan"))
     if check_keys:
         require_unique_keys(plan.df)
@@ -220,10 +232,16 @@ def write_entities(
     row_index: str | None = None,
     scope: EntityKey | None = None,
     batch: tuple[str, int] | None = None,
+    latest_by: str | None = None,
+    reject: Callable[[DataFrame], None] | None = None,
 ) -> WriteReport:
     """Write full entities: upsert, insert (new keys only) or update (stored keys only).
 
-    `batch` names the stream and number of a micro-batch, to be recorded with the commit.
+    A key may occur once, unless `latest_by` names the column that tells which of its rows is
+    the latest; the others are skipped.  `reject` is called with the rows that fail (row_index,
+    error) before the others are committed; rows without a usable key are then among them
+    instead of ending the write.  `batch` names the stream and number of a
+    micro-batch, to be recorded with the commit.
     """
     return _run(
         store,
@@ -238,6 +256,8 @@ def write_entities(
         row_index=row_index,
         scope=scope,
         batch=batch,
+        latest_by=latest_by,
+        reject=reject,
     )
 
 
@@ -272,29 +292,44 @@ def patch_entities(
 
 
 def _run(
-    store, df, schema, *, patch, mode, properties, dry_run, read_only, skip_unchanged, row_index, scope, batch
+    store,
+    df,
+    schema,
+    *,
+    patch,
+    mode,
+    properties,
+    dry_run,
+    read_only,
+    skip_unchanged,
+    row_index,
+    scope,
+    batch,
+    latest_by=None,
+    reject=None,
 ) -> WriteReport:
     # One version from classification to commit: what was compared is what gets replaced.
     table = store.table(schema.kind)
     snapshot = table.snapshot()
-    plan = plan_entities(
-        store,
+    plan = plan_rows(
         df,
         schema,
+        operation="patch" if patch else "write",
         mode=mode,
         properties=properties,
-        patch=patch,
         row_index=row_index,
-        check_keys=False,
-        snapshot=snapshot,
+        buckets=table.layout(snapshot)[0],
+        latest_by=latest_by,
     )
     # Encoded once and written once: every later pass reads this table, so audit
     # stamps and row ids are the same in the stored data and in the report.
     seen = Observation()
     plan = plan.on(stage(plan.df, "plan", seen, **plan_metrics()))
     carried_out = not (dry_run or read_only)
-    if carried_out and not skip_unchanged:
+    if carried_out and not skip_unchanged and reject is None:
         require_good_keys(seen.get)
+    if latest_by is not None:
+        plan = plan.on(stage(keep_latest(plan).df, "latest"))
     # A plain insert or update looks for its targets; a plain patch only when some row
     # has no values, which skips a stored entity but creates a missing one.
     plain = seen.get["hollow"] > 0 if patch else mode != "upsert"
@@ -303,7 +338,7 @@ def _run(
     if not carried_out or skip_unchanged:
         require_unique_keys(plan.df)
     elif plain or seen.get["failed"]:
-        require_unique_keys(plan.df, full_key=False)
+        require_unique_keys(plan.df if reject is None else plan.df.filter(F.col("error").isNull()), full_key=False)
     if scope is not None:
         require_scope(plan.df, scope)
 
@@ -316,6 +351,8 @@ def _run(
         return plan.to_report(dry_run=dry_run, read_only=read_only)
     if judged:
         plan = plan.on(stage(plan.df, "judged"))
+    if reject is not None:
+        reject(plan.df.filter(F.col("error").isNotNull()).select(ROW_INDEX, "error"))
     table.commit_plan(plan.df, "patch" if patch else "put", snapshot, batch)
     return plan.executed_report()
 

@@ -54,7 +54,8 @@ PATH = "__path__"
 BUCKET = "__b__"
 PRESENT = "__present__"
 UNINDEXED = "__unindexed__"
-SYSTEM_COLUMNS = (KEY, NS, PATH, BUCKET, PRESENT, UNINDEXED)
+DIGEST = "__digest__"
+SYSTEM_COLUMNS = (KEY, NS, PATH, BUCKET, PRESENT, UNINDEXED, DIGEST)
 
 # Errors of keys outside a bound ancestor.
 ERROR_SCOPE = "the key lies outside the bound ancestor"

@@ -384,6 +384,35 @@ def comparable(col: Column, dtype: T.DataType) -> Column:
     return col
 
 
+def _hashed(col: Column, dtype: T.DataType, salt: str) -> Column:
+    """64 bits that are equal for values that `comparable` makes equal.
+
+    Spark's hash passes over nulls, so each level says where it has one.
+    """
+    if isinstance(dtype, (T.VariantType, T.MapType)):
+        return F.xxhash64(F.lit(salt), col.isNull(), comparable(col, dtype))
+    if isinstance(dtype, T.StructType):
+        named = ("namespace", "path") if is_key_type(dtype) else dtype.names
+        parts = [_hashed(col[f.name], f.dataType, salt) for f in dtype.fields if f.name in named]
+        return F.xxhash64(F.lit(salt), col.isNull(), *parts)
+    if isinstance(dtype, T.ArrayType):
+        return F.xxhash64(F.lit(salt), col.isNull(), F.transform(col, lambda x: _hashed(x, dtype.elementType, salt)))
+    return F.xxhash64(F.lit(salt), col.isNull(), col)
+
+
+def content_digest(present: Column, values: dict[str, tuple[Column, T.DataType]]) -> Column:
+    """128 bits over the names an entity stores, and over their types and values.
+
+    Only stored names count, in the order of names: columns that a table gains later leave the
+    digest of an entity without them as it is.
+    """
+    parts = []
+    for name, (col, dtype) in sorted(values.items()):
+        both = [F.hex(_hashed(col, dtype, f"{n} {dtype.simpleString()} {name}")) for n in (1, 2)]
+        parts.append(F.when(F.array_contains(present, name), F.concat(*both)))
+    return F.unhex(F.md5(F.concat_ws(" ", F.concat_ws("\n", present), *parts).cast("binary")))
+
+
 def _holds_special(dtype: T.DataType) -> bool:
     if isinstance(dtype, (T.VariantType, T.MapType)) or is_key_type(dtype):
         return True

@@ -64,12 +64,48 @@ def path_depth(path: Column) -> Column:
     return F.call_function("div", slashes, F.lit(2))
 
 
-def descendants(df: DataFrame, ancestors: DataFrame, depth: int) -> DataFrame:
-    """Rows under any of the ancestors, which all have `depth` path elements.
+def _nearest_paths(df: DataFrame, ancestors: DataFrame) -> DataFrame:
+    """The longest ancestor path of each key of `df` that has any, and how many it has.
 
-    An equi-join on the ancestor part of the path, not a prefix comparison of every
-    pair of rows.
+    A key is expanded to the beginnings of its path, itself included, as many as it has elements;
+    so keys and ancestors of any depth meet in one equi-join, and only keys are shuffled.
     """
+    path = F.col(fv.PATH)
+    beginnings = F.transform(F.sequence(F.lit(1).cast("bigint"), path_depth(path)), lambda n: _first_elements(path, n))
+    probes = df.filter(path_depth(path) > 0).select(fv.NS, fv.PATH, F.explode(beginnings).alias(_REF_PATH))
+    wanted = _targets(ancestors).distinct()
+    met = probes.join(wanted.withColumnRenamed(_REF_NS, fv.NS), [fv.NS, _REF_PATH])
+    longest = F.max(F.struct(path_depth(F.col(_REF_PATH)).alias("depth"), F.col(_REF_PATH).alias("path")))
+    found = met.groupBy(fv.NS, fv.PATH).agg(longest.alias("nearest"), F.count_distinct(_REF_PATH).alias("n"))
+    return found.select(fv.NS, fv.PATH, F.col("nearest.path").alias(_REF_PATH), "n")
+
+
+def _first_elements(path: Column, n: Column) -> Column:
+    return F.concat(F.call_function("substring_index", path, F.lit("/"), (2 * n).cast("int")), F.lit("/"))
+
+
+def nearest_ancestors(
+    df: DataFrame, ancestors: DataFrame, ancestor: str = "ancestor_path", count: str | None = None
+) -> DataFrame:
+    """Rows under any of the ancestors, with the path of the nearest one in `ancestor` and, if
+    wanted, the number of ancestors they have in `count`.
+
+    `ancestors` may lie at any depths, also under each other; a row that is an ancestor itself
+    is its own nearest.  Paths count within a namespace.  Repeated ancestors count once.
+    """
+    near = _nearest_paths(df, ancestors).withColumnRenamed(_REF_PATH, ancestor)
+    near = near.drop("n") if count is None else near.withColumnRenamed("n", count)
+    return df.join(near, [fv.NS, fv.PATH])
+
+
+def descendants(df: DataFrame, ancestors: DataFrame, depth: int | None = None) -> DataFrame:
+    """Rows under any of the ancestors, the ancestors included.
+
+    With ancestors that all have `depth` path elements, an equi-join on that part of the path;
+    without it, they may have any depths.  No row is compared with every ancestor.
+    """
+    if depth is None:
+        return df.join(_nearest_paths(df, ancestors).select(fv.NS, fv.PATH), [fv.NS, fv.PATH], "left_semi")
     probe = df.withColumns({_REF_NS: F.col(fv.NS), _REF_PATH: ancestor_path(F.col(fv.PATH), depth)})
     return probe.filter(path_depth(F.col(fv.PATH)) >= depth).join(
         _targets(ancestors), [_REF_NS, _REF_PATH], "left_semi"

@@ -97,8 +97,3 @@ class Page:
     rows: DataFrame
     next: PagePosition | None
 
-
-def page_end(page: DataFrame) -> PagePosition | None:
-    """Position of the last row of a page in key order."""
-    last = page.agg(F.max(F.struct(fv.NS, fv.PATH)).alias("last")).first()["last"]
-    return None if last is None else PagePosition(last[fv.NS], last[fv.PATH])

@@ -37,16 +37,59 @@ _COMPARE = {
 }
 
 
+def _seek(position: PagePosition, fields: dict[str, T.DataType], tie: Column, *, forward: bool) -> list[Column]:
+    """Rows behind (or, backwards, before) a position: the first property of the order that
+    differs decides, and `tie` where none does.
+
+    Ascending order has nulls first and descending order last, as in a sort.  The bound on the
+    leading property stands by itself as well, since only that form reaches the Parquet reader.
+    """
+    leading: list[Column] = []
+    for item, value in reversed(list(zip(position.order, position.values, strict=True))):
+        name, descending = _split_order(item)
+        if name not in fields:
+            continue
+        left, null = column(name), value is None
+        right = literal(value, fields[name])
+        upward = forward != descending
+        if upward:
+            beyond = left.isNotNull() if null else left > right
+        else:
+            beyond = F.lit(False) if null else (left < right) | left.isNull()
+        tie = beyond | (left.eqNullSafe(right) & tie)
+        leading = [] if null else [left >= right if upward else (left <= right) | left.isNull()]
+    return [*leading, tie]
+
+
+def literal(value: Any, dtype: T.DataType) -> Column:
+    """A collected value as a column of its type; a timestamp is given in microseconds."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]).cast(dtype)
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[literal(v, dtype.elementType) for v in value]).cast(dtype)
+    if isinstance(dtype, T.TimestampType) and isinstance(value, int):
+        return F.timestamp_micros(F.lit(value).cast("bigint"))
+    return F.lit(value).cast(dtype)
+
+
 def _split_order(item: str) -> tuple[str, bool]:
     return (item[1:], True) if item.startswith("-") else (item, False)
 
 
 @dataclass(frozen=True)
 class PagePosition:
-    """Last row of a page; the next page starts right after it."""
+    """Last row of a page; the next page starts right after it.
+
+    `values` are that row's values of the properties in `order`, the order of the pages; both are
+    empty for pages in key order.  Timestamps stand there as microseconds.
+    """
 
     ns_code: str
     path_text: str
+    order: tuple[str, ...] = ()
+    values: tuple[Any, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -70,6 +113,9 @@ class QuerySpec:
         for _, op, _ in self.filters:
             if op not in fv.FILTER_OPS:
                 raise QueryValidationError(f"unknown filter operator: {op!r}")
+        for name, op, value in self.filters:
+            if isinstance(value, DataFrame) and (op not in ("IN", "NOT_IN") or len(value.columns) != 1):
+                raise QueryValidationError(f"{name} {op}: a table can only be searched, and has one column")
         if self.ancestor and self.namespace not in (None, self.ancestor.namespace):
             raise QueryValidationError("the namespace differs from the one of the ancestor key")
         if self.keys_only and self.projection:
@@ -89,22 +135,29 @@ class QuerySpec:
             )
         if self.limit is not None and self.limit < 0:
             raise QueryValidationError("limit must not be negative")
-        if (self.after or self.until) and (self.order or self.distinct_on):
-            raise QueryValidationError("a page position implies key order")
+        for position in (self.after, self.until):
+            if position and tuple(position.order) != tuple(self.order):
+                raise QueryValidationError("the page position belongs to another order")
 
     # --- the scan ---
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Filter, order and cut `df`; keeps the key columns, drops unprojected ones."""
+        fields = field_types(df)
+        rows = self._ordered(self.matching(df), fields)
+        if self.limit is not None:
+            rows = rows.limit(self.limit)
+        return self._columns(rows, fields)
+
+    def matching(self, df: DataFrame) -> DataFrame:
+        """The rows between the page positions, neither ordered nor cut."""
         self.validate()
         fields = field_types(df)
         rows = self._select_rows(df, fields)
         if self.distinct_on:
             rows = self._first_per_combination(rows, fields)
-        rows = self._ordered(rows, fields)
-        if self.limit is not None:
-            rows = rows.limit(self.limit)
-        return self._columns(rows, fields)
+        between = self._range_conditions(fields)
+        return rows.filter(reduce(Column.__and__, between)) if between else rows
 
     def _select_rows(self, df: DataFrame, fields: dict[str, T.DataType]) -> DataFrame:
         conditions: list[Column] = []
@@ -113,25 +166,30 @@ class QuerySpec:
             conditions.append(F.col(fv.NS) == namespace_code(namespace))
         if self.ancestor is not None:
             conditions.append(F.startswith(F.col(fv.PATH), F.lit(self.ancestor.path_text)))
-        conditions += self._range_conditions()
-        conditions += [condition(name, op, value, fields) for name, op, value in self.filters]
+        tables = [f for f in self.filters if isinstance(f[2], DataFrame)]
+        conditions += [condition(*f, fields) for f in self.filters if not isinstance(f[2], DataFrame)]
         if self.require_present:
             conditions += [
                 column(n).isNotNull() for n, _ in map(_split_order, self.order) if n in fields
             ]
-        return df.filter(reduce(Column.__and__, conditions)) if conditions else df
+        rows = df.filter(reduce(Column.__and__, conditions)) if conditions else df
+        for name, op, values in tables:
+            rows = in_table(rows, name, values) if op == "IN" else not_in_table(rows, name, values)
+        return rows
 
-    def _range_conditions(self) -> list[Column]:
-        """Keys after one position, up to and including another."""
+    def _range_conditions(self, fields: dict[str, T.DataType]) -> list[Column]:
+        """Rows after one position, up to and including another."""
         ns, path, low, high = F.col(fv.NS), F.col(fv.PATH), self.after, self.until
-        if low and high and low.ns_code == high.ns_code:
+        if low and high and not self.order and low.ns_code == high.ns_code:
             # One namespace: plain bounds, which reach the Parquet reader.
             return [ns == low.ns_code, path > low.path_text, path <= high.path_text]
         found = []
         if low:
-            found.append((ns > low.ns_code) | ((ns == low.ns_code) & (path > low.path_text)))
+            behind = (ns > low.ns_code) | ((ns == low.ns_code) & (path > low.path_text))
+            found += _seek(low, fields, behind, forward=True)
         if high:
-            found.append((ns < high.ns_code) | ((ns == high.ns_code) & (path <= high.path_text)))
+            within = (ns < high.ns_code) | ((ns == high.ns_code) & (path <= high.path_text))
+            found += _seek(high, fields, within, forward=False)
         return found
 
     def _first_per_combination(self, rows: DataFrame, fields: dict) -> DataFrame:
@@ -156,7 +214,7 @@ class QuerySpec:
         return rows.orderBy(*sort, *_key_order(fields))
 
     def _columns(self, rows: DataFrame, fields: dict) -> DataFrame:
-        system = [F.col(n) for n in fv.SYSTEM_COLUMNS if n in fields]
+        system = [F.col(n) for n in fv.SYSTEM_COLUMNS if n in fields and n != fv.DIGEST]
         if self.keys_only:
             return rows.select(*system)
         if self.projection is None:
@@ -190,6 +248,81 @@ def condition(name: str, op: str, value: Any, fields: dict[str, T.DataType]) ->
     return _COMPARE[op](left, value if isinstance(value, Column) else F.lit(value))
 
 
+_MEMBER = "__member__"
+
+
+def _members(df: DataFrame, name: str, values: DataFrame) -> tuple[Column, Column, DataFrame]:
+    """What a property and the column of a table are compared by: the property's side, null where
+    it can match nothing, the table's side, and the table with its column renamed."""
+    own = field_types(df)[name]
+    given = values.toDF(_MEMBER)
+    held, member, kind = column(name), F.col(_MEMBER), given.schema[0].dataType
+    if is_key_type(own):
+        if not is_key_type(kind):
+            raise QueryValidationError(f"{name} holds keys; a table of {kind.simpleString()} has none of them")
+        text = lambda key: F.concat(key_ns_code(key), F.lit("\n"), key_path_text(key))
+        return F.when(held.isNotNull(), text(held)), F.when(member.isNotNull(), text(member)), given
+    if isinstance(own, T.VariantType):
+        # As with a list, a value of mixed type is looked for among those of its own type.
+        word = F.regexp_extract(F.schema_of_variant(held), "^([A-Z_]+)", 1)
+        if isinstance(kind, (T.IntegralType, T.FractionalType)):
+            whole = F.when(word == "BIGINT", _number(F.try_variant_get(held, "$", "bigint"), True))
+            found = whole.when(word.isin(*_NUMBER_WORDS), _number(F.try_variant_get(held, "$", "double"), False))
+            sought = _number(member, True) if isinstance(kind, T.IntegralType) else _number(member.cast("double"), False)
+            return found, F.when(member.isNotNull(), sought), given
+        for kinds, own_word, read in ((T.StringType, "STRING", "string"), (T.BooleanType, "BOOLEAN", "boolean")):
+            if isinstance(kind, kinds):
+                return F.when(word == own_word, F.try_variant_get(held, "$", read)), member, given
+        raise QueryValidationError(f"cannot compare a mixed property with {kind.simpleString()}")
+    return held, member, given
+
+
+def _number(value: Column, whole: bool) -> Column:
+    """A number in a form that is equal for equal whole numbers and fractions."""
+    if whole:
+        return F.struct(value.cast("bigint").alias("whole"), F.lit(None).cast("double").alias("part"))
+    is_whole = (value == F.floor(value)) & (F.abs(value) < 2.0**63)
+    return F.struct(F.when(is_whole, value.cast("bigint")).alias("whole"), F.when(~is_whole, value).alias("part"))
+
+
+def in_table(df: DataFrame, name: str, values: DataFrame) -> DataFrame:
+    """Rows whose property occurs in a one-column table, by the rules of a list: a NULL in the
+    table stands for a stored null.
+
+    An equi semi join, so the table may be of any size and may repeat values.  Rows without the
+    property are not shuffled with the join: a null never equals a value.
+    """
+    fields = field_types(df)
+    if name not in fields:
+        return df.filter(F.lit(False))
+    held, member, given = _members(df, name, values)
+    met = df.withColumn("__held__", held).join(
+        given.select(member.alias(_MEMBER)).filter(F.col(_MEMBER).isNotNull()), F.col("__held__") == F.col(_MEMBER), "left_semi"
+    )
+    null = F.is_variant_null(column(name)) if isinstance(fields[name], T.VariantType) else _stored_null(name, column(name), fields)
+    some_null = given.filter(F.col(_MEMBER).isNull()).select(_MEMBER).exists()
+    return met.drop("__held__").unionByName(df.filter(null & some_null))
+
+
+def not_in_table(df: DataFrame, name: str, values: DataFrame) -> DataFrame:
+    """Rows that hold the property with a value that no row of the table has; a NULL in the table
+    excludes only the stored null of a mixed property, which is one of its values.
+
+    A plain equi anti join, which also a large table can be shuffled for; SQL's own NOT IN would
+    have to send the whole table to every task.
+    """
+    if name not in field_types(df):
+        return df.filter(F.lit(False))
+    held, member, given = _members(df, name, values)
+    present = df.filter(column(name).isNotNull())
+    if isinstance(field_types(df)[name], T.VariantType):
+        some_null = given.filter(F.col(_MEMBER).isNull()).select(_MEMBER).exists()
+        present = present.filter(~(F.is_variant_null(column(name)) & some_null))
+    present = present.withColumn("__held__", held)
+    members = given.select(member.alias(_MEMBER)).filter(F.col(_MEMBER).isNotNull())
+    return present.join(members, F.col("__held__") == F.col(_MEMBER), "left_anti").drop("__held__")
+
+
 def _isin(left: Column, text: str, values: Sequence[Any]) -> Column:
     """Membership as one set, whatever the length of the list; `text` is `left` in SQL.
 
@@ -317,9 +450,31 @@ def sort_columns(order: Sequence[str], df: DataFrame) -> list[Column]:
     return [*[_sort_column(i) for i in order if _split_order(i)[0] in fields], *_key_order(fields)]
 
 
-def _sort_column(item: str) -> Column:
+def page_end(spec: QuerySpec, df: DataFrame, limit: int) -> PagePosition | None:
+    """Where a page of `limit` rows ends that starts behind `spec.after`; None if there is no row.
+
+    Only the properties of the order and the key are read, and only rows behind the start sorted.
+    """
+    fields = field_types(df)
+    held = [name for name, _ in map(_split_order, spec.order) if name in fields]
+    given = [F.unix_micros(column(n)) if isinstance(fields[n], T.TimestampType) else column(n) for n in held]
+    marks = [F.struct(F.lit(0).alias("none"), *[v.alias(f"v{i}") for i, v in enumerate(given)]).alias("__values__")]
+    ahead = spec.matching(df).select(*[column(n) for n in dict.fromkeys(held)], fv.NS, fv.PATH, *marks)
+    sort = sort_columns(spec.order, df)
+    turned = [_sort_column(i, turned=True) for i in spec.order if _split_order(i)[0] in fields]
+    page = ahead.orderBy(*sort).limit(limit)
+    # The last row of the page, without bringing the page to the driver.
+    last = page.orderBy(*turned, F.col(fv.NS).desc(), F.col(fv.PATH).desc()).limit(1).collect()
+    if not last:
+        return None
+    found = dict(zip(held, last[0]["__values__"][1:], strict=True))
+    values = tuple(found.get(name) for name, _ in map(_split_order, spec.order))
+    return PagePosition(last[0][fv.NS], last[0][fv.PATH], tuple(spec.order), values)
+
+
+def _sort_column(item: str, turned: bool = False) -> Column:
     name, descending = _split_order(item)
-    return column(name).desc() if descending else column(name).asc()
+    return column(name).desc() if descending != turned else column(name).asc()
 
 
 def _key_order(fields: dict[str, T.DataType]) -> list[Column]:

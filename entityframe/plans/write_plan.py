@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError
 from entityframe.functions.keys import KEY_TYPE, EntityKey, key_json
-from entityframe.functions.logical import comparable, same_type
+from entityframe.functions.logical import comparable, content_digest, same_type
 from entityframe.plans.reports import WriteReport, result_columns, should_write
 from entityframe.schema import Schema, column, incomplete_error
 
 PROPERTIES = "properties"
 ROW_INDEX = "row_index"
+LATEST = "__latest__"
+_SUPERSEDED = "a later row of the same key is written"
 
 
 def bucket_column(ns, path, buckets: int):
@@ -99,11 +101,13 @@ def plan_rows(
     properties: Sequence[str] | None = None,
     row_index: str | None = None,
     buckets: int = 1,
+    latest_by: str | None = None,
 ) -> WritePlan:
     """Check, key and encode every row.  Lazy.
 
     `row_index` names the column that identifies input rows in the report; without
-    it Spark's increasing row id is used.
+    it Spark's increasing row id is used.  `latest_by` names the column by which `keep_latest`
+    chooses among the rows of a key.  Neither has to be declared.
     """
     if schema.key is None and fv.KEY not in df.columns:
         raise SchemaError("a write needs a key recipe in the schema or a __key__ column")
@@ -113,15 +117,18 @@ def plan_rows(
         raise SchemaError(f"unknown write mode: {mode!r}")
 
     key = schema.key_columns(df)
-    encoded, undeclared = schema.encode(df, properties)
+    prepared = schema.with_row_defaults(df, properties)
+    encoded, undeclared = schema.encode(prepared, properties)
     index = F.monotonically_increasing_id() if row_index is None else column(row_index)
     row_checks = []
     if operation == "write":
-        row_checks = [schema.required_error(df), schema.unknown_error(df)]
+        row_checks = [schema.required_error(df), schema.unknown_error(df, [row_index, latest_by])]
 
+    latest = [] if latest_by is None else [column(latest_by).alias(LATEST)]
     # Stage 1: every value and error once.
-    stage = df.select(
+    stage = prepared.select(
         index.alias(ROW_INDEX),
+        *latest,
         key.value.alias("__raw_key__"),
         key.error.alias("key_error"),
         F.when(key.error.isNull(), key.ns).alias(fv.NS),
@@ -147,6 +154,7 @@ def plan_rows(
     plain = {e.name: p["present"] for p, e in zip(parts, encoded) if not e.indexed}
     columns = [
         F.col(ROW_INDEX),
+        *[F.col(LATEST) for _ in latest],
         F.when(fine, F.lit("patch" if operation == "patch" else mode))
         .otherwise(F.lit(fv.ERROR_ACTION))
         .alias("action"),
@@ -163,6 +171,10 @@ def plan_rows(
     if parts:
         values = F.struct(*[p["value"].alias(n) for p, n in zip(parts, names)])
         columns.append(F.when(fine, values).alias(PROPERTIES))
+    if operation == "write":
+        types = {e.name: schema.properties[e.name].dtype.spark_type for e in encoded}
+        given = {n: (p["value"], types[n]) for n, p in zip(names, parts)}
+        columns.append(F.when(fine, content_digest(_names(held), given)).alias(fv.DIGEST))
     planned = stage.select(*columns).withColumns(
         {
             fv.BUCKET: bucket_column(F.col(fv.NS), F.col(fv.PATH), buckets),
@@ -172,6 +184,29 @@ def plan_rows(
     return WritePlan(planned, operation, mode)
 
 
+def keep_latest(plan: WritePlan) -> WritePlan:
+    """Of the good rows of a key, the one with the greatest `latest_by` is written (nulls are
+    least, ties go to the greatest row index); the others are skipped and say why.
+
+    The winners are found by an aggregate, which sends one row per key and task, and joined back
+    by row index, which no two rows share: a hot key is nowhere one task's work.  Needs a staged
+    plan.
+    """
+    good = F.col("error").isNull() & F.col(fv.PATH).isNotNull()
+    newest = F.max(F.struct(F.col(LATEST), F.col(ROW_INDEX))).alias("newest")
+    winners = plan.df.filter(good).groupBy(fv.NS, fv.PATH).agg(newest).select(F.col("newest")[ROW_INDEX].alias("__winner__"))
+    joined = plan.df.join(winners, F.col(ROW_INDEX) == F.col("__winner__"), "left")
+    older = good & F.col("__winner__").isNull()
+    folded = joined.withColumns(
+        {
+            "action": F.when(older, F.lit(fv.SKIP_ACTION)).otherwise(F.col("action")),
+            "reason": F.when(older, F.lit(_SUPERSEDED)).otherwise(F.col("reason")),
+            "should_write": F.col("should_write") & ~older,
+        }
+    )
+    return plan.on(folded.drop("__winner__", LATEST))
+
+
 def _names(flags: dict[str, Column]) -> Column:
     """Sorted names whose flag is set."""
     if not flags:
@@ -193,7 +228,9 @@ def classify(plan: WritePlan, existing: DataFrame | None, *, check_values: bool
     the keys of the batch, a semi join that needs no shuffle of the stored table while
     the batch's keys are small enough to broadcast; then one left join on the lookup
     identity pairs the rows.  With `check_values=False` only existence is looked at,
-    which is what a plain insert, update or patch needs.
+    which is what a plain insert, update or patch needs.  Full entities are compared by the digest
+    stored with each, so that no property is read; a patch, which is a part of an entity, by the
+    values of its properties.
     """
     df = plan.df
     types = property_types(df)
@@ -205,9 +242,14 @@ def classify(plan: WritePlan, existing: DataFrame | None, *, check_values: bool
         for f in existing.schema.fields
         if f.name in types and f.name not in fv.SYSTEM_COLUMNS
     }
-    wanted = [F.col(fv.PRESENT).alias("present")]
-    if check_values:
-        wanted += [column(n) for n in stored_types]
+    by_digest = check_values and fv.DIGEST in df.columns and fv.DIGEST in existing.columns
+    if by_digest:
+        wanted = [F.col(fv.DIGEST).alias("digest")]
+        stored_types = {}
+    else:
+        wanted = [F.col(fv.PRESENT).alias("present")]
+        if check_values:
+            wanted += [column(n) for n in stored_types]
     keys = [fv.NS, fv.PATH] + ([fv.BUCKET] if fv.BUCKET in existing.columns else [])
     batch = df.filter(F.col(fv.PATH).isNotNull()).select(*keys)
     stored = existing.join(batch, keys, "left_semi").select(
@@ -221,11 +263,11 @@ def classify(plan: WritePlan, existing: DataFrame | None, *, check_values: bool
     if len(keys) == 3:
         on.append(F.coalesce(probe[fv.BUCKET], F.lit(-1)) == stored["__s2__"])
     joined = probe.join(stored, on, "left").drop("__probe__", "__s0__", "__s1__", "__s2__")
-    out = _with_action(joined, plan, F.col("__stored__"), stored_types, types, check_values)
+    out = _with_action(joined, plan, F.col("__stored__"), stored_types, types, check_values, by_digest)
     return plan.on(out.drop("__stored__"))
 
 
-def _with_action(df, plan, stored, stored_types, types, check_values) -> DataFrame:
+def _with_action(df, plan, stored, stored_types, types, check_values, by_digest=False) -> DataFrame:
     exists = F.lit(False) if stored is None else stored.isNotNull()
     full = plan.operation == "write"
     action, reason, error = F.col("action"), F.col("reason"), F.col("error")
@@ -242,7 +284,7 @@ def _with_action(df, plan, stored, stored_types, types, check_values) -> DataFra
     if check_values:
         rules.append((~exists, "create", F.lit(fv.REASON_NOT_STORED), text))
         if full:
-            same = _full_match(stored, stored_types, types)
+            same = stored["digest"].eqNullSafe(F.col(fv.DIGEST)) if by_digest else _full_match(stored, stored_types, types)
             rules.append((same, fv.SKIP_ACTION, F.lit(fv.REASON_SAME), text))
             rules.append((F.lit(True), "update", F.lit(fv.REASON_DIFFERENT), text))
         else:
@@ -285,11 +327,7 @@ def _full_match(stored, stored_types, types):
     """Same set of stored names and equal values."""
     if stored is None:
         return F.lit(False)
-    match = stored["present"] == F.col(fv.PRESENT)
-    for name in types:
-        held = F.array_contains(F.col(fv.PRESENT), name)
-        match = match & (~held | _value_equal(name, stored, stored_types, types))
-    return match
+    return (stored["present"] == F.col(fv.PRESENT)) & _patch_match(stored, stored_types, types)
 
 
 def _patch_match(stored, stored_types, types):
@@ -307,10 +345,11 @@ def _patch_match(stored, stored_types, types):
 
 
 def duplicate_keys(df: DataFrame, *, full_key: bool = True) -> DataFrame:
-    """Keys that occur more than once, with their counts.
+    """Keys that occur more than once, with their counts; rows that a later one supersedes don't count.
 
     A partial count on the map side keeps a much repeated key cheap to shuffle.
     """
+    df = df.filter(~F.col("reason").eqNullSafe(_SUPERSEDED)) if "reason" in df.columns else df
     if full_key:
         named = df.filter(F.col(fv.KEY).isNotNull()).select(key_json(F.col(fv.KEY)).alias("key"))
         return named.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")

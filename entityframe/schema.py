@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 from decimal import Decimal
-from typing import Any, Mapping, Sequence
+from typing import Any, Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -35,6 +35,33 @@ def field_types(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
+@dataclass(frozen=True)
+class PerRow:
+    """A default that is made anew for every cell it fills; see `per_row`."""
+
+    make: Callable[[], Any]
+
+    def column(self, missing: Column, dtype: T.DataType) -> Column:
+        """Calls the function where `missing` holds, in Arrow batches, and never twice for a cell
+        of one evaluation: Spark neither repeats nor moves a non-deterministic function."""
+        make = self.make
+
+        # Workers get this function by value: it uses nothing of this library.
+        def fill(wanted: bool) -> Any:
+            value = make() if wanted else None
+            return getattr(value, "struct", value)
+
+        return F.udf(fill, dtype, useArrow=True).asNondeterministic()(missing)
+
+
+def per_row(make: Callable[[], Any]) -> PerRow:
+    """A default for `Field` that calls a Python function for each missing cell, such as a fresh
+    identifier.  The function is sent to the tasks; what it returns must fit the property's type
+    as it is stored: a text for a string, a `datetime` for a timestamp, an `EntityKey` for a key.
+    """
+    return PerRow(make)
+
+
 @dataclass(frozen=True)
 class EncodedField:
     """Compiled property: stored value, is-it-stored flag and row error."""
@@ -50,8 +77,8 @@ class EncodedField:
 class Field:
     """One declared property.
 
-    `default` is a literal, a `Column`, or a zero-argument function called once per
-    job.  `missing_policy` says what a missing cell without a default becomes:
+    `default` is a literal, a `Column`, a zero-argument function called once per job, or
+    `per_row` of one, which is called for every missing cell.  `missing_policy` says what a missing cell without a default becomes:
     "omit" (not stored), "null" (stored null) or "error".
     """
 
@@ -68,12 +95,13 @@ class Field:
         if self.default is None:
             raise SchemaError("a default must be a value; use missing_policy='null' for nulls")
 
-    def encode(self, name: str, raw: Column, source: T.DataType) -> EncodedField:
+    def encode(self, name: str, raw: Column, source: T.DataType, made: Column | None = None) -> EncodedField:
+        """`made` holds what a `per_row` default has come to."""
         missing = is_missing(raw, source)
         given = self._converted(raw, source)
         required = F.lit(f"required property {name} ({self.dtype.name}) is missing")
         if self.default is not UNSET:
-            filler = self._default()
+            filler = self._default(made)
             value = F.when(missing, filler.value).otherwise(given.value)
             error = F.when(missing, filler.error).otherwise(given.error)
             present = F.lit(True)
@@ -101,7 +129,10 @@ class Field:
             return made
         return Converted(made.value, F.coalesce(made.error, too_long))
 
-    def _default(self) -> Converted:
+    def _default(self, made: Column | None) -> Converted:
+        if made is not None:
+            too_long = self.dtype.index_error(made) if self.indexed else None
+            return Converted(made, no_error() if too_long is None else too_long)
         value = self.default() if callable(self.default) and not isinstance(
             self.default, Column
         ) else self.default
@@ -160,6 +191,22 @@ class Schema:
         key = None if self.key is None else self.key.with_leaf_kind(kind)
         return replace(self, kind=kind, key=key)
 
+    def row_defaults(self, names: Sequence[str] | None = None) -> dict[str, Field]:
+        """The named (or all) properties whose default is made for every row."""
+        chosen = self.properties if names is None else names
+        found = {n: self.properties[n] for n in chosen if n in self.properties}
+        return {n: f for n, f in found.items() if isinstance(f.default, PerRow)}
+
+    def with_row_defaults(self, df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+        """`df` with a column for each default made per row, so that whatever is worked out from
+        one is worked out from the same value."""
+        fields = field_types(df)
+        made = {}
+        for name, of in self.row_defaults(names).items():
+            missing = is_missing(column(name), fields[name]) if name in fields else F.lit(True)
+            made[_made(name)] = of.default.column(missing, of.dtype.spark_type)
+        return df.withColumns(made) if made else df
+
     def to_struct_type(self) -> T.StructType:
         return T.StructType(
             [T.StructField(n, f.dtype.spark_type) for n, f in self.properties.items()]
@@ -179,11 +226,13 @@ class Schema:
         ]
         return _named_error("missing required fields: ", checks)
 
-    def unknown_error(self, df: DataFrame) -> Column:
-        """Undeclared columns that hold a value, names sorted (strict schemas only)."""
+    def unknown_error(self, df: DataFrame, aside: Sequence[str | None] = ()) -> Column:
+        """Undeclared columns that hold a value, names sorted (strict schemas only).
+
+        Columns named in `aside` are the caller's own."""
         if not self.strict:
             return no_error()
-        known = set(self.properties) | {fv.KEY}
+        known = set(self.properties) | {fv.KEY, *aside}
         known |= set() if self.key is None else self.key.sources
         checks = [
             F.when(~is_missing(column(n), t), F.lit(n))
@@ -213,7 +262,8 @@ class Schema:
                 continue
             raw = column(name) if name in fields else F.lit(None).cast("string")
             source = fields.get(name, T.NullType())
-            made.append(self.properties[name].encode(name, raw, source))
+            filler = column(_made(name)) if _made(name) in fields else None
+            made.append(self.properties[name].encode(name, raw, source, filler))
         return made, error
 
     def key_columns(self, df: DataFrame) -> KeyColumns:
@@ -257,6 +307,10 @@ class Schema:
         return df.select(*kept)
 
 
+def _made(name: str) -> str:
+    return f"__made_{name}__"
+
+
 def incomplete_error(key: Column, operation: str) -> Column:
     return F.when(~key_is_complete(key), F.lit(f"{operation} needs complete keys"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError, WriteConflictError
 from entityframe.functions.keys import KEY_TYPE, EntityKey, namespace_code
-from entityframe.functions.logical import same_type
+from entityframe.functions.logical import content_digest, same_type
 from entityframe.plans.write_plan import PROPERTIES, bucket_column, property_types
 from entityframe.schema import column, field_types
 from entityframe.sources.pointer import create_if_absent, names_in, read_text
@@ -181,6 +181,7 @@ class EntityTable:
                 T.StructField(fv.BUCKET, T.IntegerType()),
                 T.StructField(fv.PRESENT, _NAMES),
                 T.StructField(fv.UNINDEXED, _NAMES),
+                T.StructField(fv.DIGEST, T.BinaryType()),
                 *properties.fields,
             ]
         )
@@ -218,21 +219,33 @@ class EntityTable:
     # --- writing ---
 
     def commit_plan(
-        self, plan_df: DataFrame, how: str, snapshot: Snapshot | None = NEWEST, batch: tuple[str, int] | None = None
+        self,
+        plan_df: DataFrame,
+        how: str | Mapping[str, str],
+        snapshot: Snapshot | None = NEWEST,
+        batch: tuple[str, int] | None = None,
     ) -> int | None:
-        """Merge the writable rows of a (staged) plan.  `how`: put, patch or delete."""
+        """Merge the writable rows of a (staged) plan; `how` as in `merge`."""
         types = property_types(plan_df)
         values = [F.col(PROPERTIES)[n].alias(n) for n in types]
+        digest = [fv.DIGEST] if fv.DIGEST in plan_df.columns else []
         changes = plan_df.filter("should_write").select(
-            fv.KEY, fv.NS, fv.PATH, fv.BUCKET, fv.PRESENT, fv.UNINDEXED, *values
+            fv.KEY, fv.NS, fv.PATH, fv.BUCKET, fv.PRESENT, fv.UNINDEXED, *digest, *values
         )
         return self.merge(changes, how, snapshot, batch)
 
     def merge(
-        self, changes: DataFrame, how: str, snapshot: Snapshot | None = NEWEST, batch: tuple[str, int] | None = None
+        self,
+        changes: DataFrame,
+        how: str | Mapping[str, str],
+        snapshot: Snapshot | None = NEWEST,
+        batch: tuple[str, int] | None = None,
     ) -> int | None:
         """New version with `changes` applied; None when there was nothing to do.
 
+        `how` is put, patch or delete, or says for each changed property by which rule its stored
+        and its new value become one.
+
         The new version follows `snapshot`, the one the changes were made for; if another
         writer has been faster, nothing is changed and a `WriteConflictError` says so.
 
@@ -427,12 +440,13 @@ def pair_rows(
     the files are written.  `changes` counts the changed rows of the key.  A folder is dealt
     to `pieces` tasks by its keys, so that a large one is not one task.
     """
-    body = [fv.KEY, fv.PRESENT, fv.UNINDEXED, *[f.name for f in properties.fields]]
+    body = [fv.KEY, fv.PRESENT, fv.UNINDEXED, fv.DIGEST, *[f.name for f in properties.fields]]
     body_type = T.StructType(
         [
             T.StructField(fv.KEY, KEY_TYPE),
             T.StructField(fv.PRESENT, _NAMES),
             T.StructField(fv.UNINDEXED, _NAMES),
+            T.StructField(fv.DIGEST, T.BinaryType()),
             *properties.fields,
         ]
     )
@@ -470,7 +484,7 @@ def pair_rows(
     )
 
 
-def merge_rows(paired: DataFrame, properties: T.StructType, how: str) -> DataFrame:
+def merge_rows(paired: DataFrame, properties: T.StructType, how: str | Mapping[str, str]) -> DataFrame:
     """The entities that result from paired rows."""
     old, new = F.col("old"), F.col("new")
     if how == "delete":
@@ -479,12 +493,20 @@ def merge_rows(paired: DataFrame, properties: T.StructType, how: str) -> DataFra
         result = paired.withColumn("row", F.coalesce(new, old))
     elif how == "patch":
         result = paired.withColumn("row", _patched(old, new, properties))
+    elif not isinstance(how, str):
+        result = paired.withColumn("row", _patched(old, new, properties, how))
     else:
         raise SchemaError(f"unknown merge: {how!r}")
-    return result.select(fv.NS, fv.BUCKET, fv.PATH, "row.*")
+    row = F.col("row")
+    fresh = content_digest(row[fv.PRESENT], {f.name: (row[f.name], f.dataType) for f in properties.fields})
+    # A full row brings its digest along; a mixed one gets it here.
+    digest = F.coalesce(row[fv.DIGEST], fresh).alias(fv.DIGEST)
+    kept = [fv.KEY, fv.PRESENT, fv.UNINDEXED, *[f.name for f in properties.fields]]
+    return result.select(fv.NS, fv.BUCKET, fv.PATH, digest, *[row[n].alias(n) for n in kept])
 
 
-def _patched(old: Column, new: Column, properties: T.StructType) -> Column:
+def _patched(old: Column, new: Column, properties: T.StructType, rules: Mapping[str, str] | None = None) -> Column:
+    """The stored row with the values that the change holds, or what a rule makes of both."""
     none = F.array().cast(_NAMES)
 
     def union(name: str) -> Column:
@@ -492,8 +514,11 @@ def _patched(old: Column, new: Column, properties: T.StructType) -> Column:
             F.array_union(F.coalesce(old[name], none), F.coalesce(new[name], none))
         )
 
+    def changed(name: str) -> Column:
+        return combined((rules or {}).get(name, "replace"), old[name], new[name])
+
     values = [
-        F.when(F.array_contains(new[fv.PRESENT], f.name), new[f.name])
+        F.when(F.array_contains(new[fv.PRESENT], f.name), changed(f.name))
         .otherwise(old[f.name])
         .alias(f.name)
         for f in properties.fields
@@ -502,11 +527,28 @@ def _patched(old: Column, new: Column, properties: T.StructType) -> Column:
         F.coalesce(old[fv.KEY], new[fv.KEY]).alias(fv.KEY),
         union(fv.PRESENT).alias(fv.PRESENT),
         union(fv.UNINDEXED).alias(fv.UNINDEXED),
+        F.lit(None).cast("binary").alias(fv.DIGEST),
         *values,
     )
     return F.when(new.isNull(), old).otherwise(mixed)
 
 
+# How a stored and a new value become one; a missing one leaves the other.
+_RULES: dict[str, Callable[[Column, Column], Column]] = {
+    "replace": lambda old, new: new,
+    "add": lambda old, new: F.coalesce(old + new, old, new),
+    "min": F.least,
+    "max": F.greatest,
+    "keep": F.coalesce,
+}
+
+
+def combined(rule: str, old: Column, new: Column) -> Column:
+    if rule not in _RULES:
+        raise SchemaError(f"unknown rule: {rule!r}; there are {', '.join(_RULES)}")
+    return _RULES[rule](old, new)
+
+
 def _nullable(dtype: T.DataType) -> T.DataType:
     """The same type with NULLs allowed at every level."""
     if isinstance(dtype, T.ArrayType):

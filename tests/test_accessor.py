@@ -212,11 +212,14 @@ def test_delete_keeps_to_scope_and_read_only(store, frame):
     assert accessor.delete([other], dry_run=True).wrote == 0 and accessor.count() == 1
 
 
-def test_a_page_refuses_a_bound_order(store, frame):
+def test_a_page_follows_a_bound_order(store, frame):
     schema = ef.Schema("N", {"v": ef.Field(ef.Int64Type())}, key=ef.key_policy("N", id_field="n"))
-    ef.write_entities(store, frame([("a", 1)], "n string, v int"), schema)
+    ef.write_entities(store, frame([(n, n % 3) for n in range(8)], "n int, v int"), schema)
     accessor = ef.kind(schema=schema, store=store, order=["-v"])
+    first = accessor.page(5)
+    assert [r.v for r in first.rows.collect()] == [2, 2, 1, 1, 1]
+    assert [r.v for r in accessor.page(5, after=first.next).rows.collect()] == [0, 0, 0]
     with pytest.raises(ef.QueryValidationError):
-        accessor.page(5)
+        accessor.with_order("v").page(5, after=first.next)
     chunks = [c.columns for c in ef.kind(schema=schema, store=store).iter(keys_only=True)]
     assert chunks == [[fv.KEY]]

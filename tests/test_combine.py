@@ -1,0 +1,105 @@
+"""Values that depend on the stored ones: rules, folds, what stays and what other writers notice."""
+
+from datetime import datetime
+
+import pytest
+
+import entityframe as ef
+from entityframe.sources.store import EntityTable
+
+SCHEMA = ef.Schema(
+    "Tally",
+    {
+        "value": ef.Field(ef.Int64Type(), default=7),
+        "peak": ef.Field(ef.Float64Type()),
+        "first": ef.Field(ef.TimestampType()),
+        "name": ef.Field(ef.StringType()),
+        "note": ef.Field(ef.StringType(), indexed=False),
+    },
+    key=ef.key_policy("Tally", id_field="k"),
+)
+RULES = {"value": "add", "peak": "max", "first": "min", "name": "keep"}
+DDL = "k string, value int, peak double, first timestamp, name string"
+
+
+@pytest.fixture
+def tallies(store, spark):
+    start = [("a", 5, 1.5, datetime(2024, 1, 2), "stored", "stays"), ("b", 1, None, None, None, "also")]
+    ef.write_entities(store, spark.createDataFrame(start, DDL + ", note string"), SCHEMA).raise_for_errors()
+    return ef.kind(schema=SCHEMA, store=store)
+
+
+def held(accessor):
+    names = list(SCHEMA.properties)
+    return {r["__key__"]["path"][0]["name"]: tuple(r[n] for n in names) for r in accessor.read(include_key=True).collect()}
+
+
+def test_each_property_by_its_rule_and_the_rest_stays(tallies, spark):
+    nan, early, late = float("nan"), datetime(2024, 1, 1), datetime(2024, 1, 3)
+    changes = [
+        ("a", 2, 9.0, late, "new"), ("a", 3, nan, early, "other"), ("a", None, -1.0, None, None),
+        ("b", 4, 2.0, late, "y"), ("b", None, None, None, "x"), ("c", 1, nan, None, None), ("d", None, None, None, None),
+    ]
+    report = ef.combine_entities(tallies.store, spark.createDataFrame(changes, DDL), SCHEMA, RULES)
+    assert (report.totals.rows, report.failed, report.wrote) == (4, 0, 4)
+    assert held(tallies) == {
+        "a": (10, 9.0, early, "stored", "stays"),
+        "b": (5, 2.0, late, "x", "also"),
+        "c": (1, None, None, None, None),
+        "d": (0, None, None, None, None),
+    }
+
+
+def test_deltas_leave_other_properties(tallies, frame):
+    ef.add_deltas(tallies.store, SCHEMA, frame([("a", 1), ("z", 2)], "k string, value int"), "value").raise_for_errors()
+    assert held(tallies)["a"] == (6, 1.5, datetime(2024, 1, 2), "stored", "stays")
+    assert held(tallies)["z"] == (2, None, None, None, None)
+
+
+def test_a_write_in_between_is_noticed(tallies, frame, monkeypatch):
+    merge = EntityTable.merge
+
+    def slow_merge(self, changes, how, snapshot=None, batch=None):
+        if not isinstance(how, str):
+            monkeypatch.setattr(EntityTable, "merge", merge)
+            row = frame([("a", 100)], "k string, value int")
+            ef.patch_entities(tallies.store, row, SCHEMA, properties=["value"]).raise_for_errors()
+        return merge(self, changes, how, snapshot, batch)
+
+    monkeypatch.setattr(EntityTable, "merge", slow_merge)
+    with pytest.raises(ef.WriteConflictError):
+        ef.add_deltas(tallies.store, SCHEMA, frame([("a", 1)], "k string, value int"), "value")
+    assert held(tallies)["a"][0] == 100
+    ef.add_deltas(tallies.store, SCHEMA, frame([("a", 1)], "k string, value int"), "value")
+    assert held(tallies)["a"][0] == 101
+
+
+def test_blocked_runs_change_nothing(tallies, frame):
+    rows = frame([("a", 1), ("q", 1)], "k string, value int")
+    before = held(tallies)
+    assert ef.add_deltas(tallies.store, SCHEMA, rows, "value", dry_run=True).wrote == 0
+    assert ef.add_deltas(tallies.store, SCHEMA, rows, "value", read_only=True).wrote == 0
+    with pytest.raises(ef.SchemaError):
+        ef.add_deltas(tallies.store, SCHEMA, rows, "value", scope=ef.EntityKey((("Other", "x"),)))
+    with pytest.raises(ef.KeyValidationError):
+        ef.add_deltas(tallies.store, SCHEMA, frame([("a", 1), (None, 1)], "k string, value int"), "value")
+    assert held(tallies) == before
+
+
+def test_rules_that_make_no_sense(tallies, frame):
+    rows = frame([("a", 1, "x")], "k string, value int, name string")
+    for rules in ({"value": "multiply"}, {"other": "add"}, {"peak": "add"}, {"name": "add"}, {"k": "keep"}):
+        with pytest.raises(ef.SchemaError):
+            ef.combine_entities(tallies.store, rows, SCHEMA, rules)
+
+
+def test_an_empty_batch_and_a_new_kind(store, frame):
+    assert ef.add_deltas(store, SCHEMA, frame([], "k string, value int"), "value").totals.rows == 0
+    ef.add_deltas(store, SCHEMA, frame([("n", 3), ("n", 4)], "k string, value int"), "value").raise_for_errors()
+    assert held(ef.kind(schema=SCHEMA, store=store)) == {"n": (7, None, None, None, None)}
+
+
+def test_too_large_sums_change_nothing(tallies, frame):
+    with pytest.raises(Exception, match="OVERFLOW|overflow"):
+        ef.add_deltas(tallies.store, SCHEMA, frame([("a", 2**63 - 1)], "k string, value long"), "value")
+    assert held(tallies)["a"][0] == 5

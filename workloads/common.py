@@ -69,6 +69,28 @@ LINKED_ORDER = ef.Schema(
     key=ef.key_policy("LinkedOrder", id_field="o_orderkey"),
 )
 
+# Prices in steps, stored as null for low priorities; months, absent for pending orders.
+PRICED = ef.Schema(
+    "PricedOrder",
+    {
+        "o_orderkey": ef.Field(ef.Int64Type(), nullable=False),
+        "o_totalprice": ef.Field(ef.Float64Type(), missing_policy="null"),
+        "o_orderdate": ef.Field(ef.TimestampType()),
+    },
+    key=ef.key_policy("PricedOrder", id_field="o_orderkey"),
+)
+PRICED_SQL = """(SELECT o_orderkey, 'PricedOrder/n:' || o_orderkey || '/' AS entity_key,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN floor(o_totalprice / 10000) * 10000 END AS o_totalprice,
+        CASE WHEN o_orderstatus <> 'P' THEN date_trunc('month', o_orderdate) END AS o_orderdate
+      FROM orders)"""
+
+LINE_ITEM = ef.Schema(
+    "LineItem",
+    {"l_quantity": ef.Field(ef.Float64Type()), "l_returnflag": ef.Field(ef.StringType())},
+    key=ef.key_policy("LineItem", id_field="l_linenumber", ancestors=[("Customer", "o_custkey"), ("Order", "l_orderkey")]),
+    strict=False,
+)
+
 EVENT = ef.Schema(
     "Event",
     {
@@ -111,6 +133,12 @@ def linked_orders(spark: SparkSession, sf: str) -> DataFrame:
     return orders.withColumn("customer", built.value)
 
 
+def priced_orders(spark: SparkSession, sf: str) -> DataFrame:
+    price = F.when(F.col("o_orderpriority") != "5-LOW", F.floor(F.col("o_totalprice") / 10000) * 10000.0)
+    month = F.when(F.col("o_orderstatus") != "P", F.date_trunc("month", "o_orderdate"))
+    return load(spark, sf, "orders").select("o_orderkey", price.alias("o_totalprice"), month.alias("o_orderdate"))
+
+
 def keyed(df: DataFrame, schema: ef.Schema) -> DataFrame:
     """A plain frame with the key columns of its schema, as a scan would carry them."""
     key = schema.key_columns(df)
@@ -132,6 +160,7 @@ _SOURCES: dict[str, tuple[ef.Schema, Callable[[SparkSession, str], DataFrame]]]
     "Order": (ORDER, lambda spark, sf: load(spark, sf, "orders")),
     "OrderByStatus": (ORDER_BY_STATUS, lambda spark, sf: load(spark, sf, "orders")),
     "LinkedOrder": (LINKED_ORDER, linked_orders),
+    "PricedOrder": (PRICED, priced_orders),
     "Event": (EVENT, lambda spark, sf: load(spark, sf, "events")),
     "Document": (DOCUMENT, labelled_documents),
 }

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import entityframe as ef
 from entityframe import fixed_values as fv
 from entityframe.functions.keys import key_ns_code
-from entityframe.operators.linked import descendants
-from workloads.common import ORDER, as_text, keyed, load, micros, stored
+from entityframe.operators.linked import descendants, nearest_ancestors
+from workloads.common import LINE_ITEM, ORDER, PRICED_SQL, as_text, keyed, load, micros, priced_orders, stored
 
 
 def _events(spark: SparkSession, sf: str, *filters, **options) -> DataFrame:
@@ -93,6 +93,38 @@ def descendants_many(spark: SparkSession, sf: str) -> DataFrame:
     return descendants(orders, customers, 1).select("o_orderkey", "o_custkey")
 
 
+def _line_items(spark: SparkSession, sf: str) -> DataFrame:
+    owners = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    items = load(spark, sf, "lineitem")
+    return keyed(items.join(owners, items.l_orderkey == owners.o_orderkey), LINE_ITEM)
+
+
+def _mixed_ancestors(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of a segment, urgent orders and returned line items: one, two and three levels deep."""
+    customers = stored(spark, sf, "Customer").raw(filters=[("c_mktsegment", "=", "BUILDING")])
+    orders = stored(spark, sf, "Order").raw(filters=[("o_orderpriority", "=", "1-URGENT")])
+    items = _line_items(spark, sf).filter("l_returnflag = 'R'")
+    paths = [df.select(fv.NS, fv.PATH) for df in (customers, orders, items)]
+    return paths[0].unionByName(paths[1]).unionByName(paths[2])
+
+
+def descendants_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items under any of the ancestors, with the nearest one and the number of them."""
+    found = nearest_ancestors(_line_items(spark, sf), _mixed_ancestors(spark, sf), "nearest", "ancestors")
+    return found.select(F.col(fv.PATH).alias("entity_key"), "nearest", "ancestors")
+
+
+def filter_in_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose price, which may be null, is and is not in a table of prices with nulls."""
+    accessor = stored(spark, sf, "PricedOrder")
+    prices = priced_orders(spark, sf).filter("o_orderkey % 50 = 0").select("o_totalprice")
+    found = [
+        accessor.read(filters=[("o_totalprice", op, prices)]).select(F.lit(op).alias("op"), "o_orderkey", "o_totalprice")
+        for op in ("IN", "NOT_IN")
+    ]
+    return found[0].unionByName(found[1])
+
+
 def project(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, sf, "Order").read(projection=["o_orderkey", "o_orderpriority"])
 
@@ -137,6 +169,8 @@ QUERIES = {
     "namespace_scan": namespace_scan,
     "namespace_ancestor": namespace_ancestor,
     "descendants_many": descendants_many,
+    "descendants_mixed": descendants_mixed,
+    "filter_in_table": filter_in_table,
     "project": project,
     "order_limit": order_limit,
     "distinct_on": distinct_on,
@@ -168,6 +202,24 @@ SQL = {
     "descendants_many": """
         SELECT o_orderkey, o_custkey FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE c_mktsegment = 'BUILDING'""",
+    "descendants_mixed": """
+        WITH found AS (
+          SELECT 'Customer/n:' || o_custkey || '/' AS customer, 'Order/n:' || o_orderkey || '/' AS own_order,
+                 'LineItem/n:' || l_linenumber || '/' AS item, c_mktsegment = 'BUILDING' AS a,
+                 o_orderpriority = '1-URGENT' AS b,
+                 bool_or(l_returnflag = 'R') OVER (PARTITION BY l_orderkey, l_linenumber) AS c
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)
+        SELECT customer || own_order || item AS entity_key,
+               CASE WHEN c THEN customer || own_order || item WHEN b THEN customer || own_order ELSE customer END AS nearest,
+               a::BIGINT + b::BIGINT + c::BIGINT AS ancestors
+        FROM found WHERE a OR b OR c""",
+    "filter_in_table": f"""
+        WITH priced AS {PRICED_SQL}, prices AS (SELECT o_totalprice FROM priced WHERE o_orderkey % 50 = 0)
+        SELECT 'IN' AS op, o_orderkey, o_totalprice FROM priced p
+        WHERE EXISTS (SELECT 1 FROM prices s WHERE s.o_totalprice IS NOT DISTINCT FROM p.o_totalprice)
+        UNION ALL
+        SELECT 'NOT_IN', o_orderkey, o_totalprice FROM priced p
+        WHERE o_totalprice IS NOT NULL AND NOT EXISTS (SELECT 1 FROM prices s WHERE s.o_totalprice = p.o_totalprice)""",
     "project": "SELECT o_orderkey, o_orderpriority FROM orders",
     "order_limit": """
         SELECT o_orderkey, o_totalprice, epoch_us(o_orderdate) AS o_orderdate_us FROM orders

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 import entityframe as ef
 from entityframe import fixed_values as fv
 from entityframe.operators.paging import with_chunks
 from entityframe.sources.staging import fresh_path
-from workloads.common import ORDER, as_text, keyed, load, micros, stored
+from workloads.common import ORDER, PRICED_SQL, as_text, keyed, load, micros, stored
 
 
 def scan_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,6 +45,20 @@ def keyset_page(spark: SparkSession, sf: str) -> DataFrame:
     return page.rows.select(as_text(F.col(fv.KEY)), "o_orderkey", "o_totalprice")
 
 
+def seek_page(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages by falling price, then month, then key; prices and months repeat and are missing."""
+    accessor = stored(spark, sf, "PricedOrder").with_order("-o_totalprice", "o_orderdate")
+    size = accessor.count() // 5 + 1
+    pages, after = [], None
+    while True:
+        page = accessor.page(size, after=after, include_key=True)
+        if page.next is None:
+            return reduce(DataFrame.unionByName, pages)
+        pages.append(page.rows.withColumn("page", F.lit(len(pages))))
+        pages[-1] = pages[-1].select("page", as_text(F.col(fv.KEY)), "o_totalprice", micros("o_orderdate"))
+        after = page.next
+
+
 def kind_count(spark: SparkSession, sf: str) -> DataFrame:
     keys = stored(spark, sf, "Order").read(keys_only=True)
     return keys.agg(F.count(F.lit(1)).alias("entities"))
@@ -86,6 +102,7 @@ QUERIES = {
     "keys_only_orders": keys_only_orders,
     "chunk_numbers": chunk_numbers,
     "keyset_page": keyset_page,
+    "seek_page": seek_page,
     "kind_count": kind_count,
     "bulk_get": bulk_get,
     "csv_round_trip": csv_round_trip,
@@ -110,6 +127,11 @@ SQL = {
         SELECT 'Customer/n:' || o_custkey || '/Order/n:' || o_orderkey || '/' AS entity_key,
                o_orderkey, o_totalprice
         FROM orders ORDER BY entity_key LIMIT 500 OFFSET 1000""",
+    "seek_page": f"""
+        SELECT ((row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderdate NULLS FIRST, entity_key) - 1)
+                // ((SELECT count(*) FROM orders) // 5 + 1))::INTEGER AS page,
+               entity_key, o_totalprice, epoch_us(o_orderdate) AS o_orderdate_us
+        FROM {PRICED_SQL}""",
     "kind_count": "SELECT count(*) AS entities FROM orders",
     "bulk_get": """
         SELECT o_orderkey, o_totalprice FROM orders

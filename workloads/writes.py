@@ -239,6 +239,45 @@ def delta_merge(spark: SparkSession, sf: str) -> DataFrame:
     return counters.read().select("user_id", "event_type", F.round("value", 4).alias("value"))
 
 
+TALLY = ef.Schema(
+    "Tally",
+    {
+        "user_id": ef.Field(ef.Int64Type()),
+        "event_type": ef.Field(ef.StringType()),
+        "value": ef.Field(ef.Float64Type()),
+        "peak": ef.Field(ef.Float64Type()),
+        "first_at": ef.Field(ef.TimestampType()),
+        "source": ef.Field(ef.Int64Type()),
+        "note": ef.Field(ef.StringType()),
+    },
+    key=ef.key_policy("Tally", id_field="event_type", ancestors=[("User", "user_id")]),
+)
+
+
+def counter_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Sum, peak, first time and first source per user and type of event, merged into stored
+    tallies, whose note is none of the merge's business."""
+    events = load(spark, sf, "events").select(
+        "user_id", "event_type", "value", F.col("value").alias("peak"), F.col("ts").alias("first_at"), F.col("event_id").alias("source")
+    )
+    tallies = ef.kind(schema=TALLY, store=new_store(spark))
+    start = events.groupBy("user_id", "event_type").agg(F.max("source").alias("last"))
+    start = start.filter("last % 3 <> 0").select(
+        "user_id",
+        "event_type",
+        F.lit(100.0).alias("value"),
+        F.when(F.col("last") % 2 == 0, F.lit(50.0)).alias("peak"),
+        F.when(F.col("last") % 5 == 0, F.lit(datetime(2000, 1, 1, tzinfo=timezone.utc))).alias("first_at"),
+        F.when(F.col("last") % 2 == 1, F.lit(-1)).alias("source"),
+        F.concat(F.lit("note "), F.col("last").cast("string")).alias("note"),
+    )
+    tallies.write(start).raise_for_errors()
+    rules = {"value": "add", "peak": "max", "first_at": "min", "source": "keep"}
+    ef.combine_entities(tallies.store, events, TALLY, rules).raise_for_errors()
+    rows = tallies.read(include_key=True)
+    return rows.select(as_text(F.col(fv.KEY)), F.round("value", 4).alias("value"), "peak", micros("first_at"), "source", "note")
+
+
 def bound_read(spark: SparkSession, sf: str) -> DataFrame:
     """Bound filter, order and projection, with a filter of the call added."""
     accessor = ef.kind(
@@ -315,6 +354,34 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "user_id", micros("ts"), "event_type", "value")
 
 
+LATEST = ef.Schema(
+    "LatestEvent",
+    {"event_id": ef.Field(ef.Int64Type()), "ts": ef.Field(ef.TimestampType()), "value": ef.Field(ef.Float64Type(), nullable=False)},
+    key=ef.key_policy("LatestEvent", id_field="user_id"),
+)
+
+
+def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest event of every user, from a stream with many events of a user in each batch; events
+    without a user or a value are rejected.  Both tables, side by side."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    store = new_store(spark)
+    bad = F.when(F.col("event_id") % 11 != 0, F.col("user_id"))
+    events = load(spark, sf, "events").select(bad.alias("user_id"), "event_id", "ts", "value")
+    files, rejected = fresh_path(spark, "events"), fresh_path(spark, "rejected")
+    # Later batches hold later events.
+    events.repartitionByRange(2, "event_id").write.parquet(files)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    options = {"checkpoint": fresh_path(spark, "stream"), "latest_by": "event_id", "rejected": rejected}
+    ef.start_upsert(stream, store, LATEST, **options).awaitTermination()
+    rows = ef.read_entities(store, "LatestEvent", schema=LATEST, include_key=True)
+    kept = rows.select(as_text(F.col(fv.KEY)), "event_id", F.lit(None).cast("string").alias("error"))
+    failed = ef.read_rejected(store, rejected).select(
+        F.lit(None).cast("string").alias("entity_key"), F.get_json_object("row", "$.event_id").cast("bigint").alias("event_id"), "error"
+    )
+    return kept.unionByName(failed)
+
+
 QUERIES = {
     "plan_upsert": plan_upsert,
     "classify_full": classify_full,
@@ -337,6 +404,8 @@ QUERIES = {
     "retarget_write": retarget_write,
     "audit_stamp": audit_stamp,
     "delta_merge": delta_merge,
+    "counter_merge": counter_merge,
+    "stream_latest": stream_latest,
     "bound_read": bound_read,
     "bound_scope_write": bound_scope_write,
     "scope_violations": scope_violations,
@@ -461,6 +530,20 @@ SQL = {
                epoch_us(TIMESTAMP '2026-01-02 03:04:05') AS modified_at_us,
                epoch_us(TIMESTAMP '2026-01-02 03:04:05') AS batch_at_us
         FROM {LABELLED_SQL}""",
+    "counter_merge": """
+        WITH event AS (SELECT *, CASE WHEN NOT isnan(value) THEN value END AS v FROM events),
+        grouped AS (
+          SELECT user_id, event_type, max(event_id) AS last, coalesce(sum(v), 0) AS total, max(v) AS high,
+                 min(ts) AS first_at, min(event_id) AS source
+          FROM event GROUP BY user_id, event_type),
+        stored AS (SELECT *, last % 3 <> 0 AS held FROM grouped)
+        SELECT 'User/n:' || user_id || '/Tally/n:' || event_type || '/' AS entity_key,
+               round(total + CASE WHEN held THEN 100 ELSE 0 END, 4) AS value,
+               CASE WHEN held AND last % 2 = 0 THEN greatest(high, 50) ELSE high END AS peak,
+               CASE WHEN held AND last % 5 = 0 THEN least(epoch_us(first_at), epoch_us(TIMESTAMP '2000-01-01')) ELSE epoch_us(first_at) END AS first_at_us,
+               CASE WHEN held AND last % 2 = 1 THEN -1 ELSE source END AS source,
+               CASE WHEN held THEN 'note ' || last END AS note
+        FROM stored""",
     "delta_merge": """
         SELECT user_id, event_type,
                round(CASE WHEN max(event_id) % 3 <> 0 THEN max(event_id) ELSE 0 END
@@ -492,5 +575,11 @@ SQL = {
         UNION ALL SELECT 'aimed', NULL, 'closed only', closed FROM n""",
     "round_trip_skips": """
         SELECT 'skip' AS action, 'entity unchanged' AS reason, count(*) AS rows FROM events""",
+    "stream_latest": """
+        SELECT 'LatestEvent/n:' || user_id || '/' AS entity_key, max(event_id) AS event_id, NULL::VARCHAR AS error
+        FROM events WHERE event_id % 11 <> 0 AND value IS NOT NULL AND NOT isnan(value) GROUP BY user_id
+        UNION ALL
+        SELECT NULL, event_id, CASE WHEN value IS NULL OR isnan(value) THEN 'missing required fields: value' ELSE 'missing key value for user_id' END
+        FROM events WHERE event_id % 11 = 0 OR value IS NULL OR isnan(value)""",
     "stream_upsert": "SELECT event_id, user_id, epoch_us(ts) AS ts_us, event_type, value FROM events",
 }
