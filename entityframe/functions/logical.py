@@ -7,6 +7,7 @@ indexed value (`index_error`).  Everything is a `Column` expression.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -384,7 +385,7 @@ def comparable(col: Column, dtype: T.DataType) -> Column:
     return col
 
 
-def _hashed(col: Column, dtype: T.DataType, salt: str) -> Column:
+def _hashed(col: Column, dtype: T.DataType, salt: int) -> Column:
     """64 bits that are equal for values that `comparable` makes equal.
 
     Spark's hash passes over nulls, so each level says where it has one.
@@ -400,17 +401,24 @@ def _hashed(col: Column, dtype: T.DataType, salt: str) -> Column:
     return F.xxhash64(F.lit(salt), col.isNull(), col)
 
 
-def content_digest(present: Column, values: dict[str, tuple[Column, T.DataType]]) -> Column:
-    """128 bits over the names an entity stores, and over their types and values.
+DIGEST_TYPE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
-    Only stored names count, in the order of names: columns that a table gains later leave the
-    digest of an entity without them as it is.
+
+def content_digest(held: dict[str, Column], values: dict[str, tuple[Column, T.DataType]]) -> Column:
+    """128 bits over the names an entity stores (where `held`), and over their types and values.
+
+    Names that are not stored are nulls, which the hash passes over: columns that a table gains
+    later leave the digest of an entity without them as it is.
     """
-    parts = []
-    for name, (col, dtype) in sorted(values.items()):
-        both = [F.hex(_hashed(col, dtype, f"{n} {dtype.simpleString()} {name}")) for n in (1, 2)]
-        parts.append(F.when(F.array_contains(present, name), F.concat(*both)))
-    return F.unhex(F.md5(F.concat_ws(" ", F.concat_ws("\n", present), *parts).cast("binary")))
+
+    def half(side: str) -> Column:
+        parts = []
+        for name, (col, dtype) in sorted(values.items()):
+            known = hashlib.sha256(f"{side} {dtype.simpleString()} {name}".encode()).digest()[:8]
+            parts.append(F.when(held[name], _hashed(col, dtype, int.from_bytes(known, "big", signed=True))))
+        return F.xxhash64(F.lit(side), *parts)
+
+    return F.struct(half("a").alias("a"), half("b").alias("b"))
 
 
 def _holds_special(dtype: T.DataType) -> bool:

@@ -174,7 +174,7 @@ def plan_rows(
     if operation == "write":
         types = {e.name: schema.properties[e.name].dtype.spark_type for e in encoded}
         given = {n: (p["value"], types[n]) for n, p in zip(names, parts)}
-        columns.append(F.when(fine, content_digest(_names(held), given)).alias(fv.DIGEST))
+        columns.append(F.when(fine, content_digest(held, given)).alias(fv.DIGEST))
     planned = stage.select(*columns).withColumns(
         {
             fv.BUCKET: bucket_column(F.col(fv.NS), F.col(fv.PATH), buckets),

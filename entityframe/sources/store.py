@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError, WriteConflictError
 from entityframe.functions.keys import KEY_TYPE, EntityKey, namespace_code
-from entityframe.functions.logical import content_digest, same_type
+from entityframe.functions.logical import DIGEST_TYPE, content_digest, same_type
 from entityframe.plans.write_plan import PROPERTIES, bucket_column, property_types
 from entityframe.schema import column, field_types
 from entityframe.sources.pointer import create_if_absent, names_in, read_text
@@ -181,7 +181,7 @@ class EntityTable:
                 T.StructField(fv.BUCKET, T.IntegerType()),
                 T.StructField(fv.PRESENT, _NAMES),
                 T.StructField(fv.UNINDEXED, _NAMES),
-                T.StructField(fv.DIGEST, T.BinaryType()),
+                T.StructField(fv.DIGEST, DIGEST_TYPE),
                 *properties.fields,
             ]
         )
@@ -446,7 +446,7 @@ def pair_rows(
             T.StructField(fv.KEY, KEY_TYPE),
             T.StructField(fv.PRESENT, _NAMES),
             T.StructField(fv.UNINDEXED, _NAMES),
-            T.StructField(fv.DIGEST, T.BinaryType()),
+            T.StructField(fv.DIGEST, DIGEST_TYPE),
             *properties.fields,
         ]
     )
@@ -498,7 +498,8 @@ def merge_rows(paired: DataFrame, properties: T.StructType, how: str | Mapping[s
     else:
         raise SchemaError(f"unknown merge: {how!r}")
     row = F.col("row")
-    fresh = content_digest(row[fv.PRESENT], {f.name: (row[f.name], f.dataType) for f in properties.fields})
+    held = {f.name: F.array_contains(row[fv.PRESENT], f.name) for f in properties.fields}
+    fresh = content_digest(held, {f.name: (row[f.name], f.dataType) for f in properties.fields})
     # A full row brings its digest along; a mixed one gets it here.
     digest = F.coalesce(row[fv.DIGEST], fresh).alias(fv.DIGEST)
     kept = [fv.KEY, fv.PRESENT, fv.UNINDEXED, *[f.name for f in properties.fields]]
@@ -527,7 +528,7 @@ def _patched(old: Column, new: Column, properties: T.StructType, rules: Mapping[
         F.coalesce(old[fv.KEY], new[fv.KEY]).alias(fv.KEY),
         union(fv.PRESENT).alias(fv.PRESENT),
         union(fv.UNINDEXED).alias(fv.UNINDEXED),
-        F.lit(None).cast("binary").alias(fv.DIGEST),
+        F.lit(None).cast(DIGEST_TYPE).alias(fv.DIGEST),
         *values,
     )
     return F.when(new.isNull(), old).otherwise(mixed)
