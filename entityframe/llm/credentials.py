@@ -39,23 +39,24 @@ _HEX = "[0-9a-f]{24,}"
 _LEAST_VALUE = 6
 
 _SET = "[\"']?\\x20*[:=]\\x20*[\"']?"
-_IDENTIFIER = (
-    f"(?:{_words('access[_-]?key[_-]?id', 'client[_-]?id', 'account[_-]?id', 'username', 'user', 'login')}){_SET}[A-Za-z0-9@._+-]{{3,}}"
-    "|[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]*[A-Za-z0-9]"
-)
+_LOGIN = f"(?:{_words('access[_-]?key[_-]?id', 'client[_-]?id', 'account[_-]?id', 'username', 'user', 'login')}){_SET}[A-Za-z0-9@._+-]{{3,}}"
+_EMAIL = "[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]*[A-Za-z0-9]"
 _PASSPHRASE = f"(?:{_words('passphrase', 'passcode', 'pass', 'pwd', 'private[_-]?key', 'credential', 'auth')}){_SET}[^\\x00-\\x20\"'<>]{{6,}}"
 _KEY = "[A-Za-z+/_-]{0,40}[0-9][A-Za-z0-9+/_-]{11,}={0,2}"
-_ENDPOINT = (
-    "(?:https?|ftps?|sftp|ssh|mysql|postgres|postgresql|mongodb|redis|amqp)://[^\\x00-\\x20\"'<>]+"
-    f"|(?:{_words('endpoint', 'hostname', 'host', 'server')}){_SET}[A-Za-z0-9.-]+(?::[0-9]{{1,5}})?"
-    "|[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?::[0-9]{1,5})?"
-)
+_URL = "(?:https?|ftps?|sftp|ssh|mysql|postgres|postgresql|mongodb|redis|amqp)://[^\\x00-\\x20\"'<>]+"
+_HOST = f"(?:{_words('endpoint', 'hostname', 'host', 'server')}){_SET}[A-Za-z0-9.-]+(?::[0-9]{{1,5}})?"
+_ADDRESS = "[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?::[0-9]{1,5})?"
 _BREAK = "\\n[ \\t\\r]*\\n"
 
 #: Kinds in the order in which spans at one place are listed; the first three are always reported.
 KINDS = ("assign", "access", "hex", "identifier", "passphrase", "key", "endpoint")
 _BASE = {"assign": _ASSIGN, "access": _ACCESS, "hex": _HEX}
-_WEAK = {"endpoint": _ENDPOINT, "identifier": _IDENTIFIER, "passphrase": _PASSPHRASE, "key": _KEY}
+_WEAK = {"endpoint": f"{_URL}|{_HOST}|{_ADDRESS}", "identifier": f"{_LOGIN}|{_EMAIL}", "passphrase": _PASSPHRASE, "key": _KEY}
+# Alternatives and what each can begin with.
+_FIRST = {
+    _ASSIGN: "AaPpSsTt", _ACCESS: "A", _HEX: "0-9a-f", _URL: "afhmprs", _HOST: "EeHhSs", _ADDRESS: "0-9", _LOGIN: "AaCcLlUu",
+    _EMAIL: "A-Za-z0-9._%+-", _PASSPHRASE: "AaCcPp", _KEY: "A-Za-z0-9+/_-",
+}
 #: What a part is to its neighbours.
 ROLES = {
     "assign": "secret", "hex": "secret", "passphrase": "secret", "key": "secret",
@@ -70,8 +71,20 @@ NEEDS = {
 }
 _LEAST_KEY = 16
 
-#: One pass over the text for each; in the last a weak part never starts inside a reported one.
-_PASSES = (*_BASE.values(), "|".join(f"(?:{p})" for p in (*_BASE.values(), *_WEAK.values())))
+#: One pass over the text for each list of alternatives; in the last a weak part never starts
+#: inside a reported one.
+_PASSES = (*[(p,) for p in _BASE.values()], tuple(_FIRST))
+
+
+def _plain(alternatives: tuple[str, ...]) -> str:
+    return "|".join(f"(?:{p})" for p in alternatives)
+
+
+def _quick(alternatives: tuple[str, ...]) -> str:
+    """The same for the JVM, which tries alternatives one after the other at every letter: a look
+    at the letter spares most of them, and a run that can't be cut short is not given back."""
+    runs = [(p, p.replace("{1,64}@", "{1,64}+@").replace("{0,40}[", "{0,40}+[")) for p in alternatives]
+    return "|".join(f"(?=[{_FIRST[p]}])(?:{quick})" for p, quick in runs)
 
 
 def _whole(pattern: str) -> str:
@@ -91,7 +104,7 @@ def _weak_kind(match: Column) -> Column:
 def _pieces(text: Column, number: int) -> Column:
     """The matches of one pass in order: how long the text from the last match to the end of
     this one is, how long the match is, blank lines before it, and its kind, null if dropped."""
-    pattern = _PASSES[number]
+    pattern = _quick(_PASSES[number])
     # A match starts where the last one ended: without \G a text's end would be searched from each of its places.
     found = F.regexp_extract_all(text, F.lit(f"(?s)\\G.*?(?:{pattern})"), F.lit(0))
 
@@ -99,7 +112,7 @@ def _pieces(text: Column, number: int) -> Column:
         match = F.regexp_extract(p, f"(?s)\\A.*?({pattern})\\z", 1)
         gap = F.substring(p, F.lit(1), F.length(p) - F.length(match))
         if number == 0:
-            kind = F.when(F.length(F.regexp_extract(match, _whole(pattern), 2)) >= _LEAST_VALUE, "assign")
+            kind = F.when(F.length(F.regexp_extract(match, _whole(_ASSIGN), 2)) >= _LEAST_VALUE, "assign")
         elif number < len(_BASE):
             kind = F.lit(KINDS[number])
         else:
@@ -211,9 +224,9 @@ def _sql_kind() -> str:
 
 
 def _sql_pass(number: int) -> str:
-    pattern = _PASSES[number]
+    pattern = _plain(_PASSES[number])
     kind = (
-        f"CASE WHEN length(regexp_extract(match, {_quoted(_whole(pattern))}, 2)) >= {_LEAST_VALUE} THEN 'assign' END",
+        f"CASE WHEN length(regexp_extract(match, {_quoted(_whole(_ASSIGN))}, 2)) >= {_LEAST_VALUE} THEN 'assign' END",
         "'access'", "'hex'", _sql_kind(),
     )[number]
     return f"""SELECT row, start, stop, scope, {kind} AS kind FROM (
