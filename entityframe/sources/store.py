@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any, Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -68,7 +69,9 @@ class EntityStore:
     `by_namespace` the namespace is a partition folder, which lets scans skip the
     others; turn it off for very many small namespaces, where Parquet statistics on
     the sorted `__ns__` do that work with far fewer files.  A merge gives a partition one task
-    for every `task_bytes` of it, so a large namespace or bucket is not one task.
+    for every `task_bytes` of it, so a large namespace or bucket is not one task.  Files are cut
+    into row groups of `row_group_bytes`; as they are sorted by key path, a lookup of few keys
+    reads only the groups whose range of paths holds one.
     """
 
     def __init__(
@@ -79,6 +82,7 @@ class EntityStore:
         buckets: int = 8,
         by_namespace: bool = True,
         task_bytes: int = 256 << 20,
+        row_group_bytes: int = 32 << 20,
     ) -> None:
         if spark.conf.get("spark.sql.session.timeZone").upper() not in ("UTC", "ETC/UTC", "Z"):
             raise SchemaError("entity timestamps need spark.sql.session.timeZone=UTC")
@@ -87,6 +91,7 @@ class EntityStore:
         self.buckets = buckets
         self.by_namespace = by_namespace
         self.task_bytes = task_bytes
+        self.row_group_bytes = row_group_bytes
 
     def table(self, kind: str) -> EntityTable:
         return EntityTable(self, kind)
@@ -201,20 +206,29 @@ class EntityTable:
 
     def get(self, keys: DataFrame | Sequence[EntityKey]) -> DataFrame | None:
         """Stored entities of the given keys (a frame with `__ns__`, `__path__`, or
-        Python keys)."""
+        Python keys).
+
+        Few keys are also named to the Parquet reader, which then passes over row groups and
+        pages without any of them; many are joined.
+        """
         snapshot = self.snapshot()
         if snapshot is None:
             return None
         listed = not isinstance(keys, DataFrame)
         if listed:
-            keys = self.spark.createDataFrame(
-                [(k.ns_code, k.path_text) for k in keys], f"{fv.NS} string, {fv.PATH} string"
-            )
+            pairs = [(k.ns_code, k.path_text) for k in keys]
+            keys = self.spark.createDataFrame(pairs, f"{fv.NS} string, {fv.PATH} string")
+        else:
+            # Bounded; more rows than that are many, whatever they repeat.
+            pairs = [tuple(r) for r in keys.select(fv.NS, fv.PATH).limit(_FEW_KEYS + 1).collect()]
         bucket = bucket_column(F.col(fv.NS), F.col(fv.PATH), snapshot.buckets)
         wanted = keys.select(fv.NS, fv.PATH, bucket.alias(fv.BUCKET))
         if not listed:
             wanted = stage(wanted, "wanted")
-        return self.read(snapshot, self._touched(snapshot, wanted)).join(wanted, [fv.NS, fv.PATH, fv.BUCKET], "left_semi")
+        rows = self.read(snapshot, self._touched(snapshot, wanted))
+        if len(pairs) <= _FEW_KEYS:
+            rows = rows.filter(_named(fv.PATH, sorted({path for _, path in pairs if path is not None})))
+        return rows.join(wanted, [fv.NS, fv.PATH, fv.BUCKET], "left_semi")
 
     # --- writing ---
 
@@ -353,7 +367,7 @@ class EntityTable:
         commit = uuid.uuid4().hex
         folders = self._folders(snapshot)
         path = f"{self.path}/data/commit={commit}"
-        rows.write.partitionBy(*folders).parquet(path)
+        rows.write.option("parquet.block.size", str(self.store.row_group_bytes)).partitionBy(*folders).parquet(path)
         if check is not None:
             check()
         kept_folders = self._written(path, folders) if may_empty else touched
@@ -406,6 +420,20 @@ class EntityTable:
         return sorted(set(written) - live)
 
 
+_FEW_KEYS = 500
+
+
+def _named(name: str, values: Sequence[str]) -> Column:
+    """Membership in a short list, in two forms: as a set, by which rows are tested, and as equalities,
+    by which the Parquet reader prunes; of a list of more than ten it would take the range only."""
+    if not values:
+        return F.lit(False)
+    found = [F.col(name) == v for v in values]
+    while len(found) > 1:  # a flat tree; a chain would be as deep as the list is long
+        found = [reduce(Column.__or__, found[i : i + 2]) for i in range(0, len(found), 2)]
+    return F.col(name).isin(list(values)) & found[0]
+
+
 def _claim(folder: str, version: int) -> str:
     return f"{folder}/{version:012d}"
 

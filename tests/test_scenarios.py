@@ -2,6 +2,7 @@
 
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 import entityframe as ef
@@ -13,77 +14,71 @@ NOW = datetime(2026, 5, 1, 12, tzinfo=timezone.utc)
 TEXT, WHOLE, TIME, KEY = ef.StringType(), ef.Int64Type(), ef.TimestampType(), ef.KeyType()
 
 
-def test_policy_flow(store, frame):
-    schema = ef.Schema(
-        "PolicyEvent",
+def test_loans_of_a_library(store, frame):
+    """Guards, stamps, a partial change and a cleanup, all below one branch of a town's library."""
+    loan = ef.Schema(
+        "Loan",
         {
-            "external_id": ef.Field(TEXT, nullable=False),
-            "event_type": ef.Field(TEXT, nullable=False),
-            "value": ef.Field(WHOLE, nullable=False),
-            "created_at": ef.Field(TIME),
-            "modified_at": ef.Field(TIME),
+            "card": ef.Field(TEXT, nullable=False),
+            "shelf": ef.Field(TEXT),
+            "days": ef.Field(WHOLE, nullable=False),
+            "opened": ef.Field(TIME),
+            "touched": ef.Field(TIME),
         },
-        key=ef.key_policy("PolicyEvent", id_field="event_id", namespace_field="tenant", ancestors=[("Tenant", "tenant")]),
-    )
-    tenant = ef.EntityKey((("Tenant", "t"),), namespace="t")
-    audit = ef.AuditPolicy(created_at="created_at", modified_at="modified_at", now=lambda: NOW)
-    events = ef.kind(schema=schema, store=store, ancestor=tenant, audit=audit)
-    rows = frame(
-        [("t", "e1", "x1", "click", 1), ("t", "e2", "x2", "click", 2), ("t", "e3", "x3", "view", 3), ("t", "e4", "x3", "view", 4)],
-        "tenant string, event_id string, external_id string, event_type string, value int",
-    )
-    assert events.write(rows, dry_run=True).planned_writes == 4
-    assert events.write(rows, read_only=True).failed == 4
-    assert events.count() == 0
-    assert events.write(rows).wrote == 4
-    assert events.write(rows, skip_unchanged=True).skipped == 4
-
-    bare = ef.kind(schema=schema, store=store, ancestor=tenant)
-    change = rows.filter("event_id in ('e1', 'e2')").withColumn("value", F.when(F.col("event_id") == "e1", 1).otherwise(20))
-    patched = bare.patch(change, properties=["value"], skip_unchanged=True)
-    assert (patched.skipped, patched.wrote) == (1, 1)
-
-    planned = events.cleanup_duplicates(by=["external_id"], order=["-value"])
-    assert (planned.planned_writes, planned.wrote) == (1, 0)
-    assert events.cleanup_duplicates(by=["external_id"], order=["-value"], dry_run=False).wrote == 1
-    left = {r.value for r in events.read().collect()}
-    assert left == {1, 20, 4}
-
-
-def test_edge_flow(store, frame):
-    base = {
-        "tenant": ef.Field(TEXT, nullable=False),
-        "event_id": ef.Field(TEXT, nullable=False),
-        "external_id": ef.Field(TEXT, nullable=False),
-        "status": ef.Field(TEXT, nullable=False),
-        "value": ef.Field(WHOLE, nullable=False),
-    }
-    schema = ef.Schema("EdgeEvent", base, key=ef.key_policy("EdgeEvent", id_field="event_id", namespace_field="tenant", ancestors=[("Tenant", "tenant")]))
-    summary = ef.Schema(
-        "EdgeSummary",
-        {"tenant": base["tenant"], "status": base["status"], "value_sum": ef.Field(WHOLE, nullable=False)},
-        key=ef.key_policy("EdgeSummary", id_field="status", namespace_field="tenant", ancestors=[("Tenant", "tenant")]),
+        key=ef.key_policy("Loan", id_field="slip", namespace_field="town", ancestors=[("Branch", "branch")]),
     )
-    ddl = "tenant string, event_id string, external_id string, status string, value int"
-    rows = frame([("t", "e1", "x1", "open", 1), ("t", "e2", "x2", "done", 2), ("t", "e3", "x2", "open", 3)], ddl)
-    events = ef.kind(schema=schema, store=store)
-    assert events.write(rows).wrote == 3
-    assert events.write(rows, skip_unchanged=True).skipped == 3
-    changed = rows.withColumn("value", F.when(F.col("event_id") == "e2", 7).otherwise(F.col("value")))
-    report = events.write(changed, skip_unchanged=True)
-    assert (report.wrote, report.skipped) == (1, 2)
-    assert events.patch(changed.filter("event_id = 'e1'"), properties=["value"], skip_unchanged=True).skipped == 1
-
-    made = ef.entity_model(store=store, schema=schema).load().aggregate(
-        by=["tenant", "status"], metrics={"value": "sum"}, target_schema=summary
+    branch = ef.EntityKey((("Branch", "north"),), namespace="ulm")
+    desk = ef.kind(schema=loan, store=store, ancestor=branch)
+    stamped = desk.with_scope(audit=ef.AuditPolicy(created_at="opened", modified_at="touched", now=lambda: NOW))
+    slips = frame(
+        [("ulm", "north", 101, "c1", "A", 14), ("ulm", "north", 102, "c2", "A", 28), ("ulm", "north", 103, "c3", None, 7), ("ulm", "north", 104, "c3", "B", 21)],
+        "town string, branch string, slip long, card string, shelf string, days int",
     )
-    assert made.write().wrote == 2
-    sums = {r.status: r.value_sum for r in ef.read_entities(store, "EdgeSummary", schema=summary, namespace="t").collect()}
-    assert sums == {"open": 4, "done": 7}
-    assert events.cleanup_duplicates(by=["external_id"], order=["value"], dry_run=False).wrote == 1
-    assert events.count() == 2
-    bad = frame([("t", "e9", None, "open", 1)], ddl)
-    assert events.write(bad).failures().first().error == "missing required fields: external_id"
+    assert stamped.write(slips, dry_run=True).planned_writes == 4
+    assert stamped.write(slips, read_only=True).failed == 4
+    assert desk.count() == 0
+    assert stamped.write(slips).wrote == 4
+    assert stamped.write(slips, skip_unchanged=True).skipped == 4
+    with pytest.raises(ef.SchemaError):
+        stamped.write(slips.withColumn("branch", F.lit("south")))
+
+    longer = slips.filter("slip < 103").withColumn("days", F.when(F.col("slip") == 101, 14).otherwise(56))
+    extended = desk.patch(longer, properties=["days"], skip_unchanged=True)
+    assert (extended.skipped, extended.wrote) == (1, 1)
+
+    # One slip per card: the longest loan stays.
+    looked_at = desk.cleanup_duplicates(by=["card"], order=["-days"])
+    assert (looked_at.planned_writes, looked_at.wrote) == (1, 0)
+    assert desk.cleanup_duplicates(by=["card"], order=["-days"], dry_run=False).wrote == 1
+    assert {r.days for r in desk.read().collect()} == {14, 56, 21}
+    assert {r.opened.year for r in desk.read().collect()} == {NOW.year}
+
+
+def test_readings_of_meters(store, frame):
+    """Unchanged rows, a summary as a kind of its own, duplicates and a row that lacks a field."""
+    fields = {"street": ef.Field(TEXT, nullable=False), "meter": ef.Field(TEXT, nullable=False), "litres": ef.Field(WHOLE, nullable=False), "source": ef.Field(TEXT)}
+    reading = ef.Schema("Reading", fields, key=ef.key_policy("Reading", id_field="serial", ancestors=[("Street", "street"), ("Meter", "meter")]), strict=False)
+    per_street = ef.Schema("Usage", {"street": fields["street"], "litres_sum": ef.Field(WHOLE), "litres_max": ef.Field(WHOLE)}, key=ef.key_policy("Usage", id_field="street"))
+    ddl = "street string, meter string, serial long, litres int, source string"
+    rows = frame([("oak", "m1", 1, 40, "app"), ("oak", "m2", 2, 60, "post"), ("elm", "m3", 3, 5, "app"), ("elm", "m3", 4, 5, "app")], ddl)
+    readings = ef.kind(schema=reading, store=store)
+    assert readings.write(rows).wrote == 4
+    assert readings.write(rows, skip_unchanged=True).skipped == 4
+    corrected = rows.withColumn("litres", F.when(F.col("serial") == 2, 61).otherwise(F.col("litres")))
+    report = readings.write(corrected, skip_unchanged=True)
+    assert (report.wrote, report.skipped) == (1, 3)
+    assert readings.patch(corrected.filter("serial = 1"), properties=["litres"], skip_unchanged=True).skipped == 1
+
+    loaded = ef.entity_model(store=store, schema=reading).load()
+    assert loaded.aggregate(by=["street"], metrics={"litres": "sum"}, target_schema=per_street).write().wrote == 2
+    peaks = loaded.aggregate(by=["street"], metrics={"litres": "max"}, target_schema=per_street)
+    assert peaks.patch(properties=["litres_max"]).wrote == 2
+    used = {r.street: (r.litres_sum, r.litres_max) for r in ef.read_entities(store, "Usage", schema=per_street).collect()}
+    assert used == {"oak": (101, 61), "elm": (10, 5)}
+    assert readings.cleanup_duplicates(by=["meter", "litres"], dry_run=False).wrote == 1
+    assert readings.count() == 3
+    unread = frame([("oak", "m1", 9, None, "app")], ddl)
+    assert readings.write(unread).failures().first().error == "missing required fields: litres"
 
 
 def test_linked_flow(spark, store):

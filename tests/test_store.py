@@ -102,6 +102,41 @@ def test_bulk_get(table):
     assert values(table.get(keys)) == {("y", "Doc/n:d5/"): 5}
 
 
+def scanned_rows(df):
+    """Rows that the scans of a collected frame have handed on."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+
+    def scans(node):
+        if "Scan parquet" in node.nodeName():
+            return [node]
+        inner = node.plan() if hasattr(node, "plan") and "QueryStage" in node.nodeName() else None
+        children = [inner] if inner is not None else [node.children().apply(i) for i in range(node.children().size())]
+        return [s for c in children for s in scans(c)]
+
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans(plan))
+
+
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_few_keys_skip_row_groups(spark, frame, tmp_path, as_frame):
+    store = ef.EntityStore(spark, str(tmp_path), buckets=1, row_group_bytes=16 << 10)
+    rows = spark.range(30_000).selectExpr("'x' ns", "format_string('d%06d', id) doc_id", "id value")
+    ef.write_entities(store, rows, DOC)
+    table = store.table("Doc")
+    wanted = [f"d{n:06d}" for n in [*range(7_000, 7_050), *range(21_000, 21_049), 29_999]]
+    keys = [ef.EntityKey((("Doc", d),), namespace="x") for d in [*wanted, "d7", "none"]]
+    asked = spark.createDataFrame([(k.ns_code, k.path_text) for k in keys], f"{fv.NS} string, {fv.PATH} string") if as_frame else keys
+    got = table.get(asked)
+    assert sorted(r.value for r in got.select("value").collect()) == [int(d[1:]) for d in wanted]
+    found = table.get(asked).select("value")
+    found.collect()
+    assert 100 <= scanned_rows(found) < 10_000
+    many = [ef.EntityKey((("Doc", f"d{n:06d}"),), namespace="x") for n in range(600)]
+    assert table.get(many).count() == 600 and table.get([]).count() == 0
+    other = [ef.EntityKey((("Doc", "d000001"),), namespace="y")]
+    assert table.get(other).count() == 0
+
+
 def test_layout_is_kept(spark, table, frame):
     other = ef.EntityStore(spark, table.store.root, buckets=9, by_namespace=not table.store.by_namespace)
     ef.write_entities(other, frame([("x", "d1", 7)], DDL), DOC)
