@@ -58,7 +58,7 @@ from entityframe.plans.write_plan import WritePlan
 from entityframe.schema import Field, PerRow, Schema, per_row
 from entityframe.sources.csvfiles import read_csv, write_csv
 from entityframe.sources.staging import release, staged_count
-from entityframe.sources.store import EntityStore
+from entityframe.sources.store import EntityStore, choose_ranges
 from entityframe.streaming.upsert import read_rejected, start_upsert
 
 __version__ = "0.1.0"

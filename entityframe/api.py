@@ -37,12 +37,14 @@ from entityframe.sources.store import NEWEST, EntityStore, Snapshot
 def scan(store: EntityStore, spec: QuerySpec, schema: Schema | None = None) -> DataFrame:
     """Raw entity frame of a restricted scan: properties and system columns."""
     spec.validate()
-    return spec.apply(_raw(store, spec.kind, schema))
+    return spec.apply(_raw(store, spec.kind, schema, spec.ancestor))
 
 
-def _raw(store: EntityStore, kind: str, schema: Schema | None) -> DataFrame:
-    """Everything stored of a kind; declared properties that no entity has yet are null."""
-    raw = store.table(kind).read()
+def _raw(store: EntityStore, kind: str, schema: Schema | None, ancestor: EntityKey | None = None) -> DataFrame:
+    """What is stored of a kind, at least under the ancestor; declared properties that no entity
+    has yet are null."""
+    table = store.table(kind)
+    raw = table.read() if ancestor is None else table.read_under(ancestor)
     if raw is None:
         return _empty(store, schema or Schema(kind))
     declared = schema.properties if schema else {}
@@ -139,8 +141,8 @@ def read_page(
     what lies before the page is neither sorted nor counted again.  Pages of an unchanged kind
     neither overlap nor leave gaps, also where properties of the order are missing or repeat.
     """
-    raw = _raw(store, kind, schema)
     spec = QuerySpec(kind, order=order, after=after, **options)
+    raw = _raw(store, kind, schema, spec.ancestor)
     end = page_end(spec, raw, limit)
     if end is None:
         return Page(_to_user(spec.apply(raw).limit(0), schema, include_key), None)

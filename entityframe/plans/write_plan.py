@@ -24,9 +24,24 @@ LATEST = "__latest__"
 _SUPERSEDED = "a later row of the same key is written"
 
 
-def bucket_column(ns, path, buckets: int):
-    """Bucket of an entity; spreads a hot namespace or ancestor over many files."""
-    return F.pmod(F.xxhash64(ns, path), F.lit(buckets)).cast("int")
+#: A number of buckets that keys are spread over, or the sorted key paths at which ranges begin.
+Buckets = int | tuple[str, ...]
+
+
+def bucket_column(ns: Column, path: Column, buckets: Buckets) -> Column:
+    """Bucket of an entity: by hash, which spreads a hot namespace or ancestor over many files, or
+    the range of key paths it lies in."""
+    if isinstance(buckets, int):
+        return F.pmod(F.xxhash64(ns, path), F.lit(buckets)).cast("int")
+
+    def search(cuts: tuple[str, ...], first: int) -> Column:
+        if not cuts:
+            return F.lit(first)
+        middle = len(cuts) // 2
+        lower, upper = search(cuts[:middle], first), search(cuts[middle + 1 :], first + middle + 1)
+        return F.when(path < cuts[middle], lower).otherwise(upper)
+
+    return search(buckets, 0).cast("int")
 
 
 @dataclass(frozen=True)
@@ -100,7 +115,7 @@ def plan_rows(
     mode: str = "upsert",
     properties: Sequence[str] | None = None,
     row_index: str | None = None,
-    buckets: int = 1,
+    buckets: Buckets = 1,
     latest_by: str | None = None,
 ) -> WritePlan:
     """Check, key and encode every row.  Lazy.

@@ -15,6 +15,7 @@ a path it reads.  Files of a commit without a claim are never read.
 
 from __future__ import annotations
 
+import bisect
 import json
 import uuid
 from dataclasses import dataclass
@@ -27,8 +28,8 @@ from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError, WriteConflictError
 from entityframe.functions.keys import KEY_TYPE, EntityKey, namespace_code
 from entityframe.functions.logical import DIGEST_TYPE, content_digest, same_type
-from entityframe.plans.write_plan import PROPERTIES, bucket_column, property_types
-from entityframe.schema import column, field_types
+from entityframe.plans.write_plan import PROPERTIES, Buckets, bucket_column, property_types
+from entityframe.schema import Schema, column, field_types
 from entityframe.sources.pointer import create_if_absent, names_in, read_text
 from entityframe.sources.staging import stage
 
@@ -40,6 +41,7 @@ _VERSION_ROW = T.StructType(
         T.StructField("written", T.StringType()),
         T.StructField("schema", T.StringType()),  # set on one row per version only
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("cuts", _NAMES),
         T.StructField("by_namespace", T.BooleanType()),
         T.StructField("streams", T.StringType()),
     ]
@@ -55,7 +57,7 @@ class Snapshot:
     version: int
     properties: T.StructType
     partitions: frozenset[tuple[str | None, int, str]]  # (namespace code, bucket, commit)
-    buckets: int
+    buckets: Buckets
     by_namespace: bool
     streams: Mapping[str, int]  # the last batch of each stream that is in this version
 
@@ -63,11 +65,15 @@ class Snapshot:
 class EntityStore:
     """Entity tables under one root folder.
 
-    `buckets` and `by_namespace` hold for kinds first written through this object; a
+    `buckets` (or `ranges`) and `by_namespace` hold for kinds first written through this object; a
     kind keeps the layout it started with.  Pick `buckets` so that the largest
     namespace divided by it is a file size you like (a few hundred MB).  With
     `by_namespace` the namespace is a partition folder, which lets scans skip the
-    others; turn it off for very many small namespaces, where Parquet statistics on
+    others.  By hash, a batch of more rows than buckets touches all of them and rewrites the kind.
+    `ranges`, a list of keys at which ranges of key paths begin, keeps neighbours together instead:
+    a batch whose keys lie close by, such as a day's or a customer's, rewrites only their ranges,
+    and a scan of an ancestor opens only its own; `choose_ranges` finds even ones.  For many small
+    namespaces turn namespace folders off, as Parquet statistics on
     the sorted `__ns__` do that work with far fewer files.  A merge gives a partition one task
     for every `task_bytes` of it, so a large namespace or bucket is not one task.  Files are cut
     into row groups of `row_group_bytes`; as they are sorted by key path, a lookup of few keys
@@ -80,6 +86,7 @@ class EntityStore:
         root: str,
         *,
         buckets: int = 8,
+        ranges: Sequence[EntityKey | str] | None = None,
         by_namespace: bool = True,
         task_bytes: int = 256 << 20,
         row_group_bytes: int = 32 << 20,
@@ -88,7 +95,10 @@ class EntityStore:
             raise SchemaError("entity timestamps need spark.sql.session.timeZone=UTC")
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        self.buckets: Buckets = buckets
+        if ranges is not None:
+            cuts = {cut.path_text if isinstance(cut, EntityKey) else cut for cut in ranges}
+            self.buckets = tuple(sorted(cuts, key=str.encode))
         self.by_namespace = by_namespace
         self.task_bytes = task_bytes
         self.row_group_bytes = row_group_bytes
@@ -127,10 +137,11 @@ class EntityTable:
         live = frozenset((r["ns"], r["bucket"], r["written"]) for r in rows if r["schema"] is None)
         properties = T.StructType.fromJson(json.loads(head["schema"]))
         streams = json.loads(head["streams"])
-        return Snapshot(version, properties, live, head["buckets"], head["by_namespace"], streams)
+        buckets = head["buckets"] if head["cuts"] is None else tuple(head["cuts"])
+        return Snapshot(version, properties, live, buckets, head["by_namespace"], streams)
 
-    def layout(self, snapshot: Snapshot | None) -> tuple[int, bool]:
-        """Number of buckets, and whether namespaces are folders."""
+    def layout(self, snapshot: Snapshot | None) -> tuple[Buckets, bool]:
+        """Number of buckets or where their ranges begin, and whether namespaces are folders."""
         if snapshot is None:
             return self.store.buckets, self.store.by_namespace
         return snapshot.buckets, snapshot.by_namespace
@@ -191,6 +202,17 @@ class EntityTable:
             ]
         )
 
+    def read_under(self, ancestor: EntityKey) -> DataFrame | None:
+        """The partitions that descendants of a key can lie in; all of them if keys are hashed."""
+        snapshot = self.snapshot()
+        if snapshot is None or isinstance(snapshot.buckets, int):
+            return self.read(snapshot)
+        cuts, prefix = [cut.encode() for cut in snapshot.buckets], ancestor.path_text.encode()
+        # Paths below end in a slash like this one, so the next larger text begins beyond them.
+        last = bisect.bisect_left(cuts, prefix[:-1] + bytes([prefix[-1] + 1]))
+        code = ancestor.ns_code if snapshot.by_namespace else None
+        return self.read(snapshot, [(code, bucket) for bucket in range(bisect.bisect_right(cuts, prefix), last + 1)])
+
     def read_for(self, batch: DataFrame, snapshot: Snapshot | None = NEWEST) -> DataFrame | None:
         """The partitions that the keys of a (staged) batch fall into."""
         snapshot = self.snapshot() if snapshot is NEWEST else snapshot
@@ -398,8 +420,10 @@ class EntityTable:
         """Make the version after `snapshot`, or raise if there is one already."""
         version = 1 if snapshot is None else snapshot.version + 1
         streams = dict(snapshot.streams if snapshot else {}) | (dict([batch]) if batch else {})
-        rows = [(None, None, None, properties.json(), *self.layout(snapshot), json.dumps(streams))]
-        rows += [(*p, None, None, None, None) for p in sorted(partitions, key=str)]
+        buckets, by_namespace = self.layout(snapshot)
+        number, cuts = (buckets, None) if isinstance(buckets, int) else (None, list(buckets))
+        rows = [(None, None, None, properties.json(), number, cuts, by_namespace, json.dumps(streams))]
+        rows += [(*p, None, None, None, None, None) for p in sorted(partitions, key=str)]
         commit = uuid.uuid4().hex
         listing = self.spark.createDataFrame(rows, _VERSION_ROW)
         listing.coalesce(1).write.parquet(f"{self.path}/versions/{commit}")
@@ -420,6 +444,22 @@ class EntityTable:
         return sorted(set(written) - live)
 
 
+#: Rows whose keys `choose_ranges` looks at, the first by a hash.
+_RANGE_SAMPLE = 20_000
+
+
+def choose_ranges(df: DataFrame, schema: Schema, pieces: int) -> list[str]:
+    """Where to begin ranges so that the keys of `df` fall evenly into some `pieces` of them.
+
+    From a bounded sample of the keys; ranges are only as even as that, but any are right.
+    """
+    path = schema.key_columns(df).path
+    keys = df.select(path.alias(fv.PATH)).filter(F.col(fv.PATH).isNotNull()).distinct()
+    sample = keys.orderBy(F.xxhash64(fv.PATH), fv.PATH).limit(_RANGE_SAMPLE).collect()
+    paths = sorted((r[fv.PATH] for r in sample), key=str.encode)
+    return sorted({paths[i * len(paths) // pieces] for i in range(1, pieces)}, key=str.encode) if paths else []
+
+
 _FEW_KEYS = 500
 
 

@@ -137,6 +137,66 @@ def test_few_keys_skip_row_groups(spark, frame, tmp_path, as_frame):
     assert table.get(other).count() == 0
 
 
+# --- ranges of keys as partitions ---
+
+DAY = ef.Schema("Day", {"value": ef.Field(ef.Int64Type())}, key=ef.key_policy("Day", id_field="at", ancestors=[("City", "city")]))
+DAY_DDL = "city string, at string, value int"
+
+
+def day(city, at):
+    return ef.EntityKey((("City", city), ("Day", at)))
+
+
+@pytest.fixture
+def ranged(spark, frame, tmp_path):
+    cuts = [ef.EntityKey((("City", "b"),)), day("b", "2024-02"), ef.EntityKey((("City", "é"),)), day("b", "2024-02")]
+    store = ef.EntityStore(spark, str(tmp_path), ranges=cuts, by_namespace=False)
+    rows = [(c, f"2024-0{m}-{d:02d}", m) for c in ("a", "b", "c", "é", "😀") for m in (1, 2, 3) for d in (1, 2)]
+    ef.write_entities(store, frame(rows, DAY_DDL), DAY).raise_for_errors()
+    return store.table("Day")
+
+
+def test_a_batch_of_one_range_rewrites_only_that_range(ranged, frame):
+    before = ranged.snapshot()
+    assert len(before.partitions) == 4
+    ef.write_entities(ranged.store, frame([("b", f"2024-01-{d:02d}", 9) for d in range(1, 29)], DAY_DDL), DAY).raise_for_errors()
+    after = ranged.snapshot()
+    assert {(ns, b) for ns, b, _ in after.partitions - before.partitions} == {(None, 1)}
+    assert ranged.read().count() == 56 and ranged.read().filter("value = 9").count() == 28
+    ef.patch_entities(ranged.store, frame([("é", "2024-01-01", 8)], DAY_DDL), DAY, properties=["value"]).raise_for_errors()
+    assert {(ns, b) for ns, b, _ in ranged.snapshot().partitions - after.partitions} == {(None, 3)}
+    ef.delete_entities(ranged.store, "Day", [day("a", "2024-01-01")])
+    assert [tuple(r) for r in ranged.get([day("é", "2024-01-01"), day("a", "2024-01-01")]).select("value").collect()] == [(8,)]
+
+
+def test_every_row_lies_in_its_range(ranged):
+    cuts = [c.encode() for c in ranged.snapshot().buckets]
+    assert cuts == sorted(cuts) and len(cuts) == 3
+    for r in ranged.read().collect():
+        assert r[fv.BUCKET] == sum(c <= r[fv.PATH].encode() for c in cuts)
+
+
+def test_a_scan_of_an_ancestor_opens_only_its_ranges(ranged):
+    for city, buckets in (("a", {0}), ("b", {1, 2}), ("c", {2}), ("é", {3}), ("😀", {3})):
+        scope = ef.EntityKey((("City", city),))
+        assert {r[fv.BUCKET] for r in ranged.read_under(scope).select(fv.BUCKET).distinct().collect()} == buckets
+        assert ef.read_entities(ranged.store, "Day", schema=DAY, ancestor=scope).count() == 6
+    assert ef.read_entities(ranged.store, "Day", schema=DAY, ancestor=ef.EntityKey((("City", "0"),))).count() == 0
+
+
+def test_even_ranges_and_the_layout_a_kind_began_with(spark, frame, tmp_path):
+    rows = frame([("a", f"d{n:03d}", n) for n in range(400)] + [("b", None, 1)], DAY_DDL)
+    cuts = ef.choose_ranges(rows, DAY, 4)
+    store = ef.EntityStore(spark, str(tmp_path), ranges=cuts)
+    ef.write_entities(store, rows.filter("at is not null"), DAY).raise_for_errors()
+    sizes = [r["count"] for r in store.table("Day").read().groupBy(fv.BUCKET).count().collect()]
+    assert len(sizes) == 4 and max(sizes) == 100
+    hashed = ef.EntityStore(spark, str(tmp_path), buckets=2)
+    ef.write_entities(hashed, frame([("a", "d000", 7)], DAY_DDL), DAY).raise_for_errors()
+    assert hashed.table("Day").read().count() == 400 and hashed.table("Day").snapshot().buckets == tuple(cuts)
+    assert ef.choose_ranges(rows.limit(0), DAY, 4) == []
+
+
 def test_layout_is_kept(spark, table, frame):
     other = ef.EntityStore(spark, table.store.root, buckets=9, by_namespace=not table.store.by_namespace)
     ef.write_entities(other, frame([("x", "d1", 7)], DDL), DOC)

@@ -158,6 +158,16 @@ def upsert_result(spark: SparkSession, sf: str) -> DataFrame:
     return _order_view(accessor.read())
 
 
+def range_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert into a kind whose partitions are ranges of keys."""
+    closed = _closed(spark, sf)
+    store = new_store(spark, ranges=ef.choose_ranges(closed, ORDER, 8), by_namespace=False)
+    accessor = ef.kind(schema=ORDER, store=store)
+    accessor.write(closed).raise_for_errors()
+    accessor.write(_incoming(spark, sf), skip_unchanged=True).raise_for_errors()
+    return _order_view(accessor.read())
+
+
 def insert_result(spark: SparkSession, sf: str) -> DataFrame:
     accessor = _store_closed(spark, sf)
     accessor.write(_incoming(spark, sf), mode="insert")
@@ -396,6 +406,7 @@ QUERIES = {
     "merged_reports": merged_reports,
     "duplicate_key_report": duplicate_key_report,
     "upsert_result": upsert_result,
+    "range_upsert": range_upsert,
     "insert_result": insert_result,
     "update_result": update_result,
     "patch_result": patch_result,
@@ -505,6 +516,7 @@ SQL = {
         SELECT 'Order/n:' || l_orderkey || '/Line/n:' || l_linenumber || '/' AS entity_key, count(*) AS rows
         FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "upsert_result": f"SELECT {_ORDER_COLUMNS.format(price=_RAISED)} FROM orders",
+    "range_upsert": f"SELECT {_ORDER_COLUMNS.format(price=_RAISED)} FROM orders",
     "insert_result": f"""
         SELECT {_ORDER_COLUMNS.format(price=f"CASE WHEN o_orderstatus = 'O' THEN {_RAISED} ELSE o_totalprice END")}
         FROM orders""",
