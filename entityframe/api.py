@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from typing import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from entityframe import fixed_values as fv
 from entityframe.errors import SchemaError
@@ -325,21 +325,22 @@ def _run(
     )
     # Encoded once and written once: every later pass reads this table, so audit
     # stamps and row ids are the same in the stored data and in the report.
-    seen = Observation()
-    plan = plan.on(stage(plan.df, "plan", seen, **plan_metrics()))
+    plan = plan.on(stage(plan.df, "plan"))
+    # Four narrow columns are read again for this; observing every row on its way costs more.
+    seen = plan.df.agg(*plan_metrics()).first()
     carried_out = not (dry_run or read_only)
     if carried_out and not skip_unchanged and reject is None:
-        require_good_keys(seen.get)
+        require_good_keys(seen)
     if latest_by is not None:
         plan = plan.on(stage(keep_latest(plan).df, "latest"))
     # A plain insert or update looks for its targets; a plain patch only when some row
     # has no values, which skips a stored entity but creates a missing one.
-    plain = seen.get["hollow"] > 0 if patch else mode != "upsert"
+    plain = seen["hollow"] > 0 if patch else mode != "upsert"
     # No key may occur twice, also among rows that are skipped or fail.  Where every
     # row gets written, the merge finds that out by itself.
     if not carried_out or skip_unchanged:
         require_unique_keys(plan.df)
-    elif plain or seen.get["failed"]:
+    elif plain or seen["failed"]:
         require_unique_keys(plan.df if reject is None else plan.df.filter(F.col("error").isNull()), full_key=False)
     if scope is not None:
         require_scope(plan.df, scope)

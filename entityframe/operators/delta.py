@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from entityframe.errors import SchemaError
 from entityframe.functions.convert import nan_to_null
@@ -92,11 +92,10 @@ def combine_entities(
     plain = {n: replace(schema.properties[n], default=UNSET, missing_policy="omit", nullable=True) for n in named}
     changes = replace(schema, properties=plain, strict=False)
     plan = plan_rows(folded, changes, operation="patch", properties=named, buckets=table.layout(snapshot)[0])
-    seen = Observation()
-    plan = plan.on(stage(plan.df, "combine", seen, **plan_metrics()))
+    plan = plan.on(stage(plan.df, "combine"))
     if dry_run or read_only:
         return plan.to_report(dry_run=dry_run, read_only=read_only)
-    require_good_keys(seen.get)
+    require_good_keys(plan.df.agg(*plan_metrics()).first())
     if scope is not None:
         require_scope(plan.df, scope)
     table.commit_plan(plan.df, dict(rules), snapshot)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError
@@ -383,18 +383,17 @@ def require_unique_keys(df: DataFrame, *, full_key: bool = True) -> None:
         raise KeyValidationError(f"key occurs {found[0]['rows']} times in one write: {found[0]['key']}")
 
 
-def plan_metrics() -> dict[str, Column]:
-    """Aggregates taken while a plan is staged: key problems, rows without
-    values, rows with errors."""
-    return {
-        "key_error": F.min("key_error"),
-        "incomplete": F.count_if("incomplete"),
-        "hollow": F.count_if(F.col("error").isNull() & (F.size(fv.PRESENT) == 0)),
-        "failed": F.count_if(F.col("error").isNotNull()),
-    }
+def plan_metrics() -> list[Column]:
+    """Aggregates of a staged plan: key problems, rows without values, rows with errors."""
+    return [
+        F.min("key_error").alias("key_error"),
+        F.count_if("incomplete").alias("incomplete"),
+        F.count_if(F.col("error").isNull() & (F.size(fv.PRESENT) == 0)).alias("hollow"),
+        F.count_if(F.col("error").isNotNull()).alias("failed"),
+    ]
 
 
-def require_good_keys(found: dict) -> None:
+def require_good_keys(found: Row) -> None:
     """A write that is carried out raises on key problems instead of reporting them."""
     if found["key_error"] is not None:
         raise KeyValidationError(found["key_error"])

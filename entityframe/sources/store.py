@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any, Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from entityframe import fixed_values as fv
 from entityframe.errors import KeyValidationError, SchemaError, WriteConflictError
@@ -298,18 +298,17 @@ class EntityTable:
         folders = self._folders(snapshot)
         pieces = self._pieces(existing, changes, len(touched))
         paired = pair_rows(existing, changes, target, folders, _partitions(self.spark, len(touched) * pieces), pieces)
-        seen = Observation()
-        counted = paired.observe(seen, F.max("changes").alias("most"))
-        merged = merge_rows(counted, target, how)
-
-        def unique() -> None:
-            # Found while the files were written; nothing is published in that case.
-            if how != "delete" and (seen.get["most"] or 0) > 1:
+        if how == "delete":
+            return self._commit(snapshot, merge_rows(paired, target, how), touched, target, batch=batch)
+        # A key that occurs twice fails the job that writes the files; nothing is published then.
+        text = F.concat(F.lit(_REPEATED), F.col(fv.PATH))
+        once = paired.withColumn("new", F.when(F.col("changes") > 1, F.raise_error(text)).otherwise(F.col("new")))
+        try:
+            return self._commit(snapshot, merge_rows(once, target, how), touched, target, may_empty=False, batch=batch)
+        except Exception as problem:
+            if _REPEATED in str(problem):
                 self._raise_repeated(changes)
-
-        return self._commit(
-            snapshot, merged, touched, target, check=unique, may_empty=how == "delete", batch=batch
-        )
+            raise
 
     def _pieces(self, existing: DataFrame | None, changes: DataFrame, folders: int) -> int:
         """Tasks per touched partition, from the sizes of the files to be read."""
@@ -382,7 +381,6 @@ class EntityTable:
         touched: set[tuple[str | None, int]],
         properties: T.StructType,
         *,
-        check: Callable[[], None] | None = None,
         may_empty: bool = True,
         batch: tuple[str, int] | None = None,
     ) -> int:
@@ -390,8 +388,6 @@ class EntityTable:
         folders = self._folders(snapshot)
         path = f"{self.path}/data/commit={commit}"
         rows.write.option("parquet.block.size", str(self.store.row_group_bytes)).partitionBy(*folders).parquet(path)
-        if check is not None:
-            check()
         kept_folders = self._written(path, folders) if may_empty else touched
         fresh = {(ns, bucket, commit) for ns, bucket in kept_folders}
         old = frozenset() if snapshot is None else snapshot.partitions
@@ -460,6 +456,7 @@ def choose_ranges(df: DataFrame, schema: Schema, pieces: int) -> list[str]:
     return sorted({paths[i * len(paths) // pieces] for i in range(1, pieces)}, key=str.encode) if paths else []
 
 
+_REPEATED = "more than one change of one key: "
 _FEW_KEYS = 500
 
 
