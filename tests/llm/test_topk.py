@@ -9,16 +9,15 @@ SCHEMA = "vec_id long, embedding array<double>, block int, v string"
 
 
 def brute(rows, k=20, every=20, scale=64):
-    clean = {}
+    clean = []
     for i, v, *_ in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        w = [math.floor(scale * x) for x in v]
-        clean[i] = min(clean.get(i, w), w)
+        clean.append((i, [math.floor(scale * x) for x in v]))
     out = []
-    for q, a in clean.items():
+    for at, (q, a) in enumerate(clean):
         if q % every == 0:
-            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in clean.items() if i != q)[:k]
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for other, (i, b) in enumerate(clean) if other != at)[:k]
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     return sorted(out)
 
