@@ -8,9 +8,9 @@ it, so that a batch of texts meets them in one matrix product.  Every text is co
 every example, so the neighbours are exact (in single precision).  Their distance-weighted
 votes are calibrated on the examples themselves, each left out in turn.
 
-The examples are a bounded sample of labelled rows; document frequencies are counted over
-all documents, and every text is scored whole.  Words that no example has are not in a
-text's length.
+Terms are read out of every text once, into a staged table; document frequencies over all
+documents, examples and scores come from there.  The examples are a bounded sample of labelled
+rows, and every text is scored whole.  Words that no example has are not in a text's length.
 """
 
 from __future__ import annotations
@@ -23,9 +23,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from entityframe.llm.common import held_out, load, ship, slices
+from entityframe.llm.common import held_out, load, ship, slices, stage
 
 #: Labelled rows that terms and examples are taken from.
 EXAMPLES = 8000
@@ -41,7 +43,6 @@ TIMES = (1, 2, 4)
 #: A text is rejected from this score on.
 REJECT = 0.5
 _WORD = re.compile(r"\w+")
-_MEMO = 150_000
 
 
 def _words(text: str | None) -> list[str]:
@@ -66,46 +67,112 @@ def _terms(text: str | None) -> set[str]:
     return {_term(stem, times) for stem, n in stems.items() for times in TIMES if n >= times}
 
 
+def _hashes(stems: Iterable[str], size: int = -1) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in stems), np.uint64, size)
+
+
+def _stem(term: str) -> str:
+    return term.rsplit("@", 1)[0] if "@" in term else term
+
+
 class Vocabulary:
-    """The chosen terms and how often a text has each."""
+    """The chosen terms and how often texts have each.
 
-    def __init__(self, terms: list[str]):
-        self._fill(list(terms))
+    Stems are known by 64-bit hashes in sorted arrays, which take a tenth of the memory of a
+    dictionary of words in every worker.
+    """
 
-    def _fill(self, terms: list[str]) -> None:
-        self.terms = terms
-        ids = {t: i for i, t in enumerate(self.terms)}
+    def __init__(self, terms: list[str]):
+        #: Not sent to workers.
+        self.terms: list[str] | None = list(terms)
+        size, places = len(self.terms), {str(times): i for i, times in enumerate(TIMES)}
+        found = _hashes((_stem(t) for t in self.terms), size)
         # Stems that any term is about, and their terms by the times they ask for (-1: none).
-        names = sorted({t.rsplit("@", 1)[0] for t in self.terms})
-        self._slots = {stem: slot for slot, stem in enumerate(names)}
-        asked = [[ids.get(_term(stem, times), -1) for times in TIMES] for stem in names]
-        self._asked = np.array(asked, dtype=np.int64).reshape(-1, len(TIMES))
-        self._memo: dict[str, tuple[int, ...]] = {}
+        stems, at, slot = np.unique(found, return_index=True, return_inverse=True)
+        self._asked = np.full((len(stems), len(TIMES)), -1, dtype=np.int32)
+        asked = np.fromiter((places[t.rsplit("@", 1)[1]] if "@" in t else 0 for t in self.terms), np.int64, size)
+        self._asked[slot, asked] = np.arange(size)
+        begins = np.fromiter((_stem(self.terms[i]).endswith("*") for i in at.tolist()), bool, len(at))
+        self._begin, self._begin_slot = stems[begins], np.flatnonzero(begins)
+        self._word, self._word_slot = stems[~begins], np.flatnonzero(~begins)
+        # The known beginnings of each word, one list after the other, some words at a time.
+        words = at[~begins].tolist()
+        parts = [self._begun([_stem(self.terms[i]) for i in words[j : j + 4096]]) for j in range(0, len(words), 4096)]
+        counts = [np.bincount(of, minlength=min(4096, len(words) - 4096 * j)) for j, (of, _) in enumerate(parts)]
+        self._starts = np.cumsum(np.concatenate([np.zeros(1, dtype=np.int64), *counts]))
+        self._begins = np.concatenate([np.zeros(0, dtype=np.int64), *[begun for _, begun in parts]])
 
     def __getstate__(self):
-        # Workers build the rest anew; a broadcast lies on the disk of every executor.
-        return zlib.compress(pickle.dumps(self.terms))
-
-    def __setstate__(self, state):
-        self._fill(pickle.loads(zlib.decompress(state)))
-
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a text, rising, and how often it has each."""
-        memo, slots = self._memo, {}
-        for word, times in Counter(_words(text)).items():
-            found = memo.get(word)
-            if found is None:
-                if len(memo) >= _MEMO:
-                    memo.clear()
-                found = memo[word] = tuple([self._slots[s] for s in _stems(word) if s in self._slots])
-            for slot in found:
-                slots[slot] = slots.get(slot, 0) + times
-        seen, n = np.fromiter(slots, np.int64, len(slots)), np.fromiter(slots.values(), np.int64, len(slots))
-        asked = self._asked[seen]
-        has = (asked >= 0) & (n[:, None] >= TIMES)
-        terms, n = asked[has], np.broadcast_to(n[:, None], has.shape)[has]
-        order = np.argsort(terms)
-        return terms[order], n[order]
+        return self.__dict__ | {"terms": None}
+
+    @property
+    def size(self) -> int:
+        return int(self._asked.max(initial=-1)) + 1
+
+    def _begun(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the word, slot) of the known beginnings of some words, in their order."""
+        if not len(self._begin) or not words:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        cut = [(i, f"{word[:n]}*") for i, word in enumerate(words) for n in BEGINNINGS if len(word) > n]
+        of = np.fromiter((i for i, _ in cut), np.int64, len(cut))
+        row = _find(self._begin, _hashes((x for _, x in cut), len(cut)))
+        return of[row >= 0], self._begin_slot[row[row >= 0]]
+
+    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, times) of all terms of some texts, sorted by text."""
+        counted = [Counter(_words(text)) for text in texts]
+        lengths = np.fromiter(map(len, counted), np.int64, len(counted))
+        size = int(lengths.sum())
+        of = np.repeat(np.arange(len(counted)), lengths)
+        times = np.fromiter((n for c in counted for n in c.values()), np.int64, size)
+        row = _find(self._word, _hashes((word for c in counted for word in c), size))
+        known, unknown = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        # Beginnings, also of words that no example has, add up over the words of a text.
+        n = self._starts[row[known] + 1] - self._starts[row[known]]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._starts[row[known]] - ends + n, n)
+        strange = [word for word, r in zip((word for c in counted for word in c), row.tolist(), strict=True) if r < 0]
+        others, extra = self._begun(strange)
+        source = np.concatenate([np.repeat(known, n), unknown[others]])
+        begun = np.concatenate([self._begins[at], extra])
+        stride = max(len(self._asked), 1)
+        key, sums = _summed(of[source] * stride + begun, times[source])
+        of, slot, times = (
+            np.concatenate(pair) for pair in ((of[known], key // stride), (self._word_slot[row[known]], key % stride), (times[known], sums))
+        )
+        asked = self._asked[slot]
+        has = (asked >= 0) & (times[:, None] >= TIMES)
+        which = np.flatnonzero(has.any(axis=1))
+        per = has[which].sum(axis=1)
+        of, times, term = np.repeat(of[which], per), np.repeat(times[which], per), asked[which][has[which]].astype(np.int64)
+        order = np.argsort(of.astype(np.int16 if len(counted) < 1 << 15 else np.int64), kind="stable")
+        return of[order], term[order], times[order]
+
+    def counts(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms of each text, rising, and how often it has each."""
+        of, term, times = self.batch(texts)
+        order = np.lexsort((term, of))
+        of, term, times = of[order], term[order], times[order]
+        cuts = np.searchsorted(of, np.arange(1, len(texts)))
+        return list(zip(np.split(term, cuts), np.split(times, cuts), strict=True))
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted value in a sorted array; -1 where it is not there."""
+    if not len(known):
+        return np.full(len(wanted), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, at, -1)
+
+
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, rising, and the sum of the values of each."""
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    return keys[first], np.add.reduceat(values, first)
 
 
 class Examples:
@@ -113,17 +180,19 @@ class Examples:
     are looked up at once."""
 
     def __init__(
-        self, vocabulary: Vocabulary, counts: Iterable[dict[int, int]], ids: list[int], toxic: list[int], idf: np.ndarray,
+        self, counts: Iterable[tuple[np.ndarray, np.ndarray]], ids: list[int], toxic: list[int], idf: np.ndarray,
         neighbours: int = NEIGHBOURS, block: int = BLOCK,
     ):
-        self.vocabulary, self.idf, self.neighbours, self.block = vocabulary, idf, neighbours, block
-        pairs = [(t := np.array(sorted(c), dtype=np.int32), np.array([c[x] for x in t.tolist()], dtype=np.int32)) for c in counts]
+        #: Set where texts are to be read; what is scored elsewhere has its terms already.
+        self.vocabulary: Vocabulary | None = None
+        self.idf, self.neighbours, self.block = idf, neighbours, block
+        pairs = [(terms.astype(np.int32), times.astype(np.int32)) for terms, times in counts]
         vectors = [self._weigh(*p) for p in pairs]
         used = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
         self.ids = np.array([ids[i] for i in used], dtype=np.int64)
         self.toxic = np.array([toxic[i] for i in used], dtype=np.float64)
         self._counts = [pairs[i] for i in used]
-        self._index([vectors[i] for i in used], len(vocabulary.terms))
+        self._index([vectors[i] for i in used], len(idf))
         plain = [toxic[i] for i, (terms, _) in enumerate(vectors) if not len(terms)]
         overall = sum(toxic) / len(toxic) if toxic else 0.0
         #: The score of a text without any term: the share of toxic ones among such examples,
@@ -139,15 +208,14 @@ class Examples:
         packed = [(np.diff(t, prepend=np.int32(0)), n) for t, n in self._counts]
         lengths = [len(n) for _, n in packed]
         flat = [np.concatenate([x[i] for x in packed] or [np.zeros(0)]).astype(np.int32) for i in (0, 1)]
-        return self.vocabulary, zlib.compress(pickle.dumps((state | {"_counts": None}, lengths, flat)), 6)
+        return zlib.compress(pickle.dumps((state | {"_counts": None}, lengths, flat)), 6)
 
     def __setstate__(self, state):
-        self.vocabulary, packed = state
-        kept, lengths, flat = pickle.loads(zlib.decompress(packed))
-        self.__dict__.update(kept)
+        kept, lengths, flat = pickle.loads(zlib.decompress(state))
+        self.__dict__.update(kept, vocabulary=None)
         terms, counts = (np.split(x, np.cumsum(lengths)[:-1]) if lengths else [] for x in flat)
         self._counts = [(np.cumsum(t, dtype=np.int32), n) for t, n in zip(terms, counts, strict=True)]
-        self._index([self._weigh(*p) for p in self._counts], len(self.vocabulary.terms))
+        self._index([self._weigh(*p) for p in self._counts], len(self.idf))
 
     def _index(self, vectors: list[tuple[np.ndarray, np.ndarray]], size: int) -> None:
         terms = np.concatenate([t for t, _ in vectors] or [np.zeros(0, dtype=np.int64)])
@@ -165,10 +233,6 @@ class Examples:
         self.places, self.weights = places[rare], weights[rare].astype(np.float32)
         self.cuts = np.searchsorted(terms[rare], np.arange(size + 1))
 
-    def _vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(counts), dtype=np.int64)
-        return self._weigh(terms, np.array([counts[t] for t in terms.tolist()], dtype=np.float64))
-
     def _weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         weights = (1 + np.log(counts)) * self.idf[terms]
         terms, weights = terms[weights > 0], weights[weights > 0]
@@ -196,9 +260,10 @@ class Examples:
         terms, weights = vector
         if len(terms) and len(sums):
             rare = self.column[terms] < 0
-            starts, n = self.cuts[terms[rare]], self.cuts[terms[rare] + 1] - self.cuts[terms[rare]]
-            ends = np.cumsum(n)
-            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + n, n)
+            starts = self.cuts[terms[rare]]
+            n = self.cuts[terms[rare] + 1] - starts
+            ends = np.cumsum(n, dtype=np.int32)
+            at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat((starts - ends + n).astype(np.int32), n)
             products = self.weights[at] * np.repeat(weights[rare].astype(np.float32), n)
             sums = sums + np.bincount(self.places[at], products, minlength=len(sums))
             if without >= 0:
@@ -216,15 +281,15 @@ class Examples:
         weights = cosines / (1.05 - np.minimum(cosines, 1.0))
         return float((weights @ self.toxic[places] + self.plain) / (weights.sum() + 1)), weights
 
-    def scores(self, texts: list[str | None]) -> list[tuple[float, list[int], list[float]]]:
-        """(score, ids of the nearest examples, their cosines) of each text."""
+    def scores(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """(score, ids of the nearest examples, their cosines) of texts with these terms."""
         out = []
-        for near in self._nearest([self._weigh(*self.vocabulary.counts(t)) for t in texts], [-1] * len(texts)):
+        for near in self._nearest([self._weigh(*c) for c in counts], [-1] * len(counts)):
             if len(near[0]):
                 score = float(np.interp(self._vote(near)[0], *self.curve))
-                out.append((score, self.ids[near[0]].tolist(), near[1].tolist()))
+                out.append((score, self.ids[near[0]], near[1]))
             else:
-                out.append((self.plain, [], []))
+                out.append((self.plain, self.ids[:0], near[1]))
         return out
 
 
@@ -243,14 +308,13 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p[0] / p[2] for p in pools]), np.array([(p[1] + 0.5) / (p[2] + 1) for p in pools])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """doc_id, text, toxic of up to `most` labelled rows, the first by a hash of the id."""
+def _choose(labels: DataFrame, most: int) -> DataFrame:
+    """doc_id, toxic of up to `most` labelled rows, the first by a hash of the id."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic")
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    # Bounded by `most` rows of two numbers.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Bounded by `most` rows of two numbers, which are broadcast.
+    return stage(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "chosen")
 
 
 def _count_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -275,39 +339,54 @@ def _count_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
     if not toxic or toxic == rows:
         return [], np.zeros(0)
     counts = sample.select("text", "toxic").mapInArrow(tally, "term string, n long, toxic long")
-    # Bounded by the different terms of EXAMPLES texts.
-    found = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow().sort_by("term")
+    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    # What is no word and in fewer than two toxic texts counts nothing by the formula below.
+    # Bounded by the different words of EXAMPLES texts and the beginnings of the toxic ones.
+    found = counts.filter(~F.col("term").rlike("[*@]") | (F.col("toxic") > 1)).toArrow().sort_by("term")
     n, bad = (found.column(c).to_numpy().astype(np.float64) for c in ("n", "toxic"))
     odds = np.log((bad + 0.5) / (toxic + 1)) - np.log((n - bad + 0.5) / (rows - toxic + 1))
     sure = np.square(np.maximum(odds, 0.0)) / (1 / (bad + 0.5) + 1 / (n - bad + 0.5))
     sure *= np.maximum(bad - 1, 0) / np.maximum(bad, 1)
-    terms = found.column("term").to_pylist()
-    counts = sure + PLAIN_WEIGHT * np.array(["*" not in t and "@" not in t for t in terms])
-    return [t for t, c in zip(terms, counts, strict=True) if c > 0], counts[counts > 0]
+    derived = pc.match_substring_regex(found.column("term"), "[*@]").to_numpy()
+    counts = sure + PLAIN_WEIGHT * ~derived
+    return found.column("term").filter(pa.array(counts > 0)).to_pylist(), counts[counts > 0]
 
 
-def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
-    """Rows, and rows that have each term, over all documents."""
-    size = len(vocabulary.terms)
+def _with_terms(docs: DataFrame, vocabulary: Vocabulary, kept: list[str], tally: bool = False) -> DataFrame:
+    """row, terms, times: each row's `kept` columns as a struct, and the terms of its text.  With
+    `tally`, a task adds one row with a null struct: the terms it has seen, and in how many texts."""
     # Bounded by the different terms of EXAMPLES texts.
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    # The text goes to Python once.
+    inside = "text" in kept
+    rows = docs.select(F.struct(*[F.col(_quoted(c)) for c in kept]).alias("row"), *([] if inside else ["text"]))
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("terms", "times")]])
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(size, dtype=np.int64), 0
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, row = np.zeros(shared.value.size, dtype=np.int64), None
         for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                seen[shared.value.counts(text)[0]] += 1
-            rows += batch.num_rows
-        terms = np.flatnonzero(seen)
-        columns = [pa.array(np.append(terms, -1), pa.int32()), pa.array(np.append(seen[terms], rows), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+            row = batch.column("row").type
+            texts = batch.column("row").field("text") if inside else batch.column("text")
+            of, terms, times = shared.value.batch(texts.to_pylist())
+            seen += np.bincount(terms, minlength=len(seen))
+            cuts = pa.array(np.searchsorted(of, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x, pa.int32())) for x in (terms, times)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *lists], names=["row", "terms", "times"])
+        if tally and row is not None:
+            terms = np.flatnonzero(seen)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), pa.array(x, pa.int32())) for x in (terms, seen[terms])]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, row), *lists], names=["row", "terms", "times"])
 
-    # One row per term at most comes back.
-    totals = docs.select("text").mapInArrow(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    terms, n = (totals.column(c).to_numpy() for c in ("term", "n"))
-    seen = np.zeros(size)
-    seen[terms[terms >= 0]] = n[terms >= 0]
-    return int(n[terms < 0].sum()), seen
+    return rows.mapInArrow(count, schema)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    offsets = column.offsets.to_numpy()
+    return np.split(column.values.to_numpy()[offsets[0] : offsets[-1]], offsets[1:-1] - offsets[0]) if len(column) else []
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Examples:
@@ -317,35 +396,62 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Example
     larger counts.  Without toxic and clean examples every score is the share of toxic ones
     (0 without any label).
     """
+    vocabulary, packed, _ = _fit(docs, labels, ["doc_id"], examples)
+    model = pickle.loads(packed.data)
+    model.vocabulary = vocabulary
+    return model
+
+
+def _fit(
+    docs: DataFrame, labels: DataFrame, kept: list[str], examples: int = EXAMPLES
+) -> tuple[Vocabulary, Packed, DataFrame]:
+    """The vocabulary, the index, and all rows with their terms, which are read out of each text once: document
+    frequencies, examples and scores all come from that table."""
     ship(docs.sparkSession)
-    sample = _sample(docs, labels, examples)
-    terms, counts = _count_terms(sample)
+    chosen = _choose(labels, examples)
+    terms, counts = _count_terms(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     vocabulary = Vocabulary(terms)
-    rows, seen = _document_frequencies(docs, vocabulary)
-    weights = np.maximum(np.log((rows + 1) / (seen + 0.5)), 0.0) * counts
-    counted = sample.select("doc_id", "text", "toxic").mapInArrow(_counter(vocabulary), "doc_id long, toxic int, terms array<int>, counts array<int>")
-    # Bounded by `examples` texts; rows that repeat an id are one example.
-    found = counted.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
-    pairs = zip(found.column("terms"), found.column("counts"), strict=True)
-    return Examples(
-        vocabulary, (dict(zip(t.as_py(), n.as_py(), strict=True)) for t, n in pairs),
-        found.column("doc_id").to_pylist(), found.column("toxic").to_pylist(), weights,
-    )
-
-
-def _counter(vocabulary: Vocabulary):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            counts = [vocabulary.counts(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").cast(pa.int64()), batch.column("toxic"),
-                    pa.array([t for t, _ in counts], pa.list_(pa.int32())), pa.array([n for _, n in counts], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "toxic", "terms", "counts"],
-            )
+    staged = stage(_with_terms(docs, vocabulary, kept, tally=True), "terms")
+    counted, tallies = (staged.filter(f"row IS {what}") for what in ("NOT NULL", "NULL"))
+    # One row per term at most comes back.
+    pairs = tallies.select(F.explode(F.arrays_zip("terms", "times")).alias("p"))
+    found = pairs.groupBy(F.col("p.terms").alias("term")).agg(F.sum("p.times").alias("n")).toArrow()
+    seen = np.zeros(len(terms))
+    seen[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    weights = np.maximum(np.log((counted.count() + 1) / (seen + 0.5)), 0.0) * counts
+    taught = counted.select(F.col("row.doc_id").cast("long").alias("doc_id"), "terms", "times").join(F.broadcast(chosen), "doc_id")
+    # Bounded by `examples` texts; rows that repeat an id are one example.  They meet in one task,
+    # which makes the index; the driver sees its packed form only.
+    learnt = taught.dropDuplicates(["doc_id"]).repartition(1).mapInArrow(_learner(weights), "model binary").first()
+    packed = Packed(pickle.dumps(Examples([], [], [], weights)) if learnt is None else bytes(learnt["model"]))
+    return vocabulary, packed, counted
+
 
-    return count
+class Packed:
+    """A pickled index, which is unpacked where it is sent to."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __getstate__(self):
+        return self.data
+
+    def __setstate__(self, data: bytes):
+        self.examples = pickle.loads(data)
+
+
+def _learner(weights: np.ndarray):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            columns = [_lists(batch.column(c)) for c in ("terms", "times")]
+            rows += zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), *columns, strict=True)
+        rows.sort(key=lambda r: r[0])
+        ordered = [(terms[o], times[o]) for *_, terms, times in rows for o in [np.argsort(terms)]]
+        model = Examples(ordered, [r[0] for r in rows], [r[1] for r in rows], weights)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return learn
 
 
 def with_scores(docs: DataFrame, model: Examples) -> DataFrame:
@@ -354,21 +460,29 @@ def with_scores(docs: DataFrame, model: Examples) -> DataFrame:
 
     A null or empty text has the score of a text without any term.  No rows move, so copies and repeated ids do not matter.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
+    return _scored(_with_terms(docs, model.vocabulary, docs.columns), Packed(pickle.dumps(model)))
+
+
+def _scored(counted: DataFrame, packed: Packed) -> DataFrame:
     # Bounded by EXAMPLES and their terms.
-    shared = spark.sparkContext.broadcast(model)
-    kept = docs.select(F.struct("*").alias("row"))
+    shared = counted.sparkSession.sparkContext.broadcast(packed)
     verdict = pa.struct([("score", pa.float64()), ("evidence_ids", pa.list_(pa.int64())), ("evidence_cosines", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = shared.value
+        examples = shared.value.examples
         for batch in slices(batches):
-            texts = batch.column("row").field("text").to_pylist()
-            found = [dict(zip(verdict.names, s, strict=True)) for s in examples.scores(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, verdict)], names=["row", "toxicity"])
+            pairs = zip(*(_lists(batch.column(c)) for c in ("terms", "times")), strict=True)
+            scores, *evidence = zip(*examples.scores(list(pairs)), strict=True)
+            ends = pa.array(np.cumsum([0, *map(len, evidence[0])]), pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), kind))
+                for x, kind in zip(evidence, (pa.int64(), pa.float64()), strict=True)
+            ]
+            found = pa.StructArray.from_arrays([pa.array(scores, pa.float64()), *lists], fields=list(verdict))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "toxicity"])
 
-    return kept.mapInArrow(run, _row_schema(kept)).select("row", "toxicity")
+    return counted.mapInArrow(run, _row_schema(counted)).select("row", "toxicity")
 
 
 def _row_schema(kept: DataFrame) -> T.StructType:
@@ -388,8 +502,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learns from labelled documents whose crc32 of the id, modulo 5, is not 0; the others are
     held out.  An empty table gives an empty result.
     """
-    model = fit(docs, labels.filter(~held_out("doc_id", 5, 0)))
-    scored = with_scores(docs.select("doc_id", "text"), model)
+    _, packed, counted = _fit(docs, labels.filter(~held_out("doc_id", 5, 0)), ["doc_id"])
+    scored = _scored(counted, packed)
     return scored.select(
         "row.doc_id",
         held_out("row.doc_id", 5, 0).alias("held_out"),
@@ -402,8 +516,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that score below REJECT, with all their columns."""
-    model = fit(docs, labels.filter(~held_out("doc_id", 5, 0)))
-    return with_scores(docs, model).filter(F.col("toxicity.score") < REJECT).select("row.*")
+    _, packed, counted = _fit(docs, labels.filter(~held_out("doc_id", 5, 0)), docs.columns)
+    return _scored(counted, packed).filter(F.col("toxicity.score") < REJECT).select("row.*")
 
 
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:

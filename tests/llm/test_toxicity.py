@@ -1,10 +1,11 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from entityframe.llm.toxicity import Examples, Vocabulary, drop_toxic, fit, toxicity, with_scores
+from entityframe.llm.toxicity import Examples, Vocabulary, _stems, _terms, drop_toxic, fit, toxicity, with_scores
 
 SCHEMA = "doc_id long, text string, row int, toxicity string, score int"
 LABELS = "doc_id long, quality int, toxic int"
@@ -27,16 +28,16 @@ def corpus(n=600, seed=1):
 
 def test_nearest_are_exact():
     random_ = np.random.default_rng(2)
-    vocabulary = Vocabulary([f"t{i}" for i in range(30)])
     counts = [{int(t): int(random_.integers(1, 4)) for t in random_.choice(30, random_.integers(0, 5), replace=False)} for _ in range(500)]
     idf = random_.uniform(0.5, 3, 30)
-    index = Examples(vocabulary, counts, list(range(500)), [i % 3 == 0 for i in range(500)], idf, neighbours=7, block=16)
+    pairs = [(np.array(sorted(c), dtype=np.int64), np.array([c[x] for x in sorted(c)], dtype=np.int64)) for c in counts]
+    index = Examples(pairs, list(range(500)), [i % 3 == 0 for i in range(500)], idf, neighbours=7, block=16)
     dense = np.zeros((500, 30))
-    for i, c in enumerate(counts):
-        terms, weights = index._vector(c)
+    for i, c in enumerate(pairs):
+        terms, weights = index._weigh(*c)
         dense[i, terms] = weights
-    for c in counts[:120]:
-        terms, weights = index._vector(c)
+    for c in pairs[:120]:
+        terms, weights = index._weigh(*c)
         query = np.zeros(30)
         query[terms] = weights
         want = np.sort((dense @ query)[dense @ query > 0])[::-1][:7]
@@ -45,6 +46,19 @@ def test_nearest_are_exact():
         assert dense[index.ids[places]] @ query == pytest.approx(cosines)
 
 
+def test_terms_of_a_batch_are_those_of_each_text():
+    chance = random.Random(5)
+    words = ["nasty", "nastier", "na", "rott", "rotten", "rottenish", "vile", "été", "x1"]
+    texts = [" ".join(chance.choices(words, k=chance.randrange(30))) for _ in range(60)] + [None, "", "!?", "Nasty NASTY"]
+    named = sorted({t for text in texts[:20] for t in _terms(text)} | {"nast*", "rotte*@2"})
+    vocabulary = Vocabulary(named)
+    for text, (terms, times) in zip(texts, vocabulary.counts(texts), strict=True):
+        assert [named[t] for t in terms] == sorted(set(named) & _terms(text))
+        stems = Counter(stem for word in (text or "").lower().split() for stem in _stems(word))
+        assert [stems[named[t].split("@")[0]] for t in terms] == times.tolist()
+    assert [terms.tolist() for terms, _ in Vocabulary([]).counts(["a b", None])] == [[], []]
+
+
 def test_held_out_documents_are_scored_well(spark):
     rows, labels = corpus()
     got = toxicity(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()
