@@ -20,6 +20,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -186,7 +187,7 @@ class Examples:
         #: Set where texts are to be read; what is scored elsewhere has its terms already.
         self.vocabulary: Vocabulary | None = None
         self.idf, self.neighbours, self.block = idf, neighbours, block
-        pairs = [(terms.astype(np.int32), times.astype(np.int32)) for terms, times in counts]
+        pairs = [(terms.astype(np.int32, copy=False), times.astype(np.int32, copy=False)) for terms, times in counts]
         vectors = [self._weigh(*p) for p in pairs]
         used = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
         self.ids = np.array([ids[i] for i in used], dtype=np.int64)
@@ -364,7 +365,7 @@ def _with_terms(docs: DataFrame, vocabulary: Vocabulary, kept: list[str], tally:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, row = np.zeros(shared.value.size, dtype=np.int64), None
-        for batch in slices(batches):
+        for batch in slices(batches, 256):
             row = batch.column("row").type
             texts = batch.column("row").field("text") if inside else batch.column("text")
             of, terms, times = shared.value.batch(texts.to_pylist())
@@ -380,6 +381,18 @@ def _with_terms(docs: DataFrame, vocabulary: Vocabulary, kept: list[str], tally:
     return rows.mapInArrow(count, schema)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Whole texts go to Python and come back: fewer rows at a time bound the buffers on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -411,7 +424,8 @@ def _fit(
     chosen = _choose(labels, examples)
     terms, counts = _count_terms(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     vocabulary = Vocabulary(terms)
-    staged = stage(_with_terms(docs, vocabulary, kept, tally=True), "terms")
+    with _small_batches(docs.sparkSession):
+        staged = stage(_with_terms(docs, vocabulary, kept, tally=True), "terms")
     counted, tallies = (staged.filter(f"row IS {what}") for what in ("NOT NULL", "NULL"))
     # One row per term at most comes back.
     pairs = tallies.select(F.explode(F.arrays_zip("terms", "times")).alias("p"))
@@ -447,7 +461,7 @@ def _learner(weights: np.ndarray):
             columns = [_lists(batch.column(c)) for c in ("terms", "times")]
             rows += zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), *columns, strict=True)
         rows.sort(key=lambda r: r[0])
-        ordered = [(terms[o], times[o]) for *_, terms, times in rows for o in [np.argsort(terms)]]
+        ordered = ((terms[o], times[o]) for *_, terms, times in rows for o in [np.argsort(terms)])
         model = Examples(ordered, [r[0] for r in rows], [r[1] for r in rows], weights)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
