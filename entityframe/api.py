@@ -22,6 +22,7 @@ from entityframe.plans.write_plan import (
     keep_latest,
     plan_metrics,
     plan_rows,
+    property_types,
     require_good_keys,
     require_scope,
     require_unique_keys,
@@ -240,7 +241,8 @@ def write_entities(
     """Write full entities: upsert, insert (new keys only) or update (stored keys only).
 
     A key may occur once, unless `latest_by` names the column that tells which of its rows is
-    the latest; the others are skipped.  `reject` is called with the rows that fail (row_index,
+    the latest; the others are skipped, and so is that one if the column is a property and the
+    stored entity has a greater value.  `reject` is called with the rows that fail (row_index,
     error) before the others are committed; rows without a usable key are then among them
     instead of ending the write.  `batch` names the stream and number of a
     micro-batch, to be recorded with the commit.
@@ -332,7 +334,8 @@ def _run(
     if carried_out and not skip_unchanged and reject is None:
         require_good_keys(seen)
     if latest_by is not None:
-        plan = plan.on(stage(keep_latest(plan).df, "latest"))
+        existing = table.read_for(plan.df, snapshot) if latest_by in property_types(plan.df) else None
+        plan = plan.on(stage(keep_latest(plan, existing, latest_by).df, "latest"))
     # A plain insert or update looks for its targets; a plain patch only when some row
     # has no values, which skips a stored entity but creates a missing one.
     plain = seen["hollow"] > 0 if patch else mode != "upsert"

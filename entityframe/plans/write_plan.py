@@ -22,6 +22,7 @@ PROPERTIES = "properties"
 ROW_INDEX = "row_index"
 LATEST = "__latest__"
 _SUPERSEDED = "a later row of the same key is written"
+_STORED_LATER = "a later row of the same key is stored"
 
 
 #: A number of buckets that keys are spread over, or the sorted key paths at which ranges begin.
@@ -199,27 +200,42 @@ def plan_rows(
     return WritePlan(planned, operation, mode)
 
 
-def keep_latest(plan: WritePlan) -> WritePlan:
+def keep_latest(plan: WritePlan, existing: DataFrame | None = None, latest_by: str | None = None) -> WritePlan:
     """Of the good rows of a key, the one with the greatest `latest_by` is written (nulls are
-    least, ties go to the greatest row index); the others are skipped and say why.
+    least, ties go to the greatest row index); the others are skipped and say why.  So is that one
+    if `existing` (raw entities) holds the key with a greater value, which the column can tell where
+    it is a property: batches may then come in any order.
 
     The winners are found by an aggregate, which sends one row per key and task, and joined back
     by row index, which no two rows share: a hot key is nowhere one task's work.  Needs a staged
     plan.
     """
     good = F.col("error").isNull() & F.col(fv.PATH).isNotNull()
-    newest = F.max(F.struct(F.col(LATEST), F.col(ROW_INDEX))).alias("newest")
-    winners = plan.df.filter(good).groupBy(fv.NS, fv.PATH).agg(newest).select(F.col("newest")[ROW_INDEX].alias("__winner__"))
+    types, later = property_types(plan.df), F.lit(False)
+    stored = {} if existing is None else {f.name: f.dataType for f in existing.schema.fields}
+    # Compared as stored; values of mixed types have no order.
+    given = latest_by in types and latest_by in stored and same_type(stored[latest_by], types[latest_by])
+    held = given and not isinstance(types[latest_by], T.VariantType)
+    mine = [F.col(PROPERTIES)[latest_by].alias("mine")] if held else []
+    newest = F.max(F.struct(F.col(LATEST), F.col(ROW_INDEX), *mine)).alias("newest")
+    winners = plan.df.filter(good).groupBy(fv.NS, fv.PATH).agg(newest)
+    if held:
+        known = existing.select(fv.NS, fv.PATH, column(latest_by).alias("__held__")).filter(F.col("__held__").isNotNull())
+        winners = winners.join(known, [fv.NS, fv.PATH], "left")
+        own = F.col("newest.mine")
+        later = F.col("__held__").isNotNull() & (own.isNull() | (F.col("__held__") > own))
+    winners = winners.select(F.col("newest")[ROW_INDEX].alias("__winner__"), later.alias("__later__"))
     joined = plan.df.join(winners, F.col(ROW_INDEX) == F.col("__winner__"), "left")
-    older = good & F.col("__winner__").isNull()
+    older = good & F.coalesce(F.col("__later__"), F.lit(True))
+    why = F.when(F.col("__later__"), F.lit(_STORED_LATER)).otherwise(F.lit(_SUPERSEDED))
     folded = joined.withColumns(
         {
             "action": F.when(older, F.lit(fv.SKIP_ACTION)).otherwise(F.col("action")),
-            "reason": F.when(older, F.lit(_SUPERSEDED)).otherwise(F.col("reason")),
+            "reason": F.when(older, why).otherwise(F.col("reason")),
             "should_write": F.col("should_write") & ~older,
         }
     )
-    return plan.on(folded.drop("__winner__", LATEST))
+    return plan.on(folded.drop("__winner__", "__later__", LATEST))
 
 
 def _names(flags: dict[str, Column]) -> Column:
@@ -312,7 +328,8 @@ def _with_action(df, plan, stored, stored_types, types, check_values, by_digest=
         new_action = F.when(when, F.lit(act)).otherwise(new_action)
         new_reason = F.when(when, why).otherwise(new_reason)
         new_error = F.when(when, err).otherwise(new_error)
-    open_row = error.isNull()
+    # A row that another one supersedes stays skipped.
+    open_row = error.isNull() & (action != fv.SKIP_ACTION)
     judged = df.withColumns(
         {
             "__action__": F.when(open_row, new_action).otherwise(action),

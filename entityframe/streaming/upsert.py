@@ -32,7 +32,9 @@ def start_upsert(
     replayed after a failure is left out if it had been committed.
 
     With `latest_by`, a key may occur several times in a batch and the row with the greatest
-    value of that column is written.  With `rejected`, rows that can't be written are appended
+    value of that column is written.  If the column is a property, a stored entity with a greater
+    value stays, so batches may come in any order (files come by their times, not their names);
+    otherwise a later batch replaces what an earlier one stored.  With `rejected`, rows that can't be written are appended
     to a Parquet table there as (batch, row as JSON, error) and the stream goes on; without it,
     the first such row ends the stream.  They are written before the batch is committed, and a
     replayed batch replaces them, so none is lost or counted twice.

@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,3 +211,28 @@ def test_a_stream_goes_on_past_bad_rows(store, spark, frame, tmp_path):
     bad = ef.read_rejected(store, options["rejected"]).orderBy("batch").collect()
     assert [(r.batch, json.loads(r.row)) for r in bad] == [(0, {"at": 3, "v": 3}), (1, {"k": "a", "at": 5})]
     assert all(r.error for r in bad)
+
+
+def test_a_later_batch_of_older_rows_replaces_nothing(store, spark, frame, tmp_path):
+    source = tmp_path / "in"
+    ddl = "k string, at int, v int"
+    for name, rows in (("late", [("a", 9, 90), ("b", None, 1), ("c", 5, 50), ("d", 4, 40)]), ("early", [("a", 1, 10), ("a", 3, 30), ("b", 2, 20), ("c", None, 5), ("d", 4, 44)])):
+        frame(rows, ddl).coalesce(1).write.parquet(str(source / name))
+    # The newer rows are in the file that the stream takes first.
+    for name, time in (("late", 1_000_000_000), ("early", 1_100_000_000)):
+        for file in (source / name).glob("*.parquet"):
+            os.utime(file, (time, time))
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    ef.start_upsert(stream, store, LATEST, checkpoint=str(tmp_path / "check"), latest_by="at").awaitTermination()
+    got = {r["__key__"]["path"][0]["name"]: (r.at, r.v) for r in ef.read_entities(store, "L", schema=LATEST, include_key=True).collect()}
+    # Equal times go to the later batch.
+    assert got == {"a": (9, 90), "b": (2, 20), "c": (5, 50), "d": (4, 44)}
+
+
+def test_a_row_older_than_the_stored_one_is_reported_as_skipped(store, frame):
+    ddl = "k string, at int, v int"
+    ef.write_entities(store, frame([("a", 5, 1)], ddl), LATEST, latest_by="at").raise_for_errors()
+    for skip in (False, True):
+        report = ef.write_entities(store, frame([("a", 4, 2), ("a", 3, 3)], ddl), LATEST, latest_by="at", skip_unchanged=skip)
+        assert (report.wrote, report.skipped) == (0, 2)
+        assert {r.reason for r in report.results.collect()} == {"a later row of the same key is stored", "a later row of the same key is written"}
