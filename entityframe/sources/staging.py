@@ -6,11 +6,18 @@ import re
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from entityframe.errors import SchemaError
 
+#: A staged table is read again by as many tasks as it has row groups, also where one task wrote it.
+ROW_GROUP_BYTES = 8 << 20
+#: Larger methods are never compiled by the JVM: rows cost several times as much from there on.
+_METHOD_LIMIT, _METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
@@ -58,6 +65,18 @@ def release(spark: SparkSession, since: int = 0, newest: int = 0) -> int:
     return len(gone)
 
 
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Rows of many fields make one generated method that the JVM would interpret; such a step then
+    runs as several smaller ones, which it compiles."""
+    before = spark.conf.get(_METHOD_LIMIT)
+    spark.conf.set(_METHOD_LIMIT, str(min(int(before), _METHOD_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` once and read it back.
 
@@ -66,5 +85,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     _WRITTEN.setdefault(_owner(df.sparkSession), []).append(path)
-    df.write.parquet(path)
+    with compiled(df.sparkSession):
+        df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,7 +20,7 @@ import json
 import uuid
 from dataclasses import dataclass
 from functools import reduce
-from typing import Any, Callable, Iterable, Mapping, Sequence
+from typing import Any, Callable, Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -31,7 +31,7 @@ from entityframe.functions.logical import DIGEST_TYPE, content_digest, same_type
 from entityframe.plans.write_plan import PROPERTIES, Buckets, bucket_column, property_types
 from entityframe.schema import Schema, column, field_types
 from entityframe.sources.pointer import create_if_absent, names_in, read_text
-from entityframe.sources.staging import stage
+from entityframe.sources.staging import compiled, stage
 
 _NAMES = T.ArrayType(T.StringType())
 _VERSION_ROW = T.StructType(
@@ -75,7 +75,8 @@ class EntityStore:
     and a scan of an ancestor opens only its own; `choose_ranges` finds even ones.  For many small
     namespaces turn namespace folders off, as Parquet statistics on
     the sorted `__ns__` do that work with far fewer files.  A merge gives a partition one task
-    for every `task_bytes` of it, so a large namespace or bucket is not one task.  Files are cut
+    for every `task_bytes` of files or `task_rows` rows of it, so a large namespace or bucket is not
+    one task, and what a task sorts does not grow with the kind.  Files are cut
     into row groups of `row_group_bytes`; as they are sorted by key path, a lookup of few keys
     reads only the groups whose range of paths holds one.
     """
@@ -89,6 +90,7 @@ class EntityStore:
         ranges: Sequence[EntityKey | str] | None = None,
         by_namespace: bool = True,
         task_bytes: int = 256 << 20,
+        task_rows: int = 100_000,
         row_group_bytes: int = 32 << 20,
     ) -> None:
         if spark.conf.get("spark.sql.session.timeZone").upper() not in ("UTC", "ETC/UTC", "Z"):
@@ -101,6 +103,7 @@ class EntityStore:
             self.buckets = tuple(sorted(cuts, key=str.encode))
         self.by_namespace = by_namespace
         self.task_bytes = task_bytes
+        self.task_rows = task_rows
         self.row_group_bytes = row_group_bytes
 
     def table(self, kind: str) -> EntityTable:
@@ -219,10 +222,14 @@ class EntityTable:
         return None if snapshot is None else self.read(snapshot, self._touched(snapshot, batch))
 
     def _touched(self, snapshot: Snapshot | None, batch: DataFrame) -> set:
+        return set(self._counted(snapshot, batch))
+
+    def _counted(self, snapshot: Snapshot | None, rows: DataFrame) -> dict[tuple[str | None, int], int]:
+        """The partitions that rows fall into, and how many each gets."""
         folders = self._folders(snapshot)
         # Bounded by the number of partition folders, not by rows or namespaces.
-        rows = batch.filter(F.col(fv.PATH).isNotNull()).select(*folders).distinct().collect()
-        return {((r[fv.NS] if fv.NS in folders else None), r[fv.BUCKET]) for r in rows}
+        found = rows.filter(F.col(fv.PATH).isNotNull()).groupBy(*folders).agg(F.count(F.lit(1)).alias("rows")).collect()
+        return {((r[fv.NS] if fv.NS in folders else None), r[fv.BUCKET]): r["rows"] for r in found}
 
     # --- bulk lookup ---
 
@@ -290,14 +297,15 @@ class EntityTable:
         also tells whether a key occurs twice in `changes`.
         """
         snapshot = self.snapshot() if snapshot is NEWEST else snapshot
-        touched = self._touched(snapshot, changes)
+        rows = self._counted(snapshot, changes)
+        touched = set(rows)
         if not touched:
             return None
         target = self._merged_properties(snapshot, changes)
         existing = None if snapshot is None else self.read(snapshot, touched)
         folders = self._folders(snapshot)
-        pieces = self._pieces(existing, changes, len(touched))
-        paired = pair_rows(existing, changes, target, folders, _partitions(self.spark, len(touched) * pieces), pieces)
+        pieces = self._pieces(snapshot, existing, changes, rows)
+        paired = pair_rows(existing, changes, target, folders, _partitions(self.spark, pieces.values()), pieces)
         if how == "delete":
             return self._commit(snapshot, merge_rows(paired, target, how), touched, target, batch=batch)
         # A key that occurs twice fails the job that writes the files; nothing is published then.
@@ -310,10 +318,15 @@ class EntityTable:
                 self._raise_repeated(changes)
             raise
 
-    def _pieces(self, existing: DataFrame | None, changes: DataFrame, folders: int) -> int:
-        """Tasks per touched partition, from the sizes of the files to be read."""
+    def _pieces(
+        self, snapshot: Snapshot | None, existing: DataFrame | None, changes: DataFrame, rows: Mapping[tuple[str | None, int], int]
+    ) -> dict[tuple[str | None, int], int]:
+        """Tasks of each touched partition, from the sizes of the files to be read and the rows in it."""
         known = _scanned_bytes(changes) + (0 if existing is None else _scanned_bytes(existing))
-        return max(1, -(-known // (self.store.task_bytes * max(1, folders))))
+        least = max(1, -(-known // (self.store.task_bytes * max(1, len(rows)))))
+        # Files shrink repeated values that take their full size in a sort.
+        held = {} if existing is None else self._counted(snapshot, existing)
+        return {part: max(least, -(-(n + held.get(part, 0)) // self.store.task_rows)) for part, n in rows.items()}
 
     @staticmethod
     def _raise_repeated(changes: DataFrame) -> None:
@@ -387,7 +400,8 @@ class EntityTable:
         commit = uuid.uuid4().hex
         folders = self._folders(snapshot)
         path = f"{self.path}/data/commit={commit}"
-        rows.write.option("parquet.block.size", str(self.store.row_group_bytes)).partitionBy(*folders).parquet(path)
+        with compiled(rows.sparkSession):
+            rows.write.option("parquet.block.size", str(self.store.row_group_bytes)).partitionBy(*folders).parquet(path)
         kept_folders = self._written(path, folders) if may_empty else touched
         fresh = {(ns, bucket, commit) for ns, bucket in kept_folders}
         old = frozenset() if snapshot is None else snapshot.partitions
@@ -483,11 +497,14 @@ def _scanned_bytes(df: DataFrame) -> int:
     return sum(size for size in sizes if size < unknown)
 
 
-def _partitions(spark: SparkSession, folders: int) -> int | None:
+def _partitions(spark: SparkSession, pieces: Collection[int]) -> int | None:
     """Tasks of a merge: one per folder once there are more folders than the session's
-    default; below that the default, which Spark may coalesce."""
+    default; below that the default, which Spark may coalesce.  Where folders are cut, twice as many
+    as pieces, so that few of them meet in a task."""
+    if max(pieces) > 1:
+        return 2 * sum(pieces)
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return folders if folders > default else None
+    return len(pieces) if len(pieces) > default else None
 
 
 def pair_rows(
@@ -496,14 +513,14 @@ def pair_rows(
     properties: T.StructType,
     folders: Sequence[str],
     partitions: int | None = None,
-    pieces: int = 1,
+    pieces: Mapping[tuple[str | None, int], int] | None = None,
 ) -> DataFrame:
     """Stored row (`old`) and changed row (`new`) of every key, side by side.
 
     One shuffle, by the folder columns: grouping by key starts with them, so it needs no
     other, and its sort leaves the rows in the order of folders and key paths in which
     the files are written.  `changes` counts the changed rows of the key.  A folder is dealt
-    to `pieces` tasks by its keys, so that a large one is not one task.
+    to as many tasks as `pieces` says by its keys, so that a large one is not one task.
     """
     body = [fv.KEY, fv.PRESENT, fv.UNINDEXED, fv.DIGEST, *[f.name for f in properties.fields]]
     body_type = T.StructType(
@@ -537,8 +554,15 @@ def pair_rows(
     if existing is not None:
         both = side(existing, stored=True).unionByName(both)
     deal = list(folders)
-    if pieces > 1:
-        both = both.withColumn("__piece__", F.pmod(F.xxhash64(fv.NS, fv.PATH), F.lit(pieces)))
+    dealt: dict[int, list[str]] = {}
+    for (ns, bucket), n in (pieces or {}).items():
+        dealt.setdefault(n, []).append(f"{bucket}/{ns}" if fv.NS in folders else str(bucket))
+    if any(n > 1 for n in dealt):
+        label = F.concat_ws("/", F.col(fv.BUCKET).cast("string"), *([F.col(fv.NS)] if fv.NS in folders else []))
+        # Most partitions of a kind have few sizes, so this is a short list of long memberships.
+        number = reduce(lambda rest, n: F.when(label.isin(dealt[n]), F.lit(n)).otherwise(rest), sorted(dealt)[1:], F.lit(min(dealt)))
+        # Not the hash that buckets come from, of which a bucket has only some remainders.
+        both = both.withColumn("__piece__", F.pmod(F.xxhash64(F.lit("piece"), fv.NS, fv.PATH), number))
         deal.append("__piece__")
     spread = both.repartition(*deal) if partitions is None else both.repartition(partitions, *deal)
     keys = [*folders, *[n for n in (fv.NS, fv.BUCKET, fv.PATH) if n not in folders], *deal[len(folders) :]]  # last, so that files are in key order

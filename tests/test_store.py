@@ -332,6 +332,31 @@ def test_a_large_partition_is_several_tasks(spark, frame, tmp_path):
     assert sorted(values(table.read()).values()) == list(range(4000))
 
 
+def test_a_partition_of_many_rows_is_several_tasks(spark, frame, tmp_path):
+    """However well its files shrink; other partitions are not cut."""
+    store = ef.EntityStore(spark, str(tmp_path), buckets=1, task_rows=500)
+    rows = [("x", f"d{i}", 7) for i in range(2000)] + [("y", "d", 8)]
+    ef.write_entities(store, frame(rows, DDL), DOC)
+    ef.write_entities(store, frame([("x", f"d{i}", 9) for i in range(50)], DDL), DOC)
+    files = rows_per_file(store.table("Doc").read())
+    assert max(map(len, files)) < 1000 and all(r == sorted(r) for r in files)
+    assert sum(map(len, files)) == 2001
+
+
+def test_a_staged_table_is_read_by_several_tasks(spark):
+    """Also where one task wrote it; and its rows are encoded in methods the JVM compiles."""
+    from entityframe.sources import staging
+
+    wide = spark.range(0, 2_000_000, 1, 1).select("id", F.hash("id").alias("a"), F.xxhash64("id").alias("b"))
+    seen = []
+    with staging.compiled(spark):
+        seen.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    assert seen == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
+    rows = staging.stage(wide)
+    read = rows.select("id").groupBy(F.spark_partition_id()).count().collect()
+    assert len([r for r in read if r["count"] > 0]) > 1
+
+
 def test_touched_partitions_do_not_grow_with_namespaces(spark, frame, tmp_path):
     store = ef.EntityStore(spark, str(tmp_path), buckets=2, by_namespace=False)
     ef.write_entities(store, frame([(f"n{i}", "d", i) for i in range(300)], DDL), DOC)

@@ -31,6 +31,8 @@ from workloads.common import (
 )
 
 _INDEX = "o_orderkey"
+#: Bytes of a row group of a streamed file: a batch is one file, read by as many tasks as it has groups.
+_STREAM_ROW_GROUP = str(4 << 20)
 
 
 def _closed(spark: SparkSession, sf: str) -> DataFrame:
@@ -357,7 +359,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     store = new_store(spark)
     source = load(spark, sf, "events")
     files = fresh_path(spark, "events")
-    source.repartition(3).write.parquet(files)
+    source.repartition(3).write.option("parquet.block.size", _STREAM_ROW_GROUP).parquet(files)
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(files)
     ef.start_upsert(stream, store, EVENT, checkpoint=fresh_path(spark, "stream")).awaitTermination()
     rows = ef.read_entities(store, "Event", schema=EVENT)
@@ -379,8 +381,8 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     bad = F.when(F.col("event_id") % 11 != 0, F.col("user_id"))
     events = load(spark, sf, "events").select(bad.alias("user_id"), "event_id", "ts", "value")
     files, rejected = fresh_path(spark, "events"), fresh_path(spark, "rejected")
-    # Later batches hold later events.
-    events.repartitionByRange(2, "event_id").write.parquet(files)
+    # One batch holds the later events.  Which one is read first depends on when its file was written.
+    events.repartitionByRange(2, "event_id").write.option("parquet.block.size", _STREAM_ROW_GROUP).parquet(files)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
     options = {"checkpoint": fresh_path(spark, "stream"), "latest_by": "event_id", "rejected": rejected}
     ef.start_upsert(stream, store, LATEST, **options).awaitTermination()
