@@ -18,6 +18,7 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -187,58 +188,86 @@ class Examples:
         #: Set where texts are to be read; what is scored elsewhere has its terms already.
         self.vocabulary: Vocabulary | None = None
         self.idf, self.neighbours, self.block = idf, neighbours, block
-        pairs = [(terms.astype(np.int32, copy=False), times.astype(np.int32, copy=False)) for terms, times in counts]
-        vectors = [self._weigh(*p) for p in pairs]
-        used = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
+        # Examples lie one after the other in flat arrays, which take a few bytes an entry.
+        terms, times, starts, lengths, used, plain = array("i"), array("i"), [0], [], [], []
+        for i, pair in enumerate(counts):
+            kept, _, length = self._raw(*pair)
+            if not length:
+                plain.append(toxic[i])
+                continue
+            for flat, given in zip((terms, times), pair, strict=True):
+                flat.frombytes(given[kept].astype(np.int32, copy=False).tobytes())
+            starts.append(len(terms))
+            lengths.append(length)
+            used.append(i)
         self.ids = np.array([ids[i] for i in used], dtype=np.int64)
         self.toxic = np.array([toxic[i] for i in used], dtype=np.float64)
-        self._counts = [pairs[i] for i in used]
-        self._index([vectors[i] for i in used], len(idf))
-        plain = [toxic[i] for i, (terms, _) in enumerate(vectors) if not len(terms)]
         overall = sum(toxic) / len(toxic) if toxic else 0.0
         #: The score of a text without any term: the share of toxic ones among such examples,
         #: which are few, and as many more as there are neighbours with the share of all.
         self.plain = (sum(plain) + neighbours * overall) / (len(plain) + neighbours)
-        found = self._nearest([vectors[i] for i in used], range(len(used)))
-        votes = [self._vote(near)[0] if len(near[0]) else self.plain for near in found]
+        terms, times = (np.frombuffer(x, dtype=np.int32) for x in (terms, times))
+        order = np.argsort(terms, kind="stable")
+        places = np.repeat(np.arange(len(used), dtype=np.min_scalar_type(len(used))), np.diff(starts))[order]
+        per = np.bincount(terms, minlength=len(idf)).astype(np.int32)
+        self._entries = (per, places, times[order].astype(np.min_scalar_type(times.max(initial=0))), np.array(lengths))
+        del order, places
+        self._index(*self._entries)
+        votes = []
+        for at in range(0, len(used), block):
+            some = range(at, min(at + block, len(used)))
+            vectors = [self._weigh(terms[starts[i] : starts[i + 1]], times[starts[i] : starts[i + 1]]) for i in some]
+            votes += [self._vote(near)[0] if len(near[0]) else self.plain for near in self._nearest(vectors, some)]
         self.curve = _isotonic(np.array(votes), self.toxic)
 
     def __getstate__(self):
-        # The index is built anew from the counts, which are small when packed.
-        state = {k: v for k, v in self.__dict__.items() if k not in ("vocabulary", "column", "columns", "places", "weights", "cuts")}
-        packed = [(np.diff(t, prepend=np.int32(0)), n) for t, n in self._counts]
-        lengths = [len(n) for _, n in packed]
-        flat = [np.concatenate([x[i] for x in packed] or [np.zeros(0)]).astype(np.int32) for i in (0, 1)]
-        return zlib.compress(pickle.dumps((state | {"_counts": None}, lengths, flat)), 6)
+        # The index is built anew from the numbers of times, which are small when packed.
+        built = ("vocabulary", "column", "columns", "places", "weights", "cuts", "_entries")
+        entries = self._entries
+        if not isinstance(entries, bytes):
+            per, places, *others = entries
+            # Differences of unsigned numbers wrap around, and so do their sums.
+            entries = zlib.compress(pickle.dumps((per, np.diff(places, prepend=places[:1] * 0), *others)), 6)
+        return zlib.compress(pickle.dumps({k: v for k, v in self.__dict__.items() if k not in built}), 6), entries
 
     def __setstate__(self, state):
-        kept, lengths, flat = pickle.loads(zlib.decompress(state))
-        self.__dict__.update(kept, vocabulary=None)
-        terms, counts = (np.split(x, np.cumsum(lengths)[:-1]) if lengths else [] for x in flat)
-        self._counts = [(np.cumsum(t, dtype=np.int32), n) for t, n in zip(terms, counts, strict=True)]
-        self._index([self._weigh(*p) for p in self._counts], len(self.idf))
-
-    def _index(self, vectors: list[tuple[np.ndarray, np.ndarray]], size: int) -> None:
-        terms = np.concatenate([t for t, _ in vectors] or [np.zeros(0, dtype=np.int64)])
-        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        places = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])
-        common = np.flatnonzero(np.bincount(terms, minlength=size) > max(COMMON * len(vectors), 1))
+        kept, self._entries = state
+        self.__dict__.update(pickle.loads(zlib.decompress(kept)), vocabulary=None)
+        per, places, *others = pickle.loads(zlib.decompress(self._entries))
+        self._index(per, np.cumsum(places, dtype=places.dtype, out=places), *others)
+
+    def _index(self, per: np.ndarray, places: np.ndarray, times: np.ndarray, lengths: np.ndarray) -> None:
+        """From the entries of each term in turn: `per` is their number, `places` are the examples."""
+        cuts = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(per, dtype=np.int64)])
+        common = np.flatnonzero(per > max(COMMON * len(lengths), 1))
         #: Column of each common term, -1 for the others.
-        self.column = np.full(size, -1, dtype=np.int32)
+        self.column = np.full(len(per), -1, dtype=np.int32)
         self.column[common] = np.arange(len(common))
-        self.columns = np.zeros((len(vectors), len(common)), dtype=np.float32)
-        among = self.column[terms] >= 0
-        self.columns[places[among], self.column[terms[among]]] = weights[among]
-        rare = np.flatnonzero(~among)
-        rare = rare[np.argsort(terms[rare], kind="stable")]
-        self.places, self.weights = places[rare], weights[rare].astype(np.float32)
-        self.cuts = np.searchsorted(terms[rare], np.arange(size + 1))
+        self.columns = np.zeros((len(lengths), len(common)), dtype=np.float32)
+        rare = self.column < 0
+        self.cuts = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(np.where(rare, per, 0), dtype=np.int64)])
+        self.places = np.empty(self.cuts[-1], dtype=places.dtype)
+        self.weights = np.empty(self.cuts[-1], dtype=np.float32)
+        # Some terms at a time, so that little more than the index is held.
+        for low in range(0, len(per), 1024):
+            high = min(low + 1024, len(per))
+            part, n = slice(cuts[low], cuts[high]), per[low:high]
+            weights = (1 + np.log(times[part].astype(np.int32))) * np.repeat(self.idf[low:high], n) / lengths[places[part]]
+            among = np.repeat(rare[low:high], n)
+            to = slice(self.cuts[low], self.cuts[high])
+            self.places[to], self.weights[to] = places[part][among], weights[among]
+            self.columns[places[part][~among], np.repeat(self.column[low:high], n)[~among]] = weights[~among]
+
+    def _raw(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Which terms weigh anything, their weights, and the length of those."""
+        weights = (1 + np.log(counts)) * self.idf[terms]
+        kept = weights > 0
+        weights = weights[kept]
+        return kept, weights, float(np.sqrt(weights @ weights)) if len(weights) else 0.0
 
     def _weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weights = (1 + np.log(counts)) * self.idf[terms]
-        terms, weights = terms[weights > 0], weights[weights > 0]
-        length = float(np.sqrt(weights @ weights)) if len(terms) else 0.0
-        return (terms, weights / length) if length else (terms[:0], weights[:0])
+        kept, weights, length = self._raw(terms, counts)
+        return (terms[kept], weights / length) if length else (terms[:0], weights[:0])
 
     def nearest(self, vector: tuple[np.ndarray, np.ndarray], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples with a cosine above 0, nearest first;
