@@ -22,6 +22,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,7 @@ def _terms(text: str | None) -> set[str]:
 
 
 def _hashes(stems: Iterable[str], size: int = -1) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in stems), np.uint64, size)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, stems), np.uint64, size)
 
 
 def _stem(term: str) -> str:
@@ -126,14 +127,14 @@ class Vocabulary:
         lengths = np.fromiter(map(len, counted), np.int64, len(counted))
         size = int(lengths.sum())
         of = np.repeat(np.arange(len(counted)), lengths)
-        times = np.fromiter((n for c in counted for n in c.values()), np.int64, size)
-        row = _find(self._word, _hashes((word for c in counted for word in c), size))
+        times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64, size)
+        row = _find(self._word, _hashes(chain.from_iterable(counted), size))
         known, unknown = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
         # Beginnings, also of words that no example has, add up over the words of a text.
         n = self._starts[row[known] + 1] - self._starts[row[known]]
         ends = np.cumsum(n)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._starts[row[known]] - ends + n, n)
-        strange = [word for word, r in zip((word for c in counted for word in c), row.tolist(), strict=True) if r < 0]
+        strange = [word for word, r in zip(chain.from_iterable(counted), row.tolist(), strict=True) if r < 0]
         others, extra = self._begun(strange)
         source = np.concatenate([np.repeat(known, n), unknown[others]])
         begun = np.concatenate([self._begins[at], extra])
@@ -222,7 +223,7 @@ class Examples:
 
     def __getstate__(self):
         # The index is built anew from the numbers of times, which are small when packed.
-        built = ("vocabulary", "column", "columns", "places", "weights", "cuts", "_entries")
+        built = ("vocabulary", "column", "columns", "rest", "cuts", "_entries")
         entries = self._entries
         if not isinstance(entries, bytes):
             per, places, *others = entries
@@ -246,8 +247,9 @@ class Examples:
         self.columns = np.zeros((len(lengths), len(common)), dtype=np.float32)
         rare = self.column < 0
         self.cuts = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(np.where(rare, per, 0), dtype=np.int64)])
-        self.places = np.empty(self.cuts[-1], dtype=places.dtype)
-        self.weights = np.empty(self.cuts[-1], dtype=np.float32)
+        #: Weight (lower half) and place (upper half) of each other entry, so that one look-up finds both.
+        self.rest = np.empty(self.cuts[-1], dtype="<i8")
+        halves = self.rest.view("<i4").reshape(-1, 2)
         # Some terms at a time, so that little more than the index is held.
         for low in range(0, len(per), 1024):
             high = min(low + 1024, len(per))
@@ -255,7 +257,7 @@ class Examples:
             weights = (1 + np.log(times[part].astype(np.int32))) * np.repeat(self.idf[low:high], n) / lengths[places[part]]
             among = np.repeat(rare[low:high], n)
             to = slice(self.cuts[low], self.cuts[high])
-            self.places[to], self.weights[to] = places[part][among], weights[among]
+            halves[to, 0], halves[to, 1] = weights[among].astype("<f4").view("<i4"), places[part][among]
             self.columns[places[part][~among], np.repeat(self.column[low:high], n)[~among]] = weights[~among]
 
     def _raw(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -278,30 +280,39 @@ class Examples:
         without = list(without)
         for at in range(0, len(vectors), self.block):
             part = vectors[at : at + self.block]
+            of = np.repeat(np.arange(len(part)), [len(terms) for terms, _ in part])
+            terms, weights = (np.concatenate(x) for x in zip(*part, strict=True))
+            weights, column = weights.astype(np.float32), self.column[terms]
             asked = np.zeros((len(part), self.columns.shape[1]), dtype=np.float32)
-            for row, (terms, weights) in zip(asked, part, strict=True):
-                column = self.column[terms]
-                row[column[column >= 0]] = weights[column >= 0]
-            for sums, vector, left in zip(asked @ self.columns.T, part, without[at : at + self.block], strict=True):
-                yield self._best(sums, vector, left)
-
-    def _best(self, sums: np.ndarray, vector: tuple[np.ndarray, np.ndarray], without: int) -> tuple[np.ndarray, np.ndarray]:
-        """`sums` has what the common terms add to the cosine with each example."""
-        terms, weights = vector
-        if len(terms) and len(sums):
-            rare = self.column[terms] < 0
-            starts = self.cuts[terms[rare]]
-            n = self.cuts[terms[rare] + 1] - starts
-            ends = np.cumsum(n, dtype=np.int32)
-            at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat((starts - ends + n).astype(np.int32), n)
-            products = self.weights[at] * np.repeat(weights[rare].astype(np.float32), n)
-            sums = sums + np.bincount(self.places[at], products, minlength=len(sums))
-            if without >= 0:
-                sums[without] = 0.0
+            among = column >= 0
+            asked[of[among], column[among]] = weights[among]
+            rare = np.flatnonzero(~among)
+            starts, ends, weights = self.cuts[terms[rare]], self.cuts[terms[rare] + 1], weights[rare]
+            cuts = np.searchsorted(of[rare], np.arange(len(part) + 1)).tolist()
+            for row, (sums, left) in enumerate(zip(asked @ self.columns.T, without[at : at + self.block], strict=True)):
+                own = slice(cuts[row], cuts[row + 1])
+                yield self._best(self._added(sums, starts[own], ends[own] - starts[own], weights[own]), left)
+
+    def _added(self, sums: np.ndarray, starts: np.ndarray, n: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the common terms add to the cosine with each example, and what the others add, whose
+        `n` entries each begin at `starts`."""
+        ends = np.cumsum(n)
+        if not len(n) or not len(sums) or not ends[-1]:
+            return sums.astype(np.float64)
+        at = np.repeat(starts - ends + n, n)
+        at += np.arange(ends[-1])
+        found = self.rest.take(at, mode="clip")
+        products = found.view("<f4")[::2] * np.repeat(weights, n)
+        found >>= 32
+        return sums + np.bincount(found, products, minlength=len(sums))
+
+    def _best(self, sums: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+        if without >= 0:
+            sums[without] = 0.0
         k = min(self.neighbours, len(sums))
         least = np.partition(sums, len(sums) - k)[len(sums) - k] if k else 0.0
         # Rounding must not leave out a tie.
-        near = np.flatnonzero((sums > 0) & (sums >= least - 1e-6))
+        near = np.flatnonzero(sums >= least - 1e-6 if least > 1e-6 else sums > 0)
         best = near[np.lexsort((near, -np.round(sums[near], 6)))[:k]]
         return best, sums[best].astype(np.float64)
 
