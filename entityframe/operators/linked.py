@@ -71,13 +71,16 @@ def _nearest_paths(df: DataFrame, ancestors: DataFrame) -> DataFrame:
     so keys and ancestors of any depth meet in one equi-join, and only keys are shuffled.
     """
     path = F.col(fv.PATH)
-    beginnings = F.transform(F.sequence(F.lit(1).cast("bigint"), path_depth(path)), lambda n: _first_elements(path, n))
-    probes = df.filter(path_depth(path) > 0).select(fv.NS, fv.PATH, F.explode(beginnings).alias(_REF_PATH))
+    depths = F.explode(F.sequence(F.lit(1).cast("bigint"), path_depth(path))).alias("depth")
+    probes = df.filter(path_depth(path) > 0).select(fv.NS, fv.PATH, depths)
+    probes = probes.withColumn(_REF_PATH, _first_elements(path, F.col("depth")))
     wanted = _targets(ancestors).distinct()
     met = probes.join(wanted.withColumnRenamed(_REF_NS, fv.NS), [fv.NS, _REF_PATH])
-    longest = F.max(F.struct(path_depth(F.col(_REF_PATH)).alias("depth"), F.col(_REF_PATH).alias("path")))
-    found = met.groupBy(fv.NS, fv.PATH).agg(longest.alias("nearest"), F.count_distinct(_REF_PATH).alias("n"))
-    return found.select(fv.NS, fv.PATH, F.col("nearest.path").alias(_REF_PATH), "n")
+    # A depth stands for the ancestor: numbers are aggregated by hash, and one shuffle serves both
+    # aggregates and the join that follows.
+    met = met.select(fv.NS, fv.PATH, "depth").repartition(F.col(fv.NS), F.col(fv.PATH))
+    found = met.groupBy(fv.NS, fv.PATH).agg(F.max("depth").alias("depth"), F.count_distinct("depth").alias("n"))
+    return found.select(fv.NS, fv.PATH, _first_elements(path, F.col("depth")).alias(_REF_PATH), "n")
 
 
 def _first_elements(path: Column, n: Column) -> Column:

@@ -109,6 +109,16 @@ def test_any_depth_without_nested_loops(frame):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_nearest_ancestors_are_aggregated_by_hash_in_one_shuffle(frame):
+    rows = paths(frame, "A/n:1/B/n:1/", "A/n:1/B/n:1/", "A/" * 70)
+    above = paths(frame, "A/n:1/", "A/n:1/B/n:1/", "A/" * 70)
+    found = ef.nearest_ancestors(rows, above, "near", "n")
+    assert sorted((r.near, r.n) for r in found.collect()) == [("A/" * 70, 1)] + [("A/n:1/B/n:1/", 2)] * 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Initial Plan")[-1] if "Initial Plan" in plan else plan
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 # --- defaults per row ---
 
 
