@@ -54,6 +54,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+    # Workers stay for later tasks; what Arrow keeps of the batches goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def text_or_empty(name: str) -> Column:

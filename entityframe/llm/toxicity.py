@@ -394,14 +394,15 @@ def _count_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def _with_terms(docs: DataFrame, vocabulary: Vocabulary, kept: list[str], tally: bool = False) -> DataFrame:
-    """row, terms, times: each row's `kept` columns as a struct, and the terms of its text.  With
-    `tally`, a task adds one row with a null struct: the terms it has seen, and in how many texts."""
+    """row, terms, times: each row's `kept` columns as a struct, and the terms of its text, packed as
+    Spark moves a few long values faster than many numbers.  With `tally`, a task adds one row with a
+    null struct: the terms it has seen, and in how many texts."""
     # Bounded by the different terms of EXAMPLES texts.
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     # The text goes to Python once.
     inside = "text" in kept
     rows = docs.select(F.struct(*[F.col(_quoted(c)) for c in kept]).alias("row"), *([] if inside else ["text"]))
-    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("terms", "times")]])
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *[T.StructField(c, T.BinaryType()) for c in ("terms", "times")]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, row = np.zeros(shared.value.size, dtype=np.int64), None
@@ -410,12 +411,11 @@ def _with_terms(docs: DataFrame, vocabulary: Vocabulary, kept: list[str], tally:
             texts = batch.column("row").field("text") if inside else batch.column("text")
             of, terms, times = shared.value.batch(texts.to_pylist())
             seen += np.bincount(terms, minlength=len(seen))
-            cuts = pa.array(np.searchsorted(of, np.arange(batch.num_rows + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x, pa.int32())) for x in (terms, times)]
+            lists = _packed(np.searchsorted(of, np.arange(batch.num_rows + 1)), terms, times)
             yield pa.RecordBatch.from_arrays([batch.column("row"), *lists], names=["row", "terms", "times"])
         if tally and row is not None:
             terms = np.flatnonzero(seen)
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), pa.array(x, pa.int32())) for x in (terms, seen[terms])]
+            lists = _packed(np.array([0, len(terms)]), terms, seen[terms])
             yield pa.RecordBatch.from_arrays([pa.nulls(1, row), *lists], names=["row", "terms", "times"])
 
     return rows.mapInArrow(count, schema)
@@ -437,9 +437,32 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _lists(column: pa.ListArray) -> list[np.ndarray]:
-    offsets = column.offsets.to_numpy()
-    return np.split(column.values.to_numpy()[offsets[0] : offsets[-1]], offsets[1:-1] - offsets[0]) if len(column) else []
+def _packed(cuts: np.ndarray, terms: np.ndarray, times: np.ndarray) -> list[pa.BinaryArray]:
+    """Terms as 32-bit numbers, and times in as few bytes as the largest of them needs."""
+    values = [terms.astype("<u4"), times.astype(np.min_scalar_type(times.max(initial=0)).newbyteorder("<"))]
+    return [
+        pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+        for x in values
+    ]
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Terms of each row and how often it has each."""
+    for terms, times in zip(*(batch.column(c).to_pylist() for c in ("terms", "times")), strict=True):
+        width = 4 * len(times) // len(terms) if terms else 1
+        yield np.frombuffer(terms, "<i4"), np.frombuffer(times, f"<u{width}").astype(np.int32)
+
+
+def _sums(tallies: DataFrame) -> DataFrame:
+    """term, n: in how many texts each term is."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            for terms, times in _unpacked(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(times, pa.int64())], names=["term", "n"])
+
+    counted = tallies.select("terms", "times").mapInArrow(spread, "term int, n long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Examples:
@@ -465,11 +488,10 @@ def _fit(
     terms, counts = _count_terms(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     vocabulary = Vocabulary(terms)
     with _small_batches(docs.sparkSession):
-        staged = stage(_with_terms(docs, vocabulary, kept, tally=True), "terms")
+        staged = stage(_with_terms(docs, vocabulary, kept, tally=True), "terms", compression="zstd")
     counted, tallies = (staged.filter(f"row IS {what}") for what in ("NOT NULL", "NULL"))
     # One row per term at most comes back.
-    pairs = tallies.select(F.explode(F.arrays_zip("terms", "times")).alias("p"))
-    found = pairs.groupBy(F.col("p.terms").alias("term")).agg(F.sum("p.times").alias("n")).toArrow()
+    found = _sums(tallies).toArrow()
     seen = np.zeros(len(terms))
     seen[found.column("term").to_numpy()] = found.column("n").to_numpy()
     weights = np.maximum(np.log((counted.count() + 1) / (seen + 0.5)), 0.0) * counts
@@ -498,10 +520,9 @@ def _learner(weights: np.ndarray):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            columns = [_lists(batch.column(c)) for c in ("terms", "times")]
-            rows += zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), *columns, strict=True)
+            rows += zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), _unpacked(batch), strict=True)
         rows.sort(key=lambda r: r[0])
-        ordered = ((terms[o], times[o]) for *_, terms, times in rows for o in [np.argsort(terms)])
+        ordered = ((terms[o], times[o]) for *_, (terms, times) in rows for o in [np.argsort(terms)])
         model = Examples(ordered, [r[0] for r in rows], [r[1] for r in rows], weights)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
@@ -526,8 +547,7 @@ def _scored(counted: DataFrame, packed: Packed) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = shared.value.examples
         for batch in slices(batches):
-            pairs = zip(*(_lists(batch.column(c)) for c in ("terms", "times")), strict=True)
-            scores, *evidence = zip(*examples.scores(list(pairs)), strict=True)
+            scores, *evidence = zip(*examples.scores(list(_unpacked(batch))), strict=True)
             ends = pa.array(np.cumsum([0, *map(len, evidence[0])]), pa.int32())
             lists = [
                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), kind))

@@ -77,14 +77,15 @@ def compiled(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_METHOD_LIMIT, before)
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     """Write `df` once and read it back.
 
     The table cuts the lineage, survives the loss of executors and gives every later
-    pass the same rows, also when the input is not deterministic.
+    pass the same rows, also when the input is not deterministic.  `options` are those of Spark's
+    Parquet writer.
     """
     path = fresh_path(df.sparkSession, label)
     _WRITTEN.setdefault(_owner(df.sparkSession), []).append(path)
     with compiled(df.sparkSession):
-        df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
+        df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

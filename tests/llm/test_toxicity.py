@@ -5,9 +5,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from entityframe.llm.toxicity import Examples, Vocabulary, _stems, _terms, drop_toxic, fit, toxicity, with_scores
+from entityframe.llm.toxicity import Examples, Vocabulary, _packed, _stems, _terms, _unpacked, drop_toxic, fit, toxicity, with_scores
 
 SCHEMA = "doc_id long, text string, row int, toxicity string, score int"
 LABELS = "doc_id long, quality int, toxic int"
@@ -74,6 +75,15 @@ def test_terms_of_a_batch_are_those_of_each_text():
     assert [terms.tolist() for terms, _ in Vocabulary([]).counts(["a b", None])] == [[], []]
 
 
+def test_packed_terms_come_back():
+    lists = [([3, 70_000], [1, 300]), ([], []), ([5], [70_000]), ([1, 2, 9], [1, 1, 2])]
+    for some in (lists, lists[1:2], lists[1:], lists[3:]):
+        cuts = np.cumsum([0, *(len(t) for t, _ in some)])
+        packed = _packed(cuts, *(np.array(sum((x[i] for x in some), []), dtype=np.int64) for i in (0, 1)))
+        batch = pa.RecordBatch.from_arrays(packed, names=["terms", "times"])
+        assert [(t.tolist(), n.tolist()) for t, n in _unpacked(batch)] == some
+
+
 def test_held_out_documents_are_scored_well(spark):
     rows, labels = corpus()
     got = toxicity(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()
