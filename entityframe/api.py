@@ -356,7 +356,7 @@ def _run(
     if not carried_out:
         return plan.to_report(dry_run=dry_run, read_only=read_only)
     if judged:
-        plan = plan.on(stage(plan.df, "judged"))
+        plan = plan.on(stage(plan.judged().df, "judged"))
     if reject is not None:
         reject(plan.df.filter(F.col("error").isNotNull()).select(ROW_INDEX, "error"))
     table.commit_plan(plan.df, "patch" if patch else "put", snapshot, batch)

@@ -11,6 +11,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from entityframe import fixed_values as fv
 from entityframe.errors import SchemaError
 
 #: A staged table is read again by as many tasks as it has row groups, also where one task wrote it.
@@ -18,6 +19,9 @@ ROW_GROUP_BYTES = 8 << 20
 #: Larger methods are never compiled by the JVM: rows cost several times as much from there on.
 _METHOD_LIMIT, _METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
 
+#: Key paths hardly repeat; a dictionary of them is built and thrown away for each row group.
+NO_DICTIONARY = {f"parquet.enable.dictionary#{fv.PATH}": "false"}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
@@ -87,5 +91,5 @@ def stage(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     _WRITTEN.setdefault(_owner(df.sparkSession), []).append(path)
     with compiled(df.sparkSession):
-        df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).options(**options).parquet(path)
+        df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).options(**NO_DICTIONARY, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

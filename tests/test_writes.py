@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import entityframe as ef
-from entityframe import fixed_values as fv
+from entityframe import api, fixed_values as fv
+from entityframe.plans.write_plan import may_repeat, require_unique_keys
 
 DOC = ef.Schema(
     "Doc",
@@ -250,3 +251,32 @@ def test_round_trip(store, frame):
     assert row.e.toPython() == {"z": 1} and row.t.microsecond == 123456
     plan = accessor.plan_write(read, skip_unchanged=True, row_index="s")
     assert actions(plan.df) == {"s": "skip", "n": "skip"}
+
+
+def test_a_row_that_is_not_written_leaves_its_values_out_of_the_judged_table(two, frame, monkeypatch):
+    staged, stage = {}, api.stage
+    monkeypatch.setattr(api, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    report = two.write(frame([("a", 1, "yes"), ("b", 2, "no"), ("c", 3, "new")], "doc_id string, value int, kept string"), skip_unchanged=True, row_index="doc_id")
+    held = {r.row_index: (r.properties is not None, r[fv.PATH] is not None) for r in staged["judged"].collect()}
+    assert held == {"a": (False, False), "b": (True, True), "c": (True, True)}
+    assert {r.row_index: (r.action, r[fv.KEY] is not None) for r in report.results.collect()} == {"a": ("skip", True), "b": ("upsert", True), "c": ("upsert", True)}
+    assert {p: v[0] for p, v in stored(two).items()} == {"Doc/n:a/": 1, "Doc/n:b/": 2, "Doc/n:c/": 3}
+
+
+def test_keys_are_grouped_as_texts_only_where_a_hash_repeats(frame):
+    ddl = "__key__ struct<database:string,namespace:string,path:array<struct<id:bigint,kind:string,name:string>>,project:string>"
+
+    def rows(*keys):
+        plain = frame([((base, None, [(None, "Doc", name)], project),) for base, name, project in keys], ddl)
+        return plain.withColumns({fv.NS: F.lit("@"), fv.PATH: F.concat(F.lit("Doc/n:"), F.col(fv.KEY)["path"][0]["name"], F.lit("/"))})
+
+    assert not may_repeat(rows((None, "a", None), (None, "b", None)))
+    assert not may_repeat(rows(("x", "a", None), ("y", "a", None)))
+    # A null is passed over by the hash, so these meet in it; the keys themselves decide.
+    alike = rows(("x", "a", None), (None, "a", "x"))
+    assert may_repeat(alike)
+    require_unique_keys(alike)
+    with pytest.raises(ef.KeyValidationError):
+        require_unique_keys(alike, full_key=False)
+    with pytest.raises(ef.KeyValidationError):
+        require_unique_keys(rows(("x", "a", None), ("x", "a", None)))
