@@ -81,6 +81,23 @@ def compiled(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_METHOD_LIMIT, before)
 
 
+#: A task of a merge holds what it reads until it is dealt to the others, so it reads this much at most.
+_SPLIT, SPLIT_BYTES = "spark.sql.files.maxPartitionBytes", 32 << 20
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are read in pieces of `SPLIT_BYTES`, so that what a map task buffers for the shuffle does
+    not grow with the tables up to Spark's larger split."""
+    before = spark.conf.get(_SPLIT)
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) > SPLIT_BYTES:
+        spark.conf.set(_SPLIT, str(SPLIT_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT, before)
+
+
 def stage(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     """Write `df` once and read it back.
 

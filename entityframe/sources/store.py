@@ -31,7 +31,7 @@ from entityframe.functions.logical import DIGEST_TYPE, content_digest, same_type
 from entityframe.plans.write_plan import PROPERTIES, Buckets, bucket_column, property_types
 from entityframe.schema import Schema, column, field_types
 from entityframe.sources.pointer import create_if_absent, names_in, read_text
-from entityframe.sources.staging import NO_DICTIONARY, compiled, stage
+from entityframe.sources.staging import NO_DICTIONARY, compiled, small_splits, stage
 
 _NAMES = T.ArrayType(T.StringType())
 _VERSION_ROW = T.StructType(
@@ -400,7 +400,7 @@ class EntityTable:
         commit = uuid.uuid4().hex
         folders = self._folders(snapshot)
         path = f"{self.path}/data/commit={commit}"
-        with compiled(rows.sparkSession):
+        with compiled(rows.sparkSession), small_splits(rows.sparkSession):
             writer = rows.write.option("parquet.block.size", str(self.store.row_group_bytes)).options(**NO_DICTIONARY)
             writer.partitionBy(*folders).parquet(path)
         kept_folders = self._written(path, folders) if may_empty else touched

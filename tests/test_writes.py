@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 import entityframe as ef
 from entityframe import api, fixed_values as fv
 from entityframe.plans.write_plan import may_repeat, require_unique_keys
+from entityframe.sources import staging, store as stores
 
 DOC = ef.Schema(
     "Doc",
@@ -280,3 +281,26 @@ def test_keys_are_grouped_as_texts_only_where_a_hash_repeats(frame):
         require_unique_keys(alike, full_key=False)
     with pytest.raises(ef.KeyValidationError):
         require_unique_keys(rows(("x", "a", None), ("x", "a", None)))
+
+
+def test_a_merge_reads_its_tables_in_small_pieces(spark, two, frame, monkeypatch):
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    two.write(frame([("c", 3, "new")], "doc_id string, value int, kept string"))
+    with staging.small_splits(spark):
+        assert int(spark.conf.get(name)) == staging.SPLIT_BYTES
+        spark.conf.set(name, "1m")
+        with staging.small_splits(spark):
+            assert spark.conf.get(name) == "1m"
+    assert spark.conf.get(name) == before
+
+    split = stores.small_splits
+
+    def entered(session):
+        seen.append(session.conf.get(name))
+        return split(session)
+
+    monkeypatch.setattr(stores, "small_splits", entered)
+    two.delete([ef.EntityKey((("Doc", "a"),))])
+    assert seen == [before] and spark.conf.get(name) == before
+    assert set(stored(two)) == {"Doc/n:b/", "Doc/n:c/"}
