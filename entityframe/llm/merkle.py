@@ -139,8 +139,11 @@ def _build_block(nodes: pd.DataFrame) -> pd.DataFrame:
 
 
 def build_nodes(leaves: DataFrame) -> DataFrame:
-    """All nodes above the given ones (tree, level 0, pos, size, digest), and these."""
-    built = stage(leaves.select("tree", F.lit(0).alias("level"), "pos", "size", "digest"), "nodes")
+    """All nodes above the given ones (tree, pos, size, digest), and these at level 0.
+
+    The given ones are read by every pass and by what comes after, so they should be stored.
+    """
+    built = leaves.select("tree", F.lit(0).alias("level"), "pos", "size", "digest")
     nodes, most = built, built.agg(F.max("size")).first()[0] or 0
     for level in range(0, depth(most), STRIDE):
         lower = built.filter((F.col("level") == level) & (F.col("size") > 1)).withColumn("block", _block("pos"))
@@ -188,17 +191,18 @@ def build(leaves: DataFrame, group: str, order: str, digest: str = "leaf") -> Ma
     # The last column only spreads repeated rows over the tasks of the sort.
     spread = stage(leaves, "leaves").withColumn("__spread", F.monotonically_increasing_id())
     first = lambda name: F.col(name).asc_nulls_first()
-    placed = stage(numbered(spread, [first(group), first(order), digest, "__spread"], "__at").drop("__spread"), "placed")
+    # What `numbered` returns is a stored table with a small one beside it, and needs no copy.
+    placed = numbered(spread, [first(group), first(order), digest, "__spread"], "__at").drop("__spread")
     groups = placed.groupBy(group).agg(F.min("__at").alias("__start"), F.count(F.lit(1)).alias("size"))
     # A tree per group, numbered in the order of the groups.
     found = numbered(groups, ["__start"], "tree").select(F.col(group).alias("__group"), "__start", "size", "tree")
-    trees = stage(found, "trees")
-    owned = placed.join(trees, F.col(group).eqNullSafe(F.col("__group")))
+    # Stored, so that Spark knows how small it is: few groups are broadcast, not dealt out by group.
+    found = stage(found, "groups")
+    owned = placed.join(found, F.col(group).eqNullSafe(F.col("__group")))
     owned = stage(owned.withColumn("pos", F.col("__at") - F.col("__start")).drop("__group", "__start", "__at"), "owned")
     nodes = build_nodes(owned.select("tree", "pos", "size", F.col(digest).alias("digest")))
-    subroots = stage(nodes.filter(F.col("size") == 1).select("tree", F.col("digest").alias("subroot")), "subroots")
-    trees = trees.join(subroots, "tree").select("tree", "size", "subroot", F.col("__group").alias("group"))
-    trees = stage(trees, "trees")
+    subroots = nodes.filter(F.col("size") == 1).select("tree", F.col("digest").alias("subroot"))
+    trees = stage(found.join(subroots, "tree").select("tree", "size", "subroot", F.col("__group").alias("group")), "trees")
     count = trees.count()
     top = trees.select(F.lit(TOP).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.lit(count).cast("bigint").alias("size"), F.col("subroot").alias("digest"))
     return Manifest(owned, trees, nodes.unionByName(build_nodes(top)))

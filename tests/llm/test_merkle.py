@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from entityframe.llm import merkle
 from entityframe.llm.merkle import build, document_manifest, missing_nodes, prove, read_manifest
+from entityframe.sources.staging import staged_count
 
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, tree int, block string, leaf string"
 
@@ -148,3 +149,11 @@ def test_a_changed_node_is_noticed(spark):
     bad = merkle.Manifest(manifest.leaves, manifest.trees, manifest.nodes.withColumn("digest", forged))
     some = bad.leaves.filter("pos = 0").withColumn("claim", F.col("leaf"))
     assert not any(r["verified"] for r in prove(bad, some).collect())
+
+
+def test_rows_are_stored_no_more_often_than_needed(spark):
+    rows = rows_of(100, ["en", "de"])
+    before = staged_count(spark)
+    document_manifest(spark.createDataFrame([(*r, 1, "b", "l") for r in rows], SCHEMA))
+    # The leaves, sorted, with their places; the groups in order, numbered; one pass of nodes, the trees, the root.
+    assert staged_count(spark) - before == 8
